@@ -130,6 +130,12 @@ def mult_hash(key: ColumnOrName, seed: int = 42) -> Column:
     return F.pmod(k * F.lit(2654435761) + F.lit(seed * 40503), F.lit(4294967296))
 
 
+# Relative nudge applied before output rounding: values sitting exactly on a
+# rounding boundary (common with decimal-grid inputs) then round the same way
+# in every engine despite last-bit differences in summation order.
+NUDGE = 1 + 1e-13
+
+
 def stable_double(c: ColumnOrName, digits: int = 6, sig: int = 12) -> Column:
     """Output-edge rounding that two engines reproduce bit for bit.
 
@@ -137,7 +143,7 @@ def stable_double(c: ColumnOrName, digits: int = 6, sig: int = 12) -> Column:
     by exact powers of ten only (so both sides run the same IEEE operations).
     ``+ 0.0`` turns -0.0 into 0.0.
     """
-    x = col(c)
+    x = col(c) * F.lit(NUDGE)
     k = F.floor(F.log10(F.abs(x)))
     up = F.pow(F.lit(10.0), F.lit(sig - 1) - k)
     down = F.pow(F.lit(10.0), k - F.lit(sig - 1))
@@ -150,6 +156,7 @@ def stable_double(c: ColumnOrName, digits: int = 6, sig: int = 12) -> Column:
 
 def stable_double_sql(expr: str, digits: int = 6, sig: int = 12) -> str:
     """SQL text of ``stable_double`` for the oracles."""
+    expr = f"(({expr}) * CAST({NUDGE!r} AS DOUBLE))"
     k = f"FLOOR(LOG10(ABS({expr})))"
     return (f"(CASE WHEN ({expr}) IS NULL THEN NULL "
             f"WHEN ABS({expr}) < 1e6 THEN ROUND({expr}, {digits}) "

@@ -182,3 +182,29 @@ def with_(*ctes: str) -> str:
 
 def rnd(expr: str, alias: str, digits: int = 6) -> str:
     return f"ROUND({expr}, {digits}) + 0.0 AS {alias}"
+
+
+def np_edges_sql(name: str, src: str, keys: str, col: str, probs) -> str:
+    """Linear-interpolation quantile edges per ``keys`` written out as order
+    statistics (virtual index (n - 1) q, two-sided lerp); ``{name}`` has
+    ``keys, e`` = list of edges in probability order (not deduplicated)."""
+    qv = ", ".join(f"({i}, CAST('{q!r}' AS DOUBLE))" for i, q in enumerate(probs))
+    return f"""{name}_o AS (
+  SELECT {keys}, {col} AS v, ROW_NUMBER() OVER (PARTITION BY {keys} ORDER BY {col}) - 1 AS pos,
+         COUNT(*) OVER (PARTITION BY {keys}) AS t FROM {src} WHERE {col} IS NOT NULL),
+{name}_i AS (
+  SELECT m.*, qq.i, (CAST(m.t AS DOUBLE) - CAST(1.0 AS DOUBLE)) * qq.q AS vi
+  FROM (SELECT DISTINCT {keys}, t FROM {name}_o) m CROSS JOIN (VALUES {qv}) AS qq(i, q)),
+{name}_p AS (
+  SELECT *, CASE WHEN vi >= t - 1 THEN t - 1 WHEN vi < 0 THEN 0 ELSE CAST(FLOOR(vi) AS BIGINT) END AS lo,
+    CASE WHEN vi >= t - 1 THEN t - 1 WHEN vi < 0 THEN 0 ELSE CAST(FLOOR(vi) AS BIGINT) + 1 END AS hi,
+    CASE WHEN vi >= t - 1 OR vi < 0 THEN CAST(0.0 AS DOUBLE) ELSE vi - FLOOR(vi) END AS g
+  FROM {name}_i),
+{name}_v AS (
+  SELECT x.*, a.v AS va, b.v AS vb FROM {name}_p x
+  JOIN {name}_o a ON {' AND '.join(f'a.{k.strip()} = x.{k.strip()}' for k in keys.split(','))} AND a.pos = x.lo
+  JOIN {name}_o b ON {' AND '.join(f'b.{k.strip()} = x.{k.strip()}' for k in keys.split(','))} AND b.pos = x.hi),
+{name} AS (
+  SELECT {keys}, list(CASE WHEN g >= 0.5 THEN vb - (vb - va) * (CAST(1.0 AS DOUBLE) - g)
+                           ELSE va + (vb - va) * g END ORDER BY i) AS e
+  FROM {name}_v GROUP BY {keys})"""
