@@ -55,6 +55,8 @@ def robust_zscore(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str]
     Groups with fewer than ``min_group`` rows (rows, not non-nulls) use the
     global median / IQR. IQR <= 0 falls back to |median|, or 1.0 when the
     median is 0. NULL group keys form their own group (null-safe join).
+    The per-group (center, scale) pairs are resolved on the small statistics
+    table, so each row only evaluates ``(x - center) / scale``.
     """
     cols = list(cols)
     gcols = list(group_cols)
@@ -62,22 +64,22 @@ def robust_zscore(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str]
     glob = quantile_row(df, cols, probs, exact, prefix="_g_")
     grp = df.groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n"),
                                  *[_pct(c, probs, exact).alias("_s_" + c) for c in cols])
-    grp = grp.select(*[F.col(g).alias("_k_" + g) for g in gcols], "_n",
-                     *["_s_" + c for c in cols])
+    stats = grp.crossJoin(F.broadcast(glob))  # one global row
+    resolved = []
+    for c in cols:
+        st = F.when(F.col("_n") < min_group, F.col("_g_" + c)).otherwise(F.col("_s_" + c))
+        med = st[1]
+        iqr = st[2] - st[0]
+        scale = F.when(iqr > 0, iqr).when(med != 0, F.abs(med)).otherwise(F.lit(1.0))
+        resolved += [med.alias("_c_" + c), scale.alias("_k_" + c)]
+    stats = stats.select(*[F.col(g).alias("_key_" + g) for g in gcols], *resolved)
     cond = None
     for g in gcols:
-        e = F.col(g).eqNullSafe(F.col("_k_" + g))
+        e = F.col(g).eqNullSafe(F.col("_key_" + g))
         cond = e if cond is None else cond & e
-    j = df.join(grp, cond, "left").crossJoin(F.broadcast(glob))
-    zs = []
-    for c in cols:
-        stats = F.when(F.col("_n") < min_group, F.col("_g_" + c)).otherwise(F.col("_s_" + c))
-        med = stats[1]
-        iqr = stats[2] - stats[0]
-        scale = (F.when(iqr > 0, iqr)
-                 .when(med != 0, F.abs(med))
-                 .otherwise(F.lit(1.0)))
-        zs.append(((F.col(c).cast("double") - med) / scale).alias(c + suffix))
+    j = df.join(stats, cond, "left")
+    zs = [((F.col(c).cast("double") - F.col("_c_" + c)) / F.col("_k_" + c)).alias(c + suffix)
+          for c in cols]
     return j.select(*[F.col(c) for c in df.columns], *zs)
 
 

@@ -360,3 +360,7 @@ def q_robust_zscore(spark, sf):
 def q_features_build(spark, sf):
     """Flagship: the full as-of feature table."""
     return build_features(spark, sf)
+
+# CTE list ending in ``zz`` (the unrounded feature table) for other oracles
+FEATURE_CTES = (*_ALL_CTES, _BASE_SQL, _winsor_sql(), _zscore_sql())
+FEATURE_COLUMNS = _WZ_COLS + _ZS

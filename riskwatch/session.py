@@ -46,3 +46,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+
+    Used where one derived table feeds many branches of a plan (e.g. the
+    feature table feeding both split sides, edges, counts and stats): the
+    subtree is computed once, survives executor loss, and later plans stay
+    small for the optimizer.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -26,8 +26,17 @@ SEGMENT_TO_SECTOR_CODE = {
 }
 
 
+_SCANS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Lazy Parquet scan; the DataFrame is reused per session (file listing and
+    footer reading happen once, the data is still read by each query)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), spark.sparkContext.applicationId, path)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]
 
 
 def fin_quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
