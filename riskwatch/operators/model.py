@@ -99,8 +99,8 @@ def train_classifier(train: DataFrame, features: Sequence[str], p: ModelParams)
         GBTClassifier(featuresCol="_features", labelCol="_label", weightCol="_w",
                       maxIter=p.max_iter, stepSize=p.step_size, maxDepth=p.max_depth,
                       subsamplingRate=p.subsample, featureSubsetStrategy=p.feature_subset,
-                      minInstancesPerNode=p.min_instances, seed=p.seed, maxBins=p.max_bins,
-                      probabilityCol="_prob", rawPredictionCol="_raw", predictionCol="_pred"),
+                      minInstancesPerNode=p.min_instances, seed=p.seed, maxBins=p.max_bins)
+        .setProbabilityCol("_prob").setRawPredictionCol("_raw").setPredictionCol("_pred"),
     ]
     d = with_weights(train.withColumn("_label", F.col(p.label).cast("double")), p.label)
     d = d.select(*feats, "_label", "_w", *[c for c in (p.label,) if c not in feats])
@@ -203,9 +203,8 @@ def explain_fit(df: DataFrame, features: Sequence[str], label: str, reg: float =
     pipe = Pipeline(stages=[
         Imputer(inputCols=feats, outputCols=imp_out, strategy="median"),
         VectorAssembler(inputCols=imp_out, outputCol="_features"),
-        LogisticRegression(featuresCol="_features", labelCol="_label", regParam=reg,
-                           maxIter=100, probabilityCol="_prob", rawPredictionCol="_raw",
-                           predictionCol="_pred"),
+        LogisticRegression(featuresCol="_features", labelCol="_label", regParam=reg, maxIter=100)
+        .setProbabilityCol("_prob").setRawPredictionCol("_raw").setPredictionCol("_pred"),
     ]).fit(d.dropna(subset=["_label"]))
     return pipe
 
