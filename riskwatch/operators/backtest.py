@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import clip_prob
+from ..session import materialize
 from . import calib, ranking
 
 MONTH = "as_of_month"
@@ -133,7 +134,7 @@ def segment_metrics(d: DataFrame, p: BacktestParams, segment_col: str) -> DataFr
 
 def backtest_monthly(df: DataFrame, p: BacktestParams) -> dict[str, DataFrame]:
     """metrics (with rolling 12), calibration deciles, threshold sweep, segments."""
-    d = prepare_cohorts(df, p)
+    d = materialize(prepare_cohorts(df, p))  # feeds every metric family below
     out = {
         "metrics": monthly_metrics(d, p),
         "calibration": calib.decile_calibration(d, [MONTH], "_p", "_y", p.n_bins, p.buckets),

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import safe_ratio
+from ..session import materialize
 from ..functions.windows import max_streak, tail_flags
 from .robust import robust_zscore, winsorize
 
@@ -51,6 +52,7 @@ class FeatureParams:
     normalize: bool = True
     min_group: int = 10
     exact_quantiles: bool = True
+    materialize: bool = True
     extra: dict = field(default_factory=dict)
 
 
@@ -372,8 +374,14 @@ def features_build(fin: DataFrame, credit: DataFrame, cashflow: DataFrame,
     df = assemble_features(fin_rat, behav, cashf, covf, labels)
     df = join_exclude_npe(df, credit, p.asof, p.recent_days, p.npe_dpd, p.granularity)
     cols = [c for c in MODEL_COLUMNS if c in df.columns]
+    # the assembled table feeds the quantile pass and the clip pass, and the
+    # winsorized one feeds three statistics passes: checkpoint each once
+    if p.materialize:
+        df = materialize(df)
     if p.winsor is not None:
         df = winsorize(df, cols, p.winsor[0], p.winsor[1], exact=p.exact_quantiles)
+        if p.materialize and p.normalize:
+            df = materialize(df)
     else:
         df = df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c)
                          for c in df.columns])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import stable_double_sql as R
 from ..operators import backtest as BT
 from ..operators import calib, ranking
+from ..session import materialize
 from ..sources import adapters as A
 from . import params as P
 from . import sql_adapters as S
@@ -25,7 +26,8 @@ def bparams(**kw) -> BT.BacktestParams:
 
 
 def prepared(spark: SparkSession, sf: str, **kw) -> DataFrame:
-    return BT.prepare_cohorts(A.backtest_cohorts(spark, sf), bparams(**kw))
+    """Prepared cohort rows, checkpointed once: every metric reads them several times."""
+    return materialize(BT.prepare_cohorts(A.backtest_cohorts(spark, sf), bparams(**kw)))
 
 
 def _last_day(ym: str) -> str:
@@ -282,11 +284,12 @@ _MM_D = _METRIC_D | set(_ROLL) | {"amber", "red"}
 _ROLL_SQL = ", ".join(
     f"CASE WHEN COUNT({c}) OVER w >= 3 THEN AVG({c}) OVER w END AS {c}_roll12"
     for c in ("auc", "ks", "brier", "pr_auc"))
-MONTHLY_SQL = S.with_(*PREP, *cohort_sql()) + f""", mm AS (
+MM_CTE = f"""mm AS (
   SELECT as_of_month, 'pd_12m' AS pd_col, 'y_event_12m' AS y_col, CAST({P.AMBER} AS DOUBLE) AS amber,
-    CAST({P.RED} AS DOUBLE) AS red, {', '.join(_METRIC_COLS)}, {_ROLL_SQL}
-  FROM cm WINDOW w AS (ORDER BY as_of_month ROWS BETWEEN 11 PRECEDING AND CURRENT ROW))
-SELECT {rsel(_MM_COLS, _MM_D)} FROM mm"""
+    CAST({P.RED} AS DOUBLE) AS red, {', '.join(_METRIC_COLS)}, n_pos, n_neg, {_ROLL_SQL}
+  FROM cm WINDOW w AS (ORDER BY as_of_month ROWS BETWEEN 11 PRECEDING AND CURRENT ROW))"""
+BT_CTES = (*PREP, *cohort_sql(), MM_CTE)
+MONTHLY_SQL = S.with_(*BT_CTES) + f"SELECT {rsel(_MM_COLS, _MM_D)} FROM mm"
 
 
 @query("metrics_roll12", MONTHLY_SQL)
