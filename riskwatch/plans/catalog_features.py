@@ -364,3 +364,14 @@ def q_features_build(spark, sf):
 # CTE list ending in ``zz`` (the unrounded feature table) for other oracles
 FEATURE_CTES = (*_ALL_CTES, _BASE_SQL, _winsor_sql(), _zscore_sql())
 FEATURE_COLUMNS = _WZ_COLS + _ZS
+
+
+@query("safe_ratio", S.with_(S.FIN) + f"""SELECT customer_id, fq_date,
+  {stable_double_sql('current_assets / NULLIF(current_liab, 0)')} AS current_ratio,
+  {stable_double_sql('total_debt / NULLIF(ebitda, 0)')} AS debt_to_ebitda FROM fin""")
+def q_safe_ratio(spark, sf):
+    """Zero denominators give NULL instead of an error (ANSI mode) or infinity."""
+    from ..functions.expr import safe_ratio
+    fin = A.fin_quarterly(spark, sf)
+    return fin.select("customer_id", "fq_date", safe_ratio("current_assets", "current_liab").alias("current_ratio"),
+                      safe_ratio("total_debt", "ebitda").alias("debt_to_ebitda"))

@@ -208,3 +208,42 @@ def q_extra_behavior(spark, sf):
     """Documented extra behaviour / cash-flow / growth features per customer."""
     return RP.extra_behavior(A.credit_daily(spark, sf), A.cashflow_daily(spark, sf), A.fin_quarterly(spark, sf),
                              P.PANEL_ASOF, P.OBS_DAYS)
+
+
+# ---------------------------------------------------------------------------
+# append-safe history (sink_upsert / union_history) on two overlapping runs
+# ---------------------------------------------------------------------------
+_UP_KEYS = ["as_of_month", "pd_col", "y_col", "amber", "red"]
+_RUNS_SQL = """old_run AS (SELECT *, 'r1' AS run FROM mm WHERE as_of_month <= DATE '2000-12-31'),
+new_run AS (SELECT *, 'r2' AS run FROM mm WHERE as_of_month >= DATE '2000-01-01'),
+hist AS (SELECT as_of_month, pd_col, y_col, amber, red, auc, ks, run, 0 AS batch FROM old_run
+         UNION ALL SELECT as_of_month, pd_col, y_col, amber, red, auc, ks, run, 1 FROM new_run)"""
+
+
+def _runs(spark, sf):
+    _, m = _monthly(spark, sf)
+    m = m.select(*_UP_KEYS, "auc", "ks")
+    old = m.filter(F.col(M) <= F.lit("2000-12-31").cast("date")).withColumn("run", F.lit("r1"))
+    new = m.filter(F.col(M) >= F.lit("2000-01-01").cast("date")).withColumn("run", F.lit("r2"))
+    return old, new
+
+
+@query("union_history", S.with_(*CB.BT_CTES, _RUNS_SQL) + f"""SELECT {rs(_UP_KEYS + ['auc', 'ks', 'run'], {'amber', 'red', 'auc', 'ks'})},
+  CAST(batch AS INTEGER) AS batch FROM hist""")
+def q_union_history(spark, sf):
+    """Old run rows followed by new run rows (the history before de-duplication)."""
+    from ..sources.sinks import union_history
+    old, new = _runs(spark, sf)
+    return union_history(old, new).withColumnRenamed("_batch", "batch")
+
+
+@query("sink_upsert", S.with_(*CB.BT_CTES, _RUNS_SQL) + f"""SELECT {rs(_UP_KEYS + ['auc', 'ks', 'run'], {'amber', 'red', 'auc', 'ks'})}
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY as_of_month, pd_col, y_col, amber, red ORDER BY batch DESC) AS rn FROM hist)
+WHERE rn = 1""")
+def q_sink_upsert(spark, sf):
+    """Upsert of a second backtest run into the first (keys: month, pd, label, cuts):
+    overlapping months take the new run, the rest stay. ``sink_upsert`` writes the
+    same merge as a new version folder."""
+    from ..sources.sinks import upsert_frames
+    old, new = _runs(spark, sf)
+    return upsert_frames(old, new, _UP_KEYS)
