@@ -78,7 +78,7 @@ _W = ["pd_score", "sector_mix", "grade_mix", "ead", "lgd"]
        + ", ".join(f"{R(c)} AS {c}" for c in _W) + " FROM wide")
 def q_psi_monthly(spark, sf):
     """PSI of every month against the earliest month: pd, ead, lgd, sector, grade."""
-    return D.psi_monthly(A.backtest_cohorts(spark, sf))
+    return D.psi_monthly(materialize(A.backtest_cohorts(spark, sf)))
 
 
 @query("psi_numeric", S.with_(*_PSI_BASE) + f"SELECT series, m AS as_of_month, {R('psi')} AS psi FROM nout")

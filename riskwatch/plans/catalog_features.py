@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expr import stable_double_sql
+from ..session import materialize
 from ..operators import features as FE
 from ..sources import adapters as A
 from . import params as P
@@ -39,9 +40,14 @@ def sel(cols, doubles=()) -> str:
 
 
 def build_features(spark: SparkSession, sf: str) -> DataFrame:
-    return FE.features_build(A.fin_quarterly(spark, sf), A.credit_daily(spark, sf),
-                             A.cashflow_daily(spark, sf), covenant_df(spark, sf),
-                             labels_df(spark, sf), fparams())
+    """The flagship feature build. The quarterly and daily panels each feed
+    several builders (ratios + covenants; behaviour + labels + exclusion), so
+    each is computed once and checkpointed instead of re-scanned per consumer."""
+    fin = materialize(A.fin_quarterly(spark, sf))
+    credit = materialize(A.credit_daily(spark, sf))
+    labels = FE.default_label(credit, P.PANEL_ASOF, P.LABEL_HORIZON, P.LABEL_DPD, P.LABEL_STREAK)
+    return FE.features_build(fin, credit, A.cashflow_daily(spark, sf), FE.covenant_test(fin),
+                             labels, fparams())
 
 
 # ---------------------------------------------------------------------------

@@ -12,6 +12,7 @@ from ..functions.expr import MONITOR_GRADE_BOUNDS
 from ..functions.expr import stable_double_sql as R
 from ..operators import calib, drift, monitor
 from ..operators.calib import percent_probs
+from ..session import materialize
 from ..sources import adapters as A
 from . import params as P
 from . import sql_adapters as S
@@ -26,7 +27,7 @@ APPROVAL_CUT = 0.05
 
 
 def base_cur(spark, sf):
-    c = A.backtest_cohorts(spark, sf)
+    c = materialize(A.backtest_cohorts(spark, sf))  # read by every monitoring piece
     return c.filter(F.col("as_of_date") < F.lit(SPLIT_DATE).cast("date")), \
         c.filter(F.col("as_of_date") >= F.lit(SPLIT_DATE).cast("date"))
 

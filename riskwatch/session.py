@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -49,12 +50,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df):
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+    """Cut lineage by writing ``df`` once as Parquet under the shared checkpoint
+    folder (``spark.checkpoint.dir``) and reading it back.
 
-    Used where one derived table feeds many branches of a plan (e.g. the
-    feature table feeding both split sides, edges, counts and stats): the
-    subtree is computed once, survives executor loss, and later plans stay
-    small for the optimizer.
+    Used where one derived table feeds many branches of a plan (the panels
+    feeding several builders, the feature table feeding the split sides,
+    edges, counts and statistics): the subtree is computed exactly once (an
+    RDD checkpoint would compute it twice unless cached), the copy survives
+    executor loss, later plans stay small for the optimizer, and downstream
+    scans get Parquet column pruning and filter pushdown.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/riskwatch-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

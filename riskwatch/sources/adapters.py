@@ -52,7 +52,7 @@ def fin_quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
     open_ = F.col("l_linestatus") == "O"
     per_order = (
         li.groupBy(F.col("l_orderkey"),
-                   F.to_date(F.date_trunc("quarter", F.col("l_shipdate"))).alias("fq_date"))
+                   F.trunc(F.to_date("l_shipdate"), "quarter").alias("fq_date"))
         .agg(
             F.sum(price * (1 - disc)).alias("revenue"),
             F.sum(price * 0.6).alias("cogs"),
