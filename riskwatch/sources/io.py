@@ -145,3 +145,28 @@ def read_nanos_parquet(spark: SparkSession, path: str, ts_cols: Sequence[str]) -
     df = df.select(*[nanos_to_timestamp(n).alias(n) if n in ts_cols
                      else F.col(f"`{n}`") for n in df.columns])
     return nan_to_null(df)
+
+
+def load_thresholds(spark: SparkSession, path: str) -> dict:
+    """Absolute cutoffs from a JSON config ``{"absolute": {"thresholds": {"red", "amber"}}}``.
+
+    Driver-side config (a few bytes); a file without absolute cutoffs is an error,
+    as in the batch-scoring contract.
+    """
+    text = "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
+    parsed = spark.createDataFrame([(text,)], "j string").select(
+        F.from_json("j", "absolute struct<thresholds: struct<red: double, amber: double>>").alias("c")
+    ).first()["c"]
+    if parsed is None or parsed["absolute"] is None or parsed["absolute"]["thresholds"] is None \
+            or parsed["absolute"]["thresholds"]["red"] is None:
+        raise ValueError("thresholds file has no absolute cutoffs")
+    t = parsed["absolute"]["thresholds"]
+    return {"red": float(t["red"]), "amber": float(t["amber"])}
+
+
+def monitoring_cutoffs(thresholds: dict | None) -> dict:
+    """Monitoring cutoffs: approval uses the *red* threshold as ``amber_max_pd``."""
+    if not thresholds:
+        return {"green_max_pd": 0.02, "amber_max_pd": 0.05, "red_min_pd": 0.05}
+    return {"green_max_pd": thresholds.get("amber", 0.02), "amber_max_pd": thresholds.get("red", 0.05),
+            "red_min_pd": thresholds.get("red", 0.05)}

@@ -27,3 +27,19 @@ def test_stream_feeds_upsert(spark):
     q.awaitTermination(120)
     got = sorted(map(tuple, read_latest(spark, out).collect()))
     assert got == [(1, 10.0), (2, 20.0)]
+
+
+def test_load_thresholds(spark):
+    import json
+    import os
+    import pytest
+    from riskwatch.sources.io import load_thresholds
+    d = tempfile.mkdtemp(prefix="rw-thr-")
+    good, bad = os.path.join(d, "good.json"), os.path.join(d, "bad.json")
+    with open(good, "w") as f:
+        json.dump({"absolute": {"thresholds": {"red": 0.2, "amber": 0.05}}}, f)
+    with open(bad, "w") as f:
+        json.dump({"thresholds": {"red": 0.16, "amber": 0.03}}, f)
+    assert load_thresholds(spark, good) == {"red": 0.2, "amber": 0.05}
+    with pytest.raises(ValueError):
+        load_thresholds(spark, bad)
