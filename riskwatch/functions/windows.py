@@ -20,7 +20,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PREFIX_BUCKETS = 16
+PREFIX_BUCKETS = 64
 
 
 def _as_list(x) -> list:

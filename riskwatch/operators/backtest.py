@@ -83,9 +83,11 @@ def prepare_cohorts(df: DataFrame, p: BacktestParams) -> DataFrame:
     if p.id_col in d.columns:
         order = [p.as_of_col] + ([p.tiebreak] if p.tiebreak else [])
         d = dedup_cohort(d, [MONTH, p.id_col], order)
-    d = filter_min_records(d, [MONTH], p.min_records)
-    d = dropna_subset(d, [p.pd_col, p.y_col])
-    d = filter_min_records(d, [MONTH], p.min_records)
+    # size checks before and after dropping NULL score / label, in ONE aggregation
+    ok = F.col(p.pd_col).isNotNull() & F.col(p.y_col).isNotNull()
+    sizes = d.groupBy(MONTH).agg(F.count(F.lit(1)).alias("_all"), F.count_if(ok).alias("_ok"))
+    keep = sizes.filter((F.col("_all") >= p.min_records) & (F.col("_ok") >= p.min_records)).select(MONTH)
+    d = dropna_subset(d.join(keep, MONTH, "left_semi"), [p.pd_col, p.y_col])
     return d.withColumn("_p", clip_prob(p.pd_col)).withColumn("_y", F.col(p.y_col).cast("int"))
 
 

@@ -54,7 +54,7 @@ def split_stratified(df: DataFrame, label: str, test_size: float = 0.2, seed: in
         else F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(4294967296))
     d = d.withColumn("_stratum", F.coalesce(F.col(label).cast("long"), F.lit(-1))) \
         .withColumn("_h", h).withColumn("_one", F.lit(1))
-    ranked = prefix_sums(d, ["_stratum"], "_h", ["_one"], prefix="_rank")
+    ranked = prefix_sums(d, ["_stratum"], "_h", ["_one"], prefix="_rank", buckets=1024)
     sizes = d.groupBy("_stratum").agg(F.count(F.lit(1)).alias("_n"))
     out = ranked.join(sizes, "_stratum")
     is_test = F.col("_rank_one") <= F.round(F.col("_n") * F.lit(float(test_size)))
@@ -137,7 +137,7 @@ def assign_folds(df: DataFrame, label: str, k: int = 5, seed: int = 42,
         else F.pmod(F.xxhash64(F.col(id_col), F.lit(seed + 1)), F.lit(4294967296))
     d = df.withColumn("_stratum", F.col(label).cast("long")).withColumn("_h", h) \
         .withColumn("_one", F.lit(1))
-    ranked = prefix_sums(d, ["_stratum"], "_h", ["_one"], prefix="_rk")
+    ranked = prefix_sums(d, ["_stratum"], "_h", ["_one"], prefix="_rk", buckets=1024)
     return ranked.withColumn("fold", F.pmod(F.col("_rk_one") - 1, F.lit(k)).cast("int")) \
         .drop("_stratum", "_h", "_one", "_rk_one")
 

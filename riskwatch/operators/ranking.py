@@ -122,17 +122,22 @@ def lift_at_k(df: DataFrame, keys: Sequence[str], score: str, label: str,
         *keys, "frac", "tot_n", "tot_pos", F.col("_s").alias("_cut"), pos_above.alias("_pos_above"),
         (k - above).alias("_take"), F.col("n").alias("_tie_n"), F.col("n_pos").alias("_tie_pos"),
         k.alias("_k"))
-    # rows at the cut score: take the first ``_take`` in tiebreak order
-    ties = df.select(*keys, F.col(score).alias("_s"), F.col(label).cast("long").alias("_y"),
-                     *( [F.col(tiebreak).alias("_tb")] if tiebreak else [F.lit(0).alias("_tb")]))
-    tied = ties.join(cut.select(*keys, "frac", "_cut", "_take", "_tie_n"),
-                     [*(ties[k_] == cut[k_] for k_ in keys), ties["_s"] == cut["_cut"]], "inner")
-    tied = tied.select(*[ties[k_] for k_ in keys], "frac", "_y", "_tb", "_take", "_tie_n")
-    w = Window.partitionBy(*keys, "frac").orderBy("_tb")
-    partial = (tied.filter(F.col("_take") < F.col("_tie_n"))
-               .select("*", F.row_number().over(w).alias("_rn"))
-               .filter(F.col("_rn") <= F.col("_take"))
-               .groupBy(*keys, "frac").agg(F.sum("_y").alias("_tie_take_pos")))
+    # rows at the cut score: positives among the first ``_take`` in tiebreak order,
+    # found with a two-phase running count over the tied rows only (a huge tie
+    # group is still split into buckets); without a tiebreak, the expected share
+    if tiebreak is not None:
+        ties = df.select(*keys, F.col(score).alias("_s"), F.col(label).cast("long").alias("_y"),
+                         F.col(tiebreak).alias("_tb"))
+        need = cut.filter(F.col("_take") < F.col("_tie_n")).select(*keys, "frac", "_cut", "_take")
+        tied = ties.join(need, [*(ties[k_] == need[k_] for k_ in keys), ties["_s"] == need["_cut"]], "inner")
+        tied = tied.select(*[ties[k_] for k_ in keys], "frac", "_tb", "_take", "_y",
+                           F.lit(1).alias("_one"))
+        run = prefix_sums(tied, keys + ["frac"], "_tb", ["_one", "_y"], buckets=buckets)
+        partial = run.filter(F.col("cum__one") == F.col("_take")).select(
+            *keys, "frac", F.col("cum__y").alias("_tie_take_pos"))
+    else:
+        partial = cut.select(*keys, "frac", (F.col("_tie_pos") * F.col("_take") / F.col("_tie_n"))
+                             .alias("_tie_take_pos"))
     j = cut.join(partial, keys + ["frac"], "left")
     tie_pos = F.when(F.col("_take") >= F.col("_tie_n"), F.col("_tie_pos")).otherwise(
         F.coalesce(F.col("_tie_take_pos"), F.lit(0)))
