@@ -109,18 +109,29 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order_col: str,
 
 def max_streak(df: DataFrame, key: str | Sequence[str], order_col: str, value_col: str,
                threshold: float, name: str = "max_streak",
-               tiebreak: Sequence[str] = ()) -> DataFrame:
+               tiebreak: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """Longest run of consecutive rows with ``value >= threshold`` per key (0 if none).
 
-    Gaps and islands: a running count of "breaking" rows (below threshold or
-    NULL) labels each island; qualifying rows are counted per island.
+    Gaps and islands: the running count of "breaking" rows (below threshold or
+    NULL) labels each island; qualifying rows are counted per island. The
+    running count is a two-phase prefix sum, so one key with a very long
+    history is still split into buckets (``tiebreak`` falls back to a plain
+    per-key window ordered by ``order_col, tiebreak``).
     """
     keys = _as_list(key)
-    w = (Window.partitionBy(*keys).orderBy(order_col, *tiebreak)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ok = F.coalesce(F.col(value_col) >= F.lit(threshold), F.lit(False))
-    islands = df.select(*keys, ok.alias("_ok"),
-                        F.sum(F.when(ok, 0).otherwise(1)).over(w).alias("_isl"))
+    d = df.select(*keys, order_col, *tiebreak, ok.alias("_ok"),
+                  F.when(ok, 0).otherwise(1).alias("_brk"))
+    if tiebreak:
+        w = (Window.partitionBy(*keys).orderBy(order_col, *tiebreak)
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        islands = d.select(*keys, "_ok", F.sum("_brk").over(w).alias("_isl"))
+    else:
+        d = d.withColumn("_ord", F.col(order_col).cast("timestamp").cast("double")
+                         if dict(d.dtypes)[order_col] in ("date", "timestamp", "timestamp_ntz")
+                         else F.col(order_col).cast("double"))
+        islands = prefix_sums(d, keys, "_ord", ["_brk"], buckets=buckets).select(
+            *keys, "_ok", F.col("cum__brk").alias("_isl"))
     runs = (islands.groupBy(*keys, "_isl")
             .agg(F.sum(F.col("_ok").cast("int")).alias("_run")))
     return runs.groupBy(*keys).agg(F.coalesce(F.max("_run"), F.lit(0)).cast("long").alias(name))
