@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
 from .calib import percent_probs, quantiles_from_counts
 from .ranking import cumulative_counts
 
@@ -181,6 +182,8 @@ def psi_feature_table(base: DataFrame, cur: DataFrame, features: Sequence[str],
         return base.sparkSession.createDataFrame([], schema)
     long = (unpivot(base, [], feats, "feature").withColumn("_side", F.lit(0))
             .unionByName(unpivot(cur, [], feats, "feature").withColumn("_side", F.lit(1))))
+    # the long table feeds the statistics, the baseline edges and the bucket counts
+    long = materialize(long)
     stats = long.groupBy("feature").agg(
         F.count(F.when(F.col("_side") == 0, F.col("value"))).alias("n_b"),
         F.count(F.when(F.col("_side") == 1, F.col("value"))).alias("n_c"),
