@@ -20,7 +20,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PREFIX_BUCKETS = 64
+# Default number of quantile buckets of the two-phase prefix sum: the largest window
+# task holds about 1/PREFIX_BUCKETS of one group; raise it (``buckets=``) for
+# groups with billions of distinct scores.
+PREFIX_BUCKETS = 16
 
 
 def _as_list(x) -> list:
