@@ -35,21 +35,33 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    The cluster setting always wins; a private folder is only created when the
-    setting is absent, which happens in local tests.
+    The cluster setting always wins. Where it is unset, a private folder is made
+    for a ``local`` master only, as in tests: driver and tasks are one process
+    there. On a cluster without the setting this raises, since each executor
+    would write its own disk and later reads would miss files.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
-    if conf_dir:
-        spark.sparkContext.setCheckpointDir(conf_dir)
-        return conf_dir
-    path = tempfile.mkdtemp(prefix="riskwatch-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if not conf_dir:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="riskwatch-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", conf_dir)
+    spark.sparkContext.setCheckpointDir(conf_dir)
+    return conf_dir
+
+
+def shared_path(spark: SparkSession, name: str = "table") -> str:
+    """A new path in the shared folder; what is written there goes when the session ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/riskwatch-{name}-{uuid.uuid4().hex}"
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(conf).deleteOnExit(hadoop_path)
     return path
 
 
-def materialize(df):
+def materialize(df, name: str = "table"):
     """Cut lineage by writing ``df`` once as Parquet under the shared checkpoint
     folder (``spark.checkpoint.dir``) and reading it back.
 
@@ -60,8 +72,6 @@ def materialize(df):
     executor loss, later plans stay small for the optimizer, and downstream
     scans get Parquet column pruning and filter pushdown.
     """
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/riskwatch-{uuid.uuid4().hex}"
+    path = shared_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
