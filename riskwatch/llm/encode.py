@@ -23,23 +23,51 @@ _SPACE_PAIR = re.compile(r" \s")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
-class TextEncoder:
-    """Ids of whole texts, as little-endian unsigned 32-bit bytes.
+class ChunkEncoder:
+    """Ids of whole texts, as little-endian unsigned 32-bit bytes, through a cache of chunks.
 
     ``keep_space``: the vocabulary codes the space before a word as a part of it
     (byte-level); otherwise white space only parts words and is dropped.
-    Strings of special tokens in a text are ordinary text.
+    ``learn`` adds the ids of chunks to the cache.
     """
 
+    def __init__(self, keep_space: bool):
+        gc.disable()  # the cache is large and holds no cycles; collecting it again and again is slow
+        self.keep_space = keep_space
+        self.cache: dict[str, bytes] = {}
+
+    def chunks(self, text: str) -> list[str]:
+        """The chunks to look up; joined ids of all of them are those of the text."""
+        if not self.keep_space:
+            # str.split also parts at four control characters that the vocabulary codes
+            return [text] if _SEPARATORS.search(text) else text.split()
+        if _SPACE_PAIR.search(text) and _INNER_SPACE.search(text):
+            return [text]
+        first, *rest = text.split(" ")
+        return [first, *map(" ".__add__, rest)] if first else [*map(" ".__add__, rest)]
+
+    def learn(self, missing: set[str]) -> None:
+        raise NotImplementedError
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        cache = self.cache
+        if len(cache) > CACHE_ENTRIES:
+            cache.clear()
+        split = [self.chunks(t) for t in texts]
+        self.learn(set(chain.from_iterable(split)).difference(cache))
+        return [b"".join(map(cache.__getitem__, x)) for x in split]
+
+
+class TextEncoder(ChunkEncoder):
+    """By the tokenizers library; strings of special tokens in a text are ordinary text."""
+
     def __init__(self, path: str, keep_space: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        gc.disable()  # the cache is large and holds no cycles; collecting it again and again is slow
+        super().__init__(keep_space)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.keep_space = keep_space
-        self.cache: dict[str, bytes] = {}
         # a separator with one id that only itself can give; chunks that hold it go by themselves
         self.separator = "\n" if keep_space else " \x1c "
         (self.separator_id,) = self.tokenizer.encode(self.separator, add_special_tokens=False).ids
@@ -65,24 +93,6 @@ class TextEncoder:
             part = rest[i:i + 50_000]
             self.cache.update(zip(part, self.joined(part), strict=True))
 
-    def chunks(self, text: str) -> list[str]:
-        """The chunks to look up; joined ids of all of them are those of the text."""
-        if not self.keep_space:
-            # str.split also parts at four control characters that the vocabulary codes
-            return [text] if _SEPARATORS.search(text) else text.split()
-        if _SPACE_PAIR.search(text) and _INNER_SPACE.search(text):
-            return [text]
-        first, *rest = text.split(" ")
-        return [first, *map(" ".__add__, rest)] if first else [*map(" ".__add__, rest)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cache = self.cache
-        if len(cache) > CACHE_ENTRIES:
-            cache.clear()
-        split = [self.chunks(t) for t in texts]
-        self.learn(set(chain.from_iterable(split)).difference(cache))
-        return [b"".join(map(cache.__getitem__, x)) for x in split]
-
 
 _encoders: dict[tuple[str, bool], TextEncoder] = {}
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path
-from . import token_store
+from . import byte_bpe, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -35,3 +35,12 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
                              public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
     found = token_store.read_documents(spark, path)
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op10_byte_bpe")
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    ids = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern)
+    back = byte_bpe.decode(ids, ranks, pattern)
+    return back.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
