@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path
-from . import byte_bpe, token_store
+from . import byte_bpe, packing, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -44,3 +44,15 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = byte_bpe.decode(ids, ranks, pattern)
     return back.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Every piece of the documents with its digest and its place in a sequence of 4096 tokens."""
+    pieces = packing.cut(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, capacity=4096)
+    light = pieces.select("doc_id", "piece", "start", "length", "part", "rank", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(light, 4096).drop("part", "rank")
+
+
+@query("op3_best_fit_packing")
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
