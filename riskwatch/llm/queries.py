@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path
-from . import byte_bpe, packing, token_store
+from . import byte_bpe, line_dedup, packing, token_store, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -56,3 +56,50 @@ def packed(docs: DataFrame) -> DataFrame:
 @query("op3_best_fit_packing")
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
+
+
+@query("op1_line_dedup", line_dedup.ORACLE_SQL)
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("row.doc_id", "n_lines", "n_removed", "text")
+
+
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+@query("op8_url_filter", """
+WITH RECURSIVE rules(host, path, verdict) AS (
+    VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+           ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), parsed AS (
+    SELECT page_id, url, html, translate(regexp_extract(rest, '^[^/?#]*', 0),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, split_part(coalesce(url, ''), '#', 1) AS node
+    FROM (SELECT *, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+          FROM pages)
+), judged AS (
+    SELECT p.page_id, p.host, p.path, p.node, (
+        SELECT {'rule': r.host || r.path, 'verdict': r.verdict} FROM rules r
+        WHERE (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+        ORDER BY length(r.host || r.path) DESC LIMIT 1) AS r
+    FROM parsed p
+), edges AS (
+    SELECT node AS a, regexp_extract(tag, '(?is)(?:href|url)\\s*=\\s*["'']?([^"''>\\s]+)', 1) AS b
+    FROM (SELECT node, unnest(regexp_extract_all(html,
+        '(?is)<(?:link\\b[^>]*rel\\s*=\\s*["'']?canonical|meta\\b[^>]*http-equiv\\s*=\\s*["'']?refresh)[^>]*>')) AS tag
+        FROM parsed)
+), both_ways AS (
+    SELECT a, b FROM edges UNION SELECT b, a FROM edges
+), reached AS (
+    SELECT node FROM judged WHERE r.verdict = 'block'
+    UNION
+    SELECT b FROM both_ways JOIN reached ON a = node
+)
+SELECT page_id, host, path, r.rule AS rule,
+       coalesce(r.verdict, CASE WHEN node IN (SELECT node FROM reached) THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged
+""")
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules)
