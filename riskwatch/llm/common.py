@@ -12,6 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _shipped: set[str] = set()
 
@@ -31,7 +32,7 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-              schema: str) -> DataFrame:
+              schema: str | StructType) -> DataFrame:
     """``mapInArrow`` whose workers can import this package."""
     ship(df.sparkSession)
     return df.mapInArrow(fn, schema)
