@@ -25,12 +25,12 @@ import regex
 from pyspark.sql import DataFrame
 
 from .common import col, map_arrow, small_batches, texts
-from .encode import CACHE_ENTRIES, ChunkEncoder
+from .encode import CACHE_ENTRIES, WordEncoder
 
 NEVER = 1 << 40
 
 
-class ByteBpe(ChunkEncoder):
+class ByteBpe(WordEncoder):
     def __init__(self, path: str, pattern: str):
         super().__init__(keep_space=True)
         with open(path, "rb") as lines:
@@ -126,21 +126,24 @@ class ByteBpe(ChunkEncoder):
                 at -= len(self.text[last])
                 token = self.shorter[last]
 
-    def learn(self, missing: set[str]) -> None:
+    def whole(self, texts: list[str]) -> list[bytes]:
         known = self.pre_tokens
-        if len(known) > CACHE_ENTRIES:
-            known.clear()
-        if len(self.known) > 2 * CACHE_ENTRIES:
+        out = []
+        for text in texts:
+            found = self.pattern.findall(text)
+            for x in found:
+                if x not in known:
+                    known[x] = np.array(self.merge(x.encode().decode("latin-1")), dtype="<u4").tobytes()
+            out.append(b"".join(map(known.__getitem__, found)))
+        return out
+
+    def learn(self, missing: set[str]) -> None:
+        if len(self.pre_tokens) > CACHE_ENTRIES:
+            self.pre_tokens.clear()
+        if len(self.known) > CACHE_ENTRIES:
             self.known.clear()
-        for chunk in missing:
-            found = []
-            for pre_token in self.pattern.findall(chunk):
-                ids = known.get(pre_token)
-                if ids is None:
-                    ids = np.array(self.merge(pre_token.encode().decode("latin-1")), dtype="<u4").tobytes()
-                    known[pre_token] = ids
-                found.append(ids)
-            self.cache[chunk] = b"".join(found)
+        words = list(missing)
+        self.cache.update(zip(words, self.whole([" " + x for x in words]), strict=True))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))

@@ -1,9 +1,8 @@
-"""Whole texts to token ids by the tokenizers library, with a bounded cache of space-free chunks.
+"""Whole texts to token ids, with a bounded cache of the words between spaces.
 
-A text is cut only at white space where the library's own splitting rule always
-ends a pre-token, so the ids of the chunks, one after the other, are the ids of
-the whole text. A text in which such a cut would not be safe is given to the
-library whole.
+A text is cut only at white space where the vocabulary's splitting rule always
+ends a pre-token, so the ids of the parts, one after the other, are the ids of
+the whole text. A text in which such a cut would not be safe is encoded whole.
 """
 
 from __future__ import annotations
@@ -11,24 +10,26 @@ from __future__ import annotations
 import gc
 import os
 import re
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 
-CACHE_ENTRIES = 800_000
-"""Chunks remembered by a worker; beyond that it starts anew (memory only, results stay)."""
+CACHE_ENTRIES, CACHE_KEPT = 1_000_000, 400_000
+"""Words remembered by a worker; beyond that the first met, which are the frequent ones, stay (results do not change)."""
 
 _INNER_SPACE = re.compile(r"\s \s")
 _SPACE_PAIR = re.compile(r" \s")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
+_MARKS = (".", ",")
 
 
-class ChunkEncoder:
-    """Ids of whole texts, as little-endian unsigned 32-bit bytes, through a cache of chunks.
+class WordEncoder:
+    """Ids of whole texts, as little-endian unsigned 32-bit bytes, through a cache of words.
 
     ``keep_space``: the vocabulary codes the space before a word as a part of it
-    (byte-level); otherwise white space only parts words and is dropped.
-    ``learn`` adds the ids of chunks to the cache.
+    (byte-level), and so does the cache; otherwise white space only parts words
+    and is dropped. ``whole`` encodes texts as they are, ``learn`` adds the ids
+    of words to the cache.
     """
 
     def __init__(self, keep_space: bool):
@@ -36,29 +37,32 @@ class ChunkEncoder:
         self.keep_space = keep_space
         self.cache: dict[str, bytes] = {}
 
-    def chunks(self, text: str) -> list[str]:
-        """The chunks to look up; joined ids of all of them are those of the text."""
-        if not self.keep_space:
-            # str.split also parts at four control characters that the vocabulary codes
-            return [text] if _SEPARATORS.search(text) else text.split()
-        if _SPACE_PAIR.search(text) and _INNER_SPACE.search(text):
-            return [text]
-        first, *rest = text.split(" ")
-        return [first, *map(" ".__add__, rest)] if first else [*map(" ".__add__, rest)]
+    def whole(self, texts: list[str]) -> list[bytes]:
+        raise NotImplementedError
 
     def learn(self, missing: set[str]) -> None:
         raise NotImplementedError
 
+    def cut(self, text: str) -> tuple[str, list[str]]:
+        """A head to encode as it is, and the words to look up."""
+        if not self.keep_space:
+            # str.split also parts at four control characters that the vocabulary codes
+            return (text, []) if _SEPARATORS.search(text) else ("", text.split())
+        if _SPACE_PAIR.search(text) and _INNER_SPACE.search(text):
+            return text, []
+        words = text.split(" ")
+        return words.pop(0), words
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        cache = self.cache
-        if len(cache) > CACHE_ENTRIES:
-            cache.clear()
-        split = [self.chunks(t) for t in texts]
-        self.learn(set(chain.from_iterable(split)).difference(cache))
-        return [b"".join(map(cache.__getitem__, x)) for x in split]
+        if len(self.cache) > CACHE_ENTRIES:
+            self.cache = dict(islice(self.cache.items(), CACHE_KEPT))
+        heads, words = zip(*map(self.cut, texts), strict=True) if texts else ((), ())
+        self.learn(set(chain.from_iterable(words)).difference(self.cache))
+        look = self.cache.__getitem__
+        return [head + b"".join(map(look, x)) for head, x in zip(self.whole(list(heads)), words, strict=True)]
 
 
-class TextEncoder(ChunkEncoder):
+class TextEncoder(WordEncoder):
     """By the tokenizers library; strings of special tokens in a text are ordinary text."""
 
     def __init__(self, path: str, keep_space: bool):
@@ -68,30 +72,37 @@ class TextEncoder(ChunkEncoder):
         super().__init__(keep_space)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        # a separator with one id that only itself can give; chunks that hold it go by themselves
-        self.separator = "\n" if keep_space else " \x1c "
+        # a separator with one id that only itself can give; words that hold it or white space at an end go alone
+        self.separator, self.lead = ("\r", " ") if keep_space else (" \x1c ", "")
         (self.separator_id,) = self.tokenizer.encode(self.separator, add_special_tokens=False).ids
-        self.alone = re.compile(r"\s\s|\S\s|^\S|\s$|^[^ ]|^$" if keep_space else "[\x1c-\x1f]")
+        self.alone = re.compile(r"\r|^\s|\s$|^$" if keep_space else "[\x1c-\x1f]")
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
-    def joined(self, chunks: list[str]) -> list[bytes]:
-        """Ids of chunks without the separator: encoded as one text, then cut at the separator's id."""
-        text = self.separator.join(chunks)
+    def joined(self, words: list[str]) -> list[bytes]:
+        """Ids of words without the separator: encoded as one text, then cut at the separator's id."""
+        text = self.lead + (self.separator + self.lead).join(words)
         ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
         cuts = 4 * np.flatnonzero(ids == self.separator_id)
         data = ids.tobytes()
         return [data[a:b] for a, b in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(data)], strict=True)]
 
     def learn(self, missing: set[str]) -> None:
+        cache = self.cache
+        # an ASCII letter and one mark at the end are always two pre-tokens, whatever the normalizer
+        marked = {x for x in missing if x[-1:] in _MARKS and x[-2:-1].isascii() and x[-2:-1].isalpha()}
+        missing = missing.difference(marked).union(x[:-1] for x in marked).difference(cache)
         alone = list(filter(self.alone.search, missing))
+        cache.update(zip(alone, self.whole([self.lead + x for x in alone]), strict=True))
         rest = list(missing.difference(alone))
-        self.cache.update(zip(alone, self.whole(alone), strict=True))
         for i in range(0, len(rest), 50_000):
             part = rest[i:i + 50_000]
-            self.cache.update(zip(part, self.joined(part), strict=True))
+            cache.update(zip(part, self.joined(part), strict=True))
+        if marked:
+            marks = dict(zip(_MARKS, self.whole(list(_MARKS)), strict=True))
+            cache.update((x, cache[x[:-1]] + marks[x[-1]]) for x in marked)
 
 
 _encoders: dict[tuple[str, bool], TextEncoder] = {}

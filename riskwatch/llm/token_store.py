@@ -145,13 +145,14 @@ def write_tokens(df: DataFrame, path: str, vocabulary: str, end_id: int, keep_sp
 def segments(spark: SparkSession, path: str) -> DataFrame:
     """The segments with ``start``, the ids of all segments before each.
 
-    Sums are taken a part first; only one row a write task meets in one place.
+    Sums are taken a part first; one small row a write task meets in one place and
+    is broadcast, so at most as many as the store has files.
     """
     table = spark.read.schema(SEGMENT).parquet(path)
     parts = table.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     all_before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("n").over(all_before), F.lit(0)).alias("base"))
-    return table.join(parts, "part").withColumn("start", F.col("base") + F.col("before")).drop("base")
+    return table.join(F.broadcast(parts), "part").withColumn("start", F.col("base") + F.col("before")).drop("base")
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
