@@ -25,23 +25,28 @@ import regex
 from pyspark.sql import DataFrame
 
 from .common import col, map_arrow, small_batches, texts
-from .encode import CACHE_ENTRIES, WordEncoder
+from .encode import WordEncoder
 
 NEVER = 1 << 40
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as lines:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+
+
 class ByteBpe(WordEncoder):
+    entries, kept = 500_000, 250_000
+    pairs = 250_000
+    """Neighbours whose compatibility is remembered."""
+
     def __init__(self, path: str, pattern: str):
         super().__init__(keep_space=True)
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.ids = {token.decode("latin-1"): rank for token, rank in ranks.items()}
-        self.bytes = {rank: token for token, rank in ranks.items()}
+        self.ids = {token.decode("latin-1"): rank for token, rank in read_ranks(path).items()}
         self.text = {rank: token for token, rank in self.ids.items()}
         self.pattern = regex.compile(pattern)
         self.parts: dict[int, tuple[int, int]] = {}
-        self.known: dict[tuple[int, int], bool] = {}
-        self.pre_tokens: dict[str, bytes] = {}
+        self.known: dict[int, bool] = {}
         self._index()
 
     def _index(self) -> None:
@@ -92,9 +97,11 @@ class ByteBpe(WordEncoder):
                 return True
 
     def compatible(self, a: int, b: int) -> bool:
-        found = self.known.get((a, b))
+        found = self.known.get(a << 32 | b)
         if found is None:
-            found = self.known[a, b] = self._stay_apart(a, b, NEVER)
+            if len(self.known) >= self.pairs:
+                self.known.clear()
+            found = self.known[a << 32 | b] = self._stay_apart(a, b, NEVER)
         return found
 
     def merge(self, pre_token: str) -> list[int]:
@@ -127,29 +134,22 @@ class ByteBpe(WordEncoder):
                 token = self.shorter[last]
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        known = self.pre_tokens
+        """Each match of the pattern is merged by itself."""
         out = []
         for text in texts:
-            found = self.pattern.findall(text)
-            for x in found:
-                if x not in known:
-                    known[x] = np.array(self.merge(x.encode().decode("latin-1")), dtype="<u4").tobytes()
-            out.append(b"".join(map(known.__getitem__, found)))
+            found = []
+            for pre_token in self.pattern.findall(text):
+                found += self.merge(pre_token.encode().decode("latin-1"))
+            out.append(np.array(found, dtype="<u4").tobytes())
         return out
 
     def learn(self, missing: set[str]) -> None:
-        if len(self.pre_tokens) > CACHE_ENTRIES:
-            self.pre_tokens.clear()
-        if len(self.known) > CACHE_ENTRIES:
-            self.known.clear()
         words = list(missing)
         self.cache.update(zip(words, self.whole([" " + x for x in words]), strict=True))
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-
 
 _coders: dict[tuple[str, str], ByteBpe] = {}
+_tokens: dict[str, dict[int, bytes]] = {}
 
 
 def coder(path: str, pattern: str) -> ByteBpe:
@@ -159,6 +159,13 @@ def coder(path: str, pattern: str) -> ByteBpe:
     return _coders[path, pattern]
 
 
+def tokens(path: str) -> dict[int, bytes]:
+    """The bytes of each id; read once a worker."""
+    if path not in _tokens:
+        _tokens[path] = {rank: token for token, rank in read_ranks(path).items()}
+    return _tokens[path]
+
+
 def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit) of every whole text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,12 +180,13 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
     return map_arrow(docs, run, f"doc_id {docs.schema['k'].dataType.simpleString()}, n_tokens long, ids binary")
 
 
-def decode(df: DataFrame, path: str, pattern: str) -> DataFrame:
+def decode(df: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids and decoded: the bytes of the ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        back = coder(path, pattern).decode
+        look = tokens(path).__getitem__
         for batch in small_batches(batches, "ids"):
-            decoded = pa.array([back(x) for x in batch.column("ids").fill_null(b"").to_pylist()], pa.binary())
+            ids = [np.frombuffer(x or b"", "<u4").tolist() for x in batch.column("ids").to_pylist()]
+            decoded = pa.array([b"".join(map(look, x)) for x in ids], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, decoded], [*batch.schema.names, "decoded"])
 
     found = df.select("doc_id", "n_tokens", "ids")

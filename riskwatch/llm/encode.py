@@ -14,9 +14,6 @@ from itertools import chain, islice
 
 import numpy as np
 
-CACHE_ENTRIES, CACHE_KEPT = 1_000_000, 400_000
-"""Words remembered by a worker; beyond that the first met, which are the frequent ones, stay (results do not change)."""
-
 _INNER_SPACE = re.compile(r"\s \s")
 _SPACE_PAIR = re.compile(r" \s")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -32,6 +29,9 @@ class WordEncoder:
     of words to the cache.
     """
 
+    entries, kept = 1_000_000, 400_000
+    """Words remembered; beyond that the first met, which are the frequent ones, stay (results do not change)."""
+
     def __init__(self, keep_space: bool):
         gc.disable()  # the cache is large and holds no cycles; collecting it again and again is slow
         self.keep_space = keep_space
@@ -54,8 +54,8 @@ class WordEncoder:
         return words.pop(0), words
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.cache) > CACHE_ENTRIES:
-            self.cache = dict(islice(self.cache.items(), CACHE_KEPT))
+        if len(self.cache) > self.entries:
+            self.cache = dict(islice(self.cache.items(), self.kept))
         heads, words = zip(*map(self.cut, texts), strict=True) if texts else ((), ())
         self.learn(set(chain.from_iterable(words)).difference(self.cache))
         look = self.cache.__getitem__

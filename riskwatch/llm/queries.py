@@ -39,9 +39,9 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_byte_bpe")
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern)
-    back = byte_bpe.decode(ids, ranks, pattern)
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    back = byte_bpe.decode(ids, ranks)
     return back.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
