@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_path
-from . import byte_bpe, fingerprint, line_dedup, packing, simhash, token_store, url_filter
+from ..session import materialize, shared_path
+from . import byte_bpe, chat, fingerprint, line_dedup, packing, simhash, token_count, token_store, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -114,3 +114,17 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_fingerprint")
 def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_next(table(spark, sf_dir, "documents"))
+
+
+@query("op4_chat_format")
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                 "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more)
+    return chat.digests(materialize(chat.format_chat(turns), "chat"))
+
+
+@query("op7_token_count")
+def op7_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
