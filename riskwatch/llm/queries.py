@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, shared_path
-from . import byte_bpe, chat, fingerprint, line_dedup, packing, simhash, token_count, token_store, url_filter
+from . import byte_bpe, chat, fingerprint, line_dedup, packing, quality, simhash, token_count, token_store, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -128,3 +128,9 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_token_count")
 def op7_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op6_quality")
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.judge(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select("row.doc_id", *quality.STATS, "base_failed", "kept", "score")
