@@ -8,9 +8,12 @@ them. For scoring the model becomes one sorted array of hashed n-grams with thei
 log probabilities, and a word is scored once a batch, however often it occurs.
 
 A document's score is its cross entropy in nats a byte, the logarithm of its
-perplexity. In each language, documents further from the median than ``WIDTH``
-times the scaled median deviation, above or below, are rejected; medians come from
-exact counts on a fine grid, over the documents that pass the base rules.
+perplexity. Scores of short texts scatter more, as one over the root of the
+length, so each language has a median score and a deviation for one byte (median
+distance times the root of the length, scaled to a standard deviation). A text of
+n bytes is rejected above or below ``WIDTH`` deviations over the root of n.
+Medians come from exact counts on a fine grid, over the documents that pass the
+base rules.
 
 The model goes to the executors as a broadcast if it has at most ``MODEL_ROWS``
 n-grams; a larger one is joined with the documents' n-grams instead, with the same
@@ -40,7 +43,7 @@ from .common import col, map_arrow, mix64, small_batches
 ORDER = 5
 START, END = 0x20, 0x0A  # bytes that no word has
 MODEL_ROWS = 8_000_000
-WIDTH, LEAST_DEVIATION, GRID = 6.0, 0.02, 1000
+WIDTH, LEAST_DEVIATION, GRID = 5.0, 0.1, 1000
 WINDOW_WORDS, MIN_WORDS, MAX_REPEAT_PERCENT = 5, 10, 20
 SPACES, SYMBOLS = " \t\n\v\f\r", "#*$%&|<>"
 FLUSH_WORDS, WORDS_KEPT = 500_000, 400_000
@@ -312,15 +315,15 @@ def _middle(rows: DataFrame, value: str) -> DataFrame:
 
 
 def bands(scored: DataFrame) -> DataFrame:
-    """lang, low, high: scores outside are rejected. A language has as many grid rows as scores differ."""
-    counts = (scored.where(~F.col("base_failed"))
-              .groupBy("lang", F.floor(F.col("score") * GRID).alias("grid")).agg(F.count("*").alias("n")))
-    middle = _middle(counts, "grid")
-    far = counts.join(middle, "lang").select("lang", F.abs(F.col("grid") - F.col("middle")).alias("far"), "n")
+    """lang, middle, deviation of a single byte; a language has as many grid rows as scores and distances differ."""
+    rows = scored.where(~F.col("base_failed")).select("lang", "score", "n_bytes")
+    middle = _middle(rows.select("lang", F.floor(F.col("score") * GRID).alias("grid"), F.lit(1).alias("n")), "grid")
+    middle = middle.select("lang", (F.col("middle") / GRID).alias("middle"))
+    far = F.abs(F.col("score") - F.col("middle")) * F.sqrt("n_bytes")
+    far = rows.join(F.broadcast(middle), "lang").select("lang", F.floor(far * GRID).alias("far"), F.lit(1).alias("n"))
+    deviation = F.greatest(F.lit(LEAST_DEVIATION), 1.4826 * F.col("deviation") / GRID)
     spread = _middle(far, "far").withColumnRenamed("middle", "deviation")
-    reach = WIDTH * F.greatest(F.lit(LEAST_DEVIATION), 1.4826 * F.col("deviation") / GRID)
-    return middle.join(spread, "lang").select("lang", (F.col("middle") / GRID - reach).alias("low"),
-                                              (F.col("middle") / GRID + reach).alias("high"))
+    return middle.join(spread, "lang").select("lang", "middle", deviation.alias("deviation"))
 
 
 def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", keep: list[str] | None = None) -> DataFrame:
@@ -329,6 +332,8 @@ def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", keep: l
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     score = F.coalesce(F.try_divide(-F.col("log_p"), F.col("n_bytes").cast("double")), F.lit(0.0))
     rows = rows.select("*", failed.alias("base_failed"), score.alias("score"))
+    reach = WIDTH * F.col("deviation") / F.sqrt("n_bytes")
     found = rows.join(F.broadcast(bands(rows)), "lang", "left")
+    found = found.select("*", (F.col("middle") - reach).alias("low"), (F.col("middle") + reach).alias("high"))
     kept = ~F.col("base_failed") & F.col("score").between(F.col("low"), F.col("high"))
     return found.select("row", *STATS, "base_failed", "score", "low", "high", F.coalesce(kept, F.lit(False)).alias("kept"))
