@@ -3,10 +3,35 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from riskwatch.llm import line_dedup, quality, queries, simhash
 from riskwatch.session import shared_path
 
-STAGES = []
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and their language's perplexity band."""
+    return quality.judge(docs).where("kept").select("row.*")
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents without the later occurrences of repeated three-line windows; n_chars follows the text."""
+    found = line_dedup.dedup_lines(docs)
+    row = F.col("row").withField("text", F.col("text"))
+    return found.select(row.withField("n_chars", F.char_length("text").cast("long")).alias("row")).select("row.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each class of near-duplicates."""
+    return simhash.dedup(docs, shingle=3, distance=2)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of the documents, its digest and its place in a sequence of 4096 tokens."""
+    return queries.packed(docs)
+
+
+STAGES = [("quality", quality_rules), ("lines", lines), ("near_duplicates", near_duplicates), ("packing", packing)]
 ORACLE_SQL = None
 
 
