@@ -173,9 +173,13 @@ class _Digest:
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-    now = None
+    now, types = None, [None, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+
     for batch in small_batches(batches, "formatted"):
-        rows = []
+        rows, types[0] = [], batch.schema.field("conv_id").type
         for conv, text, starts, lengths in zip(*(batch.column(x).to_pylist() for x in
                                                  ("conv_id", "formatted", "loss_starts", "loss_lengths")), strict=True):
             if now is None or now.conv != conv:
@@ -184,9 +188,9 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 now = _Digest(conv)
             now.add(text, starts, lengths)
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], names)
+            yield made(rows)
     if now is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in now.row()], names)
+        yield made([now.row()])
 
 
 def digests(formatted: DataFrame) -> DataFrame:

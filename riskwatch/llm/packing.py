@@ -75,12 +75,12 @@ class SumIndex:
         if first:
             self.triple_from[total] = total
 
-    def fill(self, length: int, gap: int) -> tuple[int, ...] | None:
+    def fill(self, length: int, gap: int, most: int) -> tuple[int, ...] | None:
         if not gap:
             return ()
-        if self.enough(length, gap):
+        if most >= 1 and self.enough(length, gap):
             return (gap,)
-        for search in (self.pairs, self.triples):
+        for search in (self.pairs, self.triples)[:max(0, most - 1)]:
             for found in search(gap):
                 if self.enough(length, *found):
                     return found
@@ -88,13 +88,23 @@ class SumIndex:
 
 
 def make_plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths in a sequence, number of such sequences), all pieces used once."""
+    """(lengths in a sequence, number of such sequences), all pieces used once.
+
+    Where few lengths are left over, sums of fewer lengths can leave better
+    residuals, so each bound on the sums is tried and the shortest plan taken.
+    """
+    plans = [_plan(counts, capacity, most) for most in (3, 2, 1, 0)]
+    return min(plans, key=lambda plan: sum(times for _, times in plan))
+
+
+def _plan(counts: dict[int, int], capacity: int, most: int) -> list[tuple[tuple[int, ...], int]]:
+    """Sequences filled exactly by a length and at most ``most`` others, then the rest by best fit."""
     left = np.zeros(capacity + 1, np.int64)
     for length, n in counts.items():
         left[length] = n
     plan, index = [], SumIndex(left)
     for length in range(capacity, 0, -1):
-        while left[length] and (found := index.fill(length, capacity - length)) is not None:
+        while left[length] and (found := index.fill(length, capacity - length, most)) is not None:
             need = Counter((length, *found))
             times = min(int(left[x]) // n for x, n in need.items())
             for x, n in need.items():

@@ -332,7 +332,7 @@ def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", keep: l
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     score = F.coalesce(F.try_divide(-F.col("log_p"), F.col("n_bytes").cast("double")), F.lit(0.0))
     rows = rows.select("*", failed.alias("base_failed"), score.alias("score"))
-    reach = WIDTH * F.col("deviation") / F.sqrt("n_bytes")
+    reach = WIDTH * F.col("deviation") / F.sqrt(F.greatest(F.lit(1), F.col("n_bytes")))
     found = rows.join(F.broadcast(bands(rows)), "lang", "left")
     found = found.select("*", (F.col("middle") - reach).alias("low"), (F.col("middle") + reach).alias("high"))
     kept = ~F.col("base_failed") & F.col("score").between(F.col("low"), F.col("high"))
