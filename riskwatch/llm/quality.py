@@ -15,9 +15,9 @@ n bytes is rejected above or below ``WIDTH`` deviations over the root of n.
 Medians come from exact counts on a fine grid, over the documents that pass the
 base rules.
 
-The model goes to the executors as a broadcast if it has at most ``MODEL_ROWS``
-n-grams; a larger one is joined with the documents' n-grams instead, with the same
-scores.
+N-grams rarer than one in ``KEPT`` of all bytes give their whole count to the next
+lower order, so they need no row in the model: it has at most ``KEPT`` n-grams and as
+many contexts of each length, however large the corpus, and is broadcast.
 
 Defined results: a null text has no words; a null language is the empty one. A
 text without words scores zero and fails the base rules. Repeated rows count and
@@ -29,6 +29,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain, islice
 
 import numpy as np
@@ -42,7 +43,7 @@ from .common import col, map_arrow, mix64, small_batches
 
 ORDER = 5
 START, END = 0x20, 0x0A  # bytes that no word has
-MODEL_ROWS = 8_000_000
+KEPT = 1 << 20
 WIDTH, LEAST_DEVIATION, GRID = 5.0, 0.1, 1000
 WINDOW_WORDS, MIN_WORDS, MAX_REPEAT_PERCENT = 5, 10, 20
 SPACES, SYMBOLS = " \t\n\v\f\r", "#*$%&|<>"
@@ -112,96 +113,84 @@ def _discounts(counts: DataFrame) -> DataFrame:
 
 
 def kneser_ney(counts: DataFrame) -> DataFrame:
-    """lang, size, gram, p, backoff: probabilities of all n-grams of 1 to 5 bytes.
+    """lang, share, size, gram, value: the model's rows.
 
-    ``backoff`` is the share that a context gives to the next lower order; null
-    for n-grams that are no context.
+    Rows with ``share`` false are probabilities of n-grams of 1 to 5 bytes; the others are the
+    shares that contexts of 0 to 4 bytes give to the next lower order. An n-gram without a
+    row has its context's share (1 if that has none either) of what the lower order gives.
     """
-    tables = {ORDER: materialize(counts, "grams")}
+    tables = {ORDER: materialize(counts.select("lang", "gram", "n", F.col("n").alias("seen")), "grams")}
+    least = (tables[ORDER].agg(F.sum("n")).first()[0] or 0) / KEPT
     for size in range(ORDER - 1, 0, -1):
         shorter = F.col("gram").bitwiseAND((1 << 8 * size) - 1)
-        found = tables[size + 1].groupBy("lang", shorter.alias("gram")).agg(F.count("*").alias("n"))
+        found = tables[size + 1].groupBy("lang", shorter.alias("gram")).agg(F.count("*").alias("n"), F.sum("seen").alias("seen"))
         tables[size] = materialize(found, "grams")
-    out, lower = None, None
+    out, lower = [], None
     for size in range(1, ORDER + 1):
         context = Window.partitionBy("lang", "context")
         rows = tables[size].join(F.broadcast(_discounts(tables[size])), "lang")
-        d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-        rows = rows.select("lang", "gram", "n", d.alias("d"), F.shiftright("gram", 8).alias("context"))
-        rows = rows.select("lang", "gram", "context", (F.col("n") - F.col("d")).alias("rest"),
-                           F.sum("n").over(context).alias("all"), F.sum("d").over(context).alias("freed"))
-        share = F.col("freed") / F.col("all")
+        d = (F.when(F.col("seen") < least, F.col("n")).when(F.col("n") == 1, F.col("d1"))
+             .when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3")))
+        rows = rows.select("lang", "gram", "n", "seen", d.alias("d"), F.shiftright("gram", 8).alias("context"),
+                           F.col("gram").bitwiseAND((1 << 8 * (size - 1)) - 1).alias("short"))
+        rows = rows.withColumn("all", F.sum("n").over(context)).withColumn("share", F.sum("d").over(context) / F.col("all"))
         if lower is None:
-            p = F.col("rest") / F.col("all") + share / 256
-            rows = rows.select("lang", "gram", "context", p.alias("p"), share.alias("share"))
+            rows = rows.withColumn("q", F.lit(1 / 256))
         else:
-            under = lower.select("lang", F.col("gram").alias("short"), F.col("p").alias("q"))
-            rows = rows.withColumn("short", F.col("gram").bitwiseAND((1 << 8 * (size - 1)) - 1)).join(under, ["lang", "short"])
-            p = F.col("rest") / F.col("all") + share * F.col("q")
-            rows = rows.select("lang", "gram", "context", p.alias("p"), share.alias("share"))
-        rows = materialize(rows, "model")
-        if lower is not None:
-            shares = rows.groupBy("lang", F.col("context").alias("gram")).agg(F.max("share").alias("backoff"))
-            done = lower.join(shares, ["lang", "gram"], "left")
-            done = done.select("lang", F.lit(size - 1).alias("size"), "gram", "p", "backoff")
-            out = done if out is None else out.union(done)
-        lower = rows
-    top = lower.select("lang", F.lit(ORDER).alias("size"), "gram", "p", F.lit(None).cast("double").alias("backoff"))
-    return out.union(top)
+            rows = rows.join(lower.select("lang", F.col("gram").alias("short"), F.col("p").alias("q")), ["lang", "short"])
+        p = (F.col("n") - F.col("d")) / F.col("all") + F.col("share") * F.col("q")
+        lower = materialize(rows.select("lang", "gram", "context", "seen", "share", p.alias("p")), "model")
+        kept = lower.where(F.col("seen") >= least)
+        out.append(kept.select("lang", F.lit(False).alias("share"), F.lit(size).alias("size"), "gram", F.col("p").alias("value")))
+        out.append(kept.groupBy("lang", "context").agg(F.max("share").alias("value"))
+                   .select("lang", F.lit(True).alias("share"), F.lit(size - 1).alias("size"), F.col("context").alias("gram"), "value"))
+    return reduce(DataFrame.union, out)
 
 
 class Model:
-    """n-grams as sorted 64-bit hashes (a bijection of language, length and bytes) with their logarithms."""
+    """The rows as sorted 64-bit hashes (a bijection of language, kind, length and bytes) with their logarithms."""
 
     def __init__(self, rows: pa.Table):
-        self.languages = {x: i for i, x in enumerate(sorted(set(rows["lang"].unique().to_pylist())))}
-        lang = np.array([self.languages[x] for x in rows["lang"].unique().to_pylist()], np.int64)
-        lang = lang[rows["lang"].combine_chunks().dictionary_encode().indices.to_numpy()] if rows.num_rows else lang
-        key = self.key(lang, rows["size"].to_numpy().astype(np.int64), rows["gram"].to_numpy())
+        lang = rows["lang"].combine_chunks().dictionary_encode()
+        self.languages = {x: i for i, x in enumerate(lang.dictionary.to_pylist())}
+        key = self.key(lang.indices.to_numpy().astype(np.int64), rows["share"].to_numpy().astype(np.int64),
+                       rows["size"].to_numpy().astype(np.int64), rows["gram"].to_numpy())
         order = np.argsort(key)
-        self.keys = key[order]
-        self.log_p = np.log(rows["p"].to_numpy())[order]
-        backoff = rows["backoff"].to_numpy()
-        self.log_backoff = np.log(np.where(np.isnan(backoff), 1.0, backoff))[order]
+        self.keys, self.logs = key[order], np.log(rows["value"].to_numpy())[order]
         # where the hashes with the same first bits begin
         self.bits = max(1, int(np.log2(len(key) + 1)))
-        tops = np.arange((1 << self.bits) + 1, dtype=np.uint64) << np.uint64(64 - self.bits)
-        self.begin = np.searchsorted(self.keys, tops[:-1])
+        self.begin = np.searchsorted(self.keys, np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits))
 
     @staticmethod
-    def key(lang, size, gram: np.ndarray) -> np.ndarray:
-        packed = np.asarray(lang << 43 | size << 40, np.int64) | gram
+    def key(lang, share, size, gram: np.ndarray) -> np.ndarray:
+        packed = np.asarray(lang << 44 | share << 43 | size << 40, np.int64) | gram
         return mix64(packed.astype(np.uint64))
 
-    def find(self, key: np.ndarray) -> np.ndarray:
-        """Places of the hashes; -1 where there is none."""
+    def find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes are there, and the logarithms of those."""
         at = self.begin[key >> np.uint64(64 - self.bits)]
         last = len(self.keys) - 1
         going = np.arange(len(key))
         while len(going):  # a few steps: the hashes are spread evenly
-            going = going[(at[going] <= last)]
+            going = going[at[going] <= last]
             going = going[self.keys[at[going]] < key[going]]
             at[going] += 1
-        found = at <= last
-        found[found] = self.keys[at[found]] == key[found]
-        return np.where(found, at, -1)
+        there = at <= last
+        there[there] = self.keys[at[there]] == key[there]
+        return there, self.logs[at[there]]
 
     def log_probability(self, lang: str, grams: np.ndarray) -> np.ndarray:
-        """Of each 5-gram's last byte after the others; shorter contexts take over where one is new."""
-        number = self.languages.get(lang, -1)
+        """Of each 5-gram's last byte after the others; shorter contexts take over where the model has no row."""
+        number = self.languages.get(lang)
         out, todo = np.zeros(len(grams)), np.arange(len(grams))
-        for size in range(ORDER, 0, -1):
-            if number < 0 or not len(todo):
-                break
-            mask = (1 << 8 * size) - 1
-            at = self.find(self.key(number, size, grams[todo] & mask))
-            hit = at >= 0
-            out[todo[hit]] += self.log_p[at[hit]]
-            todo = todo[~hit]
-            if size > 1:
-                at = self.find(self.key(number, size - 1, (grams[todo] & mask) >> 8))
-                out[todo[at >= 0]] += self.log_backoff[at[at >= 0]]
-        out[todo] += -np.log(256)
+        for size in range(ORDER, 0, -1) if number is not None else ():
+            gram = grams[todo] & ((1 << 8 * size) - 1)
+            there, log_p = self.find(self.key(number, 0, size, gram))
+            out[todo[there]] += log_p
+            todo, gram = todo[~there], gram[~there]
+            there, log_share = self.find(self.key(number, 1, size - 1, gram >> 8))
+            out[todo[there]] += log_share
+        out[todo] -= np.log(256)
         return out
 
 
@@ -244,7 +233,7 @@ def _base(texts: list[str], words: list[list[bytes]]) -> dict[str, np.ndarray]:
 
 
 def _score(model, lang_col: str, text_col: str, keep: list[str]):
-    """row, the base statistics, and log_p and n_bytes of the words where the model is given."""
+    """row, language, the base statistics, and log_p and n_bytes of the words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, dict[bytes, float]] = {}
         for batch in small_batches(batches, text_col):
@@ -252,10 +241,10 @@ def _score(model, lang_col: str, text_col: str, keep: list[str]):
             langs = [x or "" for x in batch.column(lang_col).cast(pa.string()).to_pylist()]
             words = [x.encode().split() for x in texts]
             log_p = np.zeros(len(texts))
-            for lang in set(langs) if model is not None else ():
+            for lang in set(langs):
                 own = [i for i, x in enumerate(langs) if x == lang]
                 scores = known.setdefault(lang, {})
-                if len(scores) > 2 * WORDS_KEPT // max(1, len(known)):
+                if len(scores) > 2 * WORDS_KEPT // len(known):
                     scores = known[lang] = dict(islice(scores.items(), WORDS_KEPT // len(known)))
                 missing = list(set(chain.from_iterable(words[i] for i in own)).difference(scores))
                 if missing:
@@ -273,37 +262,14 @@ def _score(model, lang_col: str, text_col: str, keep: list[str]):
     return run
 
 
-def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in small_batches(batches, "text"):
-        for key, lang, text in zip(*(batch.column(x).to_pylist() for x in ("key", "lang", "text")), strict=True):
-            words = (text or "").encode().split()
-            if words:
-                grams, n = np.unique(word_grams(words)[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([key] * len(grams)), pa.array([lang or ""] * len(grams)), pa.array(grams), pa.array(n)],
-                    ["key", "lang", "gram", "n"])
-
-
 def _scored(df: DataFrame, lang_col: str, text_col: str, keep: list[str]) -> DataFrame:
-    model = materialize(kneser_ney(count_grams(df, lang_col, text_col)), "model")
-    fits = model.count() <= MODEL_ROWS
-    kept = keep if fits else list(dict.fromkeys([*keep, lang_col, text_col]))
-    used = df.select(*(col(x) for x in dict.fromkeys([*kept, lang_col, text_col])))
-    fields = [T.StructField("row", T.StructType([used.schema[x] for x in kept])), T.StructField("lang", T.StringType()),
+    model = Model(kneser_ney(count_grams(df, lang_col, text_col)).toArrow())
+    used = df.select(*(col(x) for x in dict.fromkeys([*keep, lang_col, text_col])))
+    fields = [T.StructField("row", T.StructType([used.schema[x] for x in keep])), T.StructField("lang", T.StringType()),
               *(T.StructField(x, T.LongType()) for x in STATS), T.StructField("log_p", T.DoubleType()),
               T.StructField("n_bytes", T.LongType())]
-    value = df.sparkSession.sparkContext.broadcast(Model(model.toArrow())) if fits else None
-    rows = map_arrow(used, _score(value, lang_col, text_col, kept), T.StructType(fields))
-    if fits:
-        return materialize(rows, "scored")
-    rows = materialize(rows.withColumn("key", F.monotonically_increasing_id()), "scored")
-    texts = rows.select("key", "lang", F.col("row")[text_col].cast("string").alias("text"))
-    grams = map_arrow(texts, _grams, "key long, lang string, gram long, n long")
-    top = model.where(F.col("size") == ORDER).select("lang", "gram", F.log("p").alias("log_of"))
-    sums = grams.join(top, ["lang", "gram"]).groupBy("key").agg(F.sum(F.col("n") * F.col("log_of")).alias("sum"))
-    rows = rows.join(sums, "key", "left").withColumn("log_p", F.coalesce("sum", F.lit(0.0)))
-    row = F.struct(*(F.col("row")[x].alias(x) for x in keep))
-    return materialize(rows.withColumn("row", row).drop("key", "sum"), "scored")
+    score = _score(df.sparkSession.sparkContext.broadcast(model), lang_col, text_col, keep)
+    return materialize(map_arrow(used, score, T.StructType(fields)), "scored")
 
 
 def _middle(rows: DataFrame, value: str) -> DataFrame:
