@@ -168,16 +168,29 @@ def plain_scores(corpus):
         for word in text.encode().split():
             line = bytes([quality.START]) * 4 + word + bytes([quality.END])
             counts[5].update(line[i:i + 5] for i in range(len(line) - 4))
+    seen = {5: counts[5]}
     for size in (4, 3, 2, 1):
         counts[size] = Counter(g[1:] for g in counts[size + 1])
-    discount, contexts = {}, {}
+        seen[size] = Counter()
+        for g, c in seen[size + 1].items():
+            seen[size][g[1:]] += c
+    least = sum(counts[5].values()) / quality.KEPT
+    contexts = {}
+
+    def discount(size, gram):
+        c = counts[size][gram]
+        if seen[size][gram] < least:
+            return c
+        return discounts[size][min(c, 3)]
+
+    discounts = {}
     for size, own in counts.items():
         n = Counter(own.values())
         y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0
-        discount[size] = [0] + [min(i, max(0, i - (i + 1) * y * n[i + 1] / n[i])) if n[i] and n[1] else i / 2 for i in (1, 2, 3)]
+        discounts[size] = [0] + [min(i, max(0, i - (i + 1) * y * n[i + 1] / n[i])) if n[i] and n[1] else i / 2 for i in (1, 2, 3)]
         contexts[size] = defaultdict(list)
-        for gram, c in own.items():
-            contexts[size][gram[:-1]].append(c)
+        for gram in own:
+            contexts[size][gram[:-1]].append(gram)
 
     def p(gram):
         if not gram:
@@ -185,9 +198,10 @@ def plain_scores(corpus):
         size, after = len(gram), contexts[len(gram)].get(gram[:-1])
         if not after:
             return p(gram[1:])
-        d, c = discount[size], counts[size][gram]
-        freed = sum(d[min(x, 3)] for x in after)
-        return (max(0, c - d[min(c, 3)]) + freed * p(gram[1:])) / sum(after)
+        total = sum(counts[size][g] for g in after)
+        freed = sum(discount(size, g) for g in after)
+        own = counts[size][gram] - discount(size, gram) if gram in counts[size] else 0
+        return (own + freed * p(gram[1:])) / total
 
     def score(text):
         total = n = 0
@@ -199,7 +213,9 @@ def plain_scores(corpus):
     return score
 
 
-def test_quality(docs, corpus):
+@pytest.mark.parametrize("kept", [1 << 20, 300])
+def test_quality(docs, corpus, kept, monkeypatch):
+    monkeypatch.setattr(quality, "KEPT", kept)
     found = quality.judge(docs).collect()
     assert len(found) == len(corpus) and found[0].row.asDict().keys() == set(docs.columns)
     score = plain_scores([x or "" for _, x in corpus])
@@ -212,22 +228,16 @@ def test_quality(docs, corpus):
         assert r.kept == (not r.base_failed and r.low <= r.score <= r.high)
 
 
-def test_probabilities_sum_to_one(docs):
-    model = quality.kneser_ney(quality.count_grams(docs, "lang", "text")).toArrow()
-    model = quality.Model(model)
+@pytest.mark.parametrize("kept", [1 << 20, 300])
+def test_probabilities_sum_to_one(docs, kept, monkeypatch):
+    monkeypatch.setattr(quality, "KEPT", kept)
+    rows = quality.kneser_ney(quality.count_grams(docs, "lang", "text")).toArrow()
+    assert max(rows.group_by(["share", "size"]).aggregate([("gram", "count")])["gram_count"].to_pylist()) <= kept
+    model = quality.Model(rows)
     for context in (b"    ", b"  th", b"zzzz", b"hand"):
         packed = int.from_bytes(context, "big") << 8
-        every = model.log_probability("en", packed + np.arange(256))
-        assert np.exp(every).sum() == pytest.approx(1)
-
-
-def test_a_large_model_is_joined_with_the_same_scores(docs, monkeypatch):
-    def rows(x):
-        return sorted(((r.row.doc_id, r.row.text, r.n_words, round(r.score, 9), r.kept) for r in x.collect()), key=str)
-
-    broadcast = rows(quality.judge(docs, keep=["doc_id", "text"]))
-    monkeypatch.setattr(quality, "MODEL_ROWS", 0)
-    assert rows(quality.judge(docs, keep=["doc_id", "text"])) == broadcast
+        assert np.exp(model.log_probability("en", packed + np.arange(256))).sum() == pytest.approx(1)
+    assert np.exp(model.log_probability("new", np.arange(256))).sum() == pytest.approx(1)
 
 
 def test_bands_are_of_a_language(spark):
