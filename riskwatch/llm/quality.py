@@ -7,8 +7,9 @@ derives the lower orders (continuation counts), discounts and probabilities from
 them. For scoring the model becomes one sorted array of hashed n-grams with their
 log probabilities, and a word is scored once a batch, however often it occurs.
 
-A document's score is its cross entropy in nats a byte, the logarithm of its
-perplexity. Scores of short texts scatter more, as one over the root of the
+A document's score is the median, over its runs of ``RUN_WORDS`` words, of the run's
+cross entropy in nats a byte (the logarithm of its perplexity), so one odd passage or
+name does not decide on a whole text. Scores of short texts scatter more, as one over the root of the
 length, so each language has a median score and a deviation for one byte (median
 distance times the root of the length, scaled to a standard deviation). A text of
 n bytes is rejected above or below ``WIDTH`` deviations over the root of n.
@@ -43,10 +44,11 @@ from .common import col, map_arrow, mix64, small_batches
 
 ORDER = 5
 START, END = 0x20, 0x0A  # bytes that no word has
-KEPT = 1 << 20
-WIDTH, LEAST_DEVIATION, GRID = 5.0, 0.1, 1000
+KEPT = 1 << 21
+WIDTH, LEAST_DEVIATION, GRID = 4.0, 0.1, 1000
 WINDOW_WORDS, MIN_WORDS, MAX_REPEAT_PERCENT = 5, 10, 20
 SPACES, SYMBOLS = " \t\n\v\f\r", "#*$%&|<>"
+RUN_WORDS = 16
 FLUSH_WORDS, WORDS_KEPT = 500_000, 400_000
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -232,15 +234,23 @@ def _base(texts: list[str], words: list[list[bytes]]) -> dict[str, np.ndarray]:
     return {k: np.asarray(v, np.int64) for k, v in zip(STATS, found, strict=True)}
 
 
+def middle_run(log_p: np.ndarray, sizes: np.ndarray) -> float:
+    """The median cross entropy of a text's runs of words; what is left over belongs to the last run."""
+    if not len(log_p):
+        return 0.0
+    starts = RUN_WORDS * np.arange(max(1, len(log_p) // RUN_WORDS))
+    return float(np.median(-np.add.reduceat(log_p, starts) / np.add.reduceat(sizes + 1, starts)))
+
+
 def _score(model, lang_col: str, text_col: str, keep: list[str]):
-    """row, language, the base statistics, and log_p and n_bytes of the words."""
+    """row, language, the base statistics, the score and its bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, dict[bytes, float]] = {}
         for batch in small_batches(batches, text_col):
             texts = [x or "" for x in batch.column(text_col).to_pylist()]
             langs = [x or "" for x in batch.column(lang_col).cast(pa.string()).to_pylist()]
             words = [x.encode().split() for x in texts]
-            log_p = np.zeros(len(texts))
+            score = np.zeros(len(texts))
             for lang in set(langs):
                 own = [i for i, x in enumerate(langs) if x == lang]
                 scores = known.setdefault(lang, {})
@@ -252,13 +262,14 @@ def _score(model, lang_col: str, text_col: str, keep: list[str]):
                     each = model.value.log_probability(lang, grams)
                     scores.update(zip(missing, np.add.reduceat(each, np.cumsum(sizes) - sizes).tolist(), strict=True))
                 for i in own:
-                    log_p[i] = sum(map(scores.__getitem__, words[i]))
+                    score[i] = middle_run(np.fromiter(map(scores.__getitem__, words[i]), float, len(words[i])),
+                                          np.fromiter(map(len, words[i]), float, len(words[i])))
             base = _base(texts, words)
             n_bytes = np.array([sum(map(len, x)) + len(x) for x in words], np.int64)
             row = pa.StructArray.from_arrays([batch.column(x) for x in keep], fields=[batch.schema.field(x) for x in keep])
             yield pa.RecordBatch.from_arrays(
-                [row, pa.array(langs), *(pa.array(base[x]) for x in STATS), pa.array(log_p), pa.array(n_bytes)],
-                ["row", "lang", *STATS, "log_p", "n_bytes"])
+                [row, pa.array(langs), *(pa.array(base[x]) for x in STATS), pa.array(score), pa.array(n_bytes)],
+                ["row", "lang", *STATS, "score", "n_bytes"])
     return run
 
 
@@ -266,7 +277,7 @@ def _scored(df: DataFrame, lang_col: str, text_col: str, keep: list[str]) -> Dat
     model = Model(kneser_ney(count_grams(df, lang_col, text_col)).toArrow())
     used = df.select(*(col(x) for x in dict.fromkeys([*keep, lang_col, text_col])))
     fields = [T.StructField("row", T.StructType([used.schema[x] for x in keep])), T.StructField("lang", T.StringType()),
-              *(T.StructField(x, T.LongType()) for x in STATS), T.StructField("log_p", T.DoubleType()),
+              *(T.StructField(x, T.LongType()) for x in STATS), T.StructField("score", T.DoubleType()),
               T.StructField("n_bytes", T.LongType())]
     score = _score(df.sparkSession.sparkContext.broadcast(model), lang_col, text_col, keep)
     return materialize(map_arrow(used, score, T.StructType(fields)), "scored")
@@ -296,8 +307,7 @@ def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", keep: l
     """row (the kept columns, all by default), base statistics, base_failed, score, low, high and kept."""
     rows = _scored(df, lang_col, text_col, df.columns if keep is None else keep)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    score = F.coalesce(F.try_divide(-F.col("log_p"), F.col("n_bytes").cast("double")), F.lit(0.0))
-    rows = rows.select("*", failed.alias("base_failed"), score.alias("score"))
+    rows = rows.select("*", failed.alias("base_failed"))
     reach = WIDTH * F.col("deviation") / F.sqrt(F.greatest(F.lit(1), F.col("n_bytes")))
     found = rows.join(F.broadcast(bands(rows)), "lang", "left")
     found = found.select("*", (F.col("middle") - reach).alias("low"), (F.col("middle") + reach).alias("high"))
