@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import statistics
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -203,13 +204,19 @@ def plain_scores(corpus):
         own = counts[size][gram] - discount(size, gram) if gram in counts[size] else 0
         return (own + freed * p(gram[1:])) / total
 
-    def score(text):
+    def run_score(words):
         total = n = 0
-        for word in text.encode().split():
+        for word in words:
             line = bytes([quality.START]) * 4 + word + bytes([quality.END])
             total += sum(math.log(p(line[i:i + 5])) for i in range(len(line) - 4))
             n += len(word) + 1
-        return -total / n if n else 0.0
+        return -total / n
+
+    def score(text):
+        words = text.encode().split()
+        last = max(0, len(words) // 16 * 16 - 16)
+        runs = [words[i:i + 16] for i in range(0, last, 16)] + [words[last:]]
+        return statistics.median(map(run_score, runs)) if words else 0.0
     return score
 
 
