@@ -121,13 +121,21 @@ def unit_hash(key: ColumnOrName, seed: int = 42) -> Column:
 
 
 def mult_hash(key: ColumnOrName, seed: int = 42) -> Column:
-    """Multiplicative (Knuth) hash of an integer key into [0, 2^32).
+    """Multiplicative hash of any integer key into [0, 2^32).
 
-    A bijection on keys below 2^32, so it orders rows without ties; the same
-    arithmetic is available in any SQL engine, which keeps splits checkable.
+    The key is taken modulo 2^32 first and the multiplier is below 2^31, so the
+    product fits a long. Keys that agree modulo 2^32 tie: order by (hash, key).
+    The same arithmetic is available in any SQL engine, which keeps splits checkable.
     """
-    k = col(key).cast("long")
-    return F.pmod(k * F.lit(2654435761) + F.lit(seed * 40503), F.lit(4294967296))
+    k = F.pmod(col(key).cast("long"), F.lit(4294967296))
+    return F.pmod(k * F.lit(1103515245) + F.lit(seed * 40503), F.lit(4294967296))
+
+
+def id_hash(df, key: str, seed: int = 42) -> Column:
+    """Hash of an id column of any type into [0, 2^32)."""
+    if dict(df.dtypes)[key] in ("int", "bigint", "smallint", "tinyint"):
+        return mult_hash(key, seed)
+    return F.pmod(F.xxhash64(col(key), F.lit(seed)), F.lit(4294967296))
 
 
 # Relative nudge applied before output rounding: values sitting exactly on a

@@ -1,16 +1,14 @@
-"""Reusable window patterns that stay distributed when one key is hot.
+"""Reusable window patterns.
 
-* ``tail_flags``     — "last N rows per key" (pandas ``groupby.tail(n)``) without a
-  row-level window over a whole key: ranks are computed on the (key, day) grain,
-  which the observation window bounds, and only rows sharing one day are ranked
-  together.
+* ``tail_flags``     — "last N rows per key" (pandas ``groupby.tail(n)``): one window
+  per key over the rows of the observation window, with a full order.
 * ``prefix_sums``    — cumulative sums per key in a given order as a two-phase
   scan: bucket totals -> offsets (tiny window) -> local running sums inside each
   (key, bucket). No task ever sees more than one bucket of one key.
 * ``quantile_buckets`` — monotone bucket ids from approximate quantiles, the
   usual input of ``prefix_sums``.
 * ``max_streak``     — longest run of consecutive rows meeting a threshold
-  (gaps and islands).
+  (gaps and islands): one window per key, whose partitioning the counts reuse.
 """
 
 from __future__ import annotations
@@ -20,10 +18,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Default number of quantile buckets of the two-phase prefix sum: the largest window
-# task holds about 1/PREFIX_BUCKETS of one group; raise it (``buckets=``) for
-# groups with billions of distinct scores.
-PREFIX_BUCKETS = 16
+
+def prefix_buckets(df: DataFrame) -> int:
+    """Buckets of a group: as many as shuffle partitions, which are set by the size of the data."""
+    return max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _as_list(x) -> list:
@@ -33,33 +31,19 @@ def _as_list(x) -> list:
 
 
 def tail_flags(df: DataFrame, key: str | Sequence[str], order_col: str,
-               sizes: Mapping[str, int], tiebreak: Sequence[str] = ()) -> DataFrame:
+               sizes: Mapping[str, int], tiebreak: Sequence[str]) -> DataFrame:
     """Add one boolean column per entry of ``sizes``: row is among the last n of its key.
 
     Order is ``order_col`` then ``tiebreak`` (both ascending); "last" means
-    latest. Equivalent to ``row_number() over (partition by key order by
-    order_col desc, tiebreak desc) <= n`` but the per-key window runs on the
-    (key, order value) grain only.
+    latest. ``tiebreak`` must tell rows of one ``order_col`` apart, or the choice
+    among them would be arbitrary. ``df`` should hold the observation window only,
+    which bounds the rows of a key.
     """
-    keys = _as_list(key)
-    grain = keys + [order_col]
-    if tiebreak:
-        w_day = Window.partitionBy(*grain).orderBy(*[F.col(c).desc() for c in tiebreak])
-        ranked = df.withColumn("_r_in_day", F.row_number().over(w_day))
-    else:
-        # rows of one day are interchangeable: rank them by nothing in particular
-        w_day = Window.partitionBy(*grain).orderBy(F.lit(1))
-        ranked = df.withColumn("_r_in_day", F.row_number().over(w_day))
-    per_day = df.groupBy(*grain).agg(F.count(F.lit(1)).alias("_n_day"))
-    w_key = (Window.partitionBy(*keys).orderBy(F.col(order_col).desc())
-             .rowsBetween(Window.unboundedPreceding, -1))
-    per_day = per_day.select(*grain, F.coalesce(F.sum("_n_day").over(w_key), F.lit(0))
-                             .alias("_n_later"))
-    out = ranked.join(per_day, on=grain, how="inner")
-    pos = F.col("_n_later") + F.col("_r_in_day")
-    for name, n in sizes.items():
-        out = out.withColumn(name, pos <= F.lit(int(n)))
-    return out.drop("_r_in_day", "_n_later")
+    if not tiebreak:
+        raise ValueError("tail_flags needs a tiebreak for rows of one date")
+    w = Window.partitionBy(*_as_list(key)).orderBy(*[F.col(c).desc() for c in (order_col, *tiebreak)])
+    ranked = df.withColumn("_pos", F.row_number().over(w))
+    return ranked.select(*df.columns, *[(F.col("_pos") <= F.lit(int(n))).alias(name) for name, n in sizes.items()])
 
 
 def quantile_buckets(df: DataFrame, keys: Sequence[str], order_col: str, n: int,
@@ -80,61 +64,54 @@ def quantile_buckets(df: DataFrame, keys: Sequence[str], order_col: str, n: int,
 
 def prefix_sums(df: DataFrame, keys: Sequence[str], order_col: str,
                 value_cols: Sequence[str], ascending: bool = True,
-                buckets: int | None = None, prefix: str = "cum_") -> DataFrame:
+                buckets: int | None = None, prefix: str = "cum_",
+                tiebreak: Sequence[str] = (), bucket: Column | None = None) -> DataFrame:
     """Running (inclusive) sums of ``value_cols`` per ``keys`` in ``order_col`` order.
 
-    ``order_col`` must be unique within a key (e.g. a table of per-score counts).
-    ``buckets`` > 1 switches on the two-phase scan, which bounds each window
-    partition to one quantile bucket of one key.
+    ``order_col`` (with ``tiebreak``) must be unique within a key. The two-phase
+    scan bounds each window partition to one bucket of one key: quantile buckets,
+    or ``bucket``, a monotone bucket number of ``order_col``, where that is known
+    (a hash), which saves the quantile pass and its join. ``buckets=1`` is a plain
+    window.
     """
     keys = list(keys)
-    buckets = PREFIX_BUCKETS if buckets is None else buckets
-    order = F.col(order_col).asc() if ascending else F.col(order_col).desc()
-    if buckets <= 1:
-        w = (Window.partitionBy(*keys).orderBy(order)
+    buckets = prefix_buckets(df) if buckets is None else buckets
+
+    def order(*cols):
+        return [F.col(c).asc() if ascending else F.col(c).desc() for c in cols]
+
+    if buckets <= 1 and bucket is None:
+        w = (Window.partitionBy(*keys).orderBy(*order(order_col, *tiebreak))
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return df.select("*", *[F.sum(v).over(w).alias(prefix + v) for v in value_cols])
 
-    b = quantile_buckets(df, keys, order_col, buckets, name="_b")
+    b = df.withColumn("_b", bucket) if bucket is not None else quantile_buckets(df, keys, order_col, buckets, name="_b")
     totals = b.groupBy(*keys, "_b").agg(*[F.sum(v).alias("_t_" + v) for v in value_cols])
-    border = F.col("_b").asc() if ascending else F.col("_b").desc()
-    wb = Window.partitionBy(*keys).orderBy(border).rowsBetween(Window.unboundedPreceding, -1)
+    wb = Window.partitionBy(*keys).orderBy(*order("_b")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, "_b", *[
         F.coalesce(F.sum("_t_" + v).over(wb), F.lit(0)).alias("_o_" + v) for v in value_cols])
-    wl = (Window.partitionBy(*keys, "_b").orderBy(order)
+    wl = (Window.partitionBy(*keys, "_b").orderBy(*order(order_col, *tiebreak))
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = b.select("*", *[F.sum(v).over(wl).alias("_l_" + v) for v in value_cols])
     joined = local.join(offsets, on=keys + ["_b"], how="inner")
-    cols = [c for c in df.columns]
-    return joined.select(*cols, *[(F.col("_o_" + v) + F.col("_l_" + v)).alias(prefix + v)
-                                  for v in value_cols])
+    return joined.select(*df.columns, *[(F.col("_o_" + v) + F.col("_l_" + v)).alias(prefix + v) for v in value_cols])
 
 
 def max_streak(df: DataFrame, key: str | Sequence[str], order_col: str, value_col: str,
-               threshold: float, name: str = "max_streak",
-               tiebreak: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
+               threshold: float, tiebreak: Sequence[str], name: str = "max_streak") -> DataFrame:
     """Longest run of consecutive rows with ``value >= threshold`` per key (0 if none).
 
     Gaps and islands: the running count of "breaking" rows (below threshold or
-    NULL) labels each island; qualifying rows are counted per island. The
-    running count is a two-phase prefix sum, so one key with a very long
-    history is still split into buckets (``tiebreak`` falls back to a plain
-    per-key window ordered by ``order_col, tiebreak``).
+    NULL) labels each island; qualifying rows are counted per island. All three
+    steps share one hash partitioning by key. ``tiebreak`` orders rows of one
+    ``order_col``; the horizon of ``df`` bounds the rows of a key.
     """
+    if not tiebreak:
+        raise ValueError("max_streak needs a tiebreak for rows of one date")
     keys = _as_list(key)
     ok = F.coalesce(F.col(value_col) >= F.lit(threshold), F.lit(False))
-    d = df.select(*keys, order_col, *tiebreak, ok.alias("_ok"),
-                  F.when(ok, 0).otherwise(1).alias("_brk"))
-    if tiebreak:
-        w = (Window.partitionBy(*keys).orderBy(order_col, *tiebreak)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        islands = d.select(*keys, "_ok", F.sum("_brk").over(w).alias("_isl"))
-    else:
-        d = d.withColumn("_ord", F.col(order_col).cast("timestamp").cast("double")
-                         if dict(d.dtypes)[order_col] in ("date", "timestamp", "timestamp_ntz")
-                         else F.col(order_col).cast("double"))
-        islands = prefix_sums(d, keys, "_ord", ["_brk"], buckets=buckets).select(
-            *keys, "_ok", F.col("cum__brk").alias("_isl"))
-    runs = (islands.groupBy(*keys, "_isl")
-            .agg(F.sum(F.col("_ok").cast("int")).alias("_run")))
+    w = (Window.partitionBy(*keys).orderBy(order_col, *tiebreak)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    islands = df.select(*keys, ok.alias("_ok"), F.sum(F.when(ok, 0).otherwise(1)).over(w).alias("_isl"))
+    runs = islands.groupBy(*keys, "_isl").agg(F.sum(F.col("_ok").cast("int")).alias("_run"))
     return runs.groupBy(*keys).agg(F.coalesce(F.max("_run"), F.lit(0)).cast("long").alias(name))

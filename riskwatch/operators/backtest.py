@@ -97,9 +97,10 @@ def cohort_metrics(d: DataFrame, keys: Sequence[str], p: BacktestParams,
     keys = list(keys)
     if min_records:
         d = filter_min_records(d, keys, min_records)
-    rm = ranking.rank_metrics(d, keys, "_p", "_y", buckets=p.buckets)
+    cum = materialize(ranking.cumulative_scores(d, keys, "_p", "_y", p.buckets), "scores")
+    rm = ranking.rank_metrics(d, keys, "_p", "_y", cum=cum)
     br = ranking.brier(d, keys, "_p", "_y")
-    lf = ranking.lift_wide(d, keys, "_p", "_y", (0.1, 0.2), p.tiebreak, p.buckets)
+    lf = ranking.lift_wide(d, keys, "_p", "_y", (0.1, 0.2), p.tiebreak, p.buckets, cum)
     te = ranking.threshold_eval(d, keys, "_p", "_y", {"amber": p.amber, "red": p.red})
     out = rm.join(br, keys).join(lf, keys).join(te, keys)
     return out.select(

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .ranking import cumulative_counts, score_counts
 
 
@@ -72,7 +73,7 @@ def quantiles_from_counts(cum: DataFrame, keys: Sequence[str], probs: Sequence[f
 def _edges(df: DataFrame, keys: Sequence[str], score: str, label: str, n_bins: int,
            buckets: int | None):
     keys = list(keys)
-    counts = score_counts(df, keys, score, label)
+    counts = materialize(score_counts(df, keys, score, label), "counts")  # read for edges, sums and bins
     cum = cumulative_counts(counts, keys, buckets)
     return counts, quantiles_from_counts(cum, keys, qcut_probs(n_bins))
 
@@ -89,7 +90,7 @@ def decile_calibration(df: DataFrame, keys: Sequence[str], score: str, label: st
     uniq = F.array_distinct(F.col("edges"))
     interior = F.slice(uniq, 2, F.greatest(F.size(uniq) - 2, F.lit(0)))
     j = counts.join(edges.select(*keys, interior.alias("_int")), keys, "inner") if keys else \
-        counts.crossJoin(edges.select(interior.alias("_int")))
+        counts.crossJoin(F.broadcast(edges.select(interior.alias("_int"))))
     b = j.select(*keys, bin_index(F.col("_s"), F.col("_int")).alias("_bin"), "_s", "n", "n_pos")
     agg = b.groupBy(*keys, "_bin").agg(
         F.sum("n").alias("count"), (F.sum(F.col("_s") * F.col("n")) / F.sum("n")).alias("pd_avg"),
@@ -106,7 +107,7 @@ def reliability_curve(df: DataFrame, keys: Sequence[str], score: str, label: str
     counts, edges = _edges(df, keys, score, label, n_bins, buckets)
     interior = F.slice(F.col("edges"), 2, n_bins - 1)
     j = counts.join(edges.select(*keys, interior.alias("_int")), keys, "inner") if keys else \
-        counts.crossJoin(edges.select(interior.alias("_int")))
+        counts.crossJoin(F.broadcast(edges.select(interior.alias("_int"))))
     b = j.select(*keys, bin_index(F.col("_s"), F.col("_int")).cast("int").alias("bin"), "_s", "n", "n_pos")
     return b.groupBy(*keys, "bin").agg(
         (F.sum(F.col("_s") * F.col("n")) / F.sum("n")).alias("prob_pred"),
@@ -120,14 +121,14 @@ def decile_linear_fit(df: DataFrame, keys: Sequence[str], score: str, label: str
     when fewer than 3 deciles survive."""
     keys = list(keys)
     dec = decile_calibration(df, keys, score, label, n_bins, buckets).select(
-        *keys, "decile", F.round("pd_avg", 5).alias("pd_avg"), F.round("odr", 5).alias("odr"),
+        *keys, "decile", F.bround("pd_avg", 5).alias("pd_avg"), F.bround("odr", 5).alias("odr"),
         "count")
-    ev = df.groupBy(*keys).agg(F.round(F.avg(F.col(label).cast("double")), 5).alias("expected_odr"))
+    ev = df.groupBy(*keys).agg(F.bround(F.avg(F.col(label).cast("double")), 5).alias("expected_odr"))
     fit = dec.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_deciles"),
         F.regr_slope("odr", "pd_avg").alias("_sl"), F.regr_intercept("odr", "pd_avg").alias("_ic"))
     fit = fit.select(*keys, "n_deciles",
-                     F.when(F.col("n_deciles") >= 3, F.round("_sl", 4)).otherwise(1.0).alias("slope"),
-                     F.when(F.col("n_deciles") >= 3, F.round("_ic", 5)).otherwise(0.0).alias("intercept"))
-    fit = fit.join(ev, keys, "inner") if keys else fit.crossJoin(ev)
+                     F.when(F.col("n_deciles") >= 3, F.bround("_sl", 4)).otherwise(1.0).alias("slope"),
+                     F.when(F.col("n_deciles") >= 3, F.bround("_ic", 5)).otherwise(0.0).alias("intercept"))
+    fit = fit.join(ev, keys, "inner") if keys else fit.crossJoin(F.broadcast(ev))
     return dec, fit

@@ -1,4 +1,4 @@
-"""Population stability (PSI), data quality and schema drift.
+"""Population stability (PSI) and data quality.
 
 All series / features / months are handled in ONE job: the inputs are
 unpivoted to long form (period, series, value) once, baseline quantile edges
@@ -21,11 +21,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import materialize
 from .calib import percent_probs, quantiles_from_counts
 from .ranking import cumulative_counts
+from .robust import exact_quantiles
 
 PSI_EPS = 1e-5
 MON_EPS = 1e-12
@@ -55,6 +54,15 @@ def baseline_edges(long_base: DataFrame, keys: Sequence[str], n_bins: int) -> Da
     return e.select(*keys, F.array_distinct("edges").alias("edges"))
 
 
+def feature_edges(base: DataFrame, feats: Sequence[str], n_bins: int) -> DataFrame:
+    """feature, edges: distinct percentile edges of each column, one row a feature with two edges or more."""
+    row = exact_quantiles(base, feats, percent_probs(n_bins))
+    packed = F.array(*[F.struct(F.lit(c).alias("feature"),
+                                F.array_distinct(F.filter("_q_" + c, lambda x: x.isNotNull())).alias("edges"))
+                       for c in feats])
+    return row.select(F.inline(packed)).where(F.size("edges") >= 2)
+
+
 # ---------------------------------------------------------------------------
 # backtest PSI (monthly)
 # ---------------------------------------------------------------------------
@@ -112,7 +120,7 @@ def _psi_numeric_flag(long: DataFrame, n_bins: int, eps: float = PSI_EPS) -> Dat
     edges = baseline_edges(base, ["series"], n_bins)
     interior = F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))
     nonnull = long.filter(F.col("value").isNotNull())
-    b = nonnull.join(edges, "series", "inner").select(
+    b = nonnull.join(F.broadcast(edges), "series", "inner").select(
         "series", "_m", "_is_base", F.size(F.filter(interior, lambda e: e <= F.col("value"))).alias("bin"))
     counts = b.groupBy("series", "_m", "_is_base", "bin").agg(F.count(F.lit(1)).alias("c"))
     tot = counts.groupBy("series", "_m").agg(F.sum("c").alias("tot"))
@@ -180,24 +188,27 @@ def psi_feature_table(base: DataFrame, cur: DataFrame, features: Sequence[str],
         schema = ("feature string, psi double, status string, severity string, "
                   "severity_rank int, missing_rate double, missing_delta double")
         return base.sparkSession.createDataFrame([], schema)
-    long = (unpivot(base, [], feats, "feature").withColumn("_side", F.lit(0))
-            .unionByName(unpivot(cur, [], feats, "feature").withColumn("_side", F.lit(1))))
-    # the long table feeds the statistics, the baseline edges and the bucket counts
-    long = materialize(long)
-    stats = long.groupBy("feature").agg(
-        F.count(F.when(F.col("_side") == 0, F.col("value"))).alias("n_b"),
-        F.count(F.when(F.col("_side") == 1, F.col("value"))).alias("n_c"),
-        F.avg(F.when(F.col("_side") == 0, F.col("value").isNull().cast("double"))).alias("miss_b"),
-        F.avg(F.when(F.col("_side") == 1, F.col("value").isNull().cast("double"))).alias("miss_c"))
-    basel = long.filter(F.col("_side") == 0).withColumnRenamed("feature", "series")
-    edges = baseline_edges(basel, ["series"], bins).withColumnRenamed("series", "feature")
+    def numbers(df: DataFrame, side: str) -> DataFrame:
+        """feature, values and missing share: one wide aggregation, then one row a feature."""
+        row = df.agg(*[F.struct(F.count(c).alias("n"), F.avg(F.col(c).isNull().cast("double")).alias("miss")).alias(c)
+                       for c in feats])
+        packed = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c)["n"].alias("n_" + side),
+                                    F.col(c)["miss"].alias("miss_" + side)) for c in feats])
+        return row.select(F.inline(packed))
+
+    stats = numbers(base, "b").join(F.broadcast(numbers(cur, "c")), "feature")
+    edges = feature_edges(base, feats, bins)
     lo, hi = F.element_at("edges", 1), F.element_at("edges", -1)
     interior = F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))
-    inr = long.filter(F.col("value").isNotNull()).join(edges, "feature", "inner").filter(
-        (F.col("value") >= lo) & (F.col("value") <= hi))
-    b = inr.select("feature", "_side", F.size(F.filter(interior, lambda e: e < F.col("value"))).alias("bin"),
-                   (F.size("edges") - 1).alias("k"))
-    counts = b.groupBy("feature", "_side", "bin").agg(F.count(F.lit(1)).alias("c"))
+
+    def bin_counts(df: DataFrame, side: int) -> DataFrame:
+        # the long rows only live inside the task: they are counted before the shuffle
+        inr = unpivot(df, [], feats, "feature").join(F.broadcast(edges), "feature").where(F.col("value").between(lo, hi))
+        b = inr.select("feature", F.lit(side).alias("_side"),
+                       F.size(F.filter(interior, lambda e: e < F.col("value"))).alias("bin"))
+        return b.groupBy("feature", "_side", "bin").agg(F.count(F.lit(1)).alias("c"))
+
+    counts = bin_counts(base, 0).unionByName(bin_counts(cur, 1))
     tots = counts.groupBy("feature", "_side").agg(F.sum("c").alias("tot"))
     grid = edges.select("feature", F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin")) \
         .crossJoin(F.broadcast(base.sparkSession.createDataFrame([(0,), (1,)], "_side int")))
@@ -211,7 +222,7 @@ def psi_feature_table(base: DataFrame, cur: DataFrame, features: Sequence[str],
     n_min = max(50, bins * 5)
     j = stats.join(edges, "feature", "left").join(psi, "feature", "left")
     valid = (F.col("n_b") >= n_min) & (F.col("n_c") >= n_min) & (F.size("edges") >= 3)
-    v = F.when(valid, F.round("_psi", 4))
+    v = F.when(valid, F.bround("_psi", 4))
     status = (F.when(v.isNull(), "insufficient").when(v < 0.10, "stable")
               .when(v < 0.25, "moderate").otherwise("severe"))
     severity = (F.when(v.isNull(), "unknown").when(v < 0.10, "ok")
@@ -219,8 +230,8 @@ def psi_feature_table(base: DataFrame, cur: DataFrame, features: Sequence[str],
     rank = (F.when(v.isNull(), 3).when(v < 0.10, 2).when(v < 0.25, 1).otherwise(0))
     return j.select("feature", v.alias("psi"), status.alias("status"), severity.alias("severity"),
                     rank.cast("int").alias("severity_rank"),
-                    F.round("miss_c", 4).alias("missing_rate"),
-                    F.round(F.col("miss_c") - F.col("miss_b"), 4).alias("missing_delta"))
+                    F.bround("miss_c", 4).alias("missing_rate"),
+                    F.bround(F.col("miss_c") - F.col("miss_b"), 4).alias("missing_delta"))
 
 
 def sort_psi(psi_tab: DataFrame, engine_order: bool = False) -> DataFrame:
@@ -240,14 +251,14 @@ def topk_psi(psi_tab: DataFrame, k: int = 20) -> DataFrame:
 def psi_overall(psi_tab: DataFrame, warn: float = 0.10) -> DataFrame:
     """Median of non-null feature PSI (0.0 if none), warn flag, counts of severe / warn."""
     return psi_tab.agg(
-        F.coalesce(F.round(F.percentile("psi", 0.5), 4), F.lit(0.0)).alias("psi_overall"),
+        F.coalesce(F.bround(F.percentile("psi", 0.5), 4), F.lit(0.0)).alias("psi_overall"),
         F.count_if(F.col("severity") == "severe").alias("psi_severe_count"),
         F.count_if(F.col("severity") == "warn").alias("psi_warn_count"),
     ).select("*", (F.col("psi_overall") >= warn).alias("psi_alert"))
 
 
 # ---------------------------------------------------------------------------
-# data quality / schema
+# data quality
 # ---------------------------------------------------------------------------
 def missing_rates(base: DataFrame, cur: DataFrame, features: Sequence[str]) -> DataFrame:
     """feature, base_missing, cur_missing, delta — one aggregation per side."""
@@ -266,11 +277,11 @@ def data_quality(base: DataFrame, cur: DataFrame, features: Sequence[str]) -> Da
     the number of features whose missing rate rose by more than 0.01."""
     feats = [c for c in features if c in cur.columns]
     row = cur.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in feats])
-    overall = row.select(F.round(sum((F.col(c) for c in feats), F.lit(0.0)) / len(feats), 4)
+    overall = row.select(F.bround(sum((F.col(c) for c in feats), F.lit(0.0)) / len(feats), 4)
                          .alias("missing_rate_overall"))
     inc = missing_rates(base, cur, features).agg(
         F.count_if(F.col("delta") > 0.01).alias("n_missing_increases"))
-    return overall.crossJoin(inc)
+    return overall.crossJoin(F.broadcast(inc))
 
 
 def topk_missing(base: DataFrame, cur: DataFrame, features: Sequence[str], k: int = 10,
@@ -278,19 +289,4 @@ def topk_missing(base: DataFrame, cur: DataFrame, features: Sequence[str], k: in
     """Top ``k`` features by missing-rate increase (> ``min_delta``), delta rounded to 4."""
     mr = missing_rates(base, cur, features).filter(F.col("delta") > min_delta)
     return mr.orderBy(F.col("delta").desc(), F.col("feature")).limit(k).select(
-        "feature", F.round("delta", 4).alias("delta"))
-
-
-def schema_diff(base: DataFrame, cur: DataFrame) -> DataFrame:
-    """column, change (added / removed / dtype_changed), old_dtype, new_dtype.
-    Works on the two schemas (bounded by the number of columns), not on rows."""
-    spark = base.sparkSession
-    st = T.StructType([T.StructField("column", T.StringType()), T.StructField("dtype", T.StringType())])
-    b = spark.createDataFrame(list(base.dtypes), st)
-    c = spark.createDataFrame(list(cur.dtypes), st)
-    j = b.alias("b").join(c.alias("c"), F.col("b.column") == F.col("c.column"), "full_outer")
-    change = (F.when(F.col("b.column").isNull(), "added").when(F.col("c.column").isNull(), "removed")
-              .when(F.col("b.dtype") != F.col("c.dtype"), "dtype_changed"))
-    return j.select(F.coalesce("b.column", "c.column").alias("column"), change.alias("change"),
-                    F.col("b.dtype").alias("old_dtype"), F.col("c.dtype").alias("new_dtype")) \
-        .filter(F.col("change").isNotNull())
+        "feature", F.bround("delta", 4).alias("delta"))

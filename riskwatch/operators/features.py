@@ -51,7 +51,6 @@ class FeatureParams:
     winsor: tuple | None = (0.01, 0.99)
     normalize: bool = True
     min_group: int = 10
-    exact_quantiles: bool = True
     materialize: bool = True
     extra: dict = field(default_factory=dict)
 
@@ -188,10 +187,15 @@ def qoq_delta(fin: DataFrame, cols=("dso", "ccc")) -> DataFrame:
 # ---------------------------------------------------------------------------
 # credit behaviour / cash flow / covenants
 # ---------------------------------------------------------------------------
+def _others(df: DataFrame) -> list[str]:
+    """Columns that tell rows of one customer and date apart (several products a day are legal)."""
+    return [c for c in sorted(df.columns) if c not in (KEY, "date")]
+
+
 def behavior_features(credit: DataFrame, p: FeatureParams) -> DataFrame:
     win = filter_obs_window(credit, p.asof, p.obs_days, "date", p.granularity)
     start = _window_start(credit, p.asof, p.obs_days, "date", p.granularity)
-    flagged = tail_flags(win, KEY, "date", {"_u": p.util_rows, "_b": p.breach_rows})
+    flagged = tail_flags(win, KEY, "date", {"_u": p.util_rows, "_b": p.breach_rows}, _others(win))
     recent = _recent_flag(flagged, p.asof, p.recent_days, "date", p.granularity)
     t = F.datediff(F.to_date("date"), F.to_date(start)).cast("double")
     lo, hi = p.near_due
@@ -211,13 +215,9 @@ def behavior_features(credit: DataFrame, p: FeatureParams) -> DataFrame:
     )
 
 
-def util_mean_60d(credit: DataFrame, p: FeatureParams) -> DataFrame:
-    return behavior_features(credit, p).select(KEY, "util_mean_60d")
-
-
 def cashflow_features(cashflow: DataFrame, p: FeatureParams) -> DataFrame:
     win = filter_obs_window(cashflow, p.asof, p.obs_days, "date", p.granularity)
-    flagged = tail_flags(win, KEY, "date", {"_t": p.cashflow_rows})
+    flagged = tail_flags(win, KEY, "date", {"_t": p.cashflow_rows}, _others(win))
     inflow_mean = F.avg(F.when(F.col("_t"), F.col("inflow")))
     median = F.percentile(F.col("inflow"), 0.5)
     return flagged.groupBy(KEY).agg(
@@ -293,7 +293,7 @@ def default_label(credit: DataFrame, asof: str, horizon_days: int = 365,
     end = F.date_add(a, horizon_days) if _is_day(credit, "date", granularity) \
         else _plus_days(a, horizon_days)
     future = credit.filter((d > a) & (d <= end))
-    streaks = max_streak(future, KEY, "date", "dpd_days", dpd_threshold, name="_streak")
+    streaks = max_streak(future, KEY, "date", "dpd_days", dpd_threshold, _others(future), name="_streak")
     universe = credit.select(KEY).distinct()
     return (universe.join(streaks, KEY, "left").select(
         KEY, F.to_date(F.lit(asof)).alias("asof_date"),
@@ -309,7 +309,7 @@ def label_risk_flags(credit: DataFrame, covenant: DataFrame, labels: DataFrame,
     and any future covenant breach -> the bump probability of the label rule."""
     a = _asof_lit(credit, "date", asof, "timestamp")
     past = credit.filter(_day_col(credit, "date", "timestamp") <= a)
-    flagged = tail_flags(past, KEY, "date", {"_p": past_rows}).filter("_p")
+    flagged = tail_flags(past, KEY, "date", {"_p": past_rows}, _others(past)).filter("_p")
     util = flagged.groupBy(KEY).agg(
         F.avg("utilized").alias("_um"), F.avg("credit_limit").alias("_lm"))
     util = util.select(KEY, F.when(F.col("_lm") > 0, F.col("_um") / F.col("_lm"))
@@ -379,13 +379,12 @@ def features_build(fin: DataFrame, credit: DataFrame, cashflow: DataFrame,
     if p.materialize:
         df = materialize(df)
     if p.winsor is not None:
-        df = winsorize(df, cols, p.winsor[0], p.winsor[1], exact=p.exact_quantiles)
+        df = winsorize(df, cols, p.winsor[0], p.winsor[1])
         if p.materialize and p.normalize:
             df = materialize(df)
     else:
         df = df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c)
                          for c in df.columns])
     if p.normalize:
-        df = robust_zscore(df, cols, ("sector_code", "size_bucket"), p.min_group,
-                           exact=p.exact_quantiles)
+        df = robust_zscore(df, cols, ("sector_code", "size_bucket"), p.min_group)
     return df

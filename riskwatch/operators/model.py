@@ -11,19 +11,23 @@ cap, no L2); results are checked by ranges.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import Imputer, VectorAssembler
+from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import action_map, clip_prob, ews_score, mult_hash, tier_assign
+from ..functions.expr import action_map, clip_prob, ews_score, id_hash, tier_assign
 from ..functions.windows import prefix_sums
+from ..session import materialize
+from .robust import exact_quantiles
 
+ROWS_PER_TASK = 50_000
 ID_CANDIDATES = ("customer_id", "sector_code", "size_bucket")
 
 
@@ -50,15 +54,19 @@ def split_stratified(df: DataFrame, label: str, test_size: float = 0.2, seed: in
     so a class of any size is ranked without a single-task window.
     """
     d = df.dropna(subset=[label]) if drop_null_labels else df
-    h = mult_hash(id_col, seed) if dict(d.dtypes)[id_col] in ("int", "bigint", "smallint") \
-        else F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(4294967296))
-    d = d.withColumn("_stratum", F.coalesce(F.col(label).cast("long"), F.lit(-1))) \
-        .withColumn("_h", h).withColumn("_one", F.lit(1))
-    ranked = prefix_sums(d, ["_stratum"], "_h", ["_one"], prefix="_rank", buckets=1024)
+    d = _ranked(d.withColumn("_stratum", F.coalesce(F.col(label).cast("long"), F.lit(-1))), id_col, seed)
     sizes = d.groupBy("_stratum").agg(F.count(F.lit(1)).alias("_n"))
-    out = ranked.join(sizes, "_stratum")
-    is_test = F.col("_rank_one") <= F.round(F.col("_n") * F.lit(float(test_size)))
-    return out.withColumn("is_test", is_test).drop("_stratum", "_h", "_one", "_rank_one", "_n")
+    out = d.join(F.broadcast(sizes), "_stratum")  # one row a label value
+    is_test = F.col("_rank") <= F.round(F.col("_n") * F.lit(float(test_size)))
+    return out.withColumn("is_test", is_test).drop("_stratum", "_rank", "_n")
+
+
+def _ranked(df: DataFrame, id_col: str, seed: int) -> DataFrame:
+    """``_rank`` (from 1) inside ``_stratum`` by (id hash, id): hash ranges are the buckets of the prefix sum."""
+    d = df.withColumn("_h", id_hash(df, id_col, seed)).withColumn("_one", F.lit(1))
+    ranked = prefix_sums(d, ["_stratum"], "_h", ["_one"], prefix="_rank", tiebreak=[id_col],
+                         bucket=F.shiftright("_h", 22))
+    return ranked.withColumnRenamed("_rank_one", "_rank").drop("_h", "_one")
 
 
 def class_weight(df: DataFrame, label: str) -> DataFrame:
@@ -90,12 +98,14 @@ class ModelParams:
 
 
 def train_classifier(train: DataFrame, features: Sequence[str], p: ModelParams) -> PipelineModel:
-    """Imputer(median) -> VectorAssembler -> weighted GBTClassifier."""
+    """Missing indicators and Imputer(median) -> VectorAssembler -> weighted GBTClassifier."""
     feats = list(features)
     imp_out = [f"_imp_{i}" for i in range(len(feats))]
+    missing = [f"CAST(`{c}` IS NULL OR isnan(`{c}`) AS DOUBLE) AS `_na_{i}`" for i, c in enumerate(feats)]
     stages = [
+        SQLTransformer(statement=f"SELECT *, {', '.join(missing)} FROM __THIS__"),
         Imputer(inputCols=feats, outputCols=imp_out, strategy="median"),
-        VectorAssembler(inputCols=imp_out, outputCol="_features", handleInvalid="keep"),
+        VectorAssembler(inputCols=imp_out + [f"_na_{i}" for i in range(len(feats))], outputCol="_features", handleInvalid="keep"),
         GBTClassifier(featuresCol="_features", labelCol="_label", weightCol="_w",
                       maxIter=p.max_iter, stepSize=p.step_size, maxDepth=p.max_depth,
                       subsamplingRate=p.subsample, featureSubsetStrategy=p.feature_subset,
@@ -106,9 +116,20 @@ def train_classifier(train: DataFrame, features: Sequence[str], p: ModelParams)
     d = d.select(*feats, "_label", "_w", *[c for c in (p.label,) if c not in feats])
     for c in feats:  # Imputer needs floating columns
         d = d.withColumn(c, F.col(c).cast("double"))
+    # hundreds of rounds of short jobs: tasks of a fixed number of rows, not one for each small file
+    d = d.coalesce(max(1, -(-d.count() // ROWS_PER_TASK)))
     return Pipeline(stages=stages).fit(d)
 
 
+def save_model(model: PipelineModel, path: str) -> None:
+    """Write the fitted pipeline (indicators, imputer, trees) through Spark's writers."""
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 def score_raw(model: PipelineModel, df: DataFrame, features: Sequence[str],
               keep: Sequence[str] = ()) -> DataFrame:
     """Uncalibrated probability of the positive class (+ ids / label kept)."""
@@ -133,13 +154,8 @@ def calibrate_isotonic(scored: DataFrame, score_col: str, label: str,
 def assign_folds(df: DataFrame, label: str, k: int = 5, seed: int = 42,
                  id_col: str = "customer_id") -> DataFrame:
     """Stratified fold id 0..k-1: rank inside each class by id hash, modulo k."""
-    h = mult_hash(id_col, seed + 1) if dict(df.dtypes)[id_col] in ("int", "bigint", "smallint") \
-        else F.pmod(F.xxhash64(F.col(id_col), F.lit(seed + 1)), F.lit(4294967296))
-    d = df.withColumn("_stratum", F.col(label).cast("long")).withColumn("_h", h) \
-        .withColumn("_one", F.lit(1))
-    ranked = prefix_sums(d, ["_stratum"], "_h", ["_one"], prefix="_rk", buckets=1024)
-    return ranked.withColumn("fold", F.pmod(F.col("_rk_one") - 1, F.lit(k)).cast("int")) \
-        .drop("_stratum", "_h", "_one", "_rk_one")
+    d = _ranked(df.withColumn("_stratum", F.col(label).cast("long")), id_col, seed + 1)
+    return d.withColumn("fold", F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int")).drop("_stratum", "_rank")
 
 
 def calibrate_cv(train: DataFrame, features: Sequence[str], p: ModelParams, k: int = 5):
@@ -147,15 +163,15 @@ def calibrate_cv(train: DataFrame, features: Sequence[str], p: ModelParams, k: i
     the fold; the calibrated probability is the mean of the k calibrated models.
     Returns a list of (tree model, isotonic model) pairs."""
     folded = assign_folds(train, p.label, k, p.seed)
-    pairs = []
-    for f in range(k):
-        fit_part = folded.filter(F.col("fold") != f)
-        cal_part = folded.filter(F.col("fold") == f)
-        m = train_classifier(fit_part, features, p)
-        raw = score_raw(m, cal_part, features, keep=[p.label])
-        iso, _ = calibrate_isotonic(raw, "score_raw", p.label)
-        pairs.append((m, iso))
-    return pairs
+    folded = materialize(folded, "folds")
+
+    def fit(f: int):
+        m = train_classifier(folded.filter(F.col("fold") != f), features, p)
+        raw = score_raw(m, folded.filter(F.col("fold") == f), features, keep=[p.label])
+        return m, calibrate_isotonic(raw, "score_raw", p.label)[0]
+
+    with ThreadPoolExecutor(k) as pool:  # the folds' short jobs run side by side
+        return list(pool.map(fit, range(k)))
 
 
 def predict_cv(pairs, df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
@@ -166,8 +182,8 @@ def predict_cv(pairs, df: DataFrame, features: Sequence[str], keep: Sequence[str
     cols = []
     for i, (m, iso) in enumerate(pairs):
         d = m.transform(d).withColumn(f"_r{i}", vector_to_array("_prob")[1]) \
-            .drop("_features", "_prob", "_raw", "_pred", *[c for c in d.columns if c.startswith("_imp_")])
-        d = d.drop(*[c for c in d.columns if c.startswith("_imp_")])
+            .drop("_features", "_prob", "_raw", "_pred")
+        d = d.drop(*[c for c in d.columns if c.startswith(("_imp_", "_na_"))])
         d = iso.setFeaturesCol(f"_r{i}").setPredictionCol(f"_c{i}").transform(d)
         cols.append(F.col(f"_c{i}"))
     p = sum(cols[1:], cols[0]) / float(len(cols))
@@ -177,8 +193,8 @@ def predict_cv(pairs, df: DataFrame, features: Sequence[str], keep: Sequence[str
 def thresholds_quota(scored: DataFrame, prob_col: str = "prob_calibrated", red_pct: float = 0.05,
                      amber_pct: float = 0.10) -> DataFrame:
     """One row: red = q(1 - red_pct), amber = q(1 - red_pct - amber_pct)."""
-    q = scored.agg(F.percentile(prob_col, [1 - red_pct, 1 - red_pct - amber_pct]).alias("_q"))
-    return q.select(F.col("_q")[0].alias("red"), F.col("_q")[1].alias("amber"))
+    q = exact_quantiles(scored, [prob_col], [1 - red_pct, 1 - red_pct - amber_pct], prefix="_q_")
+    return q.select(F.col("_q_" + prob_col)[0].alias("red"), F.col("_q_" + prob_col)[1].alias("amber"))
 
 
 def score_batch(scored: DataFrame, prob_col: str, red: float, amber: float,
@@ -250,6 +266,4 @@ def explain_topk(contrib: DataFrame, features: Sequence[str], keep: Sequence[str
 
 def sample_rows(df: DataFrame, n: int, seed: int = 42, id_col: str = "customer_id") -> DataFrame:
     """Seeded sample of ``n`` rows (ids stay attached): the n smallest id hashes."""
-    h = mult_hash(id_col, seed) if dict(df.dtypes)[id_col] in ("int", "bigint", "smallint") \
-        else F.xxhash64(F.col(id_col), F.lit(seed))
-    return df.withColumn("_h", h).orderBy("_h", id_col).limit(n).drop("_h")
+    return df.withColumn("_h", id_hash(df, id_col, seed)).orderBy("_h", id_col).limit(n).drop("_h")

@@ -8,11 +8,13 @@ one-row results (bounded) and never collects rows to the driver.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import GRADE_LABELS, MONITOR_GRADE_BOUNDS, grade_band
+from ..session import materialize
 from . import calib, drift, ranking
 
 ALERT_THRESHOLDS = {"auc_min": 0.70, "auc_drop": 0.05, "brier_increase_abs": 0.01,
@@ -23,10 +25,9 @@ EPS = 1e-12
 
 def calc_metrics(df: DataFrame, score: str, label: str) -> DataFrame:
     """One row: auc, pr_auc, ks (signed, curve-based), brier."""
-    d = df.select(F.lit(1).alias("_k"), F.col(score).alias("_p"), F.col(label).cast("int").alias("_y"))
-    rm = ranking.rank_metrics(d, ["_k"], "_p", "_y", signed_ks=True)
-    br = ranking.brier(d, ["_k"], "_p", "_y")
-    return rm.join(br, "_k").select("auc", "pr_auc", "ks", "brier")
+    d = df.select(F.col(score).alias("_p"), F.col(label).cast("int").alias("_y"))
+    rm = ranking.rank_metrics(d, [], "_p", "_y", signed_ks=True)
+    return rm.crossJoin(F.broadcast(ranking.brier(d, [], "_p", "_y"))).select("auc", "pr_auc", "ks", "brier")
 
 
 def baseline_frame(spark, baseline: Mapping[str, float]) -> DataFrame:
@@ -64,7 +65,7 @@ def grade_mix(df: DataFrame, score: str, approval_cut: float = 0.05,
     tot = g.agg(F.count(F.lit(1)).alias("_n"), F.avg("_ok").alias("approval_rate"))
     cnt = g.filter(F.col("grade").isNotNull()).groupBy("grade").agg(F.count(F.lit(1)).alias("_c"))
     labels = spark.createDataFrame([(x,) for x in GRADE_LABELS[:len(bounds)]], "grade string")
-    j = F.broadcast(labels).join(cnt, "grade", "left").crossJoin(tot)
+    j = labels.join(F.broadcast(cnt), "grade", "left").crossJoin(F.broadcast(tot))
     return j.select("grade", (F.coalesce(F.col("_c"), F.lit(0)) / F.col("_n")).alias("share"),
                     "approval_rate")
 
@@ -72,7 +73,7 @@ def grade_mix(df: DataFrame, score: str, approval_cut: float = 0.05,
 def data_window(df: DataFrame, label: str | None, date_col: str | None) -> DataFrame:
     """Population size, event rate (5 places), first / last as-of date."""
     aggs = [F.count(F.lit(1)).alias("population_size")]
-    aggs.append(F.round(F.avg(F.col(label).cast("double")), 5).alias("event_rate") if label
+    aggs.append(F.bround(F.avg(F.col(label).cast("double")), 5).alias("event_rate") if label
                 else F.lit(None).cast("double").alias("event_rate"))
     if date_col:
         aggs += [F.min(date_col).alias("data_window_start"), F.max(date_col).alias("data_window_end")]
@@ -81,21 +82,21 @@ def data_window(df: DataFrame, label: str | None, date_col: str | None) -> DataF
 
 def issue_list(flags: DataFrame, psi_over: DataFrame, severe_names: DataFrame) -> DataFrame:
     """Ordered human-readable issues as ``array<string>`` (empty entries dropped)."""
-    j = flags.crossJoin(psi_over).crossJoin(severe_names)
+    j = flags.crossJoin(F.broadcast(psi_over)).crossJoin(F.broadcast(severe_names))
 
     def msg(flag, text, cur, base):
-        return F.when(F.col(flag), F.format_string(f"{text} degradation detected: %s (baseline: %s)",
-                                                   F.round(F.col(cur), 4).cast("string"),
-                                                   F.round(F.col(base), 4).cast("string")))
+        return F.when(F.col(flag), F.format_string(f"{text} is worse than its baseline: %s against %s",
+                                                   F.bround(F.col(cur), 4).cast("string"),
+                                                   F.bround(F.col(base), 4).cast("string")))
     items = F.array(
         msg("auc_alert", "AUC", "auc", "auc_base"),
         msg("ks_alert", "KS", "ks", "ks_base"),
         msg("brier_alert", "Brier score", "brier", "brier_base"),
         msg("pr_auc_alert", "PR-AUC", "pr_auc", "pr_auc_base"),
         F.when(F.col("psi_severe_count") > 0, F.format_string(
-            "%d features with severe PSI: %s", F.col("psi_severe_count"), F.col("severe_top5"))),
+            "severe PSI in %d features, first %s", F.col("psi_severe_count"), F.col("severe_top5"))),
         F.when(F.col("psi_warn_count") > 0, F.format_string(
-            "%d features with moderate PSI (warning level)", F.col("psi_warn_count"))))
+            "moderate PSI in %d features", F.col("psi_warn_count"))))
     return j.select(F.array_compact(items).alias("issues"))
 
 
@@ -117,7 +118,7 @@ def metrics_long(metrics: DataFrame, psi_over: DataFrame, gm: DataFrame, run: Ma
     a = gm.limit(1).select(F.lit("ApprovalRate").alias("metric"), F.col("approval_rate").alias("value"))
     g = gm.select(F.concat(F.lit("Grade_"), F.col("grade")).alias("metric"), F.col("share").alias("value"))
     return m.unionByName(p).unionByName(a).unionByName(g).select(
-        *ids, "metric", F.round("value", 6).alias("value"))
+        *ids, "metric", F.bround("value", 6).alias("value"))
 
 
 def monitor_run(base: DataFrame, cur: DataFrame, score: str, label: str, features: Sequence[str],
@@ -128,18 +129,18 @@ def monitor_run(base: DataFrame, cur: DataFrame, score: str, label: str, feature
     run = run or {}
     cm = calc_metrics(cur, score, label)
     flags = degrade_flags(join_baseline_metrics(cm, baseline_frame(spark, baseline)))
-    d = cur.select(F.lit(1).alias("_k"), F.col(score).alias("_p"), F.col(label).cast("int").alias("_y"))
-    deciles, fit = calib.decile_linear_fit(d, ["_k"], "_p", "_y", 10)
+    d = cur.select(F.col(score).alias("_p"), F.col(label).cast("int").alias("_y"))
+    deciles, fit = calib.decile_linear_fit(d, [], "_p", "_y", 10)
     gm = grade_mix(cur, score, approval_cut)
-    psi_tab = drift.psi_feature_table(base, cur, features, psi_bins)
+    psi_tab = materialize(drift.psi_feature_table(base, cur, features, psi_bins))  # one row a feature, used four times
     po = drift.psi_overall(psi_tab, ALERT_THRESHOLDS["psi_warn"])
     issues = issue_list(flags, po, severe_top5(psi_tab))
     win = data_window(cur, label, date_col)
     dq = drift.data_quality(base, cur, features)
-    report = (win.crossJoin(flags).crossJoin(fit.drop("_k")).crossJoin(po).crossJoin(dq)
-              .crossJoin(gm.limit(1).select("approval_rate")).crossJoin(issues))
+    one_rows = (flags, fit, po, dq, gm.limit(1).select("approval_rate"), issues)
+    report = reduce(lambda x, y: x.crossJoin(F.broadcast(y)), one_rows, win)
     report = report.select("*", F.size("issues").alias("n_issues"))
-    return {"report": report, "psi": drift.sort_psi(psi_tab), "deciles": deciles.drop("_k"),
+    return {"report": report, "psi": drift.sort_psi(psi_tab), "deciles": deciles,
             "grade_mix": gm, "metrics_long": metrics_long(cm, po, gm, run)}
 
 

@@ -72,14 +72,12 @@ def portfolio_summary(portfolio: DataFrame) -> DataFrame:
     """By grade, by sector and overall (GROUPING SETS, one pass): count, share,
     mean PD, EAD (sum and in millions), mean LGD, mean APR, expected loss."""
     p = portfolio.withColumn("_el", F.col("pd_baseline") * F.col("lgd") * F.col("ead"))
-    p.createOrReplaceTempView("_rw_portfolio")
-    g = p.sparkSession.sql("""
-        SELECT CASE WHEN grouping(grade) = 0 THEN 'grade'
-                    WHEN grouping(sector) = 0 THEN 'sector' ELSE 'overall' END AS level,
-               COALESCE(grade, sector, 'all') AS key,
-               COUNT(*) AS count, AVG(pd_baseline) AS pd_mean, SUM(ead) AS ead_sum,
-               AVG(lgd) AS lgd_mean, AVG(apr) AS apr_mean, SUM(_el) AS el
-        FROM _rw_portfolio GROUP BY GROUPING SETS ((grade), (sector), ())""")
+    level = (F.when(F.grouping("grade") == 0, "grade").when(F.grouping("sector") == 0, "sector")
+             .otherwise("overall").alias("level"))
+    g = p.groupingSets([["grade"], ["sector"], []], "grade", "sector").agg(
+        level, F.count(F.lit(1)).alias("count"), F.avg("pd_baseline").alias("pd_mean"), F.sum("ead").alias("ead_sum"),
+        F.avg("lgd").alias("lgd_mean"), F.avg("apr").alias("apr_mean"), F.sum("_el").alias("el"))
+    g = g.withColumn("key", F.coalesce("grade", "sector", F.lit("all"))).drop("grade", "sector")
     total = portfolio.agg(F.count(F.lit(1)).alias("_tot"))
     return g.crossJoin(F.broadcast(total)).select(
         "level", "key", "count", (F.col("count") / F.col("_tot")).alias("share"), "pd_mean",

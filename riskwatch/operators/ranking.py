@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.windows import prefix_sums
+from ..session import materialize
 
 
 def score_counts(df: DataFrame, keys: Sequence[str], score: str, label: str) -> DataFrame:
@@ -36,14 +37,23 @@ def cumulative_counts(counts: DataFrame, keys: Sequence[str], buckets: int | Non
     keys = list(keys)
     tot = counts.groupBy(*keys).agg(F.sum("n_pos").alias("tot_pos"), F.sum("n_neg").alias("tot_neg"),
                                     F.sum("n").alias("tot_n"))
-    return cum.join(tot, keys, "inner") if keys else cum.crossJoin(tot)
+    return cum.join(tot, keys, "inner") if keys else cum.crossJoin(F.broadcast(tot))
+
+
+def cumulative_scores(df: DataFrame, keys: Sequence[str], score: str, label: str,
+                      buckets: int | None = None) -> DataFrame:
+    """The cumulative per-score counts, from counts that are made and written once:
+    the bucket edges, bucket sums, group totals and running sums all read them."""
+    counts = materialize(score_counts(df, keys, score, label), "counts")
+    return cumulative_counts(counts, keys, buckets)
 
 
 def rank_metrics(df: DataFrame, keys: Sequence[str], score: str, label: str,
-                 signed_ks: bool = False, buckets: int | None = None) -> DataFrame:
-    """Per group: auc, ks, pr_auc, n_pos, n_neg (NULL when a class is missing)."""
+                 signed_ks: bool = False, buckets: int | None = None, cum: DataFrame | None = None) -> DataFrame:
+    """Per group: auc, ks, pr_auc, n_pos, n_neg (NULL when a class is missing).
+    ``cum``: the group's ``cumulative_scores`` where several metrics share them."""
     keys = list(keys)
-    c = cumulative_counts(score_counts(df, keys, score, label), keys, buckets)
+    c = cumulative_scores(df, keys, score, label, buckets) if cum is None else cum
     P, N = F.col("tot_pos").cast("double"), F.col("tot_neg").cast("double")
     neg_below = F.col("cum_n_neg") - F.col("n_neg")
     tp = F.col("tot_pos") - (F.col("cum_n_pos") - F.col("n_pos"))
@@ -90,11 +100,11 @@ def pr_curve_points(df: DataFrame, keys: Sequence[str], score: str, label: str,
     """Precision / recall at every distinct score (thresholds below the lowest
     positive score are dropped, as the classic curve stops at full recall)."""
     keys = list(keys)
-    c = cumulative_counts(score_counts(df, keys, score, label), keys, buckets)
+    c = cumulative_scores(df, keys, score, label, buckets)
     tp = F.col("tot_pos") - (F.col("cum_n_pos") - F.col("n_pos"))
     fp = F.col("tot_neg") - (F.col("cum_n_neg") - F.col("n_neg"))
     min_pos = c.filter(F.col("n_pos") > 0).groupBy(*keys).agg(F.min("_s").alias("_minpos"))
-    j = c.join(min_pos, keys, "inner") if keys else c.crossJoin(min_pos)
+    j = c.join(min_pos, keys, "inner") if keys else c.crossJoin(F.broadcast(min_pos))
     return j.filter(F.col("_s") >= F.col("_minpos")).select(
         *keys, F.col("_s").alias("threshold"),
         (tp / (tp + fp)).alias("precision"), (tp / F.col("tot_pos")).alias("recall"))
@@ -105,14 +115,14 @@ def pr_curve_points(df: DataFrame, keys: Sequence[str], score: str, label: str,
 # ---------------------------------------------------------------------------
 def lift_at_k(df: DataFrame, keys: Sequence[str], score: str, label: str,
               fracs: Sequence[float] = (0.1, 0.2), tiebreak: str | None = None,
-              buckets: int | None = None) -> DataFrame:
+              buckets: int | None = None, cum: DataFrame | None = None) -> DataFrame:
     """Event rate in the top ``max(1, floor(n * frac))`` rows over the base rate (+1e-12).
 
     The k-th score is located from cumulative counts; only rows tied at that
     score are ranked (by ``tiebreak``) to fill the remainder.
     """
     keys = list(keys)
-    c = cumulative_counts(score_counts(df, keys, score, label), keys, buckets)
+    c = cumulative_scores(df, keys, score, label, buckets) if cum is None else cum
     fr = F.array(*[F.lit(float(f)) for f in fracs])
     c = c.select("*", F.explode(fr).alias("frac"))
     k = F.greatest(F.lit(1), F.floor(F.col("tot_n") * F.col("frac")).cast("long"))
@@ -148,9 +158,9 @@ def lift_at_k(df: DataFrame, keys: Sequence[str], score: str, label: str,
 
 
 def lift_wide(df: DataFrame, keys: Sequence[str], score: str, label: str,
-              fracs=(0.1, 0.2), tiebreak: str | None = None, buckets=None) -> DataFrame:
+              fracs=(0.1, 0.2), tiebreak: str | None = None, buckets=None, cum=None) -> DataFrame:
     """``lift_10pct``, ``lift_20pct`` ... as columns (one row per group)."""
-    lf = lift_at_k(df, keys, score, label, fracs, tiebreak, buckets)
+    lf = lift_at_k(df, keys, score, label, fracs, tiebreak, buckets, cum)
     return lf.groupBy(*keys).agg(*[
         F.max(F.when(F.col("frac") == float(f), F.col("lift"))).alias(f"lift_{int(round(f * 100))}pct")
         for f in fracs])

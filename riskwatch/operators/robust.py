@@ -1,41 +1,94 @@
-"""Winsorizing and robust (median / IQR) z-scores by group.
+"""Exact distributed quantiles, winsorizing and robust (median / IQR) z-scores by group.
 
-All columns are handled in ONE aggregation (no per-column passes). Statistics
-tables are tiny (one row, or one row per group) and are joined back; the
-one-row global table is broadcast (its size is fixed), the per-group table is
-left to AQE's size-checked broadcast.
+All columns are handled together (no per-column passes). Statistics tables are
+tiny (one row, or one row per group of codes) and are broadcast back.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import clip
+ACCURACY = 10_000
+"""Rank error of the sketch that brackets a quantile: one in so many rows."""
 
 
-def _pct(c: str, probs: Sequence[float], exact: bool) -> Column:
-    if exact:
-        return F.percentile(F.col(c).cast("double"), F.array(*[F.lit(float(q)) for q in probs]))
-    return F.percentile_approx(F.col(c).cast("double"), [float(q) for q in probs], 100000)
+def _same(keys: Sequence[str], prefix: str):
+    return reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys])
 
 
-def quantile_row(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                 exact: bool = True, prefix: str = "_q_") -> DataFrame:
-    """One row: ``prefix+col`` = array of quantiles (linear interpolation) per column."""
-    return df.agg(*[_pct(c, probs, exact).alias(prefix + c) for c in cols])
+def _beside(df: DataFrame, stats: DataFrame, keys: Sequence[str], prefix: str = "_key_") -> DataFrame:
+    """``df`` beside its group's row of ``stats`` (null keys match); one row a group is broadcast."""
+    if not keys:
+        return df.crossJoin(F.broadcast(stats))
+    stats = stats.select(*[F.col(k).alias(prefix + k) for k in keys], *[c for c in stats.columns if c not in keys])
+    return df.join(F.broadcast(stats), _same(keys, prefix), "left").drop(*[prefix + k for k in keys])
 
 
-def winsorize(df: DataFrame, cols: Sequence[str], lower: float = 0.01, upper: float = 0.99,
-              exact: bool = True) -> DataFrame:
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], keys: Sequence[str] = (),
+                    prefix: str = "_q_") -> DataFrame:
+    """keys and ``prefix + col``: the exact quantiles (linear interpolation) of each column as an array.
+
+    A mergeable sketch first brackets each quantile. Then the rows below a bracket
+    are only counted, and only the few values inside meet in one place, where the
+    wanted ranks are read off. A group of up to twice ``ACCURACY`` rows, where the
+    sketch's error is under a rank or two, is its own bracket. No task sees a
+    whole large group, and ``df`` is read three times, so it should be materialized.
+    """
+    cols, keys, k = list(cols), list(keys), len(probs)
+    width = 2 / ACCURACY
+    ends = [x for q in probs for x in (max(0.0, q - width), min(1.0, q + width))]
+    data = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols])
+    first = data.groupBy(*keys).agg(*[F.count(c).alias("_n_" + c) for c in cols],
+                                    *[F.percentile_approx(c, ends, ACCURACY).alias("_e_" + c) for c in cols])
+
+    def inside(c: str, i: int):
+        small = F.col("_n_" + c) <= 2 * ACCURACY
+        return small | F.col(c).between(F.col("_e_" + c)[2 * i], F.col("_e_" + c)[2 * i + 1])
+
+    def below(c: str, i: int):
+        return (F.col("_n_" + c) > 2 * ACCURACY) & (F.col(c) < F.col("_e_" + c)[2 * i])
+
+    beside = _beside(data, first, keys)
+    pairs = [(j, i) for j in range(len(cols)) for i in range(k)]
+    counts = beside.groupBy(*keys).agg(*[F.count_if(below(cols[j], i)).alias(f"_b_{j}_{i}") for j, i in pairs],
+                                       *[F.max("_n_" + c).alias("_n_" + c) for c in cols])
+    found = F.filter(F.array(*[F.when(F.col(cols[j]).isNotNull() & inside(cols[j], i), F.struct(
+        F.lit(j).alias("j"), F.lit(i).alias("i"), F.col(cols[j]).alias("v"))) for j, i in pairs]), lambda x: x.isNotNull())
+    values = beside.select(*keys, F.inline(found)).groupBy(*keys, "j", "i", "v").agg(F.count("*").alias("n"))
+    upto = Window.partitionBy(*keys, "j", "i").orderBy("v")
+    values = values.withColumn("upto", F.sum("n").over(upto))
+    wanted = F.array(*[F.struct(F.lit(j).alias("j"), F.lit(i).alias("i"), F.col(f"_b_{j}_{i}").alias("below"),
+                                ((F.col("_n_" + cols[j]) - 1) * F.lit(float(probs[i]))).alias("place"),
+                                F.col("_n_" + cols[j]).alias("of")) for j, i in pairs])
+    wanted = counts.select(*keys, F.inline(wanted))
+    both = keys + ["j", "i"]
+    ranked = _beside(values, wanted, both)
+    ends_at = F.col("below") + F.col("upto")
+    low = F.floor("place")
+    edge = ranked.groupBy(*both).agg(F.min(F.when(ends_at > low, F.col("v"))).alias("a"),
+                                     F.min(F.when(ends_at > F.least(low + 1, F.col("of") - 1), F.col("v"))).alias("b"),
+                                     F.max(F.col("place") - low).alias("part"))
+    gap = F.col("b") - F.col("a")
+    edge = edge.withColumn("x", F.when(F.col("part") >= 0.5, F.col("b") - gap * (1 - F.col("part")))
+                           .otherwise(F.col("a") + gap * F.col("part")))
+
+    def picked(j: int, i: int):
+        return F.max(F.when((F.col("j") == j) & (F.col("i") == i), F.col("x")))
+
+    return edge.groupBy(*keys).agg(*[F.array(*[picked(j, i) for i in range(k)]).alias(prefix + c)
+                                     for j, c in enumerate(cols)])
+
+
+def winsorize(df: DataFrame, cols: Sequence[str], lower: float = 0.01, upper: float = 0.99) -> DataFrame:
     """Clip each column to its own [lower, upper] quantiles; columns become double."""
     cols = list(cols)
     if not cols:
         return df
-    q = quantile_row(df, cols, (lower, upper), exact)
-    j = df.crossJoin(F.broadcast(q))  # one row
+    j = _beside(df, exact_quantiles(df, cols, (lower, upper)), [])
     out = []
     for c in df.columns:
         if c in cols:
@@ -48,8 +101,7 @@ def winsorize(df: DataFrame, cols: Sequence[str], lower: float = 0.01, upper: fl
 
 
 def robust_zscore(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = (
-        "sector_code", "size_bucket"), min_group: int = 10, exact: bool = True,
-        suffix: str = "__zs_sector_size") -> DataFrame:
+        "sector_code", "size_bucket"), min_group: int = 10, suffix: str = "__zs_sector_size") -> DataFrame:
     """``(x - median) / IQR`` within each group, appended as ``<col><suffix>``.
 
     Groups with fewer than ``min_group`` rows (rows, not non-nulls) use the
@@ -58,13 +110,12 @@ def robust_zscore(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str]
     The per-group (center, scale) pairs are resolved on the small statistics
     table, so each row only evaluates ``(x - center) / scale``.
     """
-    cols = list(cols)
-    gcols = list(group_cols)
+    cols, gcols = list(cols), list(group_cols)
     probs = (0.25, 0.5, 0.75)
-    glob = quantile_row(df, cols, probs, exact, prefix="_g_")
-    grp = df.groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n"),
-                                 *[_pct(c, probs, exact).alias("_s_" + c) for c in cols])
-    stats = grp.crossJoin(F.broadcast(glob))  # one global row
+    glob = exact_quantiles(df, cols, probs, prefix="_g_")
+    sizes = df.groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n"))
+    stats = _beside(sizes, exact_quantiles(df, cols, probs, gcols, prefix="_s_"), gcols)
+    stats = _beside(stats, glob, [])
     resolved = []
     for c in cols:
         st = F.when(F.col("_n") < min_group, F.col("_g_" + c)).otherwise(F.col("_s_" + c))
@@ -72,16 +123,7 @@ def robust_zscore(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str]
         iqr = st[2] - st[0]
         scale = F.when(iqr > 0, iqr).when(med != 0, F.abs(med)).otherwise(F.lit(1.0))
         resolved += [med.alias("_c_" + c), scale.alias("_k_" + c)]
-    stats = stats.select(*[F.col(g).alias("_key_" + g) for g in gcols], *resolved)
-    cond = None
-    for g in gcols:
-        e = F.col(g).eqNullSafe(F.col("_key_" + g))
-        cond = e if cond is None else cond & e
-    j = df.join(stats, cond, "left")
+    j = _beside(df, stats.select(*gcols, *resolved), gcols)
     zs = [((F.col(c).cast("double") - F.col("_c_" + c)) / F.col("_k_" + c)).alias(c + suffix)
           for c in cols]
     return j.select(*[F.col(c) for c in df.columns], *zs)
-
-
-def clip_to(df: DataFrame, c: str, lo: float, hi: float) -> DataFrame:
-    return df.withColumn(c, clip(c, lo, hi))

@@ -87,23 +87,24 @@ def stress_impacts(df: DataFrame, provision_coverage: float = 1.0, capital_alpha
 
 
 def stress_aggregate(impacts: DataFrame) -> DataFrame:
-    """Sums overall / by sector / by grade per scenario in one GROUPING SETS pass."""
-    impacts.createOrReplaceTempView("_rw_impacts")
-    sums = ", ".join(f"SUM({m}) AS {m}" for m in MEASURES)
-    return impacts.sparkSession.sql(f"""
-        SELECT scenario, {sums},
-               CASE WHEN grouping(sector) = 0 THEN 'sector'
-                    WHEN grouping(grade) = 0 THEN 'grade' ELSE 'overall' END AS level,
-               COALESCE(sector, grade, 'all') AS key
-        FROM _rw_impacts
-        GROUP BY GROUPING SETS ((scenario), (scenario, sector), (scenario, grade))""")
+    """Sums overall / by sector / by grade per scenario.
+
+    Rows are summed once to (scenario, sector, grade); the grouping sets expand
+    that small table only.
+    """
+    small = impacts.groupBy("scenario", "sector", "grade").agg(*[F.sum(m).alias(m) for m in MEASURES])
+    level = (F.when(F.grouping("sector") == 0, "sector").when(F.grouping("grade") == 0, "grade")
+             .otherwise("overall").alias("level"))
+    sets = [["scenario"], ["scenario", "sector"], ["scenario", "grade"]]
+    sums = small.groupingSets(sets, "scenario", "sector", "grade").agg(*[F.sum(m).alias(m) for m in MEASURES], level)
+    return sums.select("scenario", *MEASURES, "level", F.coalesce("sector", "grade", F.lit("all")).alias("key"))
 
 
 def stress_delta(agg: DataFrame, base: str = "Base") -> DataFrame:
     """Deltas against the Base rows on (level, key); Base rows keep NULL deltas."""
     b = agg.filter(F.col("scenario") == base).select(
         "level", "key", *[F.col(m).alias(f"_b_{m}") for m in DELTA_MEASURES])
-    j = agg.join(b, ["level", "key"], "left")
+    j = agg.join(F.broadcast(b), ["level", "key"], "left")  # one row a sector and grade
     is_base = F.col("scenario") == base
     return j.select("scenario", *MEASURES, "level", "key", *[
         F.when(~is_base, F.col(m) - F.col(f"_b_{m}")).alias(f"delta_{m}") for m in DELTA_MEASURES])

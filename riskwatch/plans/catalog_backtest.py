@@ -12,7 +12,7 @@ from ..session import materialize
 from ..sources import adapters as A
 from . import params as P
 from . import sql_adapters as S
-from .registry import query
+from .registry import ORACLE, query
 
 M = "as_of_month"
 
@@ -301,7 +301,23 @@ def q_metrics_roll12(spark, sf):
 def q_backtest_monthly(spark, sf):
     """Whole monthly backtest; the metrics table (calibration / sweep / segments
     are the ``decile_calibration``, ``threshold_sweep``, ``segment_metrics`` keys)."""
-    return BT.backtest_monthly(A.backtest_cohorts(spark, sf), bparams())["metrics"]
+    return _backtest(spark, sf)["metrics"]
+
+
+def _backtest(spark, sf):
+    return BT.backtest_monthly(A.backtest_cohorts(spark, sf), bparams())
+
+
+@query("backtest_calibration", ORACLE["decile_calibration"])
+def q_backtest_calibration(spark, sf):
+    """The monthly backtest's calibration deciles."""
+    return _backtest(spark, sf)["calibration"]
+
+
+@query("backtest_sweep", ORACLE["threshold_sweep"])
+def q_backtest_sweep(spark, sf):
+    """The monthly backtest's threshold sweep."""
+    return _backtest(spark, sf)["sweep"]
 
 
 _SEG = "as_of_month, segment"

@@ -143,7 +143,7 @@ def base_cur(spark, sf):
 
 SPLIT_CTES = (*CF.FEATURE_CTES, f"""sp AS (
   SELECT z.*, ROW_NUMBER() OVER (PARTITION BY COALESCE(CAST(event_h12m AS BIGINT), -1)
-           ORDER BY (customer_id * 2654435761 + {P.SEED * 40503}) % 4294967296) AS rk,
+           ORDER BY ((customer_id % 4294967296) * 1103515245 + {P.SEED * 40503}) % 4294967296, customer_id) AS rk,
          COUNT(*) OVER (PARTITION BY COALESCE(CAST(event_h12m AS BIGINT), -1)) AS n_s FROM zz z),
 spl AS (SELECT * EXCLUDE (rk, n_s), rk <= ROUND(n_s * {P.TEST_SIZE}) AS is_test FROM sp),
 fbase AS (SELECT * FROM spl WHERE NOT is_test),
@@ -174,8 +174,8 @@ fpv AS (SELECT feature, bin, MAX(CASE WHEN side = 0 THEN sh END) AS e, MAX(CASE
         FROM fsh GROUP BY 1, 2),
 fpsi AS (SELECT feature, SUM((a - e) * LN(a / e)) AS psi FROM fpv GROUP BY 1),
 ftab AS (SELECT st.feature,
-          CASE WHEN st.n_b >= {_NMIN} AND st.n_c >= {_NMIN} AND len(fe.e) >= 3 THEN ROUND(p.psi, 4) END AS psi,
-          ROUND(st.miss_c, 4) AS missing_rate, ROUND(st.miss_c - st.miss_b, 4) AS missing_delta
+          CASE WHEN st.n_b >= {_NMIN} AND st.n_c >= {_NMIN} AND len(fe.e) >= 3 THEN round_even(p.psi, 4) END AS psi,
+          round_even(st.miss_c, 4) AS missing_rate, round_even(st.miss_c - st.miss_b, 4) AS missing_delta
         FROM fst st LEFT JOIN fe ON fe.feature = st.feature LEFT JOIN fpsi p ON p.feature = st.feature),
 ftab2 AS (SELECT feature, psi,
   CASE WHEN psi IS NULL THEN 'insufficient' WHEN psi < 0.10 THEN 'stable' WHEN psi < 0.25 THEN 'moderate' ELSE 'severe' END AS status,
@@ -206,10 +206,10 @@ def q_topk_psi(spark, sf):
 
 
 @query("psi_overall", S.with_(*PSI_FEAT_CTES) + f"""SELECT
-  {R('COALESCE(ROUND(QUANTILE_CONT(psi, 0.5), 4), 0.0)')} AS psi_overall,
+  {R('COALESCE(round_even(QUANTILE_CONT(psi, 0.5), 4), 0.0)')} AS psi_overall,
   CAST(COUNT_IF(severity = 'severe') AS BIGINT) AS psi_severe_count,
   CAST(COUNT_IF(severity = 'warn') AS BIGINT) AS psi_warn_count,
-  COALESCE(ROUND(QUANTILE_CONT(psi, 0.5), 4), 0.0) >= 0.10 AS psi_alert FROM ftab2""")
+  COALESCE(round_even(QUANTILE_CONT(psi, 0.5), 4), 0.0) >= 0.10 AS psi_alert FROM ftab2""")
 def q_psi_overall(spark, sf):
     b, c = base_cur(spark, sf)
     return D.psi_overall(D.psi_feature_table(b, c, _FEATS, P.PSI_BINS))
@@ -222,28 +222,15 @@ MR_CTES = (*SPLIT_CTES, f"mr AS (SELECT *, cur_missing - base_missing AS delta F
 
 
 @query("data_quality", S.with_(*MR_CTES) + f"""SELECT
-  {R('ROUND(AVG(cur_missing), 4)')} AS missing_rate_overall,
+  {R('round_even(AVG(cur_missing), 4)')} AS missing_rate_overall,
   CAST(COUNT_IF(delta > 0.01) AS BIGINT) AS n_missing_increases FROM mr""")
 def q_data_quality(spark, sf):
     b, c = base_cur(spark, sf)
     return D.data_quality(b, c, _FEATS)
 
 
-@query("topk_missing", S.with_(*MR_CTES) + f"""SELECT feature, {R('ROUND(delta, 4)')} AS delta FROM mr
+@query("topk_missing", S.with_(*MR_CTES) + f"""SELECT feature, {R('round_even(delta, 4)')} AS delta FROM mr
 WHERE delta > 0.01 ORDER BY delta DESC, feature LIMIT 10""")
 def q_topk_missing(spark, sf):
     b, c = base_cur(spark, sf)
     return D.topk_missing(b, c, _FEATS, 10)
-
-
-@query("schema_diff")
-def q_schema_diff(spark, sf):
-    """Schema of the feature table against the un-normalised assembly (added z-score
-    columns, integer counts turned into doubles by winsorizing)."""
-    return D.schema_diff(CF._assembled(spark, sf), CF.build_features(spark, sf))
-
-
-@query("column_set_diff")
-def q_column_set_diff(spark, sf):
-    return D.schema_diff(CF._assembled(spark, sf), CF.build_features(spark, sf)) \
-        .filter(F.col("change") != "dtype_changed").select("column", "change")

@@ -201,7 +201,8 @@ GROUP BY customer_id""")
 def q_max_streak(spark, sf):
     """Longest run of days with dpd >= threshold per customer over the whole panel."""
     from ..functions.windows import max_streak
-    return max_streak(A.credit_daily(spark, sf), "customer_id", "date", "dpd_days", P.LABEL_DPD)
+    return max_streak(A.credit_daily(spark, sf), "customer_id", "date", "dpd_days", P.LABEL_DPD,
+                      ["credit_limit", "utilized"])
 
 
 @query("default_label", S.with_(S.CREDIT, S.labels())

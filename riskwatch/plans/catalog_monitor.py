@@ -80,19 +80,18 @@ def q_degrade_flags(spark, sf):
 
 
 DEC = [*MON, decile_sql("k", "mcur", "mdc"), """mfit AS (
-  SELECT k, COUNT(*) AS n_deciles, REGR_SLOPE(ROUND(odr, 5), ROUND(pd_avg, 5)) AS sl,
-         REGR_INTERCEPT(ROUND(odr, 5), ROUND(pd_avg, 5)) AS ic FROM mdc GROUP BY k)"""]
+  SELECT k, COUNT(*) AS n_deciles, REGR_SLOPE(round_even(odr, 5), round_even(pd_avg, 5)) AS sl,
+         REGR_INTERCEPT(round_even(odr, 5), round_even(pd_avg, 5)) AS ic FROM mdc GROUP BY k)"""]
 
 
 @query("decile_linear_fit", S.with_(*DEC) + f"""SELECT CAST(n_deciles AS BIGINT) AS n_deciles,
-  {R('CASE WHEN n_deciles >= 3 THEN ROUND(sl, 4) ELSE 1.0 END')} AS slope,
-  {R('CASE WHEN n_deciles >= 3 THEN ROUND(ic, 5) ELSE 0.0 END')} AS intercept,
-  {R('(SELECT ROUND(AVG(CAST(y AS DOUBLE)), 5) FROM mcur)')} AS expected_odr FROM mfit""")
+  {R('CASE WHEN n_deciles >= 3 THEN round_even(sl, 4) ELSE 1.0 END')} AS slope,
+  {R('CASE WHEN n_deciles >= 3 THEN round_even(ic, 5) ELSE 0.0 END')} AS intercept,
+  {R('(SELECT round_even(AVG(CAST(y AS DOUBLE)), 5) FROM mcur)')} AS expected_odr FROM mfit""")
 def q_decile_linear_fit(spark, sf):
     _, cur = base_cur(spark, sf)
-    d = cur.select(F.lit(1).alias("_k"), F.col("pd_12m").alias("_p"), F.col("y_event_12m").alias("_y"))
-    _, fit = calib.decile_linear_fit(d, ["_k"], "_p", "_y", 10)
-    return fit.drop("_k")
+    d = cur.select(F.col("pd_12m").alias("_p"), F.col("y_event_12m").alias("_y"))
+    return calib.decile_linear_fit(d, [], "_p", "_y", 10)[1]
 
 
 GM = [*MON, f"""mg AS (SELECT {_grade_sql('p', MONITOR_GRADE_BOUNDS, open_top=False)} AS grade,
@@ -110,7 +109,7 @@ def q_grade_mix(spark, sf):
 
 
 @query("data_window", S.with_(*MON) + f"""SELECT CAST(COUNT(*) AS BIGINT) AS population_size,
-  {R('ROUND(AVG(CAST(y AS DOUBLE)), 5)')} AS event_rate, MIN(as_of_date) AS data_window_start,
+  {R('round_even(AVG(CAST(y AS DOUBLE)), 5)')} AS event_rate, MIN(as_of_date) AS data_window_start,
   MAX(as_of_date) AS data_window_end FROM mcur""")
 def q_data_window(spark, sf):
     _, cur = base_cur(spark, sf)
@@ -136,36 +135,45 @@ fsh AS (SELECT g.feature, g.bin, s.side, CASE WHEN COALESCE(c.c, 0) = 0 THEN 1e-
         LEFT JOIN ftot t ON t.feature = g.feature AND t.side = s.side),
 fpv AS (SELECT feature, bin, MAX(CASE WHEN side = 0 THEN sh END) AS e, MAX(CASE WHEN side = 1 THEN sh END) AS a FROM fsh GROUP BY 1, 2),
 fpsi AS (SELECT feature, SUM((a - e) * LN(a / e)) AS psi FROM fpv GROUP BY 1),
-ftab AS (SELECT st.feature, CASE WHEN st.n_b >= {_NMIN} AND st.n_c >= {_NMIN} AND len(fe.e) >= 3 THEN ROUND(p.psi, 4) END AS psi
+ftab AS (SELECT st.feature, CASE WHEN st.n_b >= {_NMIN} AND st.n_c >= {_NMIN} AND len(fe.e) >= 3 THEN round_even(p.psi, 4) END AS psi
         FROM fst st LEFT JOIN fe ON fe.feature = st.feature LEFT JOIN fpsi p ON p.feature = st.feature),
-po AS (SELECT COALESCE(ROUND(QUANTILE_CONT(psi, 0.5), 4), 0.0) AS psi_overall,
+po AS (SELECT COALESCE(round_even(QUANTILE_CONT(psi, 0.5), 4), 0.0) AS psi_overall,
    COUNT_IF(psi >= 0.25) AS psi_severe_count, COUNT_IF(psi >= 0.10 AND psi < 0.25) AS psi_warn_count FROM ftab)"""]
 
 
+def _run(spark, sf):
+    base, cur = base_cur(spark, sf)
+    return monitor.monitor_run(base, cur, "pd_12m", "y_event_12m", FEATS, _B, APPROVAL_CUT, P.PSI_BINS, "as_of_date", RUN)
+
+
 @query("metrics_long", S.with_(*PSIM) + f"""SELECT '{RUN['run_id']}' AS run_id, '{RUN['date_run']}' AS date_run,
-  '{RUN['env']}' AS env, '{RUN['model_version']}' AS model_version, metric, {R('ROUND(value, 6)')} AS value FROM (
+  '{RUN['env']}' AS env, '{RUN['model_version']}' AS model_version, metric, {R('round_even(value, 6)')} AS value FROM (
   SELECT 'AUC' AS metric, auc AS value FROM mm UNION ALL SELECT 'PR_AUC', pr_auc FROM mm
   UNION ALL SELECT 'KS', ks FROM mm UNION ALL SELECT 'BRIER', brier FROM mm
   UNION ALL SELECT 'PSI_OVERALL', psi_overall FROM po
   UNION ALL SELECT 'ApprovalRate', (SELECT AVG(ok) FROM mg)
   UNION ALL SELECT 'Grade_' || grade, share FROM mgm)""")
 def q_metrics_long(spark, sf):
-    base, cur = base_cur(spark, sf)
-    return monitor.monitor_run(base, cur, "pd_12m", "y_event_12m", FEATS, _B, APPROVAL_CUT,
-                               P.PSI_BINS, "as_of_date", RUN)["metrics_long"]
+    return _run(spark, sf)["metrics_long"]
 
 
-@query("issue_list", S.with_(*PSIM) + """SELECT CAST(
-  (CASE WHEN auc_alert THEN 1 ELSE 0 END) + (CASE WHEN ks_alert THEN 1 ELSE 0 END)
-  + (CASE WHEN brier_alert THEN 1 ELSE 0 END) + (CASE WHEN pr_auc_alert THEN 1 ELSE 0 END)
-  + (CASE WHEN psi_severe_count > 0 THEN 1 ELSE 0 END) + (CASE WHEN psi_warn_count > 0 THEN 1 ELSE 0 END)
-  AS INTEGER) AS n_issues FROM mf CROSS JOIN po""")
+def _issue_sql(flag, name, cur):
+    return (f"CASE WHEN {flag} THEN '{name} is worse than its baseline: ' || CAST(round_even({cur}, 4) AS VARCHAR)"
+            f" || ' against ' || CAST(round_even({cur}_base, 4) AS VARCHAR) END")
+
+
+@query("issue_list", S.with_(*PSIM) + f"""SELECT CAST(n AS INTEGER) AS place, issue FROM (
+  SELECT UNNEST(l) AS issue, UNNEST(range(len(l))) AS n FROM (SELECT list_filter([
+    {_issue_sql('auc_alert', 'AUC', 'auc')}, {_issue_sql('ks_alert', 'KS', 'ks')},
+    {_issue_sql('brier_alert', 'Brier score', 'brier')}, {_issue_sql('pr_auc_alert', 'PR-AUC', 'pr_auc')},
+    CASE WHEN psi_severe_count > 0 THEN 'severe PSI in ' || psi_severe_count || ' features, first ' || (
+      SELECT string_agg(feature, ', ' ORDER BY psi DESC, feature) FROM (
+        SELECT * FROM ftab WHERE psi >= 0.25 ORDER BY psi DESC, feature LIMIT 5)) END,
+    CASE WHEN psi_warn_count > 0 THEN 'moderate PSI in ' || psi_warn_count || ' features' END],
+    lambda x: x IS NOT NULL) AS l FROM mf CROSS JOIN po))""")
 def q_issue_list(spark, sf):
-    """Number of issues raised (the texts are in ``monitor_run``'s report)."""
-    base, cur = base_cur(spark, sf)
-    rep = monitor.monitor_run(base, cur, "pd_12m", "y_event_12m", FEATS, _B, APPROVAL_CUT,
-                              P.PSI_BINS, "as_of_date", RUN)["report"]
-    return rep.select("n_issues")
+    """The issues of the monitoring run in order, one row a text."""
+    return _run(spark, sf)["report"].select(F.posexplode("issues").alias("place", "issue"))
 
 
 _REP = ["population_size", "event_rate", "auc", "pr_auc", "ks", "brier", "auc_alert", "brier_alert", "ks_alert",
@@ -176,11 +184,11 @@ _REP_D = {"event_rate", "auc", "pr_auc", "ks", "brier", "slope", "intercept", "p
 
 @query("monitor_run", S.with_(*PSIM, *DEC[len(MON):]) + f"""SELECT
   (SELECT CAST(COUNT(*) AS BIGINT) FROM mcur) AS population_size,
-  {R('(SELECT ROUND(AVG(CAST(y AS DOUBLE)), 5) FROM mcur)')} AS event_rate,
+  {R('(SELECT round_even(AVG(CAST(y AS DOUBLE)), 5) FROM mcur)')} AS event_rate,
   {R('auc')} AS auc, {R('pr_auc')} AS pr_auc, {R('ks')} AS ks, {R('brier')} AS brier,
   auc_alert, brier_alert, ks_alert, pr_auc_alert,
-  {R('CASE WHEN n_deciles >= 3 THEN ROUND(sl, 4) ELSE 1.0 END')} AS slope,
-  {R('CASE WHEN n_deciles >= 3 THEN ROUND(ic, 5) ELSE 0.0 END')} AS intercept,
+  {R('CASE WHEN n_deciles >= 3 THEN round_even(sl, 4) ELSE 1.0 END')} AS slope,
+  {R('CASE WHEN n_deciles >= 3 THEN round_even(ic, 5) ELSE 0.0 END')} AS intercept,
   {R('psi_overall')} AS psi_overall, CAST(psi_severe_count AS BIGINT) AS psi_severe_count,
   CAST(psi_warn_count AS BIGINT) AS psi_warn_count, psi_overall >= 0.10 AS psi_alert,
   {R('(SELECT AVG(ok) FROM mg)')} AS approval_rate,
@@ -190,7 +198,23 @@ _REP_D = {"event_rate", "auc", "pr_auc", "ks", "brier", "slope", "intercept", "p
 FROM mf CROSS JOIN po CROSS JOIN mfit""")
 def q_monitor_run(spark, sf):
     """The whole monitoring run; its one-row report (flat columns)."""
-    base, cur = base_cur(spark, sf)
-    rep = monitor.monitor_run(base, cur, "pd_12m", "y_event_12m", FEATS, _B, APPROVAL_CUT,
-                              P.PSI_BINS, "as_of_date", RUN)["report"]
-    return rep.select(*_REP)
+    return _run(spark, sf)["report"].select(*_REP)
+
+
+@query("monitor_psi", S.with_(*PSIM) + f"SELECT feature, {R('psi')} AS psi FROM ftab")
+def q_monitor_psi(spark, sf):
+    """The monitoring run's PSI table of every feature."""
+    return _run(spark, sf)["psi"].select("feature", "psi")
+
+
+@query("monitor_calibration", S.with_(*DEC) + f"""SELECT CAST(decile AS INTEGER) AS decile,
+  {R('round_even(pd_avg, 5)')} AS pd_avg, {R('round_even(odr, 5)')} AS odr, CAST("count" AS BIGINT) AS "count" FROM mdc""")
+def q_monitor_calibration(spark, sf):
+    """The monitoring run's calibration deciles."""
+    return _run(spark, sf)["deciles"]
+
+
+@query("monitor_grades", S.with_(*GM) + f"SELECT grade, {rs(['share', 'approval_rate'], {'share', 'approval_rate'})} FROM mgm")
+def q_monitor_grades(spark, sf):
+    """The monitoring run's grade mix."""
+    return _run(spark, sf)["grade_mix"]

@@ -1,10 +1,12 @@
 """Sinks: table writes, scored partitions, JSON report, and the re-runnable
 append-safe upsert.
 
-The upsert never reads and overwrites the same path: every write goes to a new
-version folder ``<base>/version=<n>``; readers take the highest version. A
-re-run with the same batch produces the same content (idempotent), and a
-changed value replaces the old one (last batch wins).
+The upsert never reads and overwrites the same files: with ``partition_by`` only the
+partitions of the new batch are merged, written aside and put in place; without it
+every write goes to a new version folder ``<base>/version=<n>`` and readers take the
+highest. A re-run with the same batch produces the same content (idempotent), and a
+changed value replaces the old one (last batch wins, and inside a batch the highest
+``sequence``).
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -59,21 +63,44 @@ def union_history(old: DataFrame | None, new: DataFrame) -> DataFrame:
     return old.withColumn("_batch", F.lit(0)).unionByName(n, allowMissingColumns=True)
 
 
-def upsert_frames(old: DataFrame | None, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert_frames(old: DataFrame | None, new: DataFrame, keys: Sequence[str],
+                  sequence: str | None = None) -> DataFrame:
     """Keep the last row per key across old + new (new wins) — a ``max_by``
-    aggregate on (batch), not a window, so one hot key is still combined map-side."""
+    aggregate, not a window, so one hot key is still combined map-side.
+
+    "Last" is by batch, then by the ``sequence`` column, then by the other values,
+    so rows of one key in one batch have one winner whatever their order of arrival.
+    """
     u = union_history(old, new)
     keys = list(keys)
     others = [c for c in u.columns if c not in keys and c != "_batch"]
-    return (u.groupBy(*keys).agg(F.max_by(F.struct(*others), F.col("_batch")).alias("_r"))
+    order = ["_batch", *([sequence] if sequence else []), *[c for c in others if c != sequence]]
+    return (u.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct(*order)).alias("_r"))
             .select(*keys, "_r.*"))
 
 
-def sink_upsert(new: DataFrame, base: str, keys: Sequence[str], fmt: str = "parquet") -> str:
-    """Merge ``new`` into the latest version at ``base`` and write a new version."""
-    old = read_latest(new.sparkSession, base, fmt)
-    merged = upsert_frames(old, new, keys)
-    return write_versioned(merged, base, fmt)
+def sink_upsert(new: DataFrame, base: str, keys: Sequence[str], fmt: str = "parquet",
+                sequence: str | None = None, partition_by: str | None = None) -> str:
+    """Merge ``new`` into the table at ``base``; returns the path to read.
+
+    ``partition_by`` (one of the keys, such as the month) rewrites only the
+    partitions that ``new`` has; without it the whole table becomes a new version.
+    """
+    spark = new.sparkSession
+    if partition_by is None:
+        return write_versioned(upsert_frames(read_latest(spark, base, fmt), new, keys, sequence), base, fmt)
+    if partition_by not in keys:
+        raise ValueError("partition_by must be one of the keys")
+    fs, p = _fs(spark, base)
+    old = None
+    if fs.exists(p):
+        old = spark.read.format(fmt).load(base)
+        old = old.withColumn(partition_by, F.col(partition_by).cast(new.schema[partition_by].dataType))
+        old = old.join(new.select(partition_by).distinct(), partition_by, "left_semi")
+    merged = materialize(upsert_frames(old, new, keys, sequence), "upsert")  # read before its source is replaced
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_by).format(fmt).save(base))
+    return base
 
 
 def sink_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:

@@ -36,14 +36,26 @@ SF = "/root/testdata/sf0.001"
 def test_entry_and_plan_checks(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
-    assert df.count() >= 0 and "icr_ttm__zs_sector_size" in df.columns
+    assert df.count() > 0 and "icr_ttm__zs_sector_size" in df.columns
     qs = E.queries()
     for k in ("fin_ratios", "threshold_sweep", "stress_test"):
         plan = qs[k](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
         assert "CartesianProduct" not in plan
     fr = qs["filter_obs_window"](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters" in fr or "Scan" in fr
+    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in fr.replace("\n", "")
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+def test_light_plans(spark):
+    import __spark_entry__ as E
+
+    def plan(key):
+        return E.queries()[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
+
+    assert plan("default_label").count("Exchange hashpartitioning") <= 4
+    assert "CartesianProduct" not in plan("monitor_run")
+    assert "percentile(" not in plan("thresholds_quota")
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")

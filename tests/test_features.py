@@ -42,7 +42,7 @@ def test_max_streak_runs(spark):
         return [(cid, dt.date(2024, 1, 1) + dt.timedelta(days=i), 90 if f else 0) for i, f in enumerate(flags)]
     rows = cust(1, [1] * 29) + cust(2, [1] * 30) + cust(3, [1] * 15 + [0] + [1] * 15)
     df = spark.createDataFrame(rows, "customer_id int, date date, dpd_days int")
-    s = {r.customer_id: r.max_streak for r in max_streak(df, "customer_id", "date", "dpd_days", 90).collect()}
+    s = {r.customer_id: r.max_streak for r in max_streak(df, "customer_id", "date", "dpd_days", 90, ["dpd_days"]).collect()}
     assert s == {1: 29, 2: 30, 3: 15}
 
 
@@ -57,7 +57,7 @@ def test_default_label_rule(spark):
 def test_tail_flags_exact(spark):
     rows = [(1, dt.date(2024, 1, d), d) for d in range(1, 11)] + [(2, dt.date(2024, 1, 1), 0)]
     df = spark.createDataFrame(rows, "customer_id int, date date, v int")
-    out = tail_flags(df, "customer_id", "date", {"last3": 3}).filter("last3").collect()
+    out = tail_flags(df, "customer_id", "date", {"last3": 3}, ["v"]).filter("last3").collect()
     assert sorted((r.customer_id, r.v) for r in out) == [(1, 8), (1, 9), (1, 10), (2, 0)]
 
 
