@@ -58,7 +58,7 @@ def feature_edges(base: DataFrame, feats: Sequence[str], n_bins: int) -> DataFra
     """feature, edges: distinct percentile edges of each column, one row a feature with two edges or more."""
     row = exact_quantiles(base, feats, percent_probs(n_bins))
     packed = F.array(*[F.struct(F.lit(c).alias("feature"),
-                                F.array_distinct(F.filter("_q_" + c, lambda x: x.isNotNull())).alias("edges"))
+                                F.array_distinct("_q_" + c).alias("edges"))
                        for c in feats])
     return row.select(F.inline(packed)).where(F.size("edges") >= 2)
 

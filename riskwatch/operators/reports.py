@@ -212,7 +212,7 @@ def extra_behavior(credit: DataFrame, cashflow: DataFrame, fin: DataFrame, asof:
     b = cr.groupBy("customer_id").agg(
         F.max(util).alias("util_max"), F.count_if(util > util_hi).alias("days_util_gt80"),
         F.avg("dpd_days").alias("dpd_mean"), F.count_if(F.col("dpd_days") > dpd_hi).alias("days_dpd_gt30"))
-    st = max_streak(cr, "customer_id", "date", "dpd_days", 1, name="dpd_max_streak")
+    st = max_streak(cr, "customer_id", "date", "dpd_days", 1, ["credit_limit", "utilized"], name="dpd_max_streak")
     cf = filter_obs_window(cashflow, asof, days).withColumn("_net", F.col("inflow") - F.col("outflow"))
     c = cf.groupBy("customer_id").agg(F.avg("_net").alias("cf_net_mean"), F.count_if(F.col("_net") < 0).alias("cf_negative_days"),
                                       F.stddev_samp("_net").alias("cf_volatility"))

@@ -41,46 +41,39 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     cols, keys, k = list(cols), list(keys), len(probs)
     width = 2 / ACCURACY
     ends = [x for q in probs for x in (max(0.0, q - width), min(1.0, q + width))]
-    data = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols])
-    first = data.groupBy(*keys).agg(*[F.count(c).alias("_n_" + c) for c in cols],
-                                    *[F.percentile_approx(c, ends, ACCURACY).alias("_e_" + c) for c in cols])
-
-    def inside(c: str, i: int):
-        small = F.col("_n_" + c) <= 2 * ACCURACY
-        return small | F.col(c).between(F.col("_e_" + c)[2 * i], F.col("_e_" + c)[2 * i + 1])
-
-    def below(c: str, i: int):
-        return (F.col("_n_" + c) > 2 * ACCURACY) & (F.col(c) < F.col("_e_" + c)[2 * i])
-
-    beside = _beside(data, first, keys)
-    pairs = [(j, i) for j in range(len(cols)) for i in range(k)]
-    counts = beside.groupBy(*keys).agg(*[F.count_if(below(cols[j], i)).alias(f"_b_{j}_{i}") for j, i in pairs],
-                                       *[F.max("_n_" + c).alias("_n_" + c) for c in cols])
-    found = F.filter(F.array(*[F.when(F.col(cols[j]).isNotNull() & inside(cols[j], i), F.struct(
-        F.lit(j).alias("j"), F.lit(i).alias("i"), F.col(cols[j]).alias("v"))) for j, i in pairs]), lambda x: x.isNotNull())
-    values = beside.select(*keys, F.inline(found)).groupBy(*keys, "j", "i", "v").agg(F.count("*").alias("n"))
-    upto = Window.partitionBy(*keys, "j", "i").orderBy("v")
-    values = values.withColumn("upto", F.sum("n").over(upto))
-    wanted = F.array(*[F.struct(F.lit(j).alias("j"), F.lit(i).alias("i"), F.col(f"_b_{j}_{i}").alias("below"),
-                                ((F.col("_n_" + cols[j]) - 1) * F.lit(float(probs[i]))).alias("place"),
-                                F.col("_n_" + cols[j]).alias("of")) for j, i in pairs])
-    wanted = counts.select(*keys, F.inline(wanted))
-    both = keys + ["j", "i"]
-    ranked = _beside(values, wanted, both)
-    ends_at = F.col("below") + F.col("upto")
-    low = F.floor("place")
-    edge = ranked.groupBy(*both).agg(F.min(F.when(ends_at > low, F.col("v"))).alias("a"),
-                                     F.min(F.when(ends_at > F.least(low + 1, F.col("of") - 1), F.col("v"))).alias("b"),
-                                     F.max(F.col("place") - low).alias("part"))
+    # long rows, which only live inside a task: short expressions, whatever the number of columns
+    packed = F.array(*[F.struct(F.lit(j).alias("j"), F.col(c).cast("double").alias("v")) for j, c in enumerate(cols)])
+    data = df.select(*keys, F.inline(packed)).where(F.col("v").isNotNull())
+    group = [*keys, "j"]
+    first = data.groupBy(*group).agg(F.count("*").alias("of"), F.percentile_approx("v", ends, ACCURACY).alias("ends"))
+    first = first.withColumn("ends", F.when(F.col("of") > 2 * ACCURACY, F.col("ends")))  # else its own bracket
+    beside = _beside(data, first, group)
+
+    def below(i: int):
+        return F.coalesce(F.col("v") < F.col("ends")[2 * i], F.lit(False))
+
+    inside = F.array_compact(F.array(*[
+        F.when(~below(i) & F.coalesce(F.col("v") <= F.col("ends")[2 * i + 1], F.lit(True)), F.lit(i)) for i in range(k)]))
+    counts = beside.groupBy(*group).agg(F.max("of").alias("of"), F.array(*[F.count_if(below(i)) for i in range(k)]).alias("below"))
+    values = beside.select(*group, F.explode(inside).alias("i"), "v").groupBy(*group, "i", "v").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy(*group, "i").orderBy("v"))
+    ranked = _beside(values.withColumn("upto", upto), counts, group)
+    place = (F.col("of") - 1) * F.element_at(F.array(*[F.lit(float(q)) for q in probs]), F.col("i") + 1)
+    ranked = ranked.select(*group, "i", "v", "of", place.alias("place"), F.floor(place).alias("low"),
+                           (F.element_at("below", F.col("i") + 1) + F.col("upto")).alias("end"))
+    edge = ranked.groupBy(*group, "i").agg(
+        F.min(F.when(F.col("end") > F.col("low"), F.col("v"))).alias("a"),
+        F.min(F.when(F.col("end") > F.least(F.col("low") + 1, F.col("of") - 1), F.col("v"))).alias("b"),
+        F.max(F.col("place") - F.col("low")).alias("part"))
     gap = F.col("b") - F.col("a")
-    edge = edge.withColumn("x", F.when(F.col("part") >= 0.5, F.col("b") - gap * (1 - F.col("part")))
-                           .otherwise(F.col("a") + gap * F.col("part")))
-
-    def picked(j: int, i: int):
-        return F.max(F.when((F.col("j") == j) & (F.col("i") == i), F.col("x")))
-
-    return edge.groupBy(*keys).agg(*[F.array(*[picked(j, i) for i in range(k)]).alias(prefix + c)
-                                     for j, c in enumerate(cols)])
+    x = F.when(F.col("part") >= 0.5, F.col("b") - gap * (1 - F.col("part"))).otherwise(F.col("a") + gap * F.col("part"))
+    lists = edge.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("i", x.alias("x")))).alias("xs"))
+    lists = lists.select(*keys, "j", F.transform("xs", lambda e: e["x"]).alias("xs"))
+    found = lists.groupBy(*keys).agg(*[F.max(F.when(F.col("j") == j, F.col("xs"))).alias(prefix + c)
+                                       for j, c in enumerate(cols)])
+    # groups (or the whole table) without any number have nulls
+    every = df.select(*keys).distinct() if keys else df.sparkSession.range(1).select()
+    return _beside(every, found, keys)
 
 
 def winsorize(df: DataFrame, cols: Sequence[str], lower: float = 0.01, upper: float = 0.99) -> DataFrame:

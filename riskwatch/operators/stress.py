@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,6 +65,25 @@ def scenarios_frame(spark: SparkSession, scenarios: Sequence[Mapping] = SCENARIO
     return spark.createDataFrame(rows, schema)
 
 
+def scenarios_from_tables(shocks: DataFrame, multipliers: DataFrame | None = None,
+                          elasticities=ELASTICITIES) -> DataFrame:
+    """The scenario table from (scenario, factor, shock) and (scenario, sector, multiplier) rows.
+
+    Unknown factors contribute 0; scenarios are numbered by name.
+    """
+    weight = F.coalesce(lookup("factor", elasticities), F.lit(0.0))
+    found = shocks.groupBy("scenario").agg(F.sum(weight * F.col("shock")).alias("shift"))
+    if multipliers is None:
+        found = found.withColumn("multipliers", F.create_map().cast("map<string,double>"))
+    else:
+        pairs = multipliers.groupBy("scenario").agg(F.map_from_entries(F.collect_set(F.struct(
+            "sector", F.col("multiplier").cast("double")))).alias("multipliers"))
+        found = found.join(pairs, "scenario", "left").withColumn(
+            "multipliers", F.coalesce("multipliers", F.create_map().cast("map<string,double>")))
+    order = Window.orderBy("scenario")  # a handful of rows
+    return found.select("scenario", (F.row_number().over(order) - 1).alias("ord"), "shift", "multipliers")
+
+
 def stress_pd(portfolio: DataFrame, scenarios: DataFrame, sector_beta=SECTOR_BETA,
               grade_beta=GRADE_BETA, pd_cap: float = 0.5) -> DataFrame:
     """Portfolio x scenarios with the stressed PD:
@@ -110,10 +129,10 @@ def stress_delta(agg: DataFrame, base: str = "Base") -> DataFrame:
         F.when(~is_base, F.col(m) - F.col(f"_b_{m}")).alias(f"delta_{m}") for m in DELTA_MEASURES])
 
 
-def stress_test(portfolio: DataFrame, scenarios: Sequence[Mapping] = SCENARIOS,
+def stress_test(portfolio: DataFrame, scenarios: Sequence[Mapping] | DataFrame = SCENARIOS,
                 provision_coverage: float = 1.0, capital_alpha: float = 0.08) -> DataFrame:
-    spark = portfolio.sparkSession
-    sc = scenarios_frame(spark, scenarios)
+    """All scenarios, given as a list or as a scenario table, end to end."""
+    sc = scenarios if isinstance(scenarios, DataFrame) else scenarios_frame(portfolio.sparkSession, scenarios)
     imp = stress_impacts(stress_pd(portfolio, sc), provision_coverage, capital_alpha)
     return stress_delta(stress_aggregate(imp))
 

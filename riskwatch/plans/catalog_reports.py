@@ -197,13 +197,45 @@ def q_stress_traffic_light(spark, sf):
     return RP.stress_traffic_light(_results(spark, sf))
 
 
-@query("stress_sensitivity")
+_SENS = """sens AS (SELECT scenario, em, ls, ead, LEAST(GREATEST(lgd + ls, 0.0), 1.0) AS lgd,
+   LEAST(GREATEST((1.0 / (1.0 + EXP(-(z - shift + shift * em)))) * mult, 1e-6), 0.5) AS p
+   FROM sx CROSS JOIN (VALUES (CAST(0.8 AS DOUBLE)), (CAST(1.0 AS DOUBLE)), (CAST(1.2 AS DOUBLE))) AS e(em)
+   CROSS JOIN (VALUES (CAST(-0.1 AS DOUBLE)), (CAST(0.0 AS DOUBLE)), (CAST(0.1 AS DOUBLE))) AS l(ls))"""
+
+
+@query("stress_sensitivity", S.with_(*CS.STRESS, _SENS) + f"""SELECT scenario, {R('em')} AS elasticity_mult, {R('ls')} AS lgd_shift,
+  {R('SUM(p * ead)')} AS npl_proxy, {R('SUM(p * lgd * ead)')} AS provision,
+  {R('SUM(CAST(0.08 AS DOUBLE) * ead * SQRT(LEAST(GREATEST(p * lgd, 0.0), 1.0)))')} AS capital
+FROM sens GROUP BY scenario, em, ls""")
 def q_stress_sensitivity(spark, sf):
     """Overall NPL / provision / capital under elasticity x 0.8 / 1 / 1.2 and LGD -/+ 10 pp."""
     return RP.stress_sensitivity(CS.portfolio(spark, sf))
 
 
-@query("extra_behavior")
+_FROM = P.days_before(P.PANEL_ASOF, P.OBS_DAYS)
+_EXTRA = f"""cr AS (SELECT *, utilized / NULLIF(credit_limit, 0) AS util FROM credit
+  WHERE date >= DATE '{_FROM}' AND date <= DATE '{P.PANEL_ASOF}'),
+eb AS (SELECT customer_id, MAX(util) AS util_max, COUNT_IF(util > 0.8) AS days_util_gt80, AVG(dpd_days) AS dpd_mean,
+  COUNT_IF(dpd_days > 30) AS days_dpd_gt30 FROM cr GROUP BY 1),
+es AS (SELECT customer_id, CAST(MAX(r) AS BIGINT) AS dpd_max_streak FROM (
+  SELECT customer_id, g, COUNT_IF(ok) AS r FROM (
+    SELECT customer_id, COALESCE(dpd_days >= 1, FALSE) AS ok, COUNT_IF(NOT COALESCE(dpd_days >= 1, FALSE)) OVER (
+      PARTITION BY customer_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS g FROM cr) GROUP BY 1, 2) GROUP BY 1),
+ec AS (SELECT customer_id, AVG(inflow - outflow) AS cf_net_mean, COUNT_IF(inflow - outflow < 0) AS cf_negative_days,
+  STDDEV_SAMP(inflow - outflow) AS cf_volatility FROM cash
+  WHERE date >= DATE '{_FROM}' AND date <= DATE '{P.PANEL_ASOF}' GROUP BY 1),
+eg AS (SELECT customer_id, (revenue - before) / NULLIF(ABS(before), 0) AS revenue_qoq_growth FROM (
+  SELECT customer_id, revenue, LAG(revenue) OVER w AS before, ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY fq_date DESC) AS rn
+  FROM fin WINDOW w AS (PARTITION BY customer_id ORDER BY fq_date)) WHERE rn = 1)"""
+
+
+@query("extra_behavior", S.with_(S.CREDIT, S.CASH, S.FIN, _EXTRA) + f"""SELECT COALESCE(eb.customer_id, ec.customer_id) AS customer_id,
+  {R('util_max')} AS util_max, CAST(days_util_gt80 AS BIGINT) AS days_util_gt80, {R('dpd_mean')} AS dpd_mean,
+  CAST(days_dpd_gt30 AS BIGINT) AS days_dpd_gt30, dpd_max_streak, {R('cf_net_mean')} AS cf_net_mean,
+  CAST(cf_negative_days AS BIGINT) AS cf_negative_days, {R('cf_volatility')} AS cf_volatility,
+  {R('revenue_qoq_growth')} AS revenue_qoq_growth
+FROM eb LEFT JOIN es USING (customer_id) FULL OUTER JOIN ec ON ec.customer_id = eb.customer_id
+LEFT JOIN eg ON eg.customer_id = COALESCE(eb.customer_id, ec.customer_id)""")
 def q_extra_behavior(spark, sf):
     """Documented extra behaviour / cash-flow / growth features per customer."""
     return RP.extra_behavior(A.credit_daily(spark, sf), A.cashflow_daily(spark, sf), A.fin_quarterly(spark, sf),

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import io
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
@@ -26,17 +28,9 @@ SEGMENT_TO_SECTOR_CODE = {
 }
 
 
-_SCANS: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy Parquet scan; the DataFrame is reused per session (file listing and
-    footer reading happen once, the data is still read by each query)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), spark.sparkContext.applicationId, path)
-    if key not in _SCANS:
-        _SCANS[key] = spark.read.parquet(path)
-    return _SCANS[key]
+    """Lazy Parquet scan of the files that are there now."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def fin_quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,9 +139,36 @@ def portfolio_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @dataclass
 class RawSet:
-    """The five raw inputs of the feature build (reference ``load_raw``)."""
+    """The five raw inputs of the feature build."""
     fin: DataFrame
     credit: DataFrame
     cashflow: DataFrame
     covenant: DataFrame
-    labels: DataFrame
+    labels: DataFrame | None
+
+
+def load_raw_set(spark: SparkSession, base: str) -> RawSet:
+    """The five raw tables under ``base`` (Parquet, else CSV) with their declared schemas; labels may be missing."""
+    def one(name, schema):
+        return io.read_table(spark, f"{base.rstrip('/')}/{name}", schema)
+
+    try:
+        labels = one("labels", io.LABELS)
+    except FileNotFoundError:
+        labels = None
+    return RawSet(one("fin_quarterly", io.FIN_QUARTERLY), one("credit_daily", io.CREDIT_DAILY),
+                  one("cashflow_daily", io.CASHFLOW_DAILY), one("covenant", io.COVENANT), labels)
+
+
+RESULT_TABLES = ("metrics", "calibration", "sweep", "segments", "psi", "stress")
+
+
+def load_results(spark: SparkSession, base: str, names=RESULT_TABLES) -> dict[str, DataFrame]:
+    """The engine's own result tables that exist under ``base``, by name."""
+    found = {}
+    for name in names:
+        try:
+            found[name] = io.read_table(spark, f"{base.rstrip('/')}/{name}")
+        except FileNotFoundError:
+            continue
+    return found

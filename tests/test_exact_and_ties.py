@@ -124,3 +124,33 @@ def test_a_cluster_without_a_shared_folder_is_an_error(spark, monkeypatch):
 
     with pytest.raises(RuntimeError):
         session.ensure_checkpoint_dir(Session())
+
+
+def test_scenarios_from_tables(spark):
+    from riskwatch.operators import stress as ST
+
+    shocks = [(s["name"], k, float(v)) for s in ST.SCENARIOS for k, v in s["shocks"].items()] + [("Base", "unknown", 9.0)]
+    factors = [(s["name"], k, v) for s in ST.SCENARIOS for k, v in s.get("sector_multipliers", {}).items()]
+    tables = ST.scenarios_from_tables(spark.createDataFrame(shocks, "scenario string, factor string, shock double"),
+                                      spark.createDataFrame(factors, "scenario string, sector string, multiplier double"))
+    portfolio = spark.createDataFrame([(1, "Construction", "B", 0.02, 1e6, 0.4, 0.1), (2, "Retail", "D", 0.2, 5e5, 0.5, 0.2)],
+                                      "customer_id int, sector string, grade string, pd_baseline double, ead double, lgd double, apr double")
+    one, two = (sorted((r.scenario, r.level, r.key, round(r.el, 6)) for r in ST.stress_test(portfolio, s).collect())
+                for s in (ST.SCENARIOS, tables))
+    assert one == two
+
+
+def test_raw_set_and_results_are_loaded(spark):
+    from riskwatch.sources import adapters as A
+
+    base = tempfile.mkdtemp()
+    spark.createDataFrame([("c1", "2024-01-01", 5.0)], "customer_id string, date string, inflow double").write.parquet(
+        base + "/cashflow_daily.parquet")
+    for name, row in (("fin_quarterly", "customer_id,fq_date"), ("credit_daily", "customer_id,date"), ("covenant", "customer_id,date")):
+        spark.createDataFrame([("c1", "2024-01-01")], row.replace(",", " string,") + " string").write.option(
+            "header", True).csv(f"{base}/{name}.csv")
+    raw = A.load_raw_set(spark, base)
+    assert raw.labels is None and raw.cashflow.first().inflow == 5.0 and dict(raw.fin.dtypes)["fq_date"] == "timestamp"
+    assert A.load_results(spark, base) == {}
+    raw.cashflow.write.parquet(base + "/psi.parquet")
+    assert list(A.load_results(spark, base)) == ["psi"]
