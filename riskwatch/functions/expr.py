@@ -138,46 +138,21 @@ def id_hash(df, key: str, seed: int = 42) -> Column:
     return F.pmod(F.xxhash64(col(key), F.lit(seed)), F.lit(4294967296))
 
 
-# Relative nudge applied before output rounding: values sitting exactly on a
-# rounding boundary (common with decimal-grid inputs) then round the same way
-# in every engine despite last-bit differences in summation order.
-NUDGE = 1 + 1e-13
+def stable_double(c: ColumnOrName, digits: int = 6) -> Column:
+    """Output-edge rounding to ``digits`` decimals; ``+ 0.0`` turns -0.0 into 0.0."""
+    return F.round(col(c), digits) + F.lit(0.0)
 
 
-def stable_double(c: ColumnOrName, digits: int = 6, sig: int = 12) -> Column:
-    """Output-edge rounding that two engines reproduce bit for bit.
-
-    |x| < 1e6: ``digits`` decimals; larger: ``sig`` significant digits, scaled
-    by exact powers of ten only (so both sides run the same IEEE operations).
-    ``+ 0.0`` turns -0.0 into 0.0.
-    """
-    x = col(c) * F.lit(NUDGE)
-    k = F.floor(F.log10(F.abs(x)))
-    up = F.pow(F.lit(10.0), F.lit(sig - 1) - k)
-    down = F.pow(F.lit(10.0), k - F.lit(sig - 1))
-    out = (F.when(x.isNull(), F.lit(None).cast("double"))
-           .when(F.abs(x) < F.lit(1e6), F.round(x, digits))
-           .when(k <= F.lit(sig - 1), F.round(x * up, 0) / up)
-           .otherwise(F.round(x / down, 0) * down))
-    return out + F.lit(0.0)
-
-
-def stable_double_sql(expr: str, digits: int = 6, sig: int = 12) -> str:
+def stable_double_sql(expr: str, digits: int = 6) -> str:
     """SQL text of ``stable_double`` for the oracles."""
-    expr = f"(({expr}) * CAST({NUDGE!r} AS DOUBLE))"
-    k = f"FLOOR(LOG10(ABS({expr})))"
-    return (f"(CASE WHEN ({expr}) IS NULL THEN NULL "
-            f"WHEN ABS({expr}) < 1e6 THEN ROUND({expr}, {digits}) "
-            f"WHEN {k} <= {sig - 1} THEN ROUND(({expr}) * POW(10.0, {sig - 1} - {k}), 0) / POW(10.0, {sig - 1} - {k}) "
-            f"ELSE ROUND(({expr}) / POW(10.0, {k} - {sig - 1}), 0) * POW(10.0, {k} - {sig - 1}) END + 0.0)")
+    return f"(ROUND(CAST({expr} AS DOUBLE), {digits}) + 0.0)"
 
 
-def round_doubles(df, digits: int = 6):
-    """Round every double column with ``stable_double`` at the output edge."""
+def round_doubles(df, digits: int = 6, of: Mapping[str, int] | None = None):
+    """Round every double column at the output edge; ``of``: the decimals of single columns
+    (money sums of many rows differ in their last bits with the order of summation)."""
     out = []
     for name, dtype in df.dtypes:
-        if dtype == "double":
-            out.append(stable_double(F.col(f"`{name}`"), digits).alias(name))
-        else:
-            out.append(F.col(f"`{name}`"))
+        x = F.col(f"`{name}`")
+        out.append(stable_double(x, (of or {}).get(name, digits)).alias(name) if dtype == "double" else x)
     return df.select(*out)

@@ -109,8 +109,12 @@ def cohort_sql(keys: str = "as_of_month", src: str = "cb", prefix: str = "") ->
                 JOIN {prefix}lf USING ({keys}) JOIN {prefix}te USING ({keys}))"""]
 
 
-def rsel(cols, doubles) -> str:
-    return ", ".join(f"{R(c)} AS {c}" if c in doubles else c for c in cols)
+# Means of scores on a three-decimal grid have exact halves in the seventh place, which engines round apart.
+MEANS = 8
+
+
+def rsel(cols, doubles, digits: int = 6) -> str:
+    return ", ".join(f"{R(c, digits)} AS {c}" if c in doubles else c for c in cols)
 
 
 _COHORT_COLS = ["row_id", "customer_id", "as_of_date", "as_of_month", "sector", "grade", "pd_12m",
@@ -240,18 +244,18 @@ def decile_sql(keys: str = "as_of_month", src: str = "cb", name: str = "dc") ->
 
 
 _DEC_COLS = ["as_of_month", "decile", "count", "pd_avg", "odr", "abs_err_bp"]
-DECILE_SQL = S.with_(*PREP, decile_sql()) + f"SELECT {rsel(_DEC_COLS, {'pd_avg', 'odr', 'abs_err_bp'})} FROM dc"
+DECILE_SQL = S.with_(*PREP, decile_sql()) + f"SELECT {rsel(_DEC_COLS, {'pd_avg', 'odr', 'abs_err_bp'}, MEANS)} FROM dc"
 
 
-@query("decile_calibration", DECILE_SQL)
+@query("decile_calibration", DECILE_SQL, digits=MEANS)
 def q_decile_calibration(spark, sf):
     return calib.decile_calibration(prepared(spark, sf), [M], "_p", "_y", P.N_BINS)
 
 
 @query("reliability_curve", S.with_(*PREP, S.np_edges_sql("re", "cb", "as_of_month", "p", _QCUT)) + f""",
 rb AS (SELECT cb.*, len(list_filter(e[2:{P.N_BINS}], lambda x: x < cb.p)) AS bin FROM cb JOIN re USING (as_of_month))
-SELECT as_of_month, CAST(bin AS INTEGER) AS bin, {R('AVG(p)')} AS prob_pred, {R('AVG(CAST(y AS DOUBLE))')} AS prob_true
-FROM rb GROUP BY as_of_month, bin""")
+SELECT as_of_month, CAST(bin AS INTEGER) AS bin, {R('AVG(p)', MEANS)} AS prob_pred, {R('AVG(CAST(y AS DOUBLE))', MEANS)} AS prob_true
+FROM rb GROUP BY as_of_month, bin""", digits=MEANS)
 def q_reliability_curve(spark, sf):
     return calib.reliability_curve(prepared(spark, sf), [M], "_p", "_y", P.N_BINS)
 
@@ -308,7 +312,7 @@ def _backtest(spark, sf):
     return BT.backtest_monthly(A.backtest_cohorts(spark, sf), bparams())
 
 
-@query("backtest_calibration", ORACLE["decile_calibration"])
+@query("backtest_calibration", ORACLE["decile_calibration"], digits=MEANS)
 def q_backtest_calibration(spark, sf):
     """The monthly backtest's calibration deciles."""
     return _backtest(spark, sf)["calibration"]
@@ -328,7 +332,7 @@ _SEG_COLS = ["as_of_month", "segment_col", "segment"] + _METRIC_COLS
 sg AS (SELECT sg0.* FROM sg0 JOIN (SELECT as_of_month AS km, segment AS ks FROM sg0 GROUP BY 1, 2
        HAVING COUNT(*) >= 30) k ON sg0.as_of_month = k.km AND sg0.segment = k.ks)""",
                                     *cohort_sql(_SEG, "sg", "s_"))
-       + f"SELECT as_of_month, 'sector' AS segment_col, segment, {rsel(_METRIC_COLS, _METRIC_D)} FROM s_cm")
+       + f"SELECT as_of_month, 'sector' AS segment_col, segment, {rsel(_METRIC_COLS, _METRIC_D, MEANS)} FROM s_cm", digits=MEANS)
 def q_segment_metrics(spark, sf):
     """Metrics by month x sector (segment size floor 30)."""
     p = bparams(min_records=30)

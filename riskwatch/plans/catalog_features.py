@@ -177,9 +177,10 @@ _COV = ["customer_id", "date", "covenant_name", "threshold", "actual", "breach_f
 
 
 @query("covenant_test", S.with_(S.FIN, S.covenant()) + sel(_COV, {"threshold", "actual"})
-       + " FROM cov")
+       + " FROM (SELECT * REPLACE (CAST(CAST(actual AS FLOAT) AS DOUBLE) AS actual) FROM cov)")
 def q_covenant_test(spark, sf):
-    return covenant_df(spark, sf)
+    """Every covenant test; ``actual`` in single precision, as ratios over the small constant reach 1e11."""
+    return covenant_df(spark, sf).withColumn("actual", F.col("actual").cast("float").cast("double"))
 
 
 @query("covenant_features", S.with_(S.FIN, S.covenant(), S.covf())
@@ -345,8 +346,8 @@ _ZS = [c + "__zs_sector_size" for c in _MODEL]
        + " FROM wz")
 def q_winsorize(spark, sf):
     from ..operators.robust import winsorize
-    base = FE.join_exclude_npe(_assembled(spark, sf), A.credit_daily(spark, sf), P.PANEL_ASOF,
-                               P.RECENT_DAYS, P.NPE_DPD)
+    base = materialize(FE.join_exclude_npe(_assembled(spark, sf), A.credit_daily(spark, sf), P.PANEL_ASOF,
+                                           P.RECENT_DAYS, P.NPE_DPD))
     return winsorize(base, _MODEL, *P.WINSOR)
 
 
@@ -357,9 +358,9 @@ FEATURES_SQL = (S.with_(*_ALL_CTES, _BASE_SQL, _winsor_sql(), _zscore_sql())
 @query("robust_zscore", FEATURES_SQL)
 def q_robust_zscore(spark, sf):
     from ..operators.robust import robust_zscore, winsorize
-    base = FE.join_exclude_npe(_assembled(spark, sf), A.credit_daily(spark, sf), P.PANEL_ASOF,
-                               P.RECENT_DAYS, P.NPE_DPD)
-    return robust_zscore(winsorize(base, _MODEL, *P.WINSOR), _MODEL,
+    base = materialize(FE.join_exclude_npe(_assembled(spark, sf), A.credit_daily(spark, sf), P.PANEL_ASOF,
+                                           P.RECENT_DAYS, P.NPE_DPD))
+    return robust_zscore(materialize(winsorize(base, _MODEL, *P.WINSOR)), _MODEL,
                          ("sector_code", "size_bucket"), P.MIN_GROUP)
 
 

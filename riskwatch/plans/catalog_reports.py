@@ -180,19 +180,19 @@ def _results(spark, sf):
     return ST.stress_test(CS.portfolio(spark, sf))
 
 
-@query("stress_contribution", S.with_(*CS.STRESS) + f"""SELECT a.scenario, a.level, a.key, {R('a.delta_npl_proxy')} AS delta_npl_proxy,
+@query("stress_contribution", S.with_(*CS.STRESS) + f"""SELECT a.scenario, a.level, a.key, {R('a.delta_npl_proxy', 0)} AS delta_npl_proxy,
   {R('a.delta_npl_proxy / b.npl_proxy * 100')} AS pct_increase,
   {R('a.delta_npl_proxy / SUM(a.delta_npl_proxy) OVER (PARTITION BY a.level)')} AS share_of_delta
 FROM sd a LEFT JOIN (SELECT * FROM sd WHERE scenario = 'Base') b ON a.level = b.level AND a.key = b.key
-WHERE a.scenario = 'Severe_Recession' AND a.level <> 'overall'""")
+WHERE a.scenario = 'Severe_Recession' AND a.level <> 'overall'""", of=CS.SUMS)
 def q_stress_contribution(spark, sf):
     return RP.stress_contribution(_results(spark, sf), "Severe_Recession")
 
 
-@query("stress_traffic_light", S.with_(*CS.STRESS) + f"""SELECT scenario, {R('dc')} AS delta_capital, {R('dp')} AS delta_provision,
+@query("stress_traffic_light", S.with_(*CS.STRESS) + f"""SELECT scenario, {R('dc', 0)} AS delta_capital, {R('dp', 0)} AS delta_provision,
   CASE WHEN dc > 10e6 OR dp > 30e6 THEN 'Red' WHEN dc > 6e6 OR dp > 20e6 THEN 'Orange'
        WHEN dc >= 3e6 OR dp >= 10e6 THEN 'Amber' ELSE 'Green' END AS band FROM (
-  SELECT scenario, COALESCE(delta_capital, 0.0) AS dc, COALESCE(delta_provision, 0.0) AS dp FROM sd WHERE level = 'overall')""")
+  SELECT scenario, COALESCE(delta_capital, 0.0) AS dc, COALESCE(delta_provision, 0.0) AS dp FROM sd WHERE level = 'overall')""", of=CS.SUMS)
 def q_stress_traffic_light(spark, sf):
     return RP.stress_traffic_light(_results(spark, sf))
 
@@ -204,9 +204,9 @@ _SENS = """sens AS (SELECT scenario, em, ls, ead, LEAST(GREATEST(lgd + ls, 0.0),
 
 
 @query("stress_sensitivity", S.with_(*CS.STRESS, _SENS) + f"""SELECT scenario, {R('em')} AS elasticity_mult, {R('ls')} AS lgd_shift,
-  {R('SUM(p * ead)')} AS npl_proxy, {R('SUM(p * lgd * ead)')} AS provision,
-  {R('SUM(CAST(0.08 AS DOUBLE) * ead * SQRT(LEAST(GREATEST(p * lgd, 0.0), 1.0)))')} AS capital
-FROM sens GROUP BY scenario, em, ls""")
+  {R('SUM(p * ead)', 0)} AS npl_proxy, {R('SUM(p * lgd * ead)', 0)} AS provision,
+  {R('SUM(CAST(0.08 AS DOUBLE) * ead * SQRT(LEAST(GREATEST(p * lgd, 0.0), 1.0)))', 0)} AS capital
+FROM sens GROUP BY scenario, em, ls""", of=CS.SUMS)
 def q_stress_sensitivity(spark, sf):
     """Overall NPL / provision / capital under elasticity x 0.8 / 1 / 1.2 and LGD -/+ 10 pp."""
     return RP.stress_sensitivity(CS.portfolio(spark, sf))
@@ -230,12 +230,12 @@ eg AS (SELECT customer_id, (revenue - before) / NULLIF(ABS(before), 0) AS revenu
 
 
 @query("extra_behavior", S.with_(S.CREDIT, S.CASH, S.FIN, _EXTRA) + f"""SELECT COALESCE(eb.customer_id, ec.customer_id) AS customer_id,
-  {R('util_max')} AS util_max, CAST(days_util_gt80 AS BIGINT) AS days_util_gt80, {R('dpd_mean')} AS dpd_mean,
-  CAST(days_dpd_gt30 AS BIGINT) AS days_dpd_gt30, dpd_max_streak, {R('cf_net_mean')} AS cf_net_mean,
-  CAST(cf_negative_days AS BIGINT) AS cf_negative_days, {R('cf_volatility')} AS cf_volatility,
-  {R('revenue_qoq_growth')} AS revenue_qoq_growth
+  {R('util_max', 8)} AS util_max, CAST(days_util_gt80 AS BIGINT) AS days_util_gt80, {R('dpd_mean', 8)} AS dpd_mean,
+  CAST(days_dpd_gt30 AS BIGINT) AS days_dpd_gt30, dpd_max_streak, {R('cf_net_mean', 8)} AS cf_net_mean,
+  CAST(cf_negative_days AS BIGINT) AS cf_negative_days, {R('cf_volatility', 8)} AS cf_volatility,
+  {R('revenue_qoq_growth', 8)} AS revenue_qoq_growth
 FROM eb LEFT JOIN es USING (customer_id) FULL OUTER JOIN ec ON ec.customer_id = eb.customer_id
-LEFT JOIN eg ON eg.customer_id = COALESCE(eb.customer_id, ec.customer_id)""")
+LEFT JOIN eg ON eg.customer_id = COALESCE(eb.customer_id, ec.customer_id)""", digits=8)
 def q_extra_behavior(spark, sf):
     """Documented extra behaviour / cash-flow / growth features per customer."""
     return RP.extra_behavior(A.credit_daily(spark, sf), A.cashflow_daily(spark, sf), A.fin_quarterly(spark, sf),

@@ -67,8 +67,14 @@ def portfolio(spark, sf):
     return PF.portfolio_enrich(A.portfolio_base(spark, sf), pd_col="pd_baseline")
 
 
-def rs(cols, doubles) -> str:
-    return ", ".join(f"{R(c)} AS {c.split('.')[-1]}" if c.split('.')[-1] in doubles else c for c in cols)
+# Decimals of money columns: sums over the whole portfolio, and amounts of one customer.
+SUMS = {m: 0 for m in (*ST.MEASURES, *(f"delta_{m}" for m in ST.DELTA_MEASURES), "ead_sum")}
+AMOUNTS = {m: 2 for m in ST.MEASURES}
+
+
+def rs(cols, doubles, of=None) -> str:
+    names = [(c, c.split(".")[-1]) for c in cols]
+    return ", ".join(f"{R(c, (of or {}).get(n, 6))} AS {n}" if n in doubles else c for c, n in names)
 
 
 _MEAS = list(ST.MEASURES)
@@ -117,7 +123,7 @@ _SUMQ = f"""SELECT level, key, CAST(COUNT(*) AS BIGINT) AS count, COUNT(*) / SUM
 _SUM_COLS = ["level", "key", "count", "share", "pd_mean", "ead_sum", "ead_m", "lgd_mean", "apr_mean", "el"]
 
 
-@query("portfolio_summary", S.with_(*PORT) + f", ps AS ({_SUMQ}) SELECT {rs(_SUM_COLS, set(_SUM_COLS) - {'level', 'key', 'count'})} FROM ps")
+@query("portfolio_summary", S.with_(*PORT) + f", ps AS ({_SUMQ}) SELECT {rs(_SUM_COLS, set(_SUM_COLS) - {'level', 'key', 'count'}, SUMS)} FROM ps", of=SUMS)
 def q_portfolio_summary(spark, sf):
     return PF.portfolio_summary(portfolio(spark, sf))
 
@@ -145,45 +151,45 @@ def q_stress_pd(spark, sf):
 _IMP = ["npl_proxy", "el", "provision", "capital", "credit_income"]
 
 
-@query("stress_impacts", S.with_(*STRESS) + f"SELECT customer_id, scenario, {rs(_IMP, set(_IMP))} FROM si")
+@query("stress_impacts", S.with_(*STRESS) + f"SELECT customer_id, scenario, {rs(_IMP, set(_IMP), AMOUNTS)} FROM si", of=AMOUNTS)
 def q_stress_impacts(spark, sf):
     d = ST.stress_impacts(ST.stress_pd(portfolio(spark, sf), ST.scenarios_frame(spark)))
     return d.select("customer_id", "scenario", *_IMP)
 
 
 _AGG = ["scenario"] + _MEAS + ["level", "key"]
-AGG_SQL = S.with_(*STRESS) + f"SELECT {rs(_AGG, set(_MEAS))} FROM sa"
+AGG_SQL = S.with_(*STRESS) + f"SELECT {rs(_AGG, set(_MEAS), SUMS)} FROM sa"
 
 
 def _agg(spark, sf):
     return ST.stress_aggregate(ST.stress_impacts(ST.stress_pd(portfolio(spark, sf), ST.scenarios_frame(spark))))
 
 
-@query("stress_aggregate", AGG_SQL)
+@query("stress_aggregate", AGG_SQL, of=SUMS)
 def q_stress_aggregate(spark, sf):
     return _agg(spark, sf)
 
 
-@query("union_levels", AGG_SQL)
+@query("union_levels", AGG_SQL, of=SUMS)
 def q_union_levels(spark, sf):
     """Overall + sector + grade levels of every scenario as one grouping-sets result."""
     return _agg(spark, sf)
 
 
-RES_SQL = S.with_(*STRESS) + f"SELECT {rs(_RES, set(_MEAS) | set(_DM))} FROM sd"
+RES_SQL = S.with_(*STRESS) + f"SELECT {rs(_RES, set(_MEAS) | set(_DM), SUMS)} FROM sd"
 
 
-@query("stress_delta", RES_SQL)
+@query("stress_delta", RES_SQL, of=SUMS)
 def q_stress_delta(spark, sf):
     return ST.stress_delta(_agg(spark, sf))
 
 
-@query("join_scenario_delta", RES_SQL)
+@query("join_scenario_delta", RES_SQL, of=SUMS)
 def q_join_scenario_delta(spark, sf):
     return ST.stress_delta(_agg(spark, sf))
 
 
-@query("stress_test", RES_SQL)
+@query("stress_test", RES_SQL, of=SUMS)
 def q_stress_test(spark, sf):
     """All seven scenarios end to end."""
     return ST.stress_test(portfolio(spark, sf))

@@ -12,12 +12,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(key: str, sql: str | None = None, digits: int | None = 6):
-    """Register ``fn(spark, sf_dir) -> DataFrame``; doubles are rounded at the edge."""
+def query(key: str, sql: str | None = None, digits: int | None = 6, of: dict[str, int] | None = None):
+    """Register ``fn(spark, sf_dir) -> DataFrame``; doubles are rounded to ``digits`` decimals
+    at the edge, columns in ``of`` to their own."""
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             df = fn(spark, sf_dir)
-            return round_doubles(df, digits) if digits is not None else df
+            return round_doubles(df, digits, of) if digits is not None else df
         run.__name__ = f"q_{key}"
         run.__doc__ = fn.__doc__
         QUERIES[key] = run
