@@ -35,8 +35,9 @@ from pyspark.sql import functions as F
 from .common import col, map_arrow, mix64, small_batches
 
 SKETCH, LOWEST, SHORT = 64, 3, 64
-BUCKET_ROWS, BUCKETS = 2000, 4096
-"""Documents are dealt in runs of about so many; beyond so many runs they grow, as their first ids are broadcast."""
+BUCKET_ROWS, BUCKETS, TASK_BUCKETS = 500, 1 << 14, 4
+"""Documents are dealt in runs of about so many, some runs to a task; beyond so many runs they grow, as their
+first ids are broadcast."""
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = mix64(np.arange(1, 257, dtype=np.uint64) * _STEP)
@@ -172,7 +173,7 @@ def in_order(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     order = F.coalesce(col(id_col).cast("long"), F.lit(-1 << 63))
     docs = df.select(order.alias("order"), col(id_col).cast("long").alias("k"), col(text_col).cast("string").alias("t"))
     count = max(1, min(BUCKETS, -(-docs.count() // BUCKET_ROWS)))
-    at = F.percentile_approx("order", [i / count for i in range(1, count)] or [0.5], 10 * BUCKETS)
+    at = F.percentile_approx("order", [i / count for i in range(1, count)] or [0.5], 4 * BUCKETS)
     bounds = sorted({float(x) for x in docs.agg(at.alias("x")).first().x or [0]})
     cut = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol="place", outputCol="bucket")
     docs = cut.transform(docs.withColumn("place", F.col("order").cast("double"))).drop("place")
@@ -184,7 +185,7 @@ def in_order(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     also = F.struct(F.col("before").alias("bucket"), F.lit(True).alias("again"))
     places = F.when(F.col("order") == F.col("first"), F.array(own, also)).otherwise(F.array(own))
     dealt = docs.select(F.explode(places).alias("p"), "order", "k", "t").select("p.*", "order", "k", "t")
-    return (dealt.repartition(count, "bucket").sortWithinPartitions("bucket", "again", "order", "t")
+    return (dealt.repartition(-(-count // TASK_BUCKETS), "bucket").sortWithinPartitions("bucket", "again", "order", "t")
             .select("bucket", "again", "k", "t"))
 
 
