@@ -24,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import col, map_arrow, small_batches, texts
+from .common import binary_rows, col, map_arrow, small_batches
 from .encode import WordEncoder
 
 NEVER = 1 << 40
@@ -143,9 +143,8 @@ class ByteBpe(WordEncoder):
             out.append(np.array(found, dtype="<u4").tobytes())
         return out
 
-    def learn(self, missing: set[str]) -> None:
-        words = list(missing)
-        self.cache.update(zip(words, self.whole([" " + x for x in words]), strict=True))
+    def learn(self, missing: list[str]) -> None:
+        self.cache.update(zip(missing, self.whole([" " + x for x in missing]), strict=True))
 
 
 _coders: dict[tuple[str, str], ByteBpe] = {}
@@ -169,12 +168,11 @@ def tokens(path: str) -> dict[int, bytes]:
 def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit) of every whole text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = coder(path, pattern).encode
-        for batch in small_batches(batches, "t"):
-            ids = code(texts(batch.column("t")))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("k"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                ["doc_id", "n_tokens", "ids"])
+        code = coder(path, pattern).encode_flat
+        for batch in small_batches(batches, "t", 8 << 20):
+            ids, at = code(batch.column("t"))
+            yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(np.diff(at)), binary_rows(ids, at)],
+                                             ["doc_id", "n_tokens", "ids"])
 
     docs = df.select(col(id_col).alias("k"), col(text_col).cast("string").alias("t"))
     return map_arrow(docs, run, f"doc_id {docs.schema['k'].dataType.simpleString()}, n_tokens long, ids binary")

@@ -61,6 +61,13 @@ def flat_bytes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def binary_rows(numbers: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Rows of 32-bit numbers, the i-th from at[i] to at[i + 1], as a binary array over one buffer."""
+    offsets = pa.py_buffer((4 * at).astype(np.int64))
+    rows = pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, offsets, pa.py_buffer(np.ascontiguousarray(numbers))])
+    return rows.cast(pa.binary())
+
+
 def texts(values: pa.Array) -> list[str]:
     return values.fill_null("").to_pylist()
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import col, map_arrow, small_batches, texts
+from .common import binary_rows, col, map_arrow, small_batches
 from .encode import encoder
 
 RANK_BITS = 44
@@ -172,25 +172,25 @@ def cut(df: DataFrame, vocabulary: str, end_id: int, capacity: int, keep_space:
     ``part`` and ``rank`` (among the pieces of one length of that part) name a piece.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary, keep_space).encode
-        end, part, seen = np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId(), Counter()
-        for batch in small_batches(batches, "t"):
-            rows, piece, start, length, rank, ids = [], [], [], [], [], []
-            for row, found in enumerate(encode(texts(batch.column("t")))):
-                found += end
-                for i, at in enumerate(range(0, len(found) // 4, capacity)):
-                    own = found[4 * at:4 * (at + capacity)]
-                    rows.append(row)
-                    piece.append(i)
-                    start.append(at)
-                    length.append(len(own) // 4)
-                    rank.append(seen[len(own)])
-                    seen[len(own)] += 1
-                    ids.append(own)
+        encode = encoder(vocabulary, keep_space).encode_flat
+        part, seen = TaskContext.get().partitionId(), Counter()
+        for batch in small_batches(batches, "t", 8 << 20):
+            flat, at = encode(batch.column("t"))
+            sizes = np.diff(at) + 1
+            flat = np.insert(flat, at[1:], end_id)
+            count = -(-sizes // capacity)
+            row = np.repeat(np.arange(len(sizes)), count)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            start = capacity * piece
+            length = np.minimum(capacity, sizes[row] - start)
+            rank = []
+            for n in length.tolist():
+                rank.append(seen[n])
+                seen[n] += 1
             yield pa.RecordBatch.from_arrays(
-                [batch.column("k").take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()),
-                 pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array([part] * len(rows), pa.int32()),
-                 pa.array(rank, pa.int64()), pa.array(ids, pa.binary())],
+                [batch.column("k").take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length),
+                 pa.array(np.full(len(row), part, np.int32)), pa.array(rank, pa.int64()),
+                 binary_rows(flat, np.concatenate([[0], np.cumsum(length)]))],
                 ["doc_id", "piece", "start", "length", "part", "rank", "ids"])
 
     docs = df.select(col(id_col).alias("k"), col(text_col).cast("string").alias("t"))

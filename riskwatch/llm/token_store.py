@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import col, map_arrow, small_batches, texts
+from .common import binary_rows, col, map_arrow, small_batches
 from .encode import encoder
 
 SEGMENT_TOKENS = 1 << 18
@@ -101,30 +101,31 @@ def dac_range(levels: list[dict[str, bytes]], start: int, stop: int) -> np.ndarr
 
 def _segments(vocabulary: str, end_id: int, keep_space: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary, keep_space).encode
-        end, part = np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId()
+        encode = encoder(vocabulary, keep_space).encode_flat
+        end, part = np.array([end_id], "<u4"), TaskContext.get().partitionId()
         seg = before = size = 0
         docs: list = []
-        ids: list[bytes] = []
+        ids: list[np.ndarray] = []
         type_ = pa.schema([("part", pa.int32()), ("seg", pa.int32()), ("before", pa.int64()), ("n_tokens", pa.int64()),
                            ("doc_ids", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())),
                            ("levels", pa.list_(pa.struct([(x, pa.binary()) for x in ("codes", "more", "ranks")])))])
 
         def segment() -> pa.RecordBatch:
-            ends = np.cumsum([len(x) // 4 for x in ids])
+            ends = np.cumsum([len(x) for x in ids])
             row = {"part": part, "seg": seg, "before": before, "n_tokens": int(ends[-1]), "doc_ids": docs,
-                   "ends": ends.tolist(), "levels": dac_encode(np.frombuffer(b"".join(ids), "<u4"))}
+                   "ends": ends.tolist(), "levels": dac_encode(np.concatenate(ids))}
             return pa.RecordBatch.from_pylist([row], schema=type_)
 
-        for batch in small_batches(batches, "t"):
-            for doc, found in zip(batch.column("k").to_pylist(), encode(texts(batch.column("t"))), strict=True):
-                found += end
-                if ids and size + len(found) // 4 > SEGMENT_TOKENS:
+        for batch in small_batches(batches, "t", 8 << 20):
+            flat, at = encode(batch.column("t"))
+            for doc, i, j in zip(batch.column("k").to_pylist(), at[:-1], at[1:], strict=True):
+                found = np.concatenate([flat[i:j], end])
+                if ids and size + len(found) > SEGMENT_TOKENS:
                     yield segment()
                     seg, before, size, docs, ids = seg + 1, before + size, 0, [], []
                 docs.append(doc)
                 ids.append(found)
-                size += len(found) // 4
+                size += len(found)
         if ids:
             yield segment()
     return run
@@ -163,12 +164,9 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ends = np.array(ends, dtype=np.int64)
             ids = dac_range(levels, 0, int(ends[-1]))
             sizes = np.diff(ends, prepend=0)
-            offsets = pa.array(np.concatenate([[0], 4 * ends]), pa.int64())
-            found = pa.Array.from_buffers(pa.large_binary(), len(ends),
-                                          [None, offsets.buffers()[1], pa.py_buffer(ids.astype("<u4").tobytes())])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc_ids, pa.int64()), pa.array(start + ends - sizes), pa.array(sizes),
-                 found.cast(pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
+                 binary_rows(ids, np.concatenate([[0], ends]))], ["doc_id", "start", "n_tokens", "ids"])
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
