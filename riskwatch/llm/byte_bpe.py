@@ -36,7 +36,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class ByteBpe(WordEncoder):
-    entries, kept = 500_000, 250_000
+    entries, kept = 400_000, 200_000
     pairs = 250_000
     """Neighbours whose compatibility is remembered."""
 
@@ -169,7 +169,7 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit) of every whole text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(path, pattern).encode_flat
-        for batch in small_batches(batches, "t", 8 << 20):
+        for batch in small_batches(batches, "t"):
             ids, at = code(batch.column("t"))
             yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(np.diff(at)), binary_rows(ids, at)],
                                              ["doc_id", "n_tokens", "ids"])

@@ -35,7 +35,7 @@ class WordEncoder:
     of words to the cache.
     """
 
-    entries, kept = 1_000_000, 400_000
+    entries, kept = 600_000, 300_000
     """Words remembered; beyond that the first met, which are the frequent ones, stay (results do not change)."""
 
     def __init__(self, keep_space: bool):
