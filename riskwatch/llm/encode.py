@@ -94,11 +94,12 @@ class WordEncoder:
 class TextEncoder(WordEncoder):
     """By the tokenizers library; strings of special tokens in a text are ordinary text."""
 
-    def __init__(self, path: str, keep_space: bool):
+    def __init__(self, path: str, keep_space: bool, entries: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         super().__init__(keep_space)
+        self.entries, self.kept = entries, entries * 2 // 5
         self.bare: dict[str, bytes] = {}
         self.ends: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
@@ -176,9 +177,9 @@ class TextEncoder(WordEncoder):
 _encoders: dict[tuple[str, bool], TextEncoder] = {}
 
 
-def encoder(path: str, keep_space: bool) -> TextEncoder:
-    """The worker's encoder for a vocabulary file; loaded once."""
+def encoder(path: str, keep_space: bool, entries: int = 1_000_000) -> TextEncoder:
+    """The worker's encoder for a vocabulary file; loaded once. ``entries`` bounds the words it remembers."""
     key = (path, keep_space)
     if key not in _encoders:
-        _encoders[key] = TextEncoder(path, keep_space)
+        _encoders[key] = TextEncoder(path, keep_space, entries)
     return _encoders[key]

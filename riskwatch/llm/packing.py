@@ -33,6 +33,8 @@ from .common import binary_rows, col, map_arrow, small_batches
 from .encode import encoder
 
 RANK_BITS = 44
+WORDS = 600_000
+"""Words that a worker remembers; in a pipeline it shares its memory with what earlier stages left."""
 
 
 class SumIndex:
@@ -172,7 +174,7 @@ def cut(df: DataFrame, vocabulary: str, end_id: int, capacity: int, keep_space:
     ``part`` and ``rank`` (among the pieces of one length of that part) name a piece.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary, keep_space).encode_flat
+        encode = encoder(vocabulary, keep_space, WORDS).encode_flat
         part, seen = TaskContext.get().partitionId(), Counter()
         for batch in small_batches(batches, "t"):
             flat, at = encode(batch.column("t"))
