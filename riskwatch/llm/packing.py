@@ -33,7 +33,7 @@ from .common import binary_rows, col, map_arrow, small_batches
 from .encode import encoder
 
 RANK_BITS = 44
-WORDS = 600_000
+WORDS = 800_000
 """Words that a worker remembers; in a pipeline it shares its memory with what earlier stages left."""
 
 
