@@ -4,8 +4,11 @@ The language model gives the bytes of a word from up to four bytes before them i
 the word (and the word's end), by interpolated modified Kneser-Ney smoothing, one
 model a language. Spark counts the 5-grams of all words of all documents, and
 derives the lower orders (continuation counts), discounts and probabilities from
-them. For scoring the model becomes one sorted array of hashed n-grams with their
-log probabilities, and a word is scored once a batch, however often it occurs.
+them. Every counted n-gram is in the model, at every size of the corpus, and no model
+is broadcast: documents are dealt into chunks by a hash of the whole row, a chunk asks
+for each of its distinct 5-grams once, and the requests meet the model by (language,
+bucket of the 5-gram). The number of chunks and buckets grows with the corpus, their
+size does not. A word is scored once a chunk, however often it occurs.
 
 A document's score is the median, over its runs of ``RUN_WORDS`` words, of the run's
 cross entropy in nats a byte (the logarithm of its perplexity), so one odd passage or
@@ -16,10 +19,6 @@ n bytes is rejected above or below ``WIDTH`` deviations over the root of n.
 Medians come from exact counts on a fine grid, over the documents that pass the
 base rules.
 
-N-grams rarer than one in ``KEPT`` of all bytes give their whole count to the next
-lower order, so they need no row in the model: it has at most ``KEPT`` n-grams and as
-many contexts of each length, however large the corpus, and is broadcast.
-
 Defined results: a null text has no words; a null language is the empty one. A
 text without words scores zero and fails the base rules. Repeated rows count and
 are judged like others. Other columns stay as they are, whatever their names. An
@@ -31,25 +30,29 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import materialize
 from .common import col, map_arrow, mix64, small_batches
 
 ORDER = 5
 START, END = 0x20, 0x0A  # bytes that no word has
-KEPT = 1 << 21
+KEPT = float("inf")
+"""N-grams rarer than one in so many bytes would be fully discounted; at infinity none is."""
 WIDTH, LEAST_DEVIATION, GRID = 4.0, 0.1, 1000
 WINDOW_WORDS, MIN_WORDS, MAX_REPEAT_PERCENT = 5, 10, 20
 SPACES, SYMBOLS = " \t\n\v\f\r", "#*$%&|<>"
 RUN_WORDS = 16
-FLUSH_WORDS, WORDS_KEPT = 500_000, 400_000
+FLUSH_WORDS = 500_000
+CHUNK_BYTES, LEAST_CHUNK_BYTES = 16 << 20, 1 << 20
+BUCKET_GRAMS, PRIME = 1 << 16, 1_000_003
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -114,15 +117,12 @@ def _discounts(counts: DataFrame) -> DataFrame:
     return n.select("lang", *(discount(i).alias(f"d{i}") for i in range(1, 4)))
 
 
-def kneser_ney(counts: DataFrame) -> DataFrame:
-    """lang, share, size, gram, value: the model's rows.
-
-    Rows with ``share`` false are probabilities of n-grams of 1 to 5 bytes; the others are the
-    shares that contexts of 0 to 4 bytes give to the next lower order. An n-gram without a
-    row has its context's share (1 if that has none either) of what the lower order gives.
-    """
+def _orders(counts: DataFrame) -> tuple[list[DataFrame], float, int]:
+    """lang, gram, context, seen, share, p of all n-grams of 1, 2, .. 5 bytes; from which count on they have
+    rows in the model, and the bytes of all words and their ends."""
     tables = {ORDER: materialize(counts.select("lang", "gram", "n", F.col("n").alias("seen")), "grams")}
-    least = (tables[ORDER].agg(F.sum("n")).first()[0] or 0) / KEPT
+    n_bytes = tables[ORDER].agg(F.sum("n")).first()[0] or 0
+    least = n_bytes / KEPT
     for size in range(ORDER - 1, 0, -1):
         shorter = F.col("gram").bitwiseAND((1 << 8 * size) - 1)
         found = tables[size + 1].groupBy("lang", shorter.alias("gram")).agg(F.count("*").alias("n"), F.sum("seen").alias("seen"))
@@ -142,7 +142,21 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
             rows = rows.join(lower.select("lang", F.col("gram").alias("short"), F.col("p").alias("q")), ["lang", "short"])
         p = (F.col("n") - F.col("d")) / F.col("all") + F.col("share") * F.col("q")
         lower = materialize(rows.select("lang", "gram", "context", "seen", "share", p.alias("p")), "model")
-        kept = lower.where(F.col("seen") >= least)
+        out.append(lower)
+    return out, least, n_bytes
+
+
+def kneser_ney(counts: DataFrame) -> DataFrame:
+    """lang, share, size, gram, value: the model's rows, as ``Model`` takes them for any texts.
+
+    Rows with ``share`` false are probabilities of n-grams of 1 to 5 bytes; the others are the
+    shares that contexts of 0 to 4 bytes give to the next lower order. An n-gram without a
+    row has its context's share (1 if that has none either) of what the lower order gives.
+    """
+    orders, least, _ = _orders(counts)
+    out = []
+    for size, rows in enumerate(orders, 1):
+        kept = rows.where(F.col("seen") >= least)
         out.append(kept.select("lang", F.lit(False).alias("share"), F.lit(size).alias("size"), "gram", F.col("p").alias("value")))
         out.append(kept.groupBy("lang", "context").agg(F.max("share").alias("value"))
                    .select("lang", F.lit(True).alias("share"), F.lit(size - 1).alias("size"), F.col("context").alias("gram"), "value"))
@@ -242,45 +256,113 @@ def middle_run(log_p: np.ndarray, sizes: np.ndarray) -> float:
     return float(np.median(-np.add.reduceat(log_p, starts) / np.add.reduceat(sizes + 1, starts)))
 
 
-def _score(model, lang_col: str, text_col: str, keep: list[str]):
-    """row, language, the base statistics, the score and its bytes."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, dict[bytes, float]] = {}
-        for batch in small_batches(batches, text_col):
-            texts = [x or "" for x in batch.column(text_col).to_pylist()]
-            langs = [x or "" for x in batch.column(lang_col).cast(pa.string()).to_pylist()]
-            words = [x.encode().split() for x in texts]
-            score = np.zeros(len(texts))
-            for lang in set(langs):
-                own = [i for i, x in enumerate(langs) if x == lang]
-                scores = known.setdefault(lang, {})
-                if len(scores) > 2 * WORDS_KEPT // len(known):
-                    scores = known[lang] = dict(islice(scores.items(), WORDS_KEPT // len(known)))
-                missing = list(set(chain.from_iterable(words[i] for i in own)).difference(scores))
-                if missing:
-                    grams, sizes = word_grams(missing)
-                    each = model.value.log_probability(lang, grams)
-                    scores.update(zip(missing, np.add.reduceat(each, np.cumsum(sizes) - sizes).tolist(), strict=True))
-                for i in own:
-                    score[i] = middle_run(np.fromiter(map(scores.__getitem__, words[i]), float, len(words[i])),
-                                          np.fromiter(map(len, words[i]), float, len(words[i])))
+class _Chunk:
+    """The rows of a chunk in batches, and the distinct 5-grams of its languages in the order of (bucket, gram)."""
+
+    def __init__(self, rows: pa.Table, lang_col: str, text_col: str, buckets: int):
+        self.rows = list(small_batches(map(pa.RecordBatch.from_struct_array, rows["row"].chunks), text_col))
+        self.text_col, self.words, self.langs = text_col, {}, []
+        for batch in self.rows:
+            self.langs.append([x or "" for x in batch.column(lang_col).cast(pa.string()).to_pylist()])
+            for lang, own in zip(self.langs[-1], self.split(batch)[1], strict=True):
+                self.words.setdefault(lang, set()).update(own)
+        self.buckets = buckets
+
+    def split(self, batch: pa.RecordBatch) -> tuple[list[str], list[list[bytes]]]:
+        texts = [x or "" for x in batch.column(self.text_col).cast(pa.string()).to_pylist()]
+        return texts, [x.encode().split() for x in texts]
+
+    def grams(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct 5-grams and their buckets, the place among these of each word's 5-grams, and their number a word."""
+        found, sizes = word_grams(words)
+        grams, place = np.unique(found, return_inverse=True)
+        bucket = grams % PRIME % self.buckets
+        order = np.argsort(bucket, kind="stable")
+        rank = np.empty_like(order)
+        rank[order] = np.arange(len(order))
+        return grams[order], bucket[order], rank[place], sizes
+
+
+def _ask(lang_col: str, text_col: str, buckets: int):
+    """chunk, lang, bucket, asked: the distinct 5-grams of a chunk, as differences."""
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        out = {"chunk": [], "lang": [], "bucket": [], "asked": []}
+        chunk = _Chunk(rows, lang_col, text_col, buckets)
+        for lang, words in chunk.words.items():
+            if not words:
+                continue
+            grams, bucket, _, _ = chunk.grams(list(words))
+            at = np.flatnonzero(np.diff(bucket, prepend=-1))
+            for a, b in zip(at.tolist(), [*at[1:].tolist(), len(grams)], strict=True):
+                out["chunk"].append(key[0].as_py())
+                out["lang"].append(lang)
+                out["bucket"].append(int(bucket[a]))
+                out["asked"].append(np.diff(grams[a:b], prepend=0).tobytes())
+        return pa.table(out, pa.schema([("chunk", pa.int64()), ("lang", pa.string()), ("bucket", pa.int64()), ("asked", pa.binary())]))
+    return run
+
+
+def _answer(asked: pa.Table, model: pa.Table) -> pa.Table:
+    """The logarithms of the probabilities of the asked 5-grams, all of which the model has."""
+    gram, p = model["gram"].to_numpy(), model["p"].to_numpy()
+    order = np.argsort(gram)
+    gram, log_p = gram[order], np.log(p[order])
+    found = [log_p[np.searchsorted(gram, np.cumsum(np.frombuffer(x, np.int64)))].tobytes() for x in asked["asked"].to_pylist()]
+    return asked.select(["chunk", "lang", "bucket"]).append_column("log_p", pa.array(found, pa.binary()))
+
+
+def _score(lang_col: str, text_col: str, keep: list[str], buckets: int, schema: pa.Schema):
+    """row, language, the base statistics, the score and its bytes, from a chunk's rows and the answers to it."""
+    def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        chunk, logs, out = _Chunk(rows, lang_col, text_col, buckets), {}, []
+        for r in sorted(answers.select(["lang", "bucket", "log_p"]).to_pylist(), key=lambda r: r["bucket"]):
+            logs.setdefault(r["lang"], []).append(r["log_p"])
+        scores = {}
+        for lang, words in chunk.words.items():
+            words = list(words)
+            if words:
+                _, _, place, sizes = chunk.grams(words)
+                each = np.frombuffer(b"".join(logs.pop(lang)))[place]
+                scores[lang] = dict(zip(words, np.add.reduceat(each, np.cumsum(sizes) - sizes).tolist(), strict=True))
+        for batch, langs in zip(chunk.rows, chunk.langs, strict=True):
+            texts, words = chunk.split(batch)
+            score = [middle_run(np.fromiter(map(scores[lang].__getitem__, own), float, len(own)),
+                                np.fromiter(map(len, own), float, len(own))) if own else 0.0
+                     for lang, own in zip(langs, words, strict=True)]
             base = _base(texts, words)
             n_bytes = np.array([sum(map(len, x)) + len(x) for x in words], np.int64)
             row = pa.StructArray.from_arrays([batch.column(x) for x in keep], fields=[batch.schema.field(x) for x in keep])
-            yield pa.RecordBatch.from_arrays(
-                [row, pa.array(langs), *(pa.array(base[x]) for x in STATS), pa.array(score), pa.array(n_bytes)],
-                ["row", "lang", *STATS, "score", "n_bytes"])
+            out.append(pa.RecordBatch.from_arrays(
+                [row, pa.array(langs), *(pa.array(base[x]) for x in STATS), pa.array(score, pa.float64()), pa.array(n_bytes)],
+                ["row", "lang", *STATS, "score", "n_bytes"]))
+        return pa.Table.from_batches(out) if out else schema.empty_table()
     return run
 
 
+def _chunked(df: DataFrame, used: list[str], n_bytes: int) -> DataFrame:
+    """chunk, row: the used columns, dealt by a hash of the whole row."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = max(1, n_bytes // CHUNK_BYTES, min(partitions, n_bytes // LEAST_CHUNK_BYTES))
+    hashed = [col(x.name) for x in df.schema if not any(t in x.dataType.simpleString() for t in ("map<", "variant"))]
+    chunk = F.pmod(F.xxhash64(*hashed), F.lit(chunks))
+    return df.select(chunk.alias("chunk"), F.struct(*map(col, used)).alias("row")).repartition("chunk")
+
+
 def _scored(df: DataFrame, lang_col: str, text_col: str, keep: list[str]) -> DataFrame:
-    model = Model(kneser_ney(count_grams(df, lang_col, text_col)).toArrow())
-    used = df.select(*(col(x) for x in dict.fromkeys([*keep, lang_col, text_col])))
-    fields = [T.StructField("row", T.StructType([used.schema[x] for x in keep])), T.StructField("lang", T.StringType()),
+    orders, _, n_bytes = _orders(count_grams(df, lang_col, text_col))
+    buckets = orders[-1].count() // BUCKET_GRAMS + 1
+    docs = _chunked(df, list(dict.fromkeys([*keep, lang_col, text_col])), n_bytes)
+    # both uses of the rows take all their columns, so that they share one exchange
+    asked = docs.groupBy("chunk").applyInArrow(_ask(lang_col, text_col, buckets), "chunk long, lang string, bucket long, asked binary")
+    model = orders[-1].select("lang", (F.col("gram") % PRIME % buckets).alias("bucket"), "gram", "p")
+    answers = asked.groupBy("lang", "bucket").cogroup(model.groupBy("lang", "bucket")).applyInArrow(
+        _answer, "chunk long, lang string, bucket long, log_p binary")
+    fields = [T.StructField("row", T.StructType([df.schema[x] for x in keep])), T.StructField("lang", T.StringType()),
               *(T.StructField(x, T.LongType()) for x in STATS), T.StructField("score", T.DoubleType()),
               T.StructField("n_bytes", T.LongType())]
-    score = _score(df.sparkSession.sparkContext.broadcast(model), lang_col, text_col, keep)
-    return materialize(map_arrow(used, score, T.StructType(fields)), "scored")
+    schema = T.StructType(fields)
+    score = _score(lang_col, text_col, keep, buckets, to_arrow_schema(schema))
+    return materialize(docs.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, schema), "scored")
 
 
 def _middle(rows: DataFrame, value: str) -> DataFrame:

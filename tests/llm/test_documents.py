@@ -247,6 +247,18 @@ def test_probabilities_sum_to_one(docs, kept, monkeypatch):
     assert np.exp(model.log_probability("new", np.arange(256))).sum() == pytest.approx(1)
 
 
+def test_other_rows_leave_a_language_alone(spark):
+    rnd = random.Random(2)
+    rows = [(i, " ".join(f"{rnd.choice(['ka', 'lo', 'mi'])}{rnd.randrange(400)}" for _ in range(40)), "x") for i in range(40)]
+    more = [(100 + i, "hot words of another language " * 40_000, "y") for i in range(6)]
+
+    def scores(rows):
+        found = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string"), keep=["doc_id"])
+        return {r.row.doc_id: r.score for r in found.collect() if r.row.doc_id < 100}
+
+    assert scores(rows) == pytest.approx(scores(rows + more), abs=1e-9)
+
+
 def test_bands_are_of_a_language(spark):
     rnd = random.Random(1)
 
