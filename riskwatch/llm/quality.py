@@ -12,12 +12,14 @@ size does not. A word is scored once a chunk, however often it occurs.
 
 A document's score is the median, over its runs of ``RUN_WORDS`` words, of the run's
 cross entropy in nats a byte (the logarithm of its perplexity), so one odd passage or
-name does not decide on a whole text. Scores of short texts scatter more, as one over the root of the
-length, so each language has a median score and a deviation for one byte (median
-distance times the root of the length, scaled to a standard deviation). A text of
-n bytes is rejected above or below ``WIDTH`` deviations over the root of n.
-Medians come from exact counts on a fine grid, over the documents that pass the
-base rules.
+name does not decide on a whole text. Scores of short texts scatter more, and texts of one length differ
+in topic and style however long they are, so each language has a middle and a deviation
+(scaled quartile distance) for each length class, the power of two of the bytes: exact
+quantiles of all its documents that pass the base rules, where texts of one score and
+length count once. A text is rejected above or below ``WIDTH`` deviations. A class of
+fewer than ``CLASS_ROWS`` documents takes the figures of the nearest class that has as
+many, wider by the root of the length if that is a longer one and never narrower; a
+language without such a class has one band for all lengths.
 
 Defined results: a null text has no words; a null language is the empty one. A
 text without words scores zero and fails the base rules. Repeated rows count and
@@ -39,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..operators.robust import exact_quantiles
 from ..session import materialize
 from .common import col, map_arrow, mix64, small_batches
 
@@ -46,7 +49,7 @@ ORDER = 5
 START, END = 0x20, 0x0A  # bytes that no word has
 KEPT = float("inf")
 """N-grams rarer than one in so many bytes would be fully discounted; at infinity none is."""
-WIDTH, LEAST_DEVIATION, GRID = 4.0, 0.1, 1000
+WIDTH, LEAST_DEVIATION, CLASS_ROWS = 4.0, 0.1, 30
 WINDOW_WORDS, MIN_WORDS, MAX_REPEAT_PERCENT = 5, 10, 20
 SPACES, SYMBOLS = " \t\n\v\f\r", "#*$%&|<>"
 RUN_WORDS = 16
@@ -365,33 +368,40 @@ def _scored(df: DataFrame, lang_col: str, text_col: str, keep: list[str]) -> Dat
     return materialize(docs.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, schema), "scored")
 
 
-def _middle(rows: DataFrame, value: str) -> DataFrame:
-    """lang, middle: the lower median of a grid value, from counts (lang, value, n)."""
-    upto = F.sum("n").over(Window.partitionBy("lang").orderBy(value))
-    all_ = F.sum("n").over(Window.partitionBy("lang"))
-    found = rows.groupBy("lang", value).agg(F.sum("n").alias("n")).select("lang", value, upto.alias("upto"), all_.alias("all"))
-    return found.where(2 * F.col("upto") >= F.col("all")).groupBy("lang").agg(F.min(value).alias("middle"))
+def _length_class(n_bytes: str) -> Column:
+    return F.floor(F.log2(F.greatest(F.lit(1), F.col(n_bytes)))).cast("int")
+
+
+def _spread(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, middle, deviation of the scores."""
+    q = F.col("_q_score")
+    found = exact_quantiles(rows, ["score"], (0.25, 0.5, 0.75), keys)
+    return found.select(*keys, q[1].alias("middle"), ((q[2] - q[0]) / 1.349).alias("deviation"))
 
 
 def bands(scored: DataFrame) -> DataFrame:
-    """lang, middle, deviation of a single byte; a language has as many grid rows as scores and distances differ."""
-    rows = scored.where(~F.col("base_failed")).select("lang", "score", "n_bytes")
-    middle = _middle(rows.select("lang", F.floor(F.col("score") * GRID).alias("grid"), F.lit(1).alias("n")), "grid")
-    middle = middle.select("lang", (F.col("middle") / GRID).alias("middle"))
-    far = F.abs(F.col("score") - F.col("middle")) * F.sqrt("n_bytes")
-    far = rows.join(F.broadcast(middle), "lang").select("lang", F.floor(far * GRID).alias("far"), F.lit(1).alias("n"))
-    deviation = F.greatest(F.lit(LEAST_DEVIATION), 1.4826 * F.col("deviation") / GRID)
-    spread = _middle(far, "far").withColumnRenamed("middle", "deviation")
-    return middle.join(spread, "lang").select("lang", "middle", deviation.alias("deviation"))
+    """lang, class, middle, deviation: one row a language and length class of the documents."""
+    rows = scored.where(~F.col("base_failed")).select("lang", _length_class("n_bytes").alias("class"), "score", "n_bytes")
+    rows = materialize(rows.distinct(), "scores")
+    sizes = rows.groupBy("lang", "class").agg(F.count("*").alias("n"))
+    full = sizes.where(F.col("n") >= CLASS_ROWS).join(_spread(rows, ["lang", "class"]), ["lang", "class"])
+    full = full.select("lang", F.col("class").alias("of"), "middle", "deviation")
+    longer = F.greatest(F.lit(0), F.col("of") - F.col("class"))
+    near = sizes.select("lang", "class").join(full, "lang").groupBy("lang", "class").agg(F.min_by(
+        F.struct("middle", (F.col("deviation") * F.pow(F.lit(2.0), longer / 2)).alias("deviation")),
+        F.struct(F.abs(F.col("of") - F.col("class")), "of")).alias("x")).select("lang", "class", "x.*")
+    rest = sizes.select("lang", "class").join(_spread(rows, ["lang"]), "lang").join(near, ["lang", "class"], "left_anti")
+    return near.unionByName(rest)
 
 
 def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", keep: list[str] | None = None) -> DataFrame:
     """row (the kept columns, all by default), base statistics, base_failed, score, low, high and kept."""
     rows = _scored(df, lang_col, text_col, df.columns if keep is None else keep)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    rows = rows.select("*", failed.alias("base_failed"))
-    reach = WIDTH * F.col("deviation") / F.sqrt(F.greatest(F.lit(1), F.col("n_bytes")))
-    found = rows.join(F.broadcast(bands(rows)), "lang", "left")
+    rows = rows.select("*", failed.alias("base_failed"), _length_class("n_bytes").alias("class"))
+    least = LEAST_DEVIATION / F.sqrt(F.greatest(F.lit(1), F.col("n_bytes")))
+    reach = WIDTH * F.greatest(least, F.col("deviation"))
+    found = rows.join(F.broadcast(bands(rows)), ["lang", "class"], "left")
     found = found.select("*", (F.col("middle") - reach).alias("low"), (F.col("middle") + reach).alias("high"))
     kept = ~F.col("base_failed") & F.col("score").between(F.col("low"), F.col("high"))
     return found.select("row", *STATS, "base_failed", "score", "low", "high", F.coalesce(kept, F.lit(False)).alias("kept"))

@@ -247,6 +247,21 @@ def test_probabilities_sum_to_one(docs, kept, monkeypatch):
     assert np.exp(model.log_probability("new", np.arange(256))).sum() == pytest.approx(1)
 
 
+def test_long_clean_documents_stay(spark):
+    rnd = random.Random(5)
+    common, rare = (["".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 9))) for _ in range(n)] for n in (60, 2000))
+
+    def text(n, style):  # documents differ in their share of rare words, long ones as much as short ones
+        return " ".join(rnd.choice(rare if rnd.random() < style else common) for _ in range(n))
+
+    rows = [(i, text(rnd.randint(150, 3000), rnd.uniform(0.2, 0.5)), "x") for i in range(160)]
+    rows += [(1000, text(400_000, 0.25), "x"), (1001, text(400_000, 0.45), "x")]
+    found = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string"), keep=["doc_id"]).collect()
+    assert not any(r.base_failed for r in found)
+    assert {r.row.doc_id for r in found if r.row.doc_id >= 1000 and not r.kept} == set()
+    assert sum(r.kept for r in found) > 155
+
+
 def test_other_rows_leave_a_language_alone(spark):
     rnd = random.Random(2)
     rows = [(i, " ".join(f"{rnd.choice(['ka', 'lo', 'mi'])}{rnd.randrange(400)}" for _ in range(40)), "x") for i in range(40)]
