@@ -16,7 +16,9 @@ name does not decide on a whole text. Scores of short texts scatter more, and te
 in topic and style however long they are, so each language has a middle and a deviation
 (scaled quartile distance) for each length class, the power of two of the bytes: exact
 quantiles of all its documents that pass the base rules, where texts of one score and
-length count once. A text is rejected above or below ``WIDTH`` deviations. A class of
+length count once. A text is rejected above or below ``WIDTH`` deviations; it is also rejected if the cross entropy
+of all its words (``whole``) or of its run at the quantile ``TAIL`` is that far above the
+middle of its class, so that junk in a part of the text counts too. A class of
 fewer than ``CLASS_ROWS`` documents takes the figures of the nearest class that has as
 many, wider by the root of the length if that is a longer one and never narrower; a
 language without such a class has one band for all lengths.
@@ -52,7 +54,8 @@ KEPT = float("inf")
 WIDTH, LEAST_DEVIATION, CLASS_ROWS = 4.0, 0.1, 30
 WINDOW_WORDS, MIN_WORDS, MAX_REPEAT_PERCENT = 5, 10, 20
 SPACES, SYMBOLS = " \t\n\v\f\r", "#*$%&|<>"
-RUN_WORDS = 16
+RUN_WORDS, TAIL = 16, 0.75
+JUDGED = ("score", "whole", "tail")
 FLUSH_WORDS = 500_000
 CHUNK_BYTES, LEAST_CHUNK_BYTES = 16 << 20, 1 << 20
 BUCKET_GRAMS, PRIME = 1 << 16, 1_000_003
@@ -251,12 +254,22 @@ def _base(texts: list[str], words: list[list[bytes]]) -> dict[str, np.ndarray]:
     return {k: np.asarray(v, np.int64) for k, v in zip(STATS, found, strict=True)}
 
 
+def _runs(log_p: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    starts = RUN_WORDS * np.arange(max(1, len(log_p) // RUN_WORDS))
+    return -np.add.reduceat(log_p, starts) / np.add.reduceat(sizes + 1, starts)
+
+
 def middle_run(log_p: np.ndarray, sizes: np.ndarray) -> float:
     """The median cross entropy of a text's runs of words; what is left over belongs to the last run."""
+    return float(np.median(_runs(log_p, sizes))) if len(log_p) else 0.0
+
+
+def entropies(log_p: np.ndarray, sizes: np.ndarray) -> tuple[float, float, float]:
+    """Cross entropy of the middle run, of all words, and of the run at TAIL (the lower one of two)."""
     if not len(log_p):
-        return 0.0
-    starts = RUN_WORDS * np.arange(max(1, len(log_p) // RUN_WORDS))
-    return float(np.median(-np.add.reduceat(log_p, starts) / np.add.reduceat(sizes + 1, starts)))
+        return 0.0, 0.0, 0.0
+    runs = np.sort(_runs(log_p, sizes))
+    return float(np.median(runs)), float(-log_p.sum() / (sizes + 1).sum()), float(runs[int(TAIL * (len(runs) - 1))])
 
 
 class _Chunk:
@@ -329,15 +342,15 @@ def _score(lang_col: str, text_col: str, keep: list[str], buckets: int, schema:
                 scores[lang] = dict(zip(words, np.add.reduceat(each, np.cumsum(sizes) - sizes).tolist(), strict=True))
         for batch, langs in zip(chunk.rows, chunk.langs, strict=True):
             texts, words = chunk.split(batch)
-            score = [middle_run(np.fromiter(map(scores[lang].__getitem__, own), float, len(own)),
-                                np.fromiter(map(len, own), float, len(own))) if own else 0.0
+            found = [entropies(np.fromiter(map(scores[lang].__getitem__, own), float, len(own)),
+                               np.fromiter(map(len, own), float, len(own))) if own else (0.0, 0.0, 0.0)
                      for lang, own in zip(langs, words, strict=True)]
             base = _base(texts, words)
             n_bytes = np.array([sum(map(len, x)) + len(x) for x in words], np.int64)
             row = pa.StructArray.from_arrays([batch.column(x) for x in keep], fields=[batch.schema.field(x) for x in keep])
             out.append(pa.RecordBatch.from_arrays(
-                [row, pa.array(langs), *(pa.array(base[x]) for x in STATS), pa.array(score, pa.float64()), pa.array(n_bytes)],
-                ["row", "lang", *STATS, "score", "n_bytes"]))
+                [row, pa.array(langs), *(pa.array(base[x]) for x in STATS), *(pa.array(x, pa.float64()) for x in zip(*found, strict=True)),
+                 pa.array(n_bytes)], ["row", "lang", *STATS, *JUDGED, "n_bytes"]))
         return pa.Table.from_batches(out) if out else schema.empty_table()
     return run
 
@@ -361,7 +374,7 @@ def _scored(df: DataFrame, lang_col: str, text_col: str, keep: list[str]) -> Dat
     answers = asked.groupBy("lang", "bucket").cogroup(model.groupBy("lang", "bucket")).applyInArrow(
         _answer, "chunk long, lang string, bucket long, log_p binary")
     fields = [T.StructField("row", T.StructType([df.schema[x] for x in keep])), T.StructField("lang", T.StringType()),
-              *(T.StructField(x, T.LongType()) for x in STATS), T.StructField("score", T.DoubleType()),
+              *(T.StructField(x, T.LongType()) for x in STATS), *(T.StructField(x, T.DoubleType()) for x in JUDGED),
               T.StructField("n_bytes", T.LongType())]
     schema = T.StructType(fields)
     score = _score(lang_col, text_col, keep, buckets, to_arrow_schema(schema))
@@ -373,35 +386,42 @@ def _length_class(n_bytes: str) -> Column:
 
 
 def _spread(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, middle, deviation of the scores."""
-    q = F.col("_q_score")
-    found = exact_quantiles(rows, ["score"], (0.25, 0.5, 0.75), keys)
-    return found.select(*keys, q[1].alias("middle"), ((q[2] - q[0]) / 1.349).alias("deviation"))
+    """keys, and of each judged value a struct of its middle and deviation."""
+    def band(x: str) -> Column:
+        q = F.col(f"_q_{x}")
+        return F.struct(q[1].alias("middle"), ((q[2] - q[0]) / 1.349).alias("deviation")).alias(f"{x}_band")
+
+    return exact_quantiles(rows, JUDGED, (0.25, 0.5, 0.75), keys).select(*keys, *map(band, JUDGED))
 
 
 def bands(scored: DataFrame) -> DataFrame:
-    """lang, class, middle, deviation: one row a language and length class of the documents."""
-    rows = scored.where(~F.col("base_failed")).select("lang", _length_class("n_bytes").alias("class"), "score", "n_bytes")
+    """lang, class, score_band, whole_band, tail_band: one row a language and length class of the documents."""
+    rows = scored.where(~F.col("base_failed")).select("lang", _length_class("n_bytes").alias("class"), *JUDGED, "n_bytes")
     rows = materialize(rows.distinct(), "scores")
     sizes = rows.groupBy("lang", "class").agg(F.count("*").alias("n"))
     full = sizes.where(F.col("n") >= CLASS_ROWS).join(_spread(rows, ["lang", "class"]), ["lang", "class"])
-    full = full.select("lang", F.col("class").alias("of"), "middle", "deviation")
-    longer = F.greatest(F.lit(0), F.col("of") - F.col("class"))
+    full = full.withColumnRenamed("class", "of").drop("n")
+    wider = F.pow(F.lit(2.0), F.greatest(F.lit(0), F.col("of") - F.col("class")) / 2)
+    values = [F.col(f"{x}_band").withField("deviation", F.col(f"{x}_band.deviation") * wider).alias(f"{x}_band") for x in JUDGED]
     near = sizes.select("lang", "class").join(full, "lang").groupBy("lang", "class").agg(F.min_by(
-        F.struct("middle", (F.col("deviation") * F.pow(F.lit(2.0), longer / 2)).alias("deviation")),
-        F.struct(F.abs(F.col("of") - F.col("class")), "of")).alias("x")).select("lang", "class", "x.*")
+        F.struct(*values), F.struct(F.abs(F.col("of") - F.col("class")), "of")).alias("x")).select("lang", "class", "x.*")
     rest = sizes.select("lang", "class").join(_spread(rows, ["lang"]), "lang").join(near, ["lang", "class"], "left_anti")
     return near.unionByName(rest)
 
 
 def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", keep: list[str] | None = None) -> DataFrame:
-    """row (the kept columns, all by default), base statistics, base_failed, score, low, high and kept."""
+    """row (the kept columns, all by default), base statistics, base_failed, score, low, high, whole, tail and kept."""
     rows = _scored(df, lang_col, text_col, df.columns if keep is None else keep)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     rows = rows.select("*", failed.alias("base_failed"), _length_class("n_bytes").alias("class"))
-    least = LEAST_DEVIATION / F.sqrt(F.greatest(F.lit(1), F.col("n_bytes")))
-    reach = WIDTH * F.greatest(least, F.col("deviation"))
     found = rows.join(F.broadcast(bands(rows)), ["lang", "class"], "left")
-    found = found.select("*", (F.col("middle") - reach).alias("low"), (F.col("middle") + reach).alias("high"))
-    kept = ~F.col("base_failed") & F.col("score").between(F.col("low"), F.col("high"))
-    return found.select("row", *STATS, "base_failed", "score", "low", "high", F.coalesce(kept, F.lit(False)).alias("kept"))
+    least = LEAST_DEVIATION / F.sqrt(F.greatest(F.lit(1), F.col("n_bytes")))
+
+    def end(x: str, sign: int) -> Column:
+        return F.col(f"{x}_band.middle") + sign * WIDTH * F.greatest(least, F.col(f"{x}_band.deviation"))
+
+    found = found.select("*", end("score", -1).alias("low"), end("score", 1).alias("high"))
+    kept = (~F.col("base_failed") & F.col("score").between(F.col("low"), F.col("high"))
+            & (F.col("whole") <= end("whole", 1)) & (F.col("tail") <= end("tail", 1)))
+    return found.select("row", *STATS, "base_failed", "score", "low", "high", "whole", "tail",
+                        F.coalesce(kept, F.lit(False)).alias("kept"))

@@ -262,6 +262,23 @@ def test_long_clean_documents_stay(spark):
     assert sum(r.kept for r in found) > 155
 
 
+def test_junk_in_a_part_of_a_text_counts(spark):
+    rnd = random.Random(6)
+    stems = ["ka", "lo", "mi", "ter", "un"]
+
+    def clean(n):
+        return ["".join(rnd.choice(stems) for _ in range(rnd.randint(1, 3))) for _ in range(n)]
+
+    def junk(n):
+        return ["".join(rnd.choice("bcdfghjpqvwxyz0123456789") for _ in range(8)) for _ in range(n)]
+
+    rows = [(i, " ".join(clean(rnd.randint(300, 400))), "x") for i in range(120)]
+    rows += [(200, " ".join(clean(200) + junk(140)), "x"), (201, " ".join(clean(20) + junk(120) + clean(200)), "x")]
+    found = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string"), keep=["doc_id"]).collect()
+    assert {r.row.doc_id for r in found if not r.kept and r.row.doc_id >= 200} == {200, 201}
+    assert sum(r.kept for r in found) > 110
+
+
 def test_other_rows_leave_a_language_alone(spark):
     rnd = random.Random(2)
     rows = [(i, " ".join(f"{rnd.choice(['ka', 'lo', 'mi'])}{rnd.randrange(400)}" for _ in range(40)), "x") for i in range(40)]
