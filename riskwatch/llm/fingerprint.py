@@ -9,9 +9,8 @@ names are the next level's symbols, up to one name for the whole text. Where a
 phrase starts only depends on a few symbols around it, so equal substrings get
 equal names inside, wherever they stand.
 
-A fingerprint is the smallest ``SKETCH`` of the hashed names from level
-``LOWEST`` up, or of all levels for texts of at most ``SHORT`` bytes, as
-hexadecimal numbers of eight digits; the whole text's name counts always. Two fingerprints' likeness is the share of common ones
+A fingerprint is the smallest ``SKETCH`` of the hashed names of all levels, for
+texts of any length, as hexadecimal numbers of eight digits. Two fingerprints' likeness is the share of common ones
 among the smallest of both together, an estimate of the Jaccard similarity of
 the names.
 
@@ -34,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import col, map_arrow, mix64, small_batches
 
-SKETCH, LOWEST, SHORT = 64, 3, 64
+SKETCH = 64
 BUCKET_ROWS, BUCKETS, TASK_BUCKETS = 500, 1 << 14, 4
 """Documents are dealt in runs of about so many, some runs to a task; beyond so many runs they grow, as their
 first ids are broadcast."""
@@ -98,15 +97,13 @@ def sketches(texts: list[bytes]) -> list[np.ndarray]:
         return [np.zeros(0, np.uint32) for _ in texts]
     symbol = _BYTES[np.frombuffer(b"".join(texts), np.uint8)]
     first = np.cumsum(sizes[owner]) - sizes[owner]
-    found, level = [], 0
+    found = []
     while len(owner):
         symbol, first = _up(symbol, first)
-        level += 1
         counts = np.diff(first, append=len(symbol))
         whole = counts == 1
-        used = np.repeat((level >= LOWEST) | whole | (sizes[owner] <= SHORT), counts)
-        of = np.repeat(owner, counts)[used].astype(np.uint64)
-        found.append(of << np.uint64(32) | mix64(symbol[used]) >> np.uint64(32))
+        of = np.repeat(owner, counts).astype(np.uint64)
+        found.append(of << np.uint64(32) | mix64(symbol) >> np.uint64(32))
         symbol, owner, counts = symbol[np.repeat(~whole, counts)], owner[~whole], counts[~whole]
         first = np.cumsum(counts) - counts
     all_ = np.unique(np.concatenate(found))

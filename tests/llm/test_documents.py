@@ -131,6 +131,17 @@ def test_fingerprints_are_locally_consistent():
     assert fingerprint.likeness(empty, empty) == 1.0 and fingerprint.likeness(a, empty) == 0.0
 
 
+def test_short_texts_compare_across_any_length():
+    rnd = random.Random(8)
+    for n in (63, 64, 65, 100, 150):
+        found = []
+        for _ in range(40):
+            text = "".join(rnd.choice("abcdefgh ") for _ in range(n))
+            a, b = fingerprint.sketches([text.encode(), (text + "x").encode()])
+            found.append(fingerprint.likeness(a, b))
+        assert statistics.mean(found) > 0.7, n
+
+
 def test_parsing_a_batch_or_alone_is_the_same():
     rnd = random.Random(4)
     texts = [bytes(rnd.choice(b"aab ") for _ in range(rnd.randint(0, 300))) for _ in range(200)] + [b"a" * 999, b"ab" * 500]
