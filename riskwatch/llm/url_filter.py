@@ -7,7 +7,7 @@ resource: in such a connected component, what a block rule says of one url also
 holds for the aliases that no rule fits. A url's own rule, an allow above all,
 comes before what reaches it from aliases. What nothing reaches is allowed.
 
-Edges: ``<link rel=canonical href>`` and ``<meta http-equiv=refresh>`` of each
+Edges: every ``<link rel=canonical href>`` and ``<meta http-equiv=refresh>`` of each
 page, and a table of redirects (src, dst) if given. Relative targets are resolved.
 Two urls are one node if they agree after lower-casing the host and dropping the
 fragment.
@@ -74,13 +74,14 @@ def _resolve(target: Column, base: Column) -> Column:
 
 def links(pages: DataFrame) -> DataFrame:
     """a, b: nodes joined by a page's canonical link or refresh, from columns url and html."""
-    def target(tag: str, attribute: str) -> Column:
-        return F.regexp_extract(F.regexp_extract("html", tag, 0), attribute, 1)
+    def targets(tag: str, attribute: str) -> Column:
+        return F.transform(F.regexp_extract_all("html", F.lit(tag), 0), lambda x: F.regexp_extract(x, attribute, 1))
 
     word = F.lower("html")
-    found = F.array_compact(F.array(
-        F.when(word.contains("canonical"), target(CANONICAL, HREF)),
-        F.when(word.contains("refresh"), target(REFRESH, REFRESH_URL))))
+    none = F.array().cast("array<string>")
+    found = F.concat(
+        F.when(word.contains("canonical"), targets(CANONICAL, HREF)).otherwise(none),
+        F.when(word.contains("refresh"), targets(REFRESH, REFRESH_URL)).otherwise(none))
     found = pages.where(word.contains("canonical") | word.contains("refresh")).select("url", F.explode(found).alias("to"))
     return found.select(_node(F.col("url")).alias("a"), _node(_resolve(F.col("to"), F.col("url"))).alias("b"))
 

@@ -69,6 +69,17 @@ def test_url_rules_and_aliases(spark, rules):
     assert place[10] == ("example.com", "") and place[21] == ("y:", "//net/es/") and place[20] == ("e.net", "/fr/a")
 
 
+def test_every_tag_of_a_page_counts(spark, rules):
+    spam = "https://spam.net/es/1"
+    pages = [(1, "http://a.org/1", CANONICAL.format("http://a.org/own") + CANONICAL.format(spam)),
+             (2, "http://a.org/2", REFRESH.format("http://a.org/other") + REFRESH.format(spam)),
+             (3, "http://a.org/3", "<link rel=canonical>" + CANONICAL.format(spam)),
+             (4, "http://a.org/4", '<meta http-equiv="refresh" content="30">' + REFRESH.format(spam)),
+             (5, "http://a.org/own", None), (6, "http://a.org/other", None), (7, spam, None), (8, "http://a.org/8", None)]
+    found = url_filter.judge(spark.createDataFrame(pages, "page_id long, url string, html string"), rules).collect()
+    assert {r.page_id for r in found if r.verdict == "allow"} == {8}
+
+
 def test_redirect_table_and_equally_long_rules(spark):
     pages = spark.createDataFrame([(1, "http://a.org/q"), (2, "http://b.a.org/q")], "page_id long, url string").selectExpr(
         "*", "cast(null as string) html")
