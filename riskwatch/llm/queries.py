@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, shared_path
-from . import byte_bpe, chat, fingerprint, line_dedup, packing, quality, simhash, token_count, token_store, url_filter
+from . import (byte_bpe, chat, fingerprint, line_dedup, packing, periodic, quality, simhash, token_count, token_store,
+               url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -134,3 +135,37 @@ def op7_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.judge(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return found.select("row.doc_id", *quality.STATS, "base_failed", "kept", "score")
+
+
+def with_planted_period(docs: DataFrame) -> DataFrame:
+    """doc_id and text; where crc32 of the id is divisible by ten, the words from some place on repeat with a period."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def repeated(words):
+        n = F.size(words).cast("long")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        unit = F.slice(words, (a + 1).cast("int"), p.cast("int"))
+        times = F.array_repeat(unit, F.ceil((n - a) / p).cast("int"))
+        row = F.concat(F.slice(words, 1, a.cast("int")), F.slice(F.flatten(times), 1, (n - a).cast("int")))
+        return F.when(n > 0, F.array_join(row, " "))
+
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    changed = F.when(h % 10 == 0, F.transform(F.array(words), repeated)[0])
+    return docs.select("doc_id", F.coalesce(changed, "text").alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find_runs(with_planted_period(table(spark, sf_dir, "documents")))
+    none = F.lit(None).cast("struct<start: long, length: long, period: long>")
+    best = F.reduce("runs", none, lambda best, run: F.when(  # in order of start and period: the first of equal ones stays
+        best.isNull() | (run["length"] * best["period"] > best["length"] * run["period"]), run).otherwise(best))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *(r[x].cast("string") for x in ("start", "length", "period"))))
+    listed = F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "")
+    found = found.select("*", best.alias("best"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
