@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, shared_path
-from . import (byte_bpe, chat, fingerprint, hard_negatives, line_dedup, packing, periodic, quality, simhash, token_count,
-               token_store, url_filter)
+from . import (byte_bpe, chat, embedding_graph, fingerprint, hard_negatives, line_dedup, packing, periodic, quality, simhash,
+               token_count, token_store, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -174,10 +174,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_hard_negatives", """
 WITH vecs AS (
     SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-           list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+           [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
     FROM embeddings
     WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), parts AS (
     SELECT vec_id, label, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM vecs
 ), scores AS (
@@ -204,3 +204,24 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rows.select("vec_id", label.alias("label"), F.transform(double, lambda x: F.floor(256 * x)).alias("vector"),
                        (F.col("vec_id") % 50 == 0).alias("anchor"))
     return hard_negatives.mine(rows, "vec_id", "vector", "label", "anchor", positives=5, negatives=3, window=(50, 95))
+
+
+@query("op13_embedding_graph", """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, label, [CAST(x AS DOUBLE) FOR x IN embedding] AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.98
+), reached AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION
+    SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, least AS component_id, vec_id = least AS kept
+FROM embeddings LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) ON a = vec_id
+JOIN (SELECT a AS node, min(b) AS least FROM reached GROUP BY a) ON node = vec_id
+""")
+def op13_embedding_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_graph.near_duplicates(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label", 0.98)
