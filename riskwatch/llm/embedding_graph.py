@@ -3,10 +3,11 @@
 Vectors are nodes, equal vectors of one label one node. The nodes of a label are cut
 into cells around centroids; a node is at home in its ``HOMES`` nearest cells, so that
 cells overlap. A cell of many nodes is cut further into parts of a bounded size by a
-hash. In each part, every node gets as candidates its nearest nodes and some drawn at
-random, and robust pruning keeps a candidate unless one kept before is closer to it,
-by a factor of ``ALPHA``, than the node itself is. Edges run both ways. The adjacency lists
-that a node has from its cells are united to one flat graph.
+hash. In each part, every node gets its nearest nodes as candidates, and robust pruning keeps
+a candidate unless one kept before is closer to it, by a factor of ``ALPHA``, than the node
+itself is. A few more edges lead to nodes drawn at random, as a group of near copies would have no
+edges but its own. Edges run both ways. The adjacency lists that a node has from its cells are
+united to one flat graph.
 
 A search takes a node as a query to its ``PROBES`` nearest cells. In each part it
 starts at the medoid, goes greedily along the edges with a beam of candidates, and
@@ -48,7 +49,7 @@ from .components import components
 
 SAMPLE, CENTROIDS, CELL = 65_536, 16_384, 512
 PART, QUERIES = 2_048, 4_096
-NEAREST, RANDOM, DEGREE, ALPHA = 32, 16, 16, 1.2
+NEAREST, DEGREE, FAR, ALPHA = 64, 24, 8, 1.2
 AUDIT, RECALL, ROUNDS = 512, 0.99, 4
 SLACK = 1e-4  # of single precision in the search, before the check in double precision
 
@@ -57,7 +58,7 @@ SLACK = 1e-4  # of single precision in the search, before the check in double pr
 class Width:
     homes: int = 2
     probes: int = 4
-    beam: int = 16
+    beam: int = 24
 
     def doubled(self) -> Width:
         return Width(2 * self.homes, 2 * self.probes, 2 * self.beam)
@@ -76,7 +77,7 @@ def unit(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
 # ---- the graph of a part -----------------------------------------------------------------------------------------
 
 def pruned(rows: np.ndarray, rnd: np.random.Generator) -> list[np.ndarray]:
-    """The neighbours of each row by robust pruning of its nearest rows and of some others, and those it is one of."""
+    """The neighbours of each row: its nearest rows after robust pruning, a few drawn ones, and the rows it is one of."""
     n = len(rows)
     if n < 2:
         return [np.zeros(0, np.int64)] * n
@@ -84,11 +85,8 @@ def pruned(rows: np.ndarray, rnd: np.random.Generator) -> list[np.ndarray]:
     np.fill_diagonal(near, -np.inf)
     k = min(NEAREST, n - 1)
     closest = np.argpartition(-near, k - 1, axis=1)[:, :k]
-    drawn = rnd.integers(0, n, (n, RANDOM))
-    again = (drawn[:, :, None] == closest[:, None, :]).any(axis=2) | (drawn == np.arange(n)[:, None])
-    candidate = np.concatenate([closest, drawn], axis=1)
-    likeness = np.take_along_axis(near, candidate, axis=1)
-    open_ = np.concatenate([np.ones_like(closest, bool), ~again], axis=1)
+    likeness = np.take_along_axis(near, closest, axis=1)
+    open_ = np.ones_like(closest, bool)
     source, target = [], []
     np.fill_diagonal(near, 1)
     for _ in range(DEGREE):
@@ -96,10 +94,10 @@ def pruned(rows: np.ndarray, rnd: np.random.Generator) -> list[np.ndarray]:
         if not len(left):
             break
         best = np.where(open_[left], likeness[left], -np.inf).argmax(axis=1)
-        chosen = candidate[left, best]
+        chosen = closest[left, best]
         source.append(left)
         target.append(chosen)
-        between = near[chosen[:, None], candidate[left]]
+        between = near[chosen[:, None], closest[left]]
         open_[left] &= ALPHA * (1 - between) > 1 - likeness[left]
         open_[left, best] = False
     source, target = np.concatenate(source), np.concatenate(target)
@@ -107,7 +105,9 @@ def pruned(rows: np.ndarray, rnd: np.random.Generator) -> list[np.ndarray]:
     order = np.lexsort((-near[source, target], target))
     place = np.arange(len(order)) - np.searchsorted(target[order], target[order])
     back = order[place < DEGREE]
-    pairs = np.unique(np.concatenate([source * n + target, target[back] * n + source[back]]))
+    far, to = np.repeat(np.arange(n), FAR), rnd.integers(0, n, n * FAR)
+    far, to = far[far != to], to[far != to]
+    pairs = np.unique(np.concatenate([source * n + target, target[back] * n + source[back], far * n + to, to * n + far]))
     return np.split(pairs % n, np.searchsorted(pairs, np.arange(1, n) * n))
 
 
