@@ -7,8 +7,8 @@
   (key, bucket). No task ever sees more than one bucket of one key.
 * ``quantile_buckets`` — monotone bucket ids from approximate quantiles, the
   usual input of ``prefix_sums``.
-* ``max_streak``     — longest run of consecutive rows meeting a threshold
-  (gaps and islands): one window per key, whose partitioning the counts reuse.
+* ``max_streak``     — longest run of consecutive rows meeting a threshold: gaps and
+  islands inside spans of days, whose summaries merge.
 """
 
 from __future__ import annotations
@@ -97,21 +97,41 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order_col: str,
     return joined.select(*df.columns, *[(F.col("_o_" + v) + F.col("_l_" + v)).alias(prefix + v) for v in value_cols])
 
 
-def max_streak(df: DataFrame, key: str | Sequence[str], order_col: str, value_col: str,
-               threshold: float, tiebreak: Sequence[str], name: str = "max_streak") -> DataFrame:
+def max_streak(df: DataFrame, key: str | Sequence[str], order_col: str, value_col: str, threshold: float,
+               tiebreak: Sequence[str], name: str = "max_streak", days: int = 32) -> DataFrame:
     """Longest run of consecutive rows with ``value >= threshold`` per key (0 if none).
 
-    Gaps and islands: the running count of "breaking" rows (below threshold or
-    NULL) labels each island; qualifying rows are counted per island. All three
-    steps share one hash partitioning by key. ``tiebreak`` orders rows of one
-    ``order_col``; the horizon of ``df`` bounds the rows of a key.
+    The rows of a key are cut into spans of ``days`` days of the date ``order_col``. Inside a span, the running count of
+    breaking rows (below the threshold or NULL) labels each island, and the span is summed up as its rows, its
+    qualifying rows at the start and at the end, and its longest run. Summaries of neighbouring spans merge into one of
+    both, so a key of any length is split over tasks, and only one summary a span meets at the
+    key. ``tiebreak`` orders rows of one day.
     """
     if not tiebreak:
         raise ValueError("max_streak needs a tiebreak for rows of one date")
     keys = _as_list(key)
     ok = F.coalesce(F.col(value_col) >= F.lit(threshold), F.lit(False))
-    w = (Window.partitionBy(*keys).orderBy(order_col, *tiebreak)
+    day = F.datediff(F.col(order_col).cast("date"), F.lit("1970-01-01").cast("date"))
+    w = (Window.partitionBy(*keys, "_span").orderBy(order_col, *tiebreak)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    islands = df.select(*keys, ok.alias("_ok"), F.sum(F.when(ok, 0).otherwise(1)).over(w).alias("_isl"))
-    runs = islands.groupBy(*keys, "_isl").agg(F.sum(F.col("_ok").cast("int")).alias("_run"))
-    return runs.groupBy(*keys).agg(F.coalesce(F.max("_run"), F.lit(0)).cast("long").alias(name))
+    spans = df.withColumn("_span", F.floor(day / days))
+    islands = spans.select(*keys, "_span", ok.alias("_ok"), F.sum(F.when(ok, 0).otherwise(1)).over(w).alias("_isl"))
+    runs = islands.groupBy(*keys, "_span", "_isl").agg(F.sum(F.col("_ok").cast("long")).alias("_run"), F.count("*").alias("_n"))
+    last = F.max_by("_run", "_isl")
+    summary = runs.groupBy(*keys, "_span").agg(
+        F.sum("_n").alias("rows"), F.coalesce(F.max(F.when(F.col("_isl") == 0, F.col("_run"))), F.lit(0)).alias("head"),
+        last.alias("tail"), F.max("_run").alias("best"))
+    parts = F.array_sort(F.collect_list(F.struct("_span", "rows", "head", "tail", "best")))  # one entry a span
+
+    def merged(a, b):
+        joined = a["tail"] + b["head"]
+        return F.struct(
+            (a["rows"] + b["rows"]).alias("rows"),
+            F.when(a["head"] == a["rows"], a["rows"] + b["head"]).otherwise(a["head"]).alias("head"),
+            F.when(b["tail"] == b["rows"], joined + b["tail"] - b["head"]).otherwise(b["tail"]).alias("tail"),
+            F.greatest(a["best"], b["best"], joined).alias("best"))
+
+    zero = F.lit(0).cast("long")
+    none = F.struct(zero.alias("rows"), zero.alias("head"), zero.alias("tail"), zero.alias("best"))
+    return summary.groupBy(*keys).agg(parts.alias("_parts")).select(
+        *keys, F.aggregate("_parts", none, merged)["best"].alias(name))

@@ -9,13 +9,14 @@ same prepared frame, grouped by month (or month x segment).
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import clip_prob
 from ..session import materialize
+from ..sources.sinks import read_latest, sink_upsert
 from . import calib, ranking
 
 MONTH = "as_of_month"
@@ -120,11 +121,14 @@ def metrics_roll12(m: DataFrame, cols=("auc", "ks", "brier", "pr_auc"), order_co
 
 
 def monthly_metrics(d: DataFrame, p: BacktestParams) -> DataFrame:
-    m = cohort_metrics(d, [MONTH], p)
-    m = m.select(MONTH, F.lit(p.pd_col).alias("pd_col"), F.lit(p.y_col).alias("y_col"),
-                 F.lit(float(p.amber)).alias("amber"), F.lit(float(p.red)).alias("red"),
-                 *[c for c in m.columns if c != MONTH])
-    return metrics_roll12(m)
+    return metrics_roll12(_named(cohort_metrics(d, [MONTH], p), p))
+
+
+def _named(m: DataFrame, p: BacktestParams) -> DataFrame:
+    """Monthly metrics with the names and cuts of the run."""
+    return m.select(MONTH, F.lit(p.pd_col).alias("pd_col"), F.lit(p.y_col).alias("y_col"),
+                    F.lit(float(p.amber)).alias("amber"), F.lit(float(p.red)).alias("red"),
+                    *[c for c in m.columns if c != MONTH])
 
 
 def segment_metrics(d: DataFrame, p: BacktestParams, segment_col: str) -> DataFrame:
@@ -146,3 +150,35 @@ def backtest_monthly(df: DataFrame, p: BacktestParams) -> dict[str, DataFrame]:
     if p.segment_col:
         out["segments"] = segment_metrics(d, p, p.segment_col)
     return out
+
+
+def update_backtest(batch: DataFrame, base: str, p: BacktestParams) -> DataFrame:
+    """The monthly metrics of all rows given so far, after one more batch of cohort rows.
+
+    Two upsert tables under ``base`` are kept, both by month: the rows of each cohort, one a customer, and the
+    metrics of each cohort. A batch, with a new month or with late rows of old ones, is merged into the cohorts of its
+    months, whose metrics are made again; cohorts of other months are neither read nor written. The
+    months at the end that ``drop_last_n`` leaves out and the rolling means come from the small table of metrics.
+    Rows without a month are left out.
+    """
+    spark, cohorts, metrics = batch.sparkSession, f"{base}/cohorts", f"{base}/metrics"
+    batch = materialize(batch.withColumn(MONTH, month_key(p.as_of_col)).where(F.col(MONTH).isNotNull()), "batch")
+    months = [r[0] for r in batch.select(MONTH).distinct().collect()]  # as many as cohorts
+    order = [p.as_of_col] + ([p.tiebreak] if p.tiebreak else [])
+
+    def merge(old: DataFrame | None, new: DataFrame) -> DataFrame:
+        return dedup_cohort(new if old is None else old.unionByName(new), [MONTH, p.id_col], order)
+
+    if months:
+        sink_upsert(batch, cohorts, [MONTH, p.id_col], partition_by=MONTH, merge=merge)
+        touched = read_latest(spark, cohorts, months)
+        own = cohort_metrics(materialize(prepare_cohorts(touched, replace(p, drop_last_n=0))), [MONTH], p)
+        # a month without a cohort any more leaves a row that says so
+        every = spark.createDataFrame([(m,) for m in months], f"{MONTH} date")
+        own = every.join(own.withColumn("_valid", F.lit(True)), MONTH, "left")
+        sink_upsert(own, metrics, [MONTH], partition_by=MONTH, merge=lambda old, new: new)
+    found = read_latest(spark, metrics)
+    if found is None:
+        found = cohort_metrics(prepare_cohorts(batch, p), [MONTH], p).withColumn("_valid", F.lit(True))
+    found = filter_month_range(found.where("_valid").drop("_valid"), p.start, p.end, p.drop_last_n)
+    return metrics_roll12(_named(found, p))

@@ -19,9 +19,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .calib import percent_probs, quantiles_from_counts
 from .ranking import cumulative_counts
 from .robust import exact_quantiles
@@ -66,39 +67,76 @@ def feature_edges(base: DataFrame, feats: Sequence[str], n_bins: int) -> DataFra
 # ---------------------------------------------------------------------------
 # backtest PSI (monthly)
 # ---------------------------------------------------------------------------
+def flagged(df: DataFrame, period: str, cols: Sequence[str], cast: str = "double") -> DataFrame:
+    """(series, _m, value, _is_base) of the columns; the baseline is the earliest period."""
+    long = unpivot(df, [period], cols, cast=cast)
+    base = df.agg(F.min(period).alias("_b"))
+    return long.crossJoin(F.broadcast(base)).select(
+        "series", F.col(period).alias("_m"), "value", F.coalesce(F.col(period) == F.col("_b"), F.lit(False)).alias("_is_base"))
+
+
 def psi_numeric(long: DataFrame, period: str, base_period_value, n_bins: int = 10) -> DataFrame:
     """``long`` = (period, series, value): PSI of every period against the
     baseline period, per series -> (series, period, psi)."""
-    f = long.select(F.col(period).alias("_m"), "series", "value",
-                    (F.col(period) == F.lit(base_period_value)).alias("_is_base"))
-    return _psi_numeric_flag(f, n_bins).withColumnRenamed("_m", period)
+    is_base = F.coalesce(F.col(period) == F.lit(base_period_value), F.lit(False)).alias("_is_base")
+    return psi_numeric_flagged(long.select("series", F.col(period).alias("_m"), "value", is_base), n_bins).withColumnRenamed("_m", period)
 
 
 def psi_categorical(long: DataFrame, period: str, base_period_value) -> DataFrame:
-    """Category-share PSI of every period vs the baseline period (NULLs excluded,
-    epsilon added to both shares, no renormalisation) -> (series, period, psi)."""
-    f = long.select(F.col(period).alias("_m"), "series", "value",
-                    (F.col(period) == F.lit(base_period_value)).alias("_is_base"))
-    return _psi_categorical_flag(f).withColumnRenamed("_m", period)
+    """Category-share PSI of every period vs the baseline period -> (series, period, psi)."""
+    is_base = F.coalesce(F.col(period) == F.lit(base_period_value), F.lit(False)).alias("_is_base")
+    return psi_categorical_flagged(long.select("series", F.col(period).alias("_m"), F.col("value").cast("string"), is_base)) \
+        .withColumnRenamed("_m", period)
+
+
+def psi_numeric_flagged(long: DataFrame, n_bins: int = 10) -> DataFrame:
+    """``long`` = (series, _m, value, _is_base) -> (series, _m, psi)."""
+    long = materialize(long, "series")  # read for edges and counts
+    edges = materialize(baseline_edges(long.filter("_is_base"), ["series"], n_bins), "edges")
+    counts = materialize(_cells(long.join(F.broadcast(edges), "series", "left"), _bin("value")), "counts")
+    return _numeric_psi(counts, edges)
+
+
+def psi_categorical_flagged(long: DataFrame) -> DataFrame:
+    """As above for categories (NULLs excluded, epsilon added to both shares, no renormalisation)."""
+    return _category_psi(materialize(_cells(long, F.col("value")), "counts"))
+
+
+def category_union(long: DataFrame) -> DataFrame:
+    """series, _m, n_categories: the categories that the period or the baseline has, as those of the period, plus those of
+    the baseline, less those of both."""
+    counts = materialize(_cells(long, F.col("value")), "counts")
+    base = counts.where(F.col("_is_base") & F.col("cell").isNotNull()).select("series", "cell", F.lit(1).alias("hit"))
+    whole = base.groupBy("series").agg(F.count("*").alias("whole"))
+    j = counts.join(base, ["series", "cell"], "left").groupBy("series", "_m").agg(
+        F.count("cell").alias("own"), F.count("hit").alias("both")).join(F.broadcast(whole), "series", "left")  # a row a series
+    n = F.col("own") + F.coalesce("whole", F.lit(0)) - F.col("both")
+    return j.select("series", "_m", n.alias("n_categories")).where("n_categories > 0")
 
 
 def psi_monthly(cohorts: DataFrame, date_col: str = "as_of_date",
                 numeric=("pd_12m", "ead", "lgd"), categorical=("sector", "grade"),
                 names: dict | None = None, n_bins: int = 10) -> DataFrame:
     """Each month vs the earliest month, wide: as_of_date, pd_score, sector_mix,
-    grade_mix, ead, lgd (one job for every month and series)."""
+    grade_mix, ead, lgd.
+
+    The columns are written once, and one aggregation counts (series, month, bin or category)
+    for all of them; the rest works on these counts.
+    """
     names = names or {"pd_12m": "pd_score", "sector": "sector_mix", "grade": "grade_mix",
                       "ead": "ead", "lgd": "lgd"}
-    d = cohorts.withColumn("_m", F.last_day(F.to_date(date_col)))
-    base_m = d.agg(F.min("_m").alias("_b"))
-    base_value = base_m  # one-row frame; joined below (no collect)
-    num = unpivot(d, ["_m"], numeric)
-    cat = unpivot(d, ["_m"], categorical, cast="string")
-    num = num.join(F.broadcast(base_value), how="cross")
-    cat = cat.join(F.broadcast(base_value), how="cross")
-    pn = _psi_against_first(num, "numeric", n_bins)
-    pc = _psi_against_first(cat, "categorical", n_bins)
-    long = pn.unionByName(pc)
+    d = materialize(cohorts.select(F.last_day(F.to_date(date_col)).alias("_m"), *[F.col(c).cast("double") for c in numeric],
+                                   *[F.col(c).cast("string") for c in categorical]), "cohorts")
+    d = d.crossJoin(F.broadcast(d.agg(F.min("_m").alias("_b")))).withColumn("_is_base", F.col("_m") == F.col("_b")).drop("_b")
+    edges = materialize(feature_edges(d.where("_is_base"), numeric, n_bins).withColumnRenamed("feature", "series"), "edges")
+    none = F.lit(None)
+    packed = F.array(*[F.struct(F.lit(c).alias("series"), F.col(c).alias("value"), none.cast("string").alias("category")) for c in numeric],
+                     *[F.struct(F.lit(c).alias("series"), none.cast("double").alias("value"), F.col(c).alias("category")) for c in categorical])
+    long = d.select("_m", "_is_base", F.inline(packed)).join(F.broadcast(edges), "series", "left")
+    cell = F.coalesce(F.col("category"), _bin("value"))
+    counts = materialize(_cells(long, cell), "counts")
+    numbers = F.col("series").isin(*numeric)
+    long = _numeric_psi(counts.where(numbers), edges).unionByName(_category_psi(counts.where(~numbers)))
     order = [names.get(c, c) for c in ("pd_12m", "sector", "grade", "ead", "lgd")
              if c in list(numeric) + list(categorical)]
     return long.groupBy(F.col("_m").alias("as_of_date")).agg(*[
@@ -106,60 +144,62 @@ def psi_monthly(cohorts: DataFrame, date_col: str = "as_of_date",
         for src in list(numeric) + list(categorical)]).select("as_of_date", *order)
 
 
-def _psi_against_first(long: DataFrame, kind: str, n_bins: int) -> DataFrame:
-    """Baseline = rows whose period equals the (joined) earliest period ``_b``."""
-    long = long.withColumn("_is_base", F.col("_m") == F.col("_b"))
-    # the baseline period value is data-dependent: use a literal-free formulation
-    if kind == "numeric":
-        return _psi_numeric_flag(long, n_bins)
-    return _psi_categorical_flag(long)
-
-
-def _psi_numeric_flag(long: DataFrame, n_bins: int, eps: float = PSI_EPS) -> DataFrame:
-    base = long.filter("_is_base")
-    edges = baseline_edges(base, ["series"], n_bins)
+def _bin(value: str):
+    """The number of the bin of ``edges`` that holds the value, as text; bins are closed to the left, the outer ones
+    open. Null without a value or without edges."""
     interior = F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))
-    nonnull = long.filter(F.col("value").isNotNull())
-    b = nonnull.join(F.broadcast(edges), "series", "inner").select(
-        "series", "_m", "_is_base", F.size(F.filter(interior, lambda e: e <= F.col("value"))).alias("bin"))
-    counts = b.groupBy("series", "_m", "_is_base", "bin").agg(F.count(F.lit(1)).alias("c"))
-    tot = counts.groupBy("series", "_m").agg(F.sum("c").alias("tot"))
-    periods = long.select("_m").distinct()
-    ks = edges.select("series", (F.size("edges") - 1).alias("k"), F.size("edges").alias("n_edges"))
-    grid = (ks.filter(F.col("k") >= 1).crossJoin(periods)
-            .select("series", "_m", "n_edges", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("bin")))
-    cur = grid.join(counts.select("series", "_m", "bin", "c"), ["series", "_m", "bin"], "left") \
-        .join(tot, ["series", "_m"], "left")
-    bc = counts.filter("_is_base").select("series", "bin", F.col("c").alias("bcnt"))
-    btot = counts.filter("_is_base").groupBy("series").agg(F.sum("c").alias("btot"))
-    j = cur.join(bc, ["series", "bin"], "left").join(btot, "series", "left")
-    c = F.coalesce(F.col("c"), F.lit(0)).cast("double")
-    bcnt = F.coalesce(F.col("bcnt"), F.lit(0)).cast("double")
-    a = (c + eps) / (F.coalesce(F.col("tot"), F.lit(0)) + eps * F.col("n_edges"))
-    e = (bcnt + eps) / (F.coalesce(F.col("btot"), F.lit(0)) + eps * F.col("n_edges"))
-    ok = (F.coalesce(F.col("tot"), F.lit(0)) > 0) & (F.coalesce(F.col("btot"), F.lit(0)) > 0)
-    psi = j.groupBy("series", "_m").agg(F.sum((a - e) * F.ln(a / e)).alias("psi"),
-                                        F.max(ok).alias("ok"))
-    out = periods.crossJoin(long.select("series").distinct()).join(psi, ["series", "_m"], "left")
-    return out.select("series", "_m", F.when(F.col("ok"), F.col("psi")).otherwise(0.0).alias("psi"))
-
-
-def _psi_categorical_flag(long: DataFrame, eps: float = PSI_EPS) -> DataFrame:
-    nn = long.filter(F.col("value").isNotNull())
-    cnt = nn.groupBy("series", "_m", "_is_base", "value").agg(F.count(F.lit(1)).alias("c"))
-    tot = cnt.groupBy("series", "_m").agg(F.sum("c").alias("tot"))
-    shares = cnt.join(tot, ["series", "_m"]).select(
-        "series", "_m", "_is_base", "value", (F.col("c") / F.col("tot")).alias("share"))
-    periods = long.select("_m").distinct()
-    base = shares.filter("_is_base").select("series", "value", F.col("share").alias("bshare"))
-    grid = base.crossJoin(periods)
-    j = grid.join(shares.select("series", "_m", "value", "share"), ["series", "_m", "value"],
-                  "full_outer")
-    a = F.coalesce(F.col("share"), F.lit(0.0)) + eps
-    e = F.coalesce(F.col("bshare"), F.lit(0.0)) + eps
-    psi = j.groupBy("series", "_m").agg(F.sum((a - e) * F.ln(a / e)).alias("psi"))
-    out = periods.crossJoin(long.select("series").distinct()).join(psi, ["series", "_m"], "left")
-    return out.select("series", "_m", F.coalesce("psi", F.lit(0.0)).alias("psi"))
+    found = F.size(F.filter(interior, lambda e: e <= F.col(value)))
+    return F.when(F.col(value).isNotNull() & F.col("edges").isNotNull(), found.cast("string"))
+
+
+def _cells(long: DataFrame, cell) -> DataFrame:
+    """Rows of each (series, period, cell); rows without a cell are counted under null."""
+    return long.groupBy("series", "_m", "_is_base", cell.alias("cell")).agg(F.count("*").alias("c"))
+
+
+def _numeric_psi(counts: DataFrame, edges: DataFrame, eps: float = PSI_EPS) -> DataFrame:
+    """series, _m, psi from the counts of bins: a row of counts for each (series, period) beside the baseline's."""
+    some = F.col("cell").isNotNull()
+    rows = counts.groupBy("series", "_m", "_is_base").agg(
+        F.coalesce(F.sum(F.when(some, F.col("c"))), F.lit(0)).alias("tot"),
+        F.collect_list(F.when(some, F.struct(F.col("cell").cast("int").alias("bin"), "c"))).alias("bins"))  # one entry a bin
+    base = rows.where("_is_base").select("series", F.col("tot").alias("btot"), F.col("bins").alias("bbins"))
+    n = edges.select("series", F.size("edges").alias("n"))
+    j = rows.join(base, "series", "left").join(F.broadcast(n), "series", "left")
+
+    def share(bins: str, total: str, b):
+        hits = F.aggregate(bins, F.lit(0).cast("long"), lambda s, x: s + F.when(x["bin"] == b, x["c"]).otherwise(0))
+        return (hits + eps) / (F.col(total) + eps * F.col("n"))
+
+    def term(s, b):
+        a, e = share("bins", "tot", b), share("bbins", "btot", b)
+        return s + (a - e) * F.ln(a / e)
+
+    psi = F.aggregate(F.sequence(F.lit(0), F.col("n") - 2), F.lit(0.0), term)
+    ok = (F.col("tot") > 0) & (F.col("btot") > 0) & (F.col("n") >= 2)
+    return j.select("series", "_m", F.when(ok, psi).otherwise(0.0).alias("psi"))
+
+
+def _category_psi(counts: DataFrame, eps: float = PSI_EPS) -> DataFrame:
+    """series, _m, psi from the counts of categories.
+
+    A baseline category that a period lacks adds a term that depends on the baseline alone. So the sum over all
+    baseline categories of these terms is made once, and each category that the period has adds its own term less that
+    one: categories never meet periods that don't have them.
+    """
+    some = F.col("cell").isNotNull()
+    totals = counts.where(some).groupBy("series", "_m").agg(F.sum("c").alias("tot"))
+    shares = counts.join(totals, ["series", "_m"], "left").select(
+        "series", "_m", "_is_base", "cell", F.when(some, F.col("c") / F.col("tot")).alias("share"))
+    e = F.col("share") + eps
+    absent = ((eps - e) * F.ln(eps / e)).alias("absent")
+    base = shares.where(some & F.col("_is_base")).select("series", "cell", F.col("share").alias("bshare"), absent)
+    whole = base.groupBy("series").agg(F.sum("absent").alias("whole"))
+    j = shares.join(base, ["series", "cell"], "left")
+    a, e = F.col("share") + eps, F.coalesce("bshare", F.lit(0.0)) + eps
+    own = F.when(F.col("share").isNotNull(), (a - e) * F.ln(a / e) - F.coalesce("absent", F.lit(0.0)))
+    psi = j.groupBy("series", "_m").agg(F.sum(own).alias("own")).join(F.broadcast(whole), "series", "left")  # a row a series
+    return psi.select("series", "_m", (F.coalesce("own", F.lit(0.0)) + F.coalesce("whole", F.lit(0.0))).alias("psi"))
 
 
 def psi_summary(psi_wide: DataFrame, cols=("pd_score", "sector_mix", "grade_mix", "ead", "lgd")) -> DataFrame:
@@ -188,37 +228,36 @@ def psi_feature_table(base: DataFrame, cur: DataFrame, features: Sequence[str],
         schema = ("feature string, psi double, status string, severity string, "
                   "severity_rank int, missing_rate double, missing_delta double")
         return base.sparkSession.createDataFrame([], schema)
-    def numbers(df: DataFrame, side: str) -> DataFrame:
-        """feature, values and missing share: one wide aggregation, then one row a feature."""
-        row = df.agg(*[F.struct(F.count(c).alias("n"), F.avg(F.col(c).isNull().cast("double")).alias("miss")).alias(c)
-                       for c in feats])
-        packed = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c)["n"].alias("n_" + side),
-                                    F.col(c)["miss"].alias("miss_" + side)) for c in feats])
-        return row.select(F.inline(packed))
-
-    stats = numbers(base, "b").join(F.broadcast(numbers(cur, "c")), "feature")
-    edges = feature_edges(base, feats, bins)
+    sides = [df.select(F.lit(i).alias("_side"), *[F.col(c).cast("double").alias(c) for c in feats]) for i, df in enumerate((base, cur))]
+    both = materialize(sides[0].unionByName(sides[1]), "sides")  # read for missing shares, edges and bins
+    stats = both.groupBy("_side").agg(*[F.struct(F.count(c).alias("n"), F.avg(F.col(c).isNull().cast("double")).alias("miss")).alias(c)
+                                        for c in feats])
+    packed = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c)["n"].alias("n"), F.col(c)["miss"].alias("miss")) for c in feats])
+    stats = stats.select("_side", F.inline(packed)).groupBy("feature").agg(*[
+        F.max(F.when(F.col("_side") == i, F.col(c))).alias(f"{c}_{side}") for i, side in enumerate("bc") for c in ("n", "miss")])
+    stats = stats.withColumns({f"n_{s}": F.coalesce(f"n_{s}", F.lit(0)) for s in "bc"})  # a side without rows
+    edges = materialize(feature_edges(both.where("_side = 0"), feats, bins), "edges")  # a row a feature
     lo, hi = F.element_at("edges", 1), F.element_at("edges", -1)
     interior = F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))
+    # the long rows only live inside the task: they are counted before the shuffle
+    inr = unpivot(both, ["_side"], feats, "feature").join(F.broadcast(edges), "feature").where(F.col("value").between(lo, hi))
+    counts = inr.groupBy("feature", "_side", F.size(F.filter(interior, lambda e: e < F.col("value"))).alias("bin")).agg(F.count("*").alias("c"))
+    lists = counts.groupBy("feature").agg(F.collect_list(F.struct("_side", "bin", "c")).alias("cells"))  # one a side and bin
+
+    def rows(side: int, b=None):
+        hit = lambda x: (x["_side"] == side) & (F.lit(True) if b is None else x["bin"] == b)
+        return F.aggregate("cells", F.lit(0).cast("long"), lambda s, x: s + F.when(hit(x), x["c"]).otherwise(0))
+
+    def share(side: int, b):
+        s = rows(side, b) / F.col("tots")[side]
+        return F.when(s == 0, F.lit(eps)).otherwise(s)
+
+    def term(s, b):
+        e, a = share(0, b), share(1, b)
+        return s + (a - e) * F.ln(a / e)
 
-    def bin_counts(df: DataFrame, side: int) -> DataFrame:
-        # the long rows only live inside the task: they are counted before the shuffle
-        inr = unpivot(df, [], feats, "feature").join(F.broadcast(edges), "feature").where(F.col("value").between(lo, hi))
-        b = inr.select("feature", F.lit(side).alias("_side"),
-                       F.size(F.filter(interior, lambda e: e < F.col("value"))).alias("bin"))
-        return b.groupBy("feature", "_side", "bin").agg(F.count(F.lit(1)).alias("c"))
-
-    counts = bin_counts(base, 0).unionByName(bin_counts(cur, 1))
-    tots = counts.groupBy("feature", "_side").agg(F.sum("c").alias("tot"))
-    grid = edges.select("feature", F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin")) \
-        .crossJoin(F.broadcast(base.sparkSession.createDataFrame([(0,), (1,)], "_side int")))
-    g = grid.join(counts, ["feature", "_side", "bin"], "left").join(tots, ["feature", "_side"], "left")
-    share = F.coalesce(F.col("c"), F.lit(0)) / F.col("tot")
-    sh = g.select("feature", "bin", "_side", F.when(share == 0, F.lit(eps)).otherwise(share).alias("s"))
-    piv = sh.groupBy("feature", "bin").agg(
-        F.max(F.when(F.col("_side") == 0, F.col("s"))).alias("e"),
-        F.max(F.when(F.col("_side") == 1, F.col("s"))).alias("a"))
-    psi = piv.groupBy("feature").agg(F.sum((F.col("a") - F.col("e")) * F.ln(F.col("a") / F.col("e"))).alias("_psi"))
+    psi = edges.join(lists, "feature").withColumn("tots", F.array(*[F.when(rows(i) > 0, rows(i)) for i in (0, 1)]))
+    psi = psi.select("feature", F.aggregate(F.sequence(F.lit(0), F.size("edges") - 2), F.lit(0.0), term).alias("_psi"))
     n_min = max(50, bins * 5)
     j = stats.join(edges, "feature", "left").join(psi, "feature", "left")
     valid = (F.col("n_b") >= n_min) & (F.col("n_c") >= n_min) & (F.size("edges") >= 3)

@@ -1,33 +1,27 @@
 """Default-probability model: split, class weights, boosted trees, isotonic
-calibration (single and 5-fold), quota thresholds, scoring.
+calibration (single and k-fold), quota thresholds, scoring, explanations.
 
-Built on ``pyspark.ml``: ``Imputer`` (MLlib rejects NaN/NULL vectors) ->
-``VectorAssembler`` -> ``GBTClassifier`` with a weight column; calibration with
-``IsotonicRegression`` (distributed pool-adjacent-violators). Boosted-tree
-parity with the reference's library is not a goal (level-wise trees, no leaf
-cap, no L2); results are checked by ranges.
+Trees grow leaf by leaf from gradient sums that Spark counts (``boost``); the full
+model and the models of the folds grow in the same jobs. Calibration pools counts by
+score, range by range (``isotonic``). ``train_and_calibrate`` is the whole chain, from labelled
+features to a folder with everything that scoring, monitoring and explanations load.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
-
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expr import action_map, clip_prob, ews_score, id_hash, tier_assign
 from ..functions.windows import prefix_sums
-from ..session import materialize
+from . import boost, isotonic, ranking
 from .robust import exact_quantiles
 
 ROWS_PER_TASK = 50_000
+FEW_POSITIVES = 100
 ID_CANDIDATES = ("customer_id", "sector_code", "size_bucket")
 
 
@@ -76,79 +70,51 @@ def class_weight(df: DataFrame, label: str) -> DataFrame:
         .alias("pos_weight"))
 
 
-def with_weights(df: DataFrame, label: str, weight_col: str = "_w") -> DataFrame:
-    cw = class_weight(df, label)
-    return df.crossJoin(F.broadcast(cw)).withColumn(
-        weight_col, F.when(F.col(label) == 1, F.col("pos_weight")).otherwise(F.lit(1.0))) \
-        .drop("pos_rate", "pos_weight")
-
-
 @dataclass
-class ModelParams:
+class ModelParams(boost.BoostParams):
     label: str = "event_h12m"
-    max_iter: int = 300
-    step_size: float = 0.05
-    max_depth: int = 6
-    subsample: float = 0.8
-    feature_subset: str = "0.8"
-    min_instances: int = 10
-    seed: int = 42
-    max_bins: int = 32
-    extra: dict = field(default_factory=dict)
-
-
-def train_classifier(train: DataFrame, features: Sequence[str], p: ModelParams) -> PipelineModel:
-    """Missing indicators and Imputer(median) -> VectorAssembler -> weighted GBTClassifier."""
-    feats = list(features)
-    imp_out = [f"_imp_{i}" for i in range(len(feats))]
-    missing = [f"CAST(`{c}` IS NULL OR isnan(`{c}`) AS DOUBLE) AS `_na_{i}`" for i, c in enumerate(feats)]
-    stages = [
-        SQLTransformer(statement=f"SELECT *, {', '.join(missing)} FROM __THIS__"),
-        Imputer(inputCols=feats, outputCols=imp_out, strategy="median"),
-        VectorAssembler(inputCols=imp_out + [f"_na_{i}" for i in range(len(feats))], outputCol="_features", handleInvalid="keep"),
-        GBTClassifier(featuresCol="_features", labelCol="_label", weightCol="_w",
-                      maxIter=p.max_iter, stepSize=p.step_size, maxDepth=p.max_depth,
-                      subsamplingRate=p.subsample, featureSubsetStrategy=p.feature_subset,
-                      minInstancesPerNode=p.min_instances, seed=p.seed, maxBins=p.max_bins)
-        .setProbabilityCol("_prob").setRawPredictionCol("_raw").setPredictionCol("_pred"),
-    ]
-    d = with_weights(train.withColumn("_label", F.col(p.label).cast("double")), p.label)
-    d = d.select(*feats, "_label", "_w", *[c for c in (p.label,) if c not in feats])
-    for c in feats:  # Imputer needs floating columns
-        d = d.withColumn(c, F.col(c).cast("double"))
-    # hundreds of rounds of short jobs: tasks of a fixed number of rows, not one for each small file
-    d = d.coalesce(max(1, -(-d.count() // ROWS_PER_TASK)))
-    return Pipeline(stages=stages).fit(d)
-
-
-def save_model(model: PipelineModel, path: str) -> None:
-    """Write the fitted pipeline (indicators, imputer, trees) through Spark's writers."""
-    model.write().overwrite().save(path)
-
-
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
-
-
-def score_raw(model: PipelineModel, df: DataFrame, features: Sequence[str],
-              keep: Sequence[str] = ()) -> DataFrame:
-    """Uncalibrated probability of the positive class (+ ids / label kept)."""
-    d = df
-    for c in features:
-        d = d.withColumn(c, F.col(c).cast("double"))
-    out = model.transform(d)
-    return out.select(*keep, vector_to_array("_prob")[1].alias("score_raw"))
-
-
-def calibrate_isotonic(scored: DataFrame, score_col: str, label: str,
-                       bounds=(1e-6, 1 - 1e-6)):
-    """Fit isotonic regression of label on score (tied scores pooled, linear
-    interpolation, clipped outside the range); returns (model, calibrated frame)."""
-    d = scored.dropna(subset=[score_col, label]).withColumn("_label", F.col(label).cast("double"))
-    iso = IsotonicRegression(featuresCol=score_col, labelCol="_label", predictionCol="_iso",
-                             isotonic=True).fit(d)
-    out = iso.transform(d).withColumn("prob_calibrated", clip_prob("_iso", *bounds)).drop("_iso", "_label")
-    return iso, out
+
+
+def train_classifier(train: DataFrame, features: Sequence[str], p: ModelParams, fold: str | None = None,
+                     folds: int = 0) -> boost.Ensemble:
+    """Trees on all rows and, with ``folds``, on the rows of all folds but one. Positives weigh (1 - rate) / rate."""
+    return boost.train(train, features, p.label, p, fold, folds, ROWS_PER_TASK)
+
+
+def save_model(model: boost.Ensemble, path: str, spark: SparkSession) -> None:
+    boost.save(model, path, spark)
+
+
+def load_model(spark: SparkSession, path: str) -> boost.Ensemble:
+    return boost.load(spark, path)
+
+
+def score_raw(model: boost.Ensemble, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The kept columns, ``margin`` (log odds of the full model) and its uncalibrated probability ``score_raw``."""
+    margin = F.col("margins")[0]
+    return boost.margins(df, model, keep).select(*keep, margin.alias("margin"), boost.probability(margin).alias("score_raw"))
+
+
+def calibrate_isotonic(scored: DataFrame, score_col: str, label: str, red: float, amber: float,
+                       bounds=(1e-6, 1 - 1e-6)) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(steps, mapping, summary) of a re-calibration of rows with a score and a label.
+
+    The mapping has ``prob_calibrated``, the EWS score and the tier by absolute cutoffs for every row. The summary is
+    one row: positives, whether these are too few to trust, and auc, pr_auc and brier of the new probabilities.
+    """
+    d = scored.dropna(subset=[score_col, label])
+    steps = isotonic.fit(d, score_col, label)
+    out = isotonic.interpolate(d, steps, score_col, "prob_calibrated", bounds)
+    out = out.withColumn("score_ews", ews_score("prob_calibrated")).withColumn("tier", tier_assign("prob_calibrated", red, amber))
+    positives = steps.agg(F.coalesce(F.sum("pos"), F.lit(0)).alias("positives"))
+    positives = positives.withColumn("few_positives", F.col("positives") < FEW_POSITIVES)
+    return steps, out, positives.crossJoin(F.broadcast(metrics(out, "prob_calibrated", label).select("auc", "pr_auc", "brier")))
+
+
+def metrics(scored: DataFrame, score: str, label: str) -> DataFrame:
+    """One row: auc, pr_auc, ks, brier."""
+    m = ranking.rank_metrics(scored, [], score, label)
+    return m.crossJoin(F.broadcast(ranking.brier(scored, [], score, label))).select("auc", "pr_auc", "ks", "brier")
 
 
 def assign_folds(df: DataFrame, label: str, k: int = 5, seed: int = 42,
@@ -158,36 +124,59 @@ def assign_folds(df: DataFrame, label: str, k: int = 5, seed: int = 42,
     return d.withColumn("fold", F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int")).drop("_stratum", "_rank")
 
 
-def calibrate_cv(train: DataFrame, features: Sequence[str], p: ModelParams, k: int = 5):
-    """k-fold calibration: for each fold, trees on the other folds + isotonic on
-    the fold; the calibrated probability is the mean of the k calibrated models.
-    Returns a list of (tree model, isotonic model) pairs."""
-    folded = assign_folds(train, p.label, k, p.seed)
-    folded = materialize(folded, "folds")
+def calibrate_cv(model: boost.Ensemble, train: DataFrame, label: str, fold: str = "fold") -> DataFrame:
+    """The steps of each fold, keyed by it: the label on the score of the model that has not seen the fold.
+
+    All folds are scored in one pass and pooled in the same tasks.
+    """
+    scored = boost.margins(train, model, [label, fold])
+    own = F.element_at("margins", F.col(fold).cast("int") + 2)  # the full model comes first
+    return isotonic.fit(scored.select(label, fold, boost.probability(own).alias("_raw")), "_raw", label, fold)
+
 
-    def fit(f: int):
-        m = train_classifier(folded.filter(F.col("fold") != f), features, p)
-        raw = score_raw(m, folded.filter(F.col("fold") == f), features, keep=[p.label])
-        return m, calibrate_isotonic(raw, "score_raw", p.label)[0]
+def predict_cv(model: boost.Ensemble, steps: DataFrame, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """The kept columns and ``prob_calibrated``, the mean of the folds' calibrated probabilities."""
+    k = len(model.models) - 1
+    d = boost.margins(df, model, keep).select(*keep, *[boost.probability(F.col("margins")[i + 1]).alias(f"_r{i}") for i in range(k)])
+    for i in range(k):
+        d = isotonic.interpolate(d, steps.where(F.col("key") == i), f"_r{i}", f"_c{i}", (0.0, 1.0))
+    return d.select(*keep, clip_prob(sum((F.col(f"_c{i}") for i in range(1, k)), F.col("_c0")) / float(k)).alias("prob_calibrated"))
 
-    with ThreadPoolExecutor(k) as pool:  # the folds' short jobs run side by side
-        return list(pool.map(fit, range(k)))
 
+def train_and_calibrate(df: DataFrame, path: str, p: ModelParams, test_size: float = 0.2, folds: int = 5,
+                        red_pct: float = 0.05, amber_pct: float = 0.10, id_col: str = "customer_id") -> str:
+    """The whole chain; returns ``path``, under which there are then
 
-def predict_cv(pairs, df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """Mean of the k calibrated probabilities (columns side by side, no join)."""
-    d = df
-    for c in features:
-        d = d.withColumn(c, F.col(c).cast("double"))
-    cols = []
-    for i, (m, iso) in enumerate(pairs):
-        d = m.transform(d).withColumn(f"_r{i}", vector_to_array("_prob")[1]) \
-            .drop("_features", "_prob", "_raw", "_pred")
-        d = d.drop(*[c for c in d.columns if c.startswith(("_imp_", "_na_"))])
-        d = iso.setFeaturesCol(f"_r{i}").setPredictionCol(f"_c{i}").transform(d)
-        cols.append(F.col(f"_c{i}"))
-    p = sum(cols[1:], cols[0]) / float(len(cols))
-    return d.select(*keep, clip_prob(p).alias("prob_calibrated"))
+    ``split`` (features, ``is_test``, ``fold``), the model, ``steps`` (its calibration), ``scores`` (ids, calibrated
+    probability, tier by capacity, label, ``is_test``), ``thresholds`` (red, amber) and ``metrics`` (of the test rows).
+    """
+    spark, features = df.sparkSession, select_features(df, p.label)
+    split = split_stratified(df, p.label, test_size, p.seed, id_col)
+    fold = assign_folds(split.where("not is_test"), p.label, folds, p.seed, id_col)
+    split.where("is_test").withColumn("fold", F.lit(None).cast("int")).unionByName(fold).write.parquet(f"{path}/split")
+    split = spark.read.parquet(f"{path}/split")
+    train = split.where("not is_test")
+    model = train_classifier(train, features, p, "fold", folds)
+    save_model(model, path, spark)
+    calibrate_cv(model, train, p.label).write.parquet(f"{path}/steps")
+    steps = spark.read.parquet(f"{path}/steps")
+    keep = [*select_ids(split), p.label, "is_test"]
+    predict_cv(model, steps, split, keep).write.parquet(f"{path}/scored")
+    scored = spark.read.parquet(f"{path}/scored")
+    thresholds_quota(scored, "prob_calibrated", red_pct, amber_pct).coalesce(1).write.parquet(f"{path}/thresholds")
+    red, amber = spark.read.parquet(f"{path}/thresholds").select("red", "amber").first()
+    tier = tier_assign("prob_calibrated", red, amber) if red is not None else F.lit(None).cast("string")
+    scored.withColumn("tier", tier).write.parquet(f"{path}/scores")
+    scores = spark.read.parquet(f"{path}/scores")
+    metrics(scores.where("is_test"), "prob_calibrated", p.label).coalesce(1).write.parquet(f"{path}/metrics")
+    return path
+
+
+def score_features(path: str, df: DataFrame, red: float, amber: float, id_col: str = "customer_id") -> DataFrame:
+    """Batch scoring: features to calibrated probability, EWS score, tier and action, with what a training run wrote."""
+    spark = df.sparkSession
+    p = predict_cv(load_model(spark, path), spark.read.parquet(f"{path}/steps"), df, [id_col])
+    return score_batch(p, "prob_calibrated", red, amber, id_col)
 
 
 def thresholds_quota(scored: DataFrame, prob_col: str = "prob_calibrated", red_pct: float = 0.05,
@@ -208,40 +197,8 @@ def score_batch(scored: DataFrame, prob_col: str, red: float, amber: float,
 
 
 # ---------------------------------------------------------------------------
-# explanation (linear surrogate: exact additive contributions)
+# explanation: ``boost.contributions`` of the full model's trees
 # ---------------------------------------------------------------------------
-def explain_fit(df: DataFrame, features: Sequence[str], label: str, reg: float = 0.01):
-    """Logistic surrogate on median-imputed features; returns (pipeline model, means row)."""
-    feats = list(features)
-    d = df.select(*[F.col(c).cast("double").alias(c) for c in feats],
-                  F.col(label).cast("double").alias("_label"))
-    imp_out = [f"_imp_{i}" for i in range(len(feats))]
-    pipe = Pipeline(stages=[
-        Imputer(inputCols=feats, outputCols=imp_out, strategy="median"),
-        VectorAssembler(inputCols=imp_out, outputCol="_features"),
-        LogisticRegression(featuresCol="_features", labelCol="_label", regParam=reg, maxIter=100)
-        .setProbabilityCol("_prob").setRawPredictionCol("_raw").setPredictionCol("_pred"),
-    ]).fit(d.dropna(subset=["_label"]))
-    return pipe
-
-
-def contributions(pipe: PipelineModel, df: DataFrame, features: Sequence[str],
-                  keep: Sequence[str] = ()) -> DataFrame:
-    """Per row and feature: coef_j * (x_j - mean_j) on imputed values (additive
-    on the log-odds scale). Coefficients / means are literals (bounded by the
-    feature count), so this is a pure projection."""
-    feats = list(features)
-    imputer = pipe.stages[0]
-    lr = pipe.stages[2]
-    coefs = lr.coefficients.toArray().tolist()
-    d = imputer.transform(df.select(*keep, *[F.col(c).cast("double").alias(c) for c in feats]))
-    means = d.agg(*[F.avg(f"_imp_{i}").alias(f"_m{i}") for i in range(len(feats))])
-    j = d.crossJoin(F.broadcast(means))
-    return j.select(*keep, *[
-        (F.lit(float(coefs[i])) * (F.col(f"_imp_{i}") - F.col(f"_m{i}"))).alias(f"c__{c}")
-        for i, c in enumerate(feats)], *[F.col(f"_imp_{i}").alias(f"v__{c}") for i, c in enumerate(feats)])
-
-
 def explain_global(contrib: DataFrame, features: Sequence[str]) -> DataFrame:
     """feature, mean_abs_contribution (one aggregation, then unpivot), descending."""
     row = contrib.agg(*[F.avg(F.abs(F.col(f"c__{c}"))).alias(c) for c in features])

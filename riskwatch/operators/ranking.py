@@ -217,21 +217,22 @@ def threshold_eval(df: DataFrame, keys: Sequence[str], score: str, label: str,
 
 def join_cut_theta(df: DataFrame, keys: Sequence[str], score: str, label: str,
                    cuts: Sequence[float]) -> DataFrame:
-    """The sweep written as the reference's theta join (each row x each cut,
-    ``p >= cut``) against a broadcast literal cut list; kept as a cross-check."""
-    spark = df.sparkSession
-    cut_df = spark.createDataFrame([(float(c),) for c in cuts], "cut double")
-    keys = list(keys)
-    tot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                F.sum(F.col(label).cast("long")).alias("_ev"))
-    hits = (df.join(F.broadcast(cut_df), F.col(score) >= F.col("cut"), "inner")
-            .groupBy(*keys, "cut").agg(F.count(F.lit(1)).alias("alerts"),
-                                       F.sum(F.col(label).cast("long")).alias("_tp")))
-    grid = tot.crossJoin(F.broadcast(cut_df))
-    j = grid.join(hits, keys + ["cut"], "left")
-    a = F.coalesce(F.col("alerts"), F.lit(0))
-    t = F.coalesce(F.col("_tp"), F.lit(0))
+    """The sweep written as a range join: each row meets the one interval between two cuts that holds its score, and a
+    cut's alerts are the sum over the intervals from it on. No row is repeated; kept as a cross-check."""
+    keys, places = list(keys), sorted(float(c) for c in cuts)
+    p, y = F.col(score), F.col(label).cast("long")
+    above = F.array(*[F.lit(c) for c in places])
+    interval = F.size(F.filter(above, lambda c: c <= p))  # the cuts that the row reaches
+    rows = df.groupBy(*keys, interval.alias("_k")).agg(F.count("*").alias("n"), F.sum(y).alias("tp"))
+    ofkey = rows.groupBy(*keys).agg(F.collect_list(F.struct("_k", "n", "tp")).alias("_r"))  # one entry an interval
+
+    def total(name: str, least: int):
+        return F.aggregate("_r", F.lit(0).cast("long"), lambda s, r: s + F.when(r["_k"] >= least, F.coalesce(r[name], F.lit(0))).otherwise(0))
+
+    points = F.array(*[F.struct(F.lit(c).alias("cut"), total("n", i + 1).alias("alerts"), total("tp", i + 1).alias("_tp"))
+                       for i, c in enumerate(places)])
+    j = ofkey.select(*keys, total("n", 0).alias("_n"), total("tp", 0).alias("_ev"), F.inline(points))
+    a, t = F.col("alerts"), F.col("_tp")
     return j.select(*keys, "cut", (a / F.col("_n")).alias("alert_rate"),
                     F.when(a > 0, t / a).alias("precision"),
-                    F.when(F.col("_ev") > 0, t / F.col("_ev")).alias("recall"),
-                    a.cast("long").alias("alerts"))
+                    F.when(F.col("_ev") > 0, t / F.col("_ev")).alias("recall"), "alerts")

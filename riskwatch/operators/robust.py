@@ -1,7 +1,8 @@
 """Exact distributed quantiles, winsorizing and robust (median / IQR) z-scores by group.
 
-All columns are handled together (no per-column passes). Statistics tables are
-tiny (one row, or one row per group of codes) and are broadcast back.
+All columns are handled together (no per-column passes). Statistics tables have
+one row, or one row per group of codes; they are broadcast back if their rows are few, and
+joined otherwise.
 """
 
 from __future__ import annotations
@@ -12,31 +13,65 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 ACCURACY = 10_000
 """Rank error of the sketch that brackets a quantile: one in so many rows."""
+BOUND, GRID = 100_000, 200
+"""Distinct values that one task ranks at most, and into how many ranges more of them are cut."""
+BROADCAST_ROWS = 100_000
 
 
 def _same(keys: Sequence[str], prefix: str):
     return reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys])
 
 
-def _beside(df: DataFrame, stats: DataFrame, keys: Sequence[str], prefix: str = "_key_") -> DataFrame:
-    """``df`` beside its group's row of ``stats`` (null keys match); one row a group is broadcast."""
+def _sized(stats: DataFrame, of: DataFrame | None = None) -> DataFrame:
+    """``stats`` to be broadcast if ``of`` (itself by default), which has as many rows, is small enough; else as it is."""
+    return F.broadcast(stats) if (of or stats).limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else stats
+
+
+def _beside(df: DataFrame, stats: DataFrame, keys: Sequence[str], prefix: str = "_key_", of: DataFrame | None = None) -> DataFrame:
+    """``df`` beside its group's row of ``stats`` (null keys match). One row is broadcast; one row a group if there are
+    few groups, counted in ``of``."""
     if not keys:
         return df.crossJoin(F.broadcast(stats))
     stats = stats.select(*[F.col(k).alias(prefix + k) for k in keys], *[c for c in stats.columns if c not in keys])
-    return df.join(F.broadcast(stats), _same(keys, prefix), "left").drop(*[prefix + k for k in keys])
+    return df.join(_sized(stats, of), _same(keys, prefix), "left").drop(*[prefix + k for k in keys])
+
+
+def _narrowed(values: DataFrame, ranks: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Values (v, n) and ranks (below, low, high) of each group with at most ``BOUND`` distinct values a group.
+
+    As long as a group has more, its distinct values are cut into ``GRID`` ranges, the rows of each range are counted, and
+    only the ranges stay that hold one of the two wanted ranks; the rows of earlier ones are added to ``below``. Ranges are
+    exact wherever the sketch puts their borders, so no rank is lost.
+    """
+    while (values.groupBy(*group).agg(F.count("*").alias("d")).agg(F.max("d")).first()[0] or 0) > BOUND:
+        grid = values.groupBy(*group).agg(F.percentile_approx("v", [i / GRID for i in range(1, GRID)], ACCURACY).alias("grid"))
+        cut = _beside(values, grid, group, of=ranks).withColumn("range", F.size(F.filter("grid", lambda e: e < F.col("v")))).drop("grid")
+        ranges = cut.groupBy(*group, "range").agg(F.sum("n").alias("rows"))
+        before = F.sum("rows").over(Window.partitionBy(*group).orderBy("range")) - F.col("rows")  # over GRID rows at most
+        ranges = _beside(ranges.withColumn("before", before), ranks, group)
+        start = F.col("below") + F.col("before")
+        held = materialize(ranges.where((start <= F.col("high")) & (start + F.col("rows") > F.col("low")))
+                           .select(*group, "range", start.alias("start"), "low", "high", "part"), "ranges")
+        ranks = materialize(held.groupBy(*group).agg(F.min("start").alias("below"), F.first("low").alias("low"),
+                                                     F.first("high").alias("high"), F.first("part").alias("part")), "ranks")
+        kept = _beside(cut, held.select(*group, "range", F.lit(True).alias("held")), [*group, "range"])
+        values = materialize(kept.where("held").select(*group, "v", "n"), "values")
+    return values, ranks
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], keys: Sequence[str] = (),
                     prefix: str = "_q_") -> DataFrame:
     """keys and ``prefix + col``: the exact quantiles (linear interpolation) of each column as an array.
 
-    A mergeable sketch first brackets each quantile. Then the rows below a bracket
-    are only counted, and only the few values inside meet in one place, where the
-    wanted ranks are read off. A group of up to twice ``ACCURACY`` rows, where the
-    sketch's error is under a rank or two, is its own bracket. No task sees a
-    whole large group, and ``df`` is read three times, so it should be materialized.
+    A mergeable sketch first brackets each quantile. Then the rows below a bracket and up to its end
+    are counted; a bracket that doesn't hold the wanted ranks is opened. Only the values inside meet to be
+    ranked, and where these are many they are narrowed down first (``_narrowed``), so that a task ranks ``BOUND`` values at
+    most. A group of up to twice ``ACCURACY`` rows, where the sketch's error is under a rank or two, is its own bracket.
+    ``df`` is read three times, so it should be materialized.
     """
     cols, keys, k = list(cols), list(keys), len(probs)
     width = 2 / ACCURACY
@@ -47,24 +82,37 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     group = [*keys, "j"]
     first = data.groupBy(*group).agg(F.count("*").alias("of"), F.percentile_approx("v", ends, ACCURACY).alias("ends"))
     first = first.withColumn("ends", F.when(F.col("of") > 2 * ACCURACY, F.col("ends")))  # else its own bracket
+    first = materialize(first, "brackets")
     beside = _beside(data, first, group)
-
-    def below(i: int):
-        return F.coalesce(F.col("v") < F.col("ends")[2 * i], F.lit(False))
-
-    inside = F.array_compact(F.array(*[
-        F.when(~below(i) & F.coalesce(F.col("v") <= F.col("ends")[2 * i + 1], F.lit(True)), F.lit(i)) for i in range(k)]))
-    counts = beside.groupBy(*group).agg(F.max("of").alias("of"), F.array(*[F.count_if(below(i)) for i in range(k)]).alias("below"))
-    values = beside.select(*group, F.explode(inside).alias("i"), "v").groupBy(*group, "i", "v").agg(F.count("*").alias("n"))
-    upto = F.sum("n").over(Window.partitionBy(*group, "i").orderBy("v"))
-    ranked = _beside(values.withColumn("upto", upto), counts, group)
-    place = (F.col("of") - 1) * F.element_at(F.array(*[F.lit(float(q)) for q in probs]), F.col("i") + 1)
-    ranked = ranked.select(*group, "i", "v", "of", place.alias("place"), F.floor(place).alias("low"),
-                           (F.element_at("below", F.col("i") + 1) + F.col("upto")).alias("end"))
-    edge = ranked.groupBy(*group, "i").agg(
-        F.min(F.when(F.col("end") > F.col("low"), F.col("v"))).alias("a"),
-        F.min(F.when(F.col("end") > F.least(F.col("low") + 1, F.col("of") - 1), F.col("v"))).alias("b"),
-        F.max(F.col("place") - F.col("low")).alias("part"))
+    v, end = F.col("v"), F.col("ends")
+
+    counts = beside.groupBy(*group).agg(
+        F.max("of").alias("of"), F.first("ends").alias("ends"),
+        *[F.count_if(F.coalesce(v < end[2 * i], F.lit(False))).alias(f"below{i}") for i in range(k)],
+        *[F.count_if(F.coalesce(v <= end[2 * i + 1], F.lit(True))).alias(f"upto{i}") for i in range(k)])
+
+    def rank(i: int):
+        place = (F.col("of") - 1) * F.lit(float(probs[i]))
+        low = F.floor(place)
+        high = F.least(low + 1, F.col("of") - 1)
+        holds = (F.col(f"below{i}") <= low) & (high < F.col(f"upto{i}"))
+        return F.struct(F.lit(i).alias("i"), F.when(holds, end[2 * i]).alias("lo"), F.when(holds, end[2 * i + 1]).alias("hi"),
+                        F.when(holds, F.col(f"below{i}")).otherwise(F.lit(0)).cast("long").alias("below"),
+                        low.alias("low"), high.alias("high"), (place - low).alias("part"))
+
+    brackets = materialize(counts.select(*group, F.array(*[rank(i) for i in range(k)]).alias("ranks")), "ranks")
+    inside = F.transform(F.filter("ranks", lambda r: F.coalesce(v >= r["lo"], F.lit(True)) & F.coalesce(v <= r["hi"], F.lit(True))),
+                         lambda r: r["i"])
+    values = _beside(data, brackets, group).select(*group, F.explode(inside).alias("i"), "v")
+    values = materialize(values.groupBy(*group, "i", "v").agg(F.count("*").alias("n")), "values")
+    ranks = brackets.select(*group, F.inline("ranks"))
+    group_i = [*group, "i"]
+    values, ranks = _narrowed(values, ranks, group_i)
+    upto = F.sum("n").over(Window.partitionBy(*group_i).orderBy("v"))
+    ranked = _beside(values.withColumn("upto", upto), ranks, group_i)
+    to = F.col("below") + F.col("upto")
+    edge = ranked.groupBy(*group_i).agg(F.min(F.when(to > F.col("low"), v)).alias("a"), F.min(F.when(to > F.col("high"), v)).alias("b"),
+                                        F.max("part").alias("part"))
     gap = F.col("b") - F.col("a")
     x = F.when(F.col("part") >= 0.5, F.col("b") - gap * (1 - F.col("part"))).otherwise(F.col("a") + gap * F.col("part"))
     lists = edge.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("i", x.alias("x")))).alias("xs"))
@@ -73,7 +121,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                                        for j, c in enumerate(cols)])
     # groups (or the whole table) without any number have nulls
     every = df.select(*keys).distinct() if keys else df.sparkSession.range(1).select()
-    return _beside(every, found, keys)
+    return _beside(every, found, keys, of=first)
 
 
 def winsorize(df: DataFrame, cols: Sequence[str], lower: float = 0.01, upper: float = 0.99) -> DataFrame:
@@ -106,8 +154,8 @@ def robust_zscore(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str]
     cols, gcols = list(cols), list(group_cols)
     probs = (0.25, 0.5, 0.75)
     glob = exact_quantiles(df, cols, probs, prefix="_g_")
-    sizes = df.groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n"))
-    stats = _beside(sizes, exact_quantiles(df, cols, probs, gcols, prefix="_s_"), gcols)
+    sizes = materialize(df.groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n")), "sizes")
+    stats = _beside(sizes, exact_quantiles(df, cols, probs, gcols, prefix="_s_"), gcols, of=sizes)
     stats = _beside(stats, glob, [])
     resolved = []
     for c in cols:
@@ -116,7 +164,7 @@ def robust_zscore(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str]
         iqr = st[2] - st[0]
         scale = F.when(iqr > 0, iqr).when(med != 0, F.abs(med)).otherwise(F.lit(1.0))
         resolved += [med.alias("_c_" + c), scale.alias("_k_" + c)]
-    j = _beside(df, stats.select(*gcols, *resolved), gcols)
+    j = _beside(df, stats.select(*gcols, *resolved), gcols, of=sizes)
     zs = [((F.col(c).cast("double") - F.col("_c_" + c)) / F.col("_k_" + c)).alias(c + suffix)
           for c in cols]
     return j.select(*[F.col(c) for c in df.columns], *zs)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import stable_double_sql as R
 from ..operators import backtest as BT
 from ..operators import calib, ranking
-from ..session import materialize
+from ..session import materialize, shared_path
 from ..sources import adapters as A
 from . import params as P
 from . import sql_adapters as S
@@ -308,8 +308,21 @@ def q_backtest_monthly(spark, sf):
     return _backtest(spark, sf)["metrics"]
 
 
+@query("backtest_update", MONTHLY_SQL)
+def q_backtest_update(spark, sf):
+    """The monthly metrics kept up to date over three batches: the cohorts before 2000, those from 2000 on, and late
+    rows (a tenth of the customers) of all months."""
+    rows = materialize(A.backtest_cohorts(spark, sf))
+    late = F.col("customer_id") % 10 == 3
+    base, p = shared_path(spark, "backtest"), bparams()
+    recent = F.col("as_of_date") >= F.lit("2000-01-01").cast("date")
+    for part in (~late & ~recent, ~late & recent, late):
+        out = BT.update_backtest(rows.where(part), base, p)
+    return out
+
+
 def _backtest(spark, sf):
-    return BT.backtest_monthly(A.backtest_cohorts(spark, sf), bparams())
+    return BT.backtest_monthly(A.backtest_cohorts(spark, sf), bparams(segment_col="sector"))
 
 
 @query("backtest_calibration", ORACLE["decile_calibration"], digits=MEANS)
@@ -328,11 +341,21 @@ _SEG = "as_of_month, segment"
 _SEG_COLS = ["as_of_month", "segment_col", "segment"] + _METRIC_COLS
 
 
-@query("segment_metrics", S.with_(*PREP, """sg0 AS (SELECT *, sector AS segment FROM cb WHERE sector IS NOT NULL),
+def _segment_sql(least: int) -> str:
+    return S.with_(*PREP, f"""sg0 AS (SELECT *, sector AS segment FROM cb WHERE sector IS NOT NULL),
 sg AS (SELECT sg0.* FROM sg0 JOIN (SELECT as_of_month AS km, segment AS ks FROM sg0 GROUP BY 1, 2
-       HAVING COUNT(*) >= 30) k ON sg0.as_of_month = k.km AND sg0.segment = k.ks)""",
-                                    *cohort_sql(_SEG, "sg", "s_"))
-       + f"SELECT as_of_month, 'sector' AS segment_col, segment, {rsel(_METRIC_COLS, _METRIC_D, MEANS)} FROM s_cm", digits=MEANS)
+       HAVING COUNT(*) >= {least}) k ON sg0.as_of_month = k.km AND sg0.segment = k.ks)""",
+                   *cohort_sql(_SEG, "sg", "s_")) \
+        + f"SELECT as_of_month, 'sector' AS segment_col, segment, {rsel(_METRIC_COLS, _METRIC_D, MEANS)} FROM s_cm"
+
+
+@query("backtest_segments", _segment_sql(P.MIN_RECORDS), digits=MEANS)
+def q_backtest_segments(spark, sf):
+    """The monthly backtest's segment table (the same size floor as its cohorts)."""
+    return _backtest(spark, sf)["segments"]
+
+
+@query("segment_metrics", _segment_sql(30), digits=MEANS)
 def q_segment_metrics(spark, sf):
     """Metrics by month x sector (segment size floor 30)."""
     p = bparams(min_records=30)

@@ -84,38 +84,21 @@ def q_psi_monthly(spark, sf):
 @query("psi_numeric", S.with_(*_PSI_BASE) + f"SELECT series, m AS as_of_month, {R('psi')} AS psi FROM nout")
 def q_psi_numeric(spark, sf):
     d = A.backtest_cohorts(spark, sf).withColumn("as_of_month", F.last_day("as_of_date"))
-    long = D.unpivot(d, ["as_of_month"], _NUM)
-    base = d.agg(F.min("as_of_month").alias("_b"))
-    f = long.crossJoin(F.broadcast(base)).select(
-        F.col("as_of_month").alias("_m"), "series", "value", (F.col("as_of_month") == F.col("_b")).alias("_is_base"))
-    return D._psi_numeric_flag(f, 10).withColumnRenamed("_m", "as_of_month")
+    return D.psi_numeric_flagged(D.flagged(d, "as_of_month", _NUM), 10).withColumnRenamed("_m", "as_of_month")
 
 
 @query("psi_categorical", S.with_(*_PSI_BASE) + f"SELECT series, m AS as_of_month, {R('psi')} AS psi FROM cout")
 def q_psi_categorical(spark, sf):
     d = A.backtest_cohorts(spark, sf).withColumn("as_of_month", F.last_day("as_of_date"))
-    long = D.unpivot(d, ["as_of_month"], _CAT, cast="string")
-    base = d.agg(F.min("as_of_month").alias("_b"))
-    f = long.crossJoin(F.broadcast(base)).select(
-        F.col("as_of_month").alias("_m"), "series", "value", (F.col("as_of_month") == F.col("_b")).alias("_is_base"))
-    return D._psi_categorical_flag(f).withColumnRenamed("_m", "as_of_month")
+    return D.psi_categorical_flagged(D.flagged(d, "as_of_month", _CAT, "string")).withColumnRenamed("_m", "as_of_month")
 
 
 @query("join_psi_category", S.with_(*_PSI_BASE) + f"""SELECT series, m AS as_of_month,
   CAST(COUNT(*) AS BIGINT) AS n_categories FROM cj GROUP BY 1, 2""")
 def q_join_psi_category(spark, sf):
-    """Size of the union of baseline and current categories per (series, month)
-    — the full outer join that PSI sums over."""
-    d = A.backtest_cohorts(spark, sf).withColumn("_m", F.last_day("as_of_date"))
-    long = D.unpivot(d, ["_m"], _CAT, cast="string").filter(F.col("value").isNotNull())
-    base_m = d.agg(F.min("_m").alias("_b"))
-    cur = long.select("series", "_m", "value").distinct()
-    base = long.crossJoin(F.broadcast(base_m)).filter(F.col("_m") == F.col("_b")) \
-        .select("series", "value").distinct()
-    months = d.select("_m").distinct()
-    j = base.crossJoin(months).join(cur, ["series", "_m", "value"], "full_outer")
-    return j.groupBy("series", F.col("_m").alias("as_of_month")).agg(
-        F.count(F.lit(1)).cast("long").alias("n_categories"))
+    """Size of the union of baseline and current categories per (series, month), which PSI sums over."""
+    d = A.backtest_cohorts(spark, sf).withColumn("as_of_month", F.last_day("as_of_date"))
+    return D.category_union(D.flagged(d, "as_of_month", _CAT, "string")).withColumnRenamed("_m", "as_of_month")
 
 
 @query("psi_summary", S.with_(*_PSI_BASE) + f"""SELECT series, {R('MAX(psi)')} AS max_psi, {R('AVG(psi)')} AS mean_psi,

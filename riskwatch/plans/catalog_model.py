@@ -1,6 +1,6 @@
-"""Registered model queries. Training / calibration /
-explanation have no SQL oracle (rows-only check); split, weights, quota
-thresholds, scores, tiers and actions are SQL-checked."""
+"""Registered model queries. Training and what it feeds have no
+SQL oracle (they are tested against plain versions); split, weights, isotonic steps,
+quota thresholds, scores, tiers and actions are SQL-checked."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import ACTIONS, action_map, ews_score, tier_assign
 from ..functions.expr import stable_double_sql as R
+from ..operators import boost
 from ..operators import model as MD
 from ..session import materialize, shared_path
 from ..sources import adapters as A
@@ -28,10 +29,6 @@ def split_labelled(spark, sf):
     return materialize(MD.split_stratified(f, LABEL, P.TEST_SIZE, P.SEED))
 
 
-def _feats(df):
-    return MD.select_features(df, LABEL)
-
-
 SPLIT_SQL = (*CF.FEATURE_CTES, f"""lab AS (SELECT * FROM zz WHERE event_h12m IS NOT NULL),
 sp AS (SELECT z.*, ROW_NUMBER() OVER (PARTITION BY CAST(event_h12m AS BIGINT)
            ORDER BY ((customer_id % 4294967296) * 1103515245 + {P.SEED * 40503}) % 4294967296, customer_id) AS rk,
@@ -53,33 +50,37 @@ def q_class_weight(spark, sf):
     return MD.class_weight(s.filter(~F.col("is_test")), LABEL)
 
 
-_TRAINED: dict[tuple[str, str], str] = {}
+_TRAINED: dict[tuple, str] = {}
+
+
+def _stamps(spark, sf):
+    """Size and time of every file under the input folder's tables that the features read."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for name in ("customer", "nation", "orders", "lineitem", "events"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf}/{name}.parquet")
+        fs = path.getFileSystem(conf)
+        out += [(st.getPath().toString(), st.getLen(), st.getModificationTime()) for st in fs.listStatus(path)] if fs.exists(path) else []
+    return tuple(out)
 
 
 def _trained(spark, sf):
-    """The split, its features and the model trained on it. Trained and written once a session and
-    input; every scoring query loads what was written, as batch scoring does."""
-    key = (spark.sparkContext.applicationId, sf)
+    """The folder of a training run on this input, made once a session and state of the input's files."""
+    key = (spark.sparkContext.applicationId, sf, _stamps(spark, sf))
     if key not in _TRAINED:
-        path = shared_path(spark, "model")
-        s = MD.split_stratified(CF.build_features(spark, sf), LABEL, P.TEST_SIZE, P.SEED)
-        s.write.parquet(f"{path}/split")
-        s = spark.read.parquet(f"{path}/split")
-        MD.save_model(MD.train_classifier(s.filter(~F.col("is_test")), _feats(s), mparams()), f"{path}/trees")
-        _TRAINED[key] = path
-    path = _TRAINED[key]
-    s = spark.read.parquet(f"{path}/split")
-    return s, _feats(s), MD.load_model(f"{path}/trees")
+        _TRAINED[key] = MD.train_and_calibrate(CF.build_features(spark, sf), shared_path(spark, "model"), mparams(), P.TEST_SIZE)
+    return _TRAINED[key]
+
+
+def _loaded(spark, sf):
+    path = _trained(spark, sf)
+    return spark.read.parquet(f"{path}/split"), MD.load_model(spark, path)
 
 
 @query("train_classifier")
 def q_train_classifier(spark, sf):
-    """Weighted boosted trees on the train split; returns feature importances."""
-    s, feats, m = _trained(spark, sf)
-    imp = m.stages[-1].featureImportances.toArray().tolist()
-    # a feature's importance is that of its values and of its missing indicator
-    return spark.createDataFrame([(f, float(v + w)) for f, v, w in zip(feats, imp, imp[len(feats):])],
-                                 "feature string, importance double")
+    """Leaf-wise boosted trees on the train split; each feature's share of the gain."""
+    return spark.createDataFrame(boost.importances(_loaded(spark, sf)[1]), "feature string, importance double")
 
 
 @query("topk_importance")
@@ -90,46 +91,69 @@ def q_topk_importance(spark, sf):
 
 @query("score_raw")
 def q_score_raw(spark, sf):
-    s, feats, m = _trained(spark, sf)
-    return MD.score_raw(m, s, feats, keep=["customer_id", LABEL, "is_test"])
+    s, m = _loaded(spark, sf)
+    return MD.score_raw(m, s, ["customer_id", LABEL, "is_test"]).drop("margin")
+
+
+def _recalibrated(spark, sf):
+    s, m = _loaded(spark, sf)
+    raw = materialize(MD.score_raw(m, s, ["customer_id", LABEL]).drop("margin"), "raw")
+    return MD.calibrate_isotonic(raw, "score_raw", LABEL, P.CALIBRATED_RED, P.CALIBRATED_AMBER)
 
 
 @query("calibrate_isotonic")
 def q_calibrate_isotonic(spark, sf):
-    """Isotonic re-calibration of the raw scores (clipped to [1e-6, 1 - 1e-6])."""
-    s, feats, m = _trained(spark, sf)
-    raw = MD.score_raw(m, s, feats, keep=["customer_id", LABEL])
-    _, cal = MD.calibrate_isotonic(raw, "score_raw", LABEL)
-    return cal.select("customer_id", LABEL, "score_raw", "prob_calibrated")
+    """Isotonic re-calibration of the raw scores: probability, EWS score and tier of every labelled row."""
+    return _recalibrated(spark, sf)[1]
+
+
+@query("calibrate_summary")
+def q_calibrate_summary(spark, sf):
+    """Positives, the few-positives flag and the metrics of the re-calibration."""
+    return _recalibrated(spark, sf)[2]
 
 
 @query("calibrate_cv")
 def q_calibrate_cv(spark, sf):
-    """5-fold isotonic calibration of boosted trees; mean calibrated probability."""
-    s = split_labelled(spark, sf)
-    feats = _feats(s)
-    train = s.filter(~F.col("is_test"))
-    pairs = MD.calibrate_cv(train, feats, mparams(), k=5)
-    return MD.predict_cv(pairs, s, feats, keep=["customer_id", LABEL, "is_test"])
+    """Mean of the five folds' calibrated probabilities."""
+    return spark.read.parquet(f"{_trained(spark, sf)}/scores").select("customer_id", LABEL, "is_test", "prob_calibrated")
+
+
+@query("model_scores")
+def q_model_scores(spark, sf):
+    """The training run's output: ids, calibrated probability, capacity tier, label and split of every row."""
+    return spark.read.parquet(f"{_trained(spark, sf)}/scores")
+
+
+@query("model_holdout")
+def q_model_holdout(spark, sf):
+    """AUC, PR-AUC, KS and Brier of the test split, and the quota thresholds of the run."""
+    path = _trained(spark, sf)
+    return spark.read.parquet(f"{path}/metrics").crossJoin(F.broadcast(spark.read.parquet(f"{path}/thresholds")))
+
+
+@query("model_score_batch")
+def q_model_score_batch(spark, sf):
+    """Every customer's features scored with the saved, calibrated model and absolute cutoffs."""
+    return MD.score_features(_trained(spark, sf), CF.build_features(spark, sf), P.CALIBRATED_RED, P.CALIBRATED_AMBER)
+
+
+def _explained(spark, sf):
+    s, m = _loaded(spark, sf)
+    return boost.contributions(s, m, ["customer_id"]), m.features
 
 
 @query("explain_global")
 def q_explain_global(spark, sf):
-    """Mean |additive contribution| per feature (linear surrogate), descending."""
-    s = split_labelled(spark, sf)
-    feats = _feats(s)
-    pipe = MD.explain_fit(s, feats, LABEL)
-    c = MD.contributions(pipe, s, feats, keep=["customer_id"])
+    """Mean |contribution to the margin| per feature, descending."""
+    c, feats = _explained(spark, sf)
     return MD.explain_global(c, feats).orderBy(F.col("mean_abs_contribution").desc(), "feature")
 
 
 @query("explain_topk")
 def q_explain_topk(spark, sf):
     """Top-5 drivers per customer: feature, contribution, value."""
-    s = split_labelled(spark, sf)
-    feats = _feats(s)
-    pipe = MD.explain_fit(s, feats, LABEL)
-    c = MD.contributions(pipe, s, feats, keep=["customer_id"])
+    c, feats = _explained(spark, sf)
     return MD.explain_topk(c, feats, ["customer_id"], 5)
 
 

@@ -43,6 +43,7 @@ PSI_BINS = 10
 # model
 SEED = 42
 TEST_SIZE = 0.2
+CALIBRATED_RED, CALIBRATED_AMBER = 0.20, 0.05   # absolute cutoffs of calibrated probabilities
 
 
 def days_before(d: str, n: int) -> str:

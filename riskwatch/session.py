@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -75,3 +77,15 @@ def materialize(df, name: str = "table"):
     path = shared_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once a session, so that their Python workers can import it."""
+    sc = spark.sparkContext
+    root = Path(__file__).resolve().parents[1]
+    if sc.applicationId not in _shipped and (root / "riskwatch").is_dir():
+        sc.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/riskwatch_core", "zip", root, "riskwatch"))
+        _shipped.add(sc.applicationId)
