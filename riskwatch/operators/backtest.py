@@ -38,6 +38,7 @@ class BacktestParams:
     cuts: tuple = ()
     n_bins: int = 10
     segment_col: str | None = None
+    segment_min_records: int | None = None   # min_records if not given
     buckets: int | None = None
 
 
@@ -134,7 +135,7 @@ def _named(m: DataFrame, p: BacktestParams) -> DataFrame:
 def segment_metrics(d: DataFrame, p: BacktestParams, segment_col: str) -> DataFrame:
     """Metrics by (month, segment); NULL segments dropped; size filter per segment."""
     s = d.filter(F.col(segment_col).isNotNull()).withColumn("segment", F.col(segment_col))
-    m = cohort_metrics(s, [MONTH, "segment"], p, min_records=p.min_records)
+    m = cohort_metrics(s, [MONTH, "segment"], p, min_records=p.segment_min_records or p.min_records)
     return m.select(MONTH, F.lit(segment_col).alias("segment_col"),
                     *[c for c in m.columns if c != MONTH])
 

@@ -15,6 +15,7 @@ from . import sql_adapters as S
 from .registry import ORACLE, query
 
 M = "as_of_month"
+SEGMENT_MIN = 30
 
 
 def bparams(**kw) -> BT.BacktestParams:
@@ -322,7 +323,7 @@ def q_backtest_update(spark, sf):
 
 
 def _backtest(spark, sf):
-    return BT.backtest_monthly(A.backtest_cohorts(spark, sf), bparams(segment_col="sector"))
+    return BT.backtest_monthly(A.backtest_cohorts(spark, sf), bparams(segment_col="sector", segment_min_records=SEGMENT_MIN))
 
 
 @query("backtest_calibration", ORACLE["decile_calibration"], digits=MEANS)
@@ -349,15 +350,15 @@ sg AS (SELECT sg0.* FROM sg0 JOIN (SELECT as_of_month AS km, segment AS ks FROM
         + f"SELECT as_of_month, 'sector' AS segment_col, segment, {rsel(_METRIC_COLS, _METRIC_D, MEANS)} FROM s_cm"
 
 
-@query("backtest_segments", _segment_sql(P.MIN_RECORDS), digits=MEANS)
+@query("backtest_segments", _segment_sql(SEGMENT_MIN), digits=MEANS)
 def q_backtest_segments(spark, sf):
-    """The monthly backtest's segment table (the same size floor as its cohorts)."""
+    """The monthly backtest's segment table."""
     return _backtest(spark, sf)["segments"]
 
 
-@query("segment_metrics", _segment_sql(30), digits=MEANS)
+@query("segment_metrics", _segment_sql(SEGMENT_MIN), digits=MEANS)
 def q_segment_metrics(spark, sf):
     """Metrics by month x sector (segment size floor 30)."""
-    p = bparams(min_records=30)
+    p = bparams(segment_min_records=SEGMENT_MIN)
     d = prepared(spark, sf)
     return BT.segment_metrics(d, p, "sector")
