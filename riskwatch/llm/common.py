@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import shutil
-import tempfile
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-_shipped: set[str] = set()
+from ..session import ship
 
 
 def col(name: str) -> Column:
@@ -22,15 +21,6 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once a session, so that their workers can import it."""
-    sc = spark.sparkContext
-    root = Path(__file__).resolve().parents[2]
-    if sc.applicationId not in _shipped and (root / "riskwatch").is_dir():
-        sc.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/riskwatch_package", "zip", root, "riskwatch"))
-        _shipped.add(sc.applicationId)
-
-
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str | StructType) -> DataFrame:
     """``mapInArrow`` whose workers can import this package."""
@@ -77,3 +67,13 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(32))
+
+
+def give_back() -> None:
+    """Return what a finished task has freed to the system; Spark goes on with the same worker for later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not the GNU library: nothing to ask for
+        pass

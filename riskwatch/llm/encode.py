@@ -7,7 +7,6 @@ the whole text. A text in which such a cut would not be safe is encoded whole.
 
 from __future__ import annotations
 
-import gc
 import os
 import re
 from array import array
@@ -39,7 +38,6 @@ class WordEncoder:
     """Words remembered; beyond that the first met, which are the frequent ones, stay (results do not change)."""
 
     def __init__(self, keep_space: bool):
-        gc.disable()  # the cache is large and holds no cycles; collecting it again and again is slow
         self.keep_space = keep_space
         self.cache: dict[str, bytes] = {}
 
@@ -183,3 +181,8 @@ def encoder(path: str, keep_space: bool, entries: int = 1_000_000) -> TextEncode
     if key not in _encoders:
         _encoders[key] = TextEncoder(path, keep_space, entries)
     return _encoders[key]
+
+
+def forget() -> None:
+    """Drop the worker's encoders, for an operator that needs none and may run in the same worker later."""
+    _encoders.clear()

@@ -45,7 +45,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..operators.robust import exact_quantiles
 from ..session import materialize
-from .common import col, map_arrow, mix64, small_batches
+from . import encode
+from .common import col, give_back, map_arrow, mix64, small_batches
 
 ORDER = 5
 START, END = 0x20, 0x0A  # bytes that no word has
@@ -81,6 +82,8 @@ def word_grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def _count(lang_col: str, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, Counter] = {}
+        encode.forget()
+        give_back()
 
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, counter in words.items():
@@ -100,6 +103,7 @@ def _count(lang_col: str, text_col: str):
             if sum(map(len, words.values())) > FLUSH_WORDS:
                 yield from flush()
         yield from flush()
+        give_back()
     return run
 
 
@@ -314,6 +318,8 @@ def _ask(lang_col: str, text_col: str, buckets: int):
                 out["lang"].append(lang)
                 out["bucket"].append(int(bucket[a]))
                 out["asked"].append(np.diff(grams[a:b], prepend=0).tobytes())
+        del chunk
+        give_back()
         return pa.table(out, pa.schema([("chunk", pa.int64()), ("lang", pa.string()), ("bucket", pa.int64()), ("asked", pa.binary())]))
     return run
 
@@ -351,6 +357,8 @@ def _score(lang_col: str, text_col: str, keep: list[str], buckets: int, schema:
             out.append(pa.RecordBatch.from_arrays(
                 [row, pa.array(langs), *(pa.array(base[x]) for x in STATS), *(pa.array(x, pa.float64()) for x in zip(*found, strict=True)),
                  pa.array(n_bytes)], ["row", "lang", *STATS, *JUDGED, "n_bytes"]))
+        del chunk, scores, logs
+        give_back()
         return pa.Table.from_batches(out) if out else schema.empty_table()
     return run
 
