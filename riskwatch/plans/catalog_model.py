@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import ACTIONS, action_map, ews_score, tier_assign
 from ..functions.expr import stable_double_sql as R
-from ..operators import boost
+from ..operators import boost, isotonic
 from ..operators import model as MD
 from ..session import materialize, shared_path
 from ..sources import adapters as A
@@ -169,6 +169,23 @@ _TIER = f"CASE WHEN p IS NULL THEN NULL WHEN p >= {P.RED} THEN 'Red' WHEN p >= {
 _ACT = "CASE tier " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ACTIONS.items()) + " END"
 
 
+@query("isotonic_steps", S.with_(S.COHORTS, """sc AS MATERIALIZED (
+  SELECT pd_12m AS s, SUM(CASE WHEN y_event_12m = 1 THEN 1 ELSE 0 END) AS pos, COUNT(*) AS n FROM cohorts
+  WHERE pd_12m IS NOT NULL AND y_event_12m IS NOT NULL GROUP BY 1)""", """cu AS MATERIALIZED (
+  SELECT *, ROW_NUMBER() OVER (ORDER BY s) AS i, SUM(pos) OVER (ORDER BY s) AS cp, SUM(n) OVER (ORDER BY s) AS cn FROM sc)""",
+                              """pr AS (
+  SELECT a.i AS j, b.i AS i, CAST(b.cp - a.cp + a.pos AS DOUBLE) / CAST(b.cn - a.cn + a.n AS DOUBLE) AS mean
+  FROM cu a JOIN cu b ON a.i <= b.i)""", """mn AS (
+  SELECT i, MIN(mean) OVER (PARTITION BY j ORDER BY i DESC) AS m FROM pr)""", """vl AS (
+  SELECT i, MAX(m) AS v FROM mn GROUP BY i)""") + f"""SELECT {R('MIN(s)')} AS lo, {R('MAX(s)')} AS hi,
+  CAST(SUM(pos) AS BIGINT) AS pos, CAST(SUM(n) AS BIGINT) AS n, {R('v')} AS value FROM cu JOIN vl USING (i) GROUP BY v""")
+def q_isotonic_steps(spark, sf):
+    """The steps of an isotonic calibration of the cohorts' probabilities. The SQL takes, for each score, the
+    largest over earlier starts of the smallest mean over later ends."""
+    c = A.backtest_cohorts(spark, sf).select("pd_12m", "y_event_12m")
+    return isotonic.fit(c, "pd_12m", "y_event_12m").drop("key")
+
+
 @query("ews_score", S.with_(S.COHORTS) + f"SELECT row_id, {R('round_even(100.0 * (1.0 - pd_12m), 2)')} AS score_ews FROM cohorts")
 def q_ews_score(spark, sf):
     return scored(spark, sf).select("row_id", ews_score("p").alias("score_ews"))
