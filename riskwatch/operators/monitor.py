@@ -144,6 +144,41 @@ def monitor_run(base: DataFrame, cur: DataFrame, score: str, label: str, feature
             "grade_mix": gm, "metrics_long": metrics_long(cm, po, gm, run)}
 
 
+METRICS = ("auc", "pr_auc", "ks", "brier")
+PSI_ROWS = 20
+
+
+def nested_report(out: Mapping[str, DataFrame], run: Mapping[str, str], cutoffs: Mapping[str, float],
+                  thresholds: Mapping[str, float] = ALERT_THRESHOLDS) -> DataFrame:
+    """The run as one nested row: run and window, baseline and current metrics, cutoffs, approval rate, grade mix,
+    calibration with its deciles, PSI with the first ``PSI_ROWS`` features of the sorted table, data quality, alert
+    thresholds, alerts and issues. ``out`` is what ``monitor_run`` returned."""
+    def rows(key: str, name: str, order: list, columns: Sequence[str], k: int | None = None) -> DataFrame:
+        """One row: an ordered array of structs, of a table with a row a grade, decile or feature."""
+        numbered = out[key].select(*[o.alias(f"_o{i}") for i, o in enumerate(order)], *columns)
+        items = F.array_sort(F.collect_list(F.struct(*numbered.columns)))
+        return numbered.agg((F.slice(items, 1, k) if k else items).alias("_a")).select(
+            F.transform("_a", lambda r: F.struct(*[r[c].alias(c) for c in columns])).alias(name))
+
+    place = F.when(F.col("severity") == "warn", 0).when(F.col("severity") == "unknown", 1).when(F.col("severity") == "severe", 2).otherwise(3)
+    by_psi = [place, F.coalesce(-F.col("psi"), F.lit(float("inf"))), F.col("feature")]  # as ``drift.sort_psi``
+    parts = [rows("grade_mix", "grade_mix", [F.col("grade")], ("grade", "share")),
+             rows("deciles", "deciles", [F.col("decile")], ("decile", "pd_avg", "odr", "count")),
+             rows("psi", "psi_by_feature", by_psi, ("feature", "psi", "missing_rate", "severity"), PSI_ROWS)]
+    j = reduce(lambda x, y: x.crossJoin(F.broadcast(y)), parts, out["report"])  # rows of one
+    alerts = [*(F.col(f"{m}_alert") for m in METRICS), F.col("psi_alert")]
+    literal = lambda d: F.struct(*[F.lit(v).alias(k) for k, v in d.items()])
+    window = [c for c in ("data_window_start", "data_window_end") if c in out["report"].columns]
+    return j.select(
+        literal(run).alias("run"), F.struct("population_size", "event_rate", *window).alias("data_window"),
+        F.struct(*[F.col(f"{m}_base").alias(m) for m in METRICS]).alias("baseline_metrics"),
+        F.struct(*METRICS).alias("current_metrics"), literal(cutoffs).alias("cutoffs"), "approval_rate", "grade_mix",
+        F.struct("slope", "intercept", "deciles").alias("calibration"),
+        F.struct("psi_overall", "psi_severe_count", "psi_warn_count", "psi_by_feature").alias("psi"),
+        F.struct("missing_rate_overall", "n_missing_increases").alias("data_quality"),
+        literal(thresholds).alias("alert_thresholds"), F.struct(*alerts).alias("alerts"), "issues")
+
+
 def report_json(report: DataFrame) -> DataFrame:
     """The report row as one JSON string (NaN-free: NULL stays null)."""
     return report.select(F.to_json(F.struct(*report.columns)).alias("report_json"))

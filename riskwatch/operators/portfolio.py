@@ -48,7 +48,7 @@ def portfolio_enrich(scores: DataFrame, id_col: str = "customer_id", sector_col:
     """(customer_id, sector, grade, pd_baseline, ead, lgd, apr) from a scored table."""
     missing = [c for c in (id_col, sector_col, pd_col) if c not in scores.columns]
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError(f"the scored table has no column {', '.join(missing)}")
     pd_b = clip(pd_col, 1e-6, 0.5)
     base = scores.select(F.col(id_col).alias("customer_id"), sector_map(sector_col).alias("sector"),
                          pd_b.alias("pd_baseline"))

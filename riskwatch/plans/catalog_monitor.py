@@ -14,6 +14,7 @@ from ..operators import calib, drift, monitor
 from ..operators.calib import percent_probs
 from ..session import materialize
 from ..sources import adapters as A
+from ..sources.io import monitoring_cutoffs
 from . import params as P
 from . import sql_adapters as S
 from .catalog_backtest import decile_sql, rank_sql
@@ -201,6 +202,12 @@ def q_monitor_run(spark, sf):
     return _run(spark, sf)["report"].select(*_REP)
 
 
+@query("monitor_report")
+def q_monitor_report(spark, sf):
+    """The monitoring run's nested report as one JSON string."""
+    return monitor.report_json(monitor.nested_report(_run(spark, sf), RUN, monitoring_cutoffs({"red": APPROVAL_CUT, "amber": P.AMBER})))
+
+
 @query("monitor_psi", S.with_(*PSIM) + f"SELECT feature, {R('psi')} AS psi FROM ftab")
 def q_monitor_psi(spark, sf):
     """The monitoring run's PSI table of every feature."""

@@ -8,6 +8,7 @@ from ..functions.expr import MONITOR_GRADE_BOUNDS, PORTFOLIO_GRADE_BOUNDS, grade
 from ..functions.expr import stable_double_sql as R
 from ..operators import portfolio as PF
 from ..operators import stress as ST
+from ..session import materialize
 from ..sources import adapters as A
 from . import sql_adapters as S
 from .registry import query
@@ -31,7 +32,8 @@ def _grade_sql(p: str, bounds, open_top=True) -> str:
     return f"(CASE WHEN {p} IS NULL THEN NULL {neg}{parts} ELSE {tail} END)"
 
 
-_SECTOR = f"COALESCE({_case('sector_code', PF.SECTOR_MAPPING, as_double=False)}, 'Services')"
+_SECTOR_OR_NULL = _case("sector_code", PF.SECTOR_MAPPING, as_double=False)
+_SECTOR = f"COALESCE({_SECTOR_OR_NULL}, 'Services')"
 PORT = [S.PORTFOLIO_BASE, f"""pf0 AS (SELECT customer_id, {_SECTOR} AS sector,
    LEAST(GREATEST(pd_baseline, {_d(1e-6)}), {_d(0.5)}) AS pd_baseline FROM pbase),
 pf1 AS (SELECT *, {_grade_sql('pd_baseline', PORTFOLIO_GRADE_BOUNDS)} AS grade FROM pf0),
@@ -88,6 +90,14 @@ def q_sector_map(spark, sf):
     return b.select("customer_id", "sector_code", PF.sector_map("sector_code").alias("sector"))
 
 
+@query("unmapped_sectors", S.with_(S.PORTFOLIO_BASE) + f"""SELECT CAST(COUNT_IF(({_SECTOR_OR_NULL}) IS NULL) AS BIGINT) AS n_unmapped,
+  CAST(COUNT(*) AS BIGINT) AS n FROM pbase""")
+def q_unmapped_sectors(spark, sf):
+    """Rows whose sector code has no mapping, of all rows."""
+    b = materialize(A.portfolio_base(spark, sf))
+    return PF.unmapped_sectors(b).crossJoin(F.broadcast(b.agg(F.count("*").alias("n"))))
+
+
 @query("grade_band", S.with_(S.PORTFOLIO_BASE) + f"""SELECT customer_id, {R('pd_baseline')} AS pd_baseline,
   {_grade_sql('pd_baseline', PORTFOLIO_GRADE_BOUNDS)} AS grade_portfolio,
   {_grade_sql('pd_baseline', MONITOR_GRADE_BOUNDS, open_top=False)} AS grade_monitoring FROM pbase""")

@@ -1,6 +1,7 @@
 """Bounded rank selection, PSI from counts, mergeable streaks, the range join of cuts, and the kept backtest."""
 
 import datetime as dt
+import json
 import math
 import os
 import tempfile
@@ -199,3 +200,25 @@ def test_a_month_that_falls_below_the_floor(spark):
     assert BT.update_backtest(df, base, p).count() == 1
     earlier = spark.createDataFrame([(99, 3, dt.date(2024, 1, 9), None, 1)], df.schema)  # the first row of a customer counts
     assert BT.update_backtest(earlier, base, p).count() == 0
+
+
+# ---- the nested report -------------------------------------------------------------------------------------------
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+def test_nested_report(spark):
+    import __spark_entry__ as E
+    qs = E.queries()
+    report = json.loads(qs["monitor_report"](spark, SF).first().report_json)
+    flat = qs["monitor_run"](spark, SF).first()
+    assert list(report) == ["run", "data_window", "baseline_metrics", "current_metrics", "cutoffs", "approval_rate", "grade_mix",
+                            "calibration", "psi", "data_quality", "alert_thresholds", "alerts", "issues"]
+    assert report["data_window"]["population_size"] == flat.population_size and len(report["issues"]) == flat.n_issues
+    for m in ("auc", "pr_auc", "ks", "brier"):
+        assert report["current_metrics"][m] == pytest.approx(flat[m], abs=1e-6) and report["alerts"][f"{m}_alert"] == flat[f"{m}_alert"]
+    assert [g["grade"] for g in report["grade_mix"]] == list("ABCDEFG")
+    assert report["calibration"]["slope"] == pytest.approx(flat.slope)
+    deciles = qs["monitor_calibration"](spark, SF).collect()
+    assert [d["decile"] for d in report["calibration"]["deciles"]] == sorted(r.decile for r in deciles)
+    psi = {r.feature: r.psi for r in qs["monitor_psi"](spark, SF).collect()}
+    assert {f["feature"]: f["psi"] for f in report["psi"]["psi_by_feature"]} == pytest.approx(psi)
+    assert report["psi"]["psi_severe_count"] == flat.psi_severe_count
