@@ -12,11 +12,12 @@ first character; strings that already have backslashes there get one more, so
 taking one away again is exact, and no text holds a control string as it is. The
 loss mask has the place and length, in characters, of each assistant text.
 
-Turns are dealt by conversation and sorted, and each Arrow batch is assembled at
+Turns are dealt by ranges of (conversation, turn, role, text), so one that holds a
+third of all turns is formatted by many tasks, and each Arrow batch is assembled at
 once: segment lengths, their cumulative offsets and the scatter indices are numpy
 arrays, and marks and texts are copied into one preallocated buffer, which becomes
-the string column. A conversation that goes over several batches gives a row for
-each (``chunk``), so memory is bounded by a batch, not by a conversation.
+the string column. A conversation that goes over several ranges or batches gives a row
+for each (``part``, ``chunk``, in this order), so memory is bounded by a batch, not by a conversation.
 
 Defined results: a null text or role is an empty one. Turns are in order of turn
 (null first), then role and text, so repeated turns stay, next to each other. A
@@ -33,7 +34,9 @@ from urllib.parse import quote, unquote
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import col, flat_bytes, map_arrow, small_batches
 
@@ -43,6 +46,7 @@ AFTER_FIRST = r"/?INST\]|/?s>|</?SYS>>|<ROLE |</ROLE>>"
 """The control strings without their first character, which is [ or <."""
 LOSS_ROLE = "assistant"
 SCATTER = 1 << 20
+HEAD = 64
 
 _ESCAPE = rf"([\[<])(\\*)({AFTER_FIRST})"
 _UNESCAPE = re.compile(rf"([\[<])\\(\\*{AFTER_FIRST.join(('(?:', ')'))})")
@@ -128,7 +132,7 @@ def assemble(roles: pa.Array, texts: pa.Array, first: np.ndarray) -> tuple[pa.Ar
 
 
 def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    last, chunk = None, 0
+    last, chunk, part = None, 0, TaskContext.get().partitionId()
     for batch in small_batches(batches, "text"):
         conv = batch.column("conv")
         codes = conv.dictionary_encode(null_encoding="encode").indices.to_numpy()
@@ -138,17 +142,20 @@ def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             chunks[0] = chunk + 1
         last, chunk = (conv[batch.num_rows - 1],), int(chunks[-1])
         found = assemble(batch.column("role"), batch.column("text"), first)
-        yield pa.RecordBatch.from_arrays([conv.take(pa.array(first)), pa.array(chunks), *found],
-                                         ["conv_id", "chunk", "formatted", "loss_starts", "loss_lengths"])
+        parts = pa.array(np.full(len(first), part, np.int32))
+        yield pa.RecordBatch.from_arrays([conv.take(pa.array(first)), parts, pa.array(chunks), *found],
+                                         ["conv_id", "part", "chunk", "formatted", "loss_starts", "loss_lengths"])
 
 
 def format_chat(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
                 text_col: str = "text") -> DataFrame:
-    """conv_id, chunk, formatted, loss_starts, loss_lengths (places in the chunk's text)."""
+    """conv_id, part, chunk, formatted, loss_starts, loss_lengths (places in the chunk's text)."""
     turns = df.select(col(conv_col).alias("conv"), col(turn_col).alias("turn"),
                       col(role_col).cast("string").alias("role"), col(text_col).cast("string").alias("text"))
-    turns = turns.repartition("conv").sortWithinPartitions("conv", "turn", "role", "text").select("conv", "role", "text")
-    return map_arrow(turns, _format, f"conv_id {turns.schema['conv'].dataType.simpleString()}, chunk int, "
+    # a text's beginning is enough for the borders: turns that share it stay in one range, in order of the whole text
+    dealt = turns.withColumn("head", F.substring("text", 1, HEAD)).repartitionByRange("conv", "turn", "role", "head")
+    turns = dealt.sortWithinPartitions("conv", "turn", "role", "text").select("conv", "role", "text")
+    return map_arrow(turns, _format, f"conv_id {turns.schema['conv'].dataType.simpleString()}, part int, chunk int, "
                      "formatted string, loss_starts array<bigint>, loss_lengths array<bigint>")
 
 
@@ -195,6 +202,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def digests(formatted: DataFrame) -> DataFrame:
     """What reading a formatted table back gives, one row a conversation, its chunks in order."""
-    dealt = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "chunk")
+    # the digest of a conversation reads its chunks one after the other
+    dealt = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "part", "chunk")
     return map_arrow(dealt, _digests, f"conv_id {dealt.schema['conv_id'].dataType.simpleString()}, n_turns long, "
                      "turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

@@ -15,6 +15,10 @@ File format: Parquet rows, one a segment, in ascending document order::
     doc_ids, ends   its documents and, for each, the ids of the segment up to its end
     levels          array of (codes, more, ranks): bytes, bitmap (little bit first), unsigned 32-bit counts
 
+Data pages are not compressed. Two small tables lie beside the segments: ``_parts`` has
+the ids before each part, ``_directory`` the file, place, first id and number of ids of
+each segment. A lookup finds its segment in the directory and reads only that row of one file.
+
 Defined results: a null text is an empty one; every document ends with
 ``end_id``, so an empty text is that id alone. Null document ids come first and
 are kept. Rows with one document id are documents of their own, ordered by text.
@@ -29,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import binary_rows, col, map_arrow, small_batches
@@ -37,6 +41,7 @@ from .encode import encoder
 
 SEGMENT_TOKENS = 1 << 18
 BLOCK_BITS = 512
+HEAD = 64
 LEVEL = "struct<codes:binary,more:binary,ranks:binary>"
 SEGMENT = ("part int, seg int, before long, n_tokens long, doc_ids array<bigint>, ends array<bigint>, "
            f"levels array<{LEVEL}>")
@@ -139,21 +144,31 @@ def write_tokens(df: DataFrame, path: str, vocabulary: str, end_id: int, keep_sp
     run of documents and no task sees more than its range.
     """
     docs = df.select(col(id_col).cast("long").alias("k"), col(text_col).cast("string").alias("t"))
-    ordered = docs.repartitionByRange("k").sortWithinPartitions("k", "t")
-    map_arrow(ordered, _segments(vocabulary, end_id, keep_space), SEGMENT).write.parquet(path, compression="zstd")
+    # a text's beginning is enough for the borders of the ranges: null and repeated ids are split by it
+    ordered = docs.withColumn("head", F.substring("t", 1, HEAD)).repartitionByRange("k", "head")
+    ordered = ordered.sortWithinPartitions("k", "t").select("k", "t")
+    found = map_arrow(ordered, _segments(vocabulary, end_id, keep_space), SEGMENT)
+    found.write.parquet(path, compression="uncompressed")
+    _write_directory(df.sparkSession, path)
+
+
+def _write_directory(spark: SparkSession, path: str) -> None:
+    """The tables beside the segments. The driver adds up one number a write task."""
+    rows = spark.read.schema(SEGMENT).parquet(path).select("part", "seg", "before", "n_tokens", F.input_file_name().alias("file"))
+    sizes = sorted((r.part, r.n) for r in rows.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect())
+    ends = np.cumsum([0, *(n for _, n in sizes)]).tolist()
+    parts = spark.createDataFrame([(p, start) for (p, _), start in zip(sizes, ends, strict=False)], "part int, base long")
+    parts.coalesce(1).write.parquet(f"{path}/_parts")
+    start = (F.col("base") + F.col("before")).alias("start")
+    directory = rows.join(F.broadcast(parts), "part").select("file", "part", "seg", start, "n_tokens")
+    directory.repartitionByRange("start").sortWithinPartitions("start").write.parquet(f"{path}/_directory")
 
 
 def segments(spark: SparkSession, path: str) -> DataFrame:
-    """The segments with ``start``, the ids of all segments before each.
-
-    Sums are taken a part first; one small row a write task meets in one place and
-    is broadcast, so at most as many as the store has files.
-    """
-    table = spark.read.schema(SEGMENT).parquet(path)
-    parts = table.groupBy("part").agg(F.sum("n_tokens").alias("n"))
-    all_before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("part", F.coalesce(F.sum("n").over(all_before), F.lit(0)).alias("base"))
-    return table.join(F.broadcast(parts), "part").withColumn("start", F.col("base") + F.col("before")).drop("base")
+    """The segments with ``start``, the ids of all segments before each. The parts, one row a write task, are broadcast."""
+    parts = spark.read.schema("part int, base long").parquet(f"{path}/_parts")
+    table = spark.read.schema(SEGMENT).parquet(path).join(F.broadcast(parts), "part")
+    return table.withColumn("start", F.col("base") + F.col("before")).drop("base")
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,8 +190,16 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return map_arrow(found, _documents, "doc_id long, start long, n_tokens long, ids binary")
 
 
+def segment_of(spark: SparkSession, path: str, place: int) -> tuple[DataFrame, int] | None:
+    """The levels of the segment that holds a place of the whole store, as one row of one file, and its first place."""
+    directory = spark.read.schema("file string, part int, seg int, start long, n_tokens long").parquet(f"{path}/_directory")
+    row = directory.where((F.col("start") <= place) & (F.col("start") > place - F.col("n_tokens"))).first()
+    if row is None:
+        return None
+    return spark.read.schema(SEGMENT).parquet(row.file).where(F.col("seg") == row.seg).select("levels"), row.start
+
+
 def token_at(spark: SparkSession, path: str, place: int) -> int | None:
-    """The id at one place of the whole store: one segment is fetched and at most one chunk a level is read."""
-    at = segments(spark, path).where((F.col("start") <= place) & (place < F.col("start") + F.col("n_tokens")))
-    row = at.select("start", "levels").first()
-    return dac_get([x.asDict() for x in row.levels], place - row.start) if row else None
+    """The id at one place of the whole store: one segment is read, and of it at most one chunk a level."""
+    found = segment_of(spark, path, place)
+    return dac_get([x.asDict() for x in found[0].first().levels], place - found[1]) if found else None

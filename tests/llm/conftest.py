@@ -39,3 +39,13 @@ def docs(spark, corpus):
 @pytest.fixture(scope="session")
 def no_docs(spark):
     return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture
+def many_parts(spark):
+    """Small partitions stay apart."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.set(key, old)

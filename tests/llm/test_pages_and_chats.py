@@ -159,6 +159,18 @@ def test_chats(spark, batch):
     assert (batch == 2) == any(r.chunk for r in chunks)
 
 
+def test_a_hot_conversation_is_formatted_in_parts(spark, many_parts):
+    """One conversation has most of the turns, some of them repeated."""
+    rnd = random.Random(2)
+    rows = [(None if i % 4 == 0 else 7, i // 3, rnd.choice(["user", "assistant"]), f"t{i % 50} " * 20) for i in range(600)]
+    rows += rows[:20] + [(3, 1, "user", "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    formatted = chat.format_chat(df)
+    parts = {(r.conv_id, r.part) for r in formatted.collect()}
+    assert len([x for x in parts if x[0] == 7]) > 1
+    assert {r.conv_id: tuple(r)[1:5] for r in chat.digests(formatted).collect()} == expected_chats(rows)
+
+
 def test_no_chats(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.digests(chat.format_chat(df)).count() == 0

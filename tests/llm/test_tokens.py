@@ -79,6 +79,26 @@ def test_token_store(spark, docs, corpus, monkeypatch):
     for place in (0, 1, 777, len(stream) - 1):
         assert token_store.token_at(spark, path, place) == stream[place]
     assert token_store.token_at(spark, path, len(stream)) is None
+    assert token_store.token_at(spark, path, -1) is None
+
+
+def test_a_lookup_reads_one_segment(spark, many_parts):
+    """A third of the rows have a null id and a third one id; ranges split both, and a place is found in one row."""
+    rnd = random.Random(8)
+    rows = [(None if i % 3 == 0 else 5 if i % 3 == 1 else i, f"{rnd.random()} word " * 30) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    path = shared_path(spark, "test")
+    token_store.write_tokens(df, path, BYTE, end_id=0)
+    whole = library(BYTE)
+    stream = [x for k, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])) for x in [*whole(t), 0]]
+    parts = token_store.segments(spark, path).selectExpr("part", "size(doc_ids) as n").collect()
+    assert max(r.n for r in parts) < 150 and sum(r.n for r in parts) == 300
+    for place in (0, len(stream) // 3, len(stream) - 1):
+        found, start = token_store.segment_of(spark, path, place)
+        assert len(found.inputFiles()) == 1 and found.count() == 1 and 0 <= place - start
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "EqualTo(seg," in plan and "ReadSchema: struct<seg:int,levels:" in plan
+        assert token_store.token_at(spark, path, place) == stream[place]
 
 
 def test_small_segments_hold_the_same_stream():
