@@ -7,8 +7,8 @@ derives the lower orders (continuation counts), discounts and probabilities from
 them. Every counted n-gram is in the model, at every size of the corpus, and no model
 is broadcast: documents are dealt into chunks by a hash of the whole row, a chunk asks
 for each of its distinct 5-grams once, and the requests meet the model by (language,
-bucket of the 5-gram). The number of chunks and buckets grows with the corpus, their
-size does not. A word is scored once a chunk, however often it occurs.
+bucket of the 5-gram), where it is stored in sorted hash arrays. The numbers of chunks and buckets grow
+with the corpus; the size of a bucket does not, but the requests to it grow with the chunks. A word is scored once a chunk, however often it occurs.
 
 A document's score is the median, over its runs of ``RUN_WORDS`` words, of the run's
 cross entropy in nats a byte (the logarithm of its perplexity), so one odd passage or
@@ -33,7 +33,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -50,8 +49,6 @@ from .common import col, give_back, map_arrow, mix64, small_batches
 
 ORDER = 5
 START, END = 0x20, 0x0A  # bytes that no word has
-KEPT = float("inf")
-"""N-grams rarer than one in so many bytes would be fully discounted; at infinity none is."""
 WIDTH, LEAST_DEVIATION, CLASS_ROWS = 4.0, 0.1, 30
 WINDOW_WORDS, MIN_WORDS, MAX_REPEAT_PERCENT = 5, 10, 20
 SPACES, SYMBOLS = " \t\n\v\f\r", "#*$%&|<>"
@@ -127,23 +124,22 @@ def _discounts(counts: DataFrame) -> DataFrame:
     return n.select("lang", *(discount(i).alias(f"d{i}") for i in range(1, 4)))
 
 
-def _orders(counts: DataFrame) -> tuple[list[DataFrame], float, int]:
-    """lang, gram, context, seen, share, p of all n-grams of 1, 2, .. 5 bytes; from which count on they have
-    rows in the model, and the bytes of all words and their ends."""
-    tables = {ORDER: materialize(counts.select("lang", "gram", "n", F.col("n").alias("seen")), "grams")}
+def _model(counts: DataFrame) -> tuple[DataFrame, int]:
+    """lang, gram, p of every counted 5-gram, and the bytes of all words and their ends.
+
+    Orders are built from the shortest up: what an order's discounts free in a context goes to the next shorter one.
+    """
+    tables = {ORDER: materialize(counts.select("lang", "gram", "n"), "grams")}
     n_bytes = tables[ORDER].agg(F.sum("n")).first()[0] or 0
-    least = n_bytes / KEPT
     for size in range(ORDER - 1, 0, -1):
         shorter = F.col("gram").bitwiseAND((1 << 8 * size) - 1)
-        found = tables[size + 1].groupBy("lang", shorter.alias("gram")).agg(F.count("*").alias("n"), F.sum("seen").alias("seen"))
-        tables[size] = materialize(found, "grams")
-    out, lower = [], None
+        tables[size] = materialize(tables[size + 1].groupBy("lang", shorter.alias("gram")).agg(F.count("*").alias("n")), "grams")
+    lower = None
     for size in range(1, ORDER + 1):
         context = Window.partitionBy("lang", "context")
         rows = tables[size].join(F.broadcast(_discounts(tables[size])), "lang")
-        d = (F.when(F.col("seen") < least, F.col("n")).when(F.col("n") == 1, F.col("d1"))
-             .when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3")))
-        rows = rows.select("lang", "gram", "n", "seen", d.alias("d"), F.shiftright("gram", 8).alias("context"),
+        d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+        rows = rows.select("lang", "gram", "n", d.alias("d"), F.shiftright("gram", 8).alias("context"),
                            F.col("gram").bitwiseAND((1 << 8 * (size - 1)) - 1).alias("short"))
         rows = rows.withColumn("all", F.sum("n").over(context)).withColumn("share", F.sum("d").over(context) / F.col("all"))
         if lower is None:
@@ -151,73 +147,30 @@ def _orders(counts: DataFrame) -> tuple[list[DataFrame], float, int]:
         else:
             rows = rows.join(lower.select("lang", F.col("gram").alias("short"), F.col("p").alias("q")), ["lang", "short"])
         p = (F.col("n") - F.col("d")) / F.col("all") + F.col("share") * F.col("q")
-        lower = materialize(rows.select("lang", "gram", "context", "seen", "share", p.alias("p")), "model")
-        out.append(lower)
-    return out, least, n_bytes
+        lower = materialize(rows.select("lang", "gram", p.alias("p")), "model")
+    return lower, n_bytes
 
 
-def kneser_ney(counts: DataFrame) -> DataFrame:
-    """lang, share, size, gram, value: the model's rows, as ``Model`` takes them for any texts.
+class HashArrays:
+    """N-grams as sorted 64-bit hashes (a bijection of their bytes) beside the logarithms of their probabilities."""
 
-    Rows with ``share`` false are probabilities of n-grams of 1 to 5 bytes; the others are the
-    shares that contexts of 0 to 4 bytes give to the next lower order. An n-gram without a
-    row has its context's share (1 if that has none either) of what the lower order gives.
-    """
-    orders, least, _ = _orders(counts)
-    out = []
-    for size, rows in enumerate(orders, 1):
-        kept = rows.where(F.col("seen") >= least)
-        out.append(kept.select("lang", F.lit(False).alias("share"), F.lit(size).alias("size"), "gram", F.col("p").alias("value")))
-        out.append(kept.groupBy("lang", "context").agg(F.max("share").alias("value"))
-                   .select("lang", F.lit(True).alias("share"), F.lit(size - 1).alias("size"), F.col("context").alias("gram"), "value"))
-    return reduce(DataFrame.union, out)
-
-
-class Model:
-    """The rows as sorted 64-bit hashes (a bijection of language, kind, length and bytes) with their logarithms."""
-
-    def __init__(self, rows: pa.Table):
-        lang = rows["lang"].combine_chunks().dictionary_encode()
-        self.languages = {x: i for i, x in enumerate(lang.dictionary.to_pylist())}
-        key = self.key(lang.indices.to_numpy().astype(np.int64), rows["share"].to_numpy().astype(np.int64),
-                       rows["size"].to_numpy().astype(np.int64), rows["gram"].to_numpy())
+    def __init__(self, grams: np.ndarray, p: np.ndarray):
+        key = mix64(grams.astype(np.uint64))
         order = np.argsort(key)
-        self.keys, self.logs = key[order], np.log(rows["value"].to_numpy())[order]
+        self.keys, self.logs = key[order], np.log(p[order])
         # where the hashes with the same first bits begin
         self.bits = max(1, int(np.log2(len(key) + 1)))
         self.begin = np.searchsorted(self.keys, np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits))
 
-    @staticmethod
-    def key(lang, share, size, gram: np.ndarray) -> np.ndarray:
-        packed = np.asarray(lang << 44 | share << 43 | size << 40, np.int64) | gram
-        return mix64(packed.astype(np.uint64))
-
-    def find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which hashes are there, and the logarithms of those."""
+    def find(self, grams: np.ndarray) -> np.ndarray:
+        """The logarithms of n-grams that are all there."""
+        key = mix64(grams.astype(np.uint64))
         at = self.begin[key >> np.uint64(64 - self.bits)]
-        last = len(self.keys) - 1
         going = np.arange(len(key))
         while len(going):  # a few steps: the hashes are spread evenly
-            going = going[at[going] <= last]
             going = going[self.keys[at[going]] < key[going]]
             at[going] += 1
-        there = at <= last
-        there[there] = self.keys[at[there]] == key[there]
-        return there, self.logs[at[there]]
-
-    def log_probability(self, lang: str, grams: np.ndarray) -> np.ndarray:
-        """Of each 5-gram's last byte after the others; shorter contexts take over where the model has no row."""
-        number = self.languages.get(lang)
-        out, todo = np.zeros(len(grams)), np.arange(len(grams))
-        for size in range(ORDER, 0, -1) if number is not None else ():
-            gram = grams[todo] & ((1 << 8 * size) - 1)
-            there, log_p = self.find(self.key(number, 0, size, gram))
-            out[todo[there]] += log_p
-            todo, gram = todo[~there], gram[~there]
-            there, log_share = self.find(self.key(number, 1, size - 1, gram >> 8))
-            out[todo[there]] += log_share
-        out[todo] -= np.log(256)
-        return out
+        return self.logs[at]
 
 
 # ---- base rules ------------------------------------------------------------------------------------------------
@@ -326,10 +279,8 @@ def _ask(lang_col: str, text_col: str, buckets: int):
 
 def _answer(asked: pa.Table, model: pa.Table) -> pa.Table:
     """The logarithms of the probabilities of the asked 5-grams, all of which the model has."""
-    gram, p = model["gram"].to_numpy(), model["p"].to_numpy()
-    order = np.argsort(gram)
-    gram, log_p = gram[order], np.log(p[order])
-    found = [log_p[np.searchsorted(gram, np.cumsum(np.frombuffer(x, np.int64)))].tobytes() for x in asked["asked"].to_pylist()]
+    table = HashArrays(model["gram"].to_numpy(), model["p"].to_numpy())
+    found = [table.find(np.cumsum(np.frombuffer(x, np.int64))).tobytes() for x in asked["asked"].to_pylist()]
     return asked.select(["chunk", "lang", "bucket"]).append_column("log_p", pa.array(found, pa.binary()))
 
 
@@ -373,12 +324,12 @@ def _chunked(df: DataFrame, used: list[str], n_bytes: int) -> DataFrame:
 
 
 def _scored(df: DataFrame, lang_col: str, text_col: str, keep: list[str]) -> DataFrame:
-    orders, _, n_bytes = _orders(count_grams(df, lang_col, text_col))
-    buckets = orders[-1].count() // BUCKET_GRAMS + 1
+    model, n_bytes = _model(count_grams(df, lang_col, text_col))
+    buckets = model.count() // BUCKET_GRAMS + 1
     docs = _chunked(df, list(dict.fromkeys([*keep, lang_col, text_col])), n_bytes)
     # both uses of the rows take all their columns, so that they share one exchange
     asked = docs.groupBy("chunk").applyInArrow(_ask(lang_col, text_col, buckets), "chunk long, lang string, bucket long, asked binary")
-    model = orders[-1].select("lang", (F.col("gram") % PRIME % buckets).alias("bucket"), "gram", "p")
+    model = model.select("lang", (F.col("gram") % PRIME % buckets).alias("bucket"), "gram", "p")
     answers = asked.groupBy("lang", "bucket").cogroup(model.groupBy("lang", "bucket")).applyInArrow(
         _answer, "chunk long, lang string, bucket long, log_p binary")
     fields = [T.StructField("row", T.StructType([df.schema[x] for x in keep])), T.StructField("lang", T.StringType()),

@@ -180,20 +180,12 @@ def plain_scores(corpus):
         for word in text.encode().split():
             line = bytes([quality.START]) * 4 + word + bytes([quality.END])
             counts[5].update(line[i:i + 5] for i in range(len(line) - 4))
-    seen = {5: counts[5]}
     for size in (4, 3, 2, 1):
         counts[size] = Counter(g[1:] for g in counts[size + 1])
-        seen[size] = Counter()
-        for g, c in seen[size + 1].items():
-            seen[size][g[1:]] += c
-    least = sum(counts[5].values()) / quality.KEPT
     contexts = {}
 
     def discount(size, gram):
-        c = counts[size][gram]
-        if seen[size][gram] < least:
-            return c
-        return discounts[size][min(c, 3)]
+        return discounts[size][min(counts[size][gram], 3)]
 
     discounts = {}
     for size, own in counts.items():
@@ -224,38 +216,54 @@ def plain_scores(corpus):
         return -total / n
 
     def score(text):
+        """Of the middle run, of all words, and of the run at the upper quartile."""
         words = text.encode().split()
+        if not words:
+            return 0.0, 0.0, 0.0
         last = max(0, len(words) // 16 * 16 - 16)
-        runs = [words[i:i + 16] for i in range(0, last, 16)] + [words[last:]]
-        return statistics.median(map(run_score, runs)) if words else 0.0
+        runs = sorted(map(run_score, [words[i:i + 16] for i in range(0, last, 16)] + [words[last:]]))
+        return statistics.median(runs), run_score(words), runs[3 * (len(runs) - 1) // 4]
     return score
 
 
-@pytest.mark.parametrize("kept", [1 << 20, 300])
-def test_quality(docs, corpus, kept, monkeypatch):
-    monkeypatch.setattr(quality, "KEPT", kept)
+def test_quality(docs, corpus):
     found = quality.judge(docs).collect()
     assert len(found) == len(corpus) and found[0].row.asDict().keys() == set(docs.columns)
-    score = plain_scores([x or "" for _, x in corpus])
+    score, rows = plain_scores([x or "" for _, x in corpus]), {}
     for r in found:
         text = r.row.text or ""
         base = plain_base(text)
         assert tuple(r[x] for x in quality.STATS) == base
         assert r.base_failed == (base[0] < 10 or 100 * base[4] > 20 * base[0])
-        assert r.score == pytest.approx(score(text), abs=1e-9)
-        assert r.kept == (not r.base_failed and r.low <= r.score <= r.high)
-
-
-@pytest.mark.parametrize("kept", [1 << 20, 300])
-def test_probabilities_sum_to_one(docs, kept, monkeypatch):
-    monkeypatch.setattr(quality, "KEPT", kept)
-    rows = quality.kneser_ney(quality.count_grams(docs, "lang", "text")).toArrow()
-    assert max(rows.group_by(["share", "size"]).aggregate([("gram", "count")])["gram_count"].to_pylist()) <= kept
-    model = quality.Model(rows)
-    for context in (b"    ", b"  th", b"zzzz", b"hand"):
-        packed = int.from_bytes(context, "big") << 8
-        assert np.exp(model.log_probability("en", packed + np.arange(256))).sum() == pytest.approx(1)
-    assert np.exp(model.log_probability("new", np.arange(256))).sum() == pytest.approx(1)
+        assert (r.score, r.whole, r.tail) == pytest.approx(score(text), abs=1e-9)
+        n_bytes = sum(len(x) + 1 for x in text.encode().split())
+        if not r.base_failed:
+            rows[r.score, r.whole, r.tail, n_bytes] = n_bytes
+    classes = Counter(max(1, n).bit_length() for n in rows.values())
+    assert max(classes.values()) < quality.CLASS_ROWS  # so that one band holds for all lengths
+    bands = []
+    for i in range(3):
+        a, m, b = np.quantile([x[i] for x in rows], [0.25, 0.5, 0.75])
+        bands.append((m, (b - a) / 1.349))
+    for r in found:
+        text = r.row.text or ""
+        n_bytes = sum(len(x) + 1 for x in text.encode().split())
+        reach = [4 * max(d, 0.1 / math.sqrt(max(1, n_bytes))) for _, d in bands]
+        if not r.base_failed:
+            assert (r.low, r.high) == pytest.approx((bands[0][0] - reach[0], bands[0][0] + reach[0]))
+        own = score(text)
+        assert r.kept == (not r.base_failed and abs(own[0] - bands[0][0]) <= reach[0]
+                          and all(own[i] <= bands[i][0] + reach[i] for i in (1, 2)))
+    assert any(r.kept for r in found)
+
+
+def test_hash_arrays():
+    rnd = np.random.default_rng(3)
+    for n in (1, 2, 50, 3000):
+        grams = np.unique(rnd.integers(0, 1 << 40, n))
+        p = rnd.random(len(grams)) + 0.01
+        some = rnd.integers(0, len(grams), 2 * n)
+        assert (quality.HashArrays(grams, p).find(grams[some]) == np.log(p[some])).all()
 
 
 def test_long_clean_documents_stay(spark):
