@@ -98,16 +98,18 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         holds = (F.col(f"below{i}") <= low) & (high < F.col(f"upto{i}"))
         return F.struct(F.lit(i).alias("i"), F.when(holds, end[2 * i]).alias("lo"), F.when(holds, end[2 * i + 1]).alias("hi"),
                         F.when(holds, F.col(f"below{i}")).otherwise(F.lit(0)).cast("long").alias("below"),
+                        F.when(holds, F.col(f"upto{i}") - F.col(f"below{i}")).otherwise(F.col("of")).alias("inside"),
                         low.alias("low"), high.alias("high"), (place - low).alias("part"))
 
     brackets = materialize(counts.select(*group, F.array(*[rank(i) for i in range(k)]).alias("ranks")), "ranks")
     inside = F.transform(F.filter("ranks", lambda r: F.coalesce(v >= r["lo"], F.lit(True)) & F.coalesce(v <= r["hi"], F.lit(True))),
                          lambda r: r["i"])
     values = _beside(data, brackets, group).select(*group, F.explode(inside).alias("i"), "v")
-    values = materialize(values.groupBy(*group, "i", "v").agg(F.count("*").alias("n")), "values")
+    values = values.groupBy(*group, "i", "v").agg(F.count("*").alias("n"))
     ranks = brackets.select(*group, F.inline("ranks"))
     group_i = [*group, "i"]
-    values, ranks = _narrowed(values, ranks, group_i)
+    if (ranks.agg(F.max("inside")).first()[0] or 0) > BOUND:
+        values, ranks = _narrowed(materialize(values, "values"), ranks, group_i)
     upto = F.sum("n").over(Window.partitionBy(*group_i).orderBy("v"))
     ranked = _beside(values.withColumn("upto", upto), ranks, group_i)
     to = F.col("below") + F.col("upto")
