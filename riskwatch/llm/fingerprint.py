@@ -106,7 +106,8 @@ def sketches(texts: list[bytes]) -> list[np.ndarray]:
         found.append(of << np.uint64(32) | mix64(symbol) >> np.uint64(32))
         symbol, owner, counts = symbol[np.repeat(~whole, counts)], owner[~whole], counts[~whole]
         first = np.cumsum(counts) - counts
-    all_ = np.unique(np.concatenate(found))
+    all_ = np.sort(np.concatenate(found))  # sorting is faster here than the hash table of np.unique
+    all_ = all_[np.append(True, all_[1:] != all_[:-1])]
     cuts = np.searchsorted(all_, np.arange(len(texts) + 1, dtype=np.uint64) << np.uint64(32))
     return [all_[a:min(b, a + SKETCH)].astype(np.uint32) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
