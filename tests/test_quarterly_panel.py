@@ -5,6 +5,7 @@ import datetime as dt
 import __spark_entry__ as E
 import pytest
 
+from riskwatch.operators import features as FE
 from riskwatch.sources import adapters as A
 
 SF = "/root/testdata/sf0.001"
@@ -43,3 +44,30 @@ def test_lines_move_by_customer_once(spark):
     """Sums an order are wider than its lines: the panel moves lines, and the window over its quarters moves nothing."""
     plan = E.queries()["fin_ratios"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") <= 2  # broadcast joins of small tables leave one
+
+
+def test_ratios_and_covenants_are_one_pass(spark):
+    """The assembly makes the panel's sums once: the lines of a customer are read and added up for both."""
+    plan = E.queries()["join_feature_assembly"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [l_orderkey") == 1
+
+
+def test_covenants_beside_quarters_are_those_joined(spark):
+    """Null keys, dates and sums, equal dates, and customers without a test in the window."""
+    schema = "customer_id long, fq_date date, sector_code string, size_bucket string, " + ", ".join(f"{c} double" for c in FE.FIN_MEASURES)
+    rows = []
+    for customer in (1, 2, 3, 4, None):
+        for k, month in enumerate((1, 4, 7, 10)):
+            x = [float((customer or 5) * (k + 1) * (i + 1) % 7) for i in range(len(FE.FIN_MEASURES))]
+            x = [None if (i + k + (customer or 0)) % 5 == 0 else v for i, v in enumerate(x)]
+            rows.append((customer, dt.date(1990 if customer == 3 else 2000, month, 1), "A", None, *x))
+    rows += [(4, None, "A", None, *[1.0] * len(FE.FIN_MEASURES)), (6, dt.date(2000, 7, 1), None, "B", *[None] * len(FE.FIN_MEASURES))]
+    fin = spark.createDataFrame(rows, schema)
+    p = FE.FeatureParams(asof="2000-08-01", obs_days=180)
+    ratios, tests = FE.ratios_and_covenants(fin, FE.covenant_test(fin), p)
+    joined = ratios.join(tests, "customer_id", "left")
+    beside, none = FE.ratios_and_covenants(fin, None, p)
+    assert none is None and beside.columns == joined.columns and beside.dtypes == joined.dtypes
+    found = sorted(map(str, beside.collect()))
+    assert found == sorted(map(str, joined.collect()))
+    assert len({r.covenant_breach_cnt_180d for r in beside.collect()}) > 2
