@@ -115,7 +115,7 @@ def q_psi_summary(spark, sf):
 # monitoring: features of the train split (baseline) vs the test split (current)
 # ---------------------------------------------------------------------------
 def split_features(spark, sf):
-    f = CF.build_features(spark, sf)
+    f = materialize(CF.build_features(spark, sf), "features")  # read for the hash ranges and the rows
     return materialize(split_stratified(f, "event_h12m", P.TEST_SIZE, P.SEED, drop_null_labels=False))
 
 

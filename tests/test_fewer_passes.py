@@ -1,8 +1,11 @@
-"""How often the quantiles and the z-scores read their rows."""
+"""How often the quantiles, the z-scores and the split read and move their rows."""
+
+import re
 
 import numpy as np
 import pytest
 
+from riskwatch.operators import model as MD
 from riskwatch.operators import robust
 
 
@@ -40,3 +43,19 @@ def test_global_quantiles_are_made_for_small_groups(spark, monkeypatch, rows, pr
     q = np.quantile([x for _, _, x in (data if rows < 10 else data[20:])], [0.25, 0.5, 0.75])
     assert z["b", 2.0] == pytest.approx((2.0 - q[1]) / (q[2] - q[0]))
     assert z["a", 2.0] == pytest.approx((2.0 - 9.5) / 9.5)
+
+
+@pytest.mark.parametrize("share", [0.0, 0.2, 1.0, 1.5])
+def test_split_ranks_only_the_range_that_the_share_ends_in(spark, tmp_path, share):
+    """All rows, with all their columns, used to move to be ranked."""
+    rows = [(i, None if i % 10 == 0 else int(i % 3 == 0), float(i)) for i in [*range(3000), 7, 7]]
+    spark.createDataFrame([*rows, (None, 1, 0.0)], "customer_id long, y int, x double").write.parquet(f"{tmp_path}/t")
+    split = MD.split_stratified(spark.read.parquet(f"{tmp_path}/t"), "y", share, drop_null_labels=False)
+    assert not re.search(r"hashpartitioning\(_stratum#\d+L?, _b#", split._jdf.queryExecution().executedPlan().toString())
+    found = split.collect()
+    assert split.columns == ["customer_id", "y", "x", "is_test"]
+    assert sorted((r.customer_id, str(r.y), r.x) for r in found) == sorted((i, str(y), x) for i, y, x in rows)
+    for y in (None, 0, 1):
+        own = sorted((((r.customer_id * 1103515245 + 42 * 40503) % 2 ** 32, r.customer_id), not r.is_test) for r in found if r.y == y)
+        n = round(len(own) * share)
+        assert [not late for _, late in own] == [i < n for i in range(len(own))]
